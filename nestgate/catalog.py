@@ -245,6 +245,251 @@ def drilldown_elements(spark: SparkSession, d: str) -> DataFrame:
                        "l_quantity")
 
 
+
+# ====================================================================== rule checks
+# Per-order rule outcomes in SQL (orders without lines see an empty list).
+PER_ORDER_SQL = """
+per_order as (
+  select o.o_orderkey,
+    coalesce(length(o.o_orderpriority) >= 1, true) as priority_min_length_1,
+    o.o_orderdate is not null as orderdate_not_null,
+    coalesce(min(l.l_quantity) > 1, true) as all_quantities_gt_1,
+    coalesce(bool_or(l.l_returnflag = 'R'), false) as has_returned_line,
+    coalesce(bool_and(l.l_linestatus = 'O'), true) as all_lines_open,
+    count(*) filter (where l.l_linenumber = 1) = 1 as exactly_one_first_line,
+    count(l.l_orderkey) > 0 as has_lines,
+    coalesce(bool_and(l.l_discount <= 0.08), true) as discount_at_most_0_08,
+    coalesce(bool_and(l.l_returnflag in ('A', 'N')), true) as returnflag_in_a_n,
+    coalesce(bool_and(l.l_shipdate > o.o_orderdate), true) as shipped_after_order,
+    (o.o_orderstatus is distinct from 'F') or coalesce(bool_or(l.l_linestatus = 'F'), false)
+      as finished_order_has_finished_line
+  from orders o left join lineitem l on l.l_orderkey = o.o_orderkey
+  group by o.o_orderkey, o.o_orderpriority, o.o_orderdate, o.o_orderstatus)"""
+
+# (order, rule, column, level) of the stand-in rule set, as in standins.order_rules().
+RULE_META = [
+    (0, "orderkey_unique", "o_orderkey", "frame"),
+    (1, "priority_min_length_1", "o_orderpriority", "flat"),
+    (2, "orderdate_not_null", "o_orderdate", "type"),
+    (3, "all_quantities_gt_1", "lines", "nested"),
+    (4, "has_returned_line", "lines", "nested"),
+    (5, "all_lines_open", "lines", "nested"),
+    (6, "exactly_one_first_line", "lines", "nested"),
+    (7, "has_lines", "lines", "nested"),
+    (8, "discount_at_most_0_08", "lines", "nested"),
+    (9, "returnflag_in_a_n", "lines", "nested"),
+    (10, "shipped_after_order", "lines", "nested"),
+    (11, "finished_order_has_finished_line", "lines", "nested"),
+]
+UNIQUE_FAILED_SQL = ("(select coalesce(sum(c), 0) from (select count(*) as c from orders group by o_orderkey "
+                     "having count(*) > 1))")
+SUMMARY_SQL = "summary as (" + "\n  union all ".join(
+    f"select cast({i} as bigint) as rule_order, '{r}' as rule, '{c}' as column_name, '{lv}' as level, "
+    + (f"cast({UNIQUE_FAILED_SQL} as bigint) as failed" if lv == "frame"
+       else f"count(*) filter (where not {r}) as failed from per_order")
+    for i, r, c, lv in RULE_META) + ")"
+
+
+def _orders_docs(spark: SparkSession, d: str) -> DataFrame:
+    return S.nested_orders(spark, d)
+
+
+def _rule(name: str) -> R.Rule:
+    return next(r for r in S.order_rules() if r.name == name)
+
+
+def _check_query(rule_name: str):
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        docs = _orders_docs(spark, d)
+        return docs.select("o_orderkey", _rule(rule_name).passed().alias("passed"))
+    run.__doc__ = f"Per-order outcome of rule {rule_name}."
+    return run
+
+
+def _check_sql(rule_name: str) -> str:
+    return f"with {PER_ORDER_SQL}\nselect o_orderkey, {rule_name} as passed from per_order"
+
+
+for _q, _r in [
+    ("check_values_gt", "all_quantities_gt_1"),          # C1/C26: min over list > k
+    ("check_has_element", "has_returned_line"),          # C2/C10: any element equals
+    ("check_all_equal", "all_lines_open"),               # C3: all elements equal
+    ("check_exactly_one", "exactly_one_first_line"),     # C5: count of matches == 1
+    ("check_all_in_range", "discount_at_most_0_08"),     # C13/C16/C20/C23: all within bound
+    ("check_elements_in_set", "returnflag_in_a_n"),      # C25: all in allowed set
+    ("check_nested_vs_parent", "shipped_after_order"),   # C22: element vs parent column
+    ("check_sculpture_depth", "finished_order_has_finished_line"),  # C21: implication
+]:
+    query(_q, _check_sql(_r))(_check_query(_r))
+
+
+CONSTITUENT_SQL = """
+select o.o_orderkey,
+  coalesce(c.c_name like 'Customer#%', true) as names_have_customer_prefix,
+  coalesce(length(c.c_name) >= 1, true) as no_empty_names,
+  coalesce(c.c_mktsegment = 'BUILDING', false) as has_building_customer
+from orders o left join customer c on c.c_custkey = o.o_custkey
+"""
+
+
+@query("check_string_prefix", f"select o_orderkey, names_have_customer_prefix as passed from ({CONSTITUENT_SQL})")
+def check_string_prefix(spark: SparkSession, d: str) -> DataFrame:
+    """C4: every constituent name starts with a prefix."""
+    docs = S.nested_orders(spark, d, with_constituents=True)
+    rule = next(r for r in S.constituent_rules() if r.name == "names_have_customer_prefix")
+    return docs.select("o_orderkey", rule.passed().alias("passed"))
+
+
+@query("check_string_length", f"""
+with {PER_ORDER_SQL}, c as ({CONSTITUENT_SQL})
+select p.o_orderkey, p.priority_min_length_1 as priority_ok, c.no_empty_names as names_ok
+from per_order p join c on c.o_orderkey = p.o_orderkey
+""")
+def check_string_length(spark: SparkSession, d: str) -> DataFrame:
+    """Scalar and element string-length rules."""
+    docs = S.nested_orders(spark, d, with_constituents=True)
+    scalar = _rule("priority_min_length_1")
+    elem = next(r for r in S.constituent_rules() if r.name == "no_empty_names")
+    return docs.select("o_orderkey", scalar.passed().alias("priority_ok"), elem.passed().alias("names_ok"))
+
+
+@query("check_no_null_labels", f"""
+with l as (
+  select l.l_orderkey, p.p_name from lineitem l
+  left join (select * from part where p_size <= 25) p on p.p_partkey = l.l_partkey)
+select o.o_orderkey, coalesce(bool_and(l.p_name is not null) filter (where l.l_orderkey is not null), true) as passed
+from orders o left join l on l.l_orderkey = o.o_orderkey group by o.o_orderkey
+""")
+def check_no_null_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Every resolved label present.  The part terminology is restricted to
+    small parts, so lines of larger parts keep a null label and fail the rule."""
+    parts = S.table(spark, d, "part").where(F.col("p_size") <= 25).select(
+        F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias("term_id"), F.col("p_name").alias("label"))
+    docs = S.line_refs(S.nested_orders(spark, d))
+    docs = enrich_list(docs, "line_refs", [Lookup("part_id", parts, "term_id", "label", "part_label")],
+                       ["l_linenumber", "part_label"], key="o_orderkey")
+    rule = R.elements_not_null("no_null_part_labels", "line_refs", "part_label")
+    return docs.select("o_orderkey", rule.passed().alias("passed"))
+
+
+@query("check_unique_key", """
+select o_orderkey, count(*) as copies, count(*) = 1 as passed from orders group by o_orderkey
+""")
+def check_unique_key(spark: SparkSession, d: str) -> DataFrame:
+    """Key uniqueness (partial aggregation absorbs hot keys)."""
+    docs = S.table(spark, d, "orders")
+    return docs.groupBy("o_orderkey").agg(F.count(F.lit(1)).alias("copies")).select(
+        "o_orderkey", "copies", (F.col("copies") == 1).alias("passed"))
+
+
+@query("check_not_null", """
+select 'o_orderkey' as column_name, count(*) filter (where o_orderkey is null) as nulls from orders
+union all select 'o_orderdate', count(*) filter (where o_orderdate is null) from orders
+union all select 'o_orderpriority', count(*) filter (where o_orderpriority is null) from orders
+union all select 'lines', cast(0 as bigint) from orders limit 4
+""")
+def check_not_null(spark: SparkSession, d: str) -> DataFrame:
+    """V4: nullability of scalar and list columns in one pass."""
+    docs = _orders_docs(spark, d)
+    rules = [R.not_null(c, c) for c in ("o_orderkey", "o_orderdate", "o_orderpriority", "lines")]
+    s = V.summary(docs, rules)
+    return s.select("column_name", F.col("failed").alias("nulls"))
+
+
+@query("check_with_udf", _check_sql("all_quantities_gt_1"))
+def check_with_udf(spark: SparkSession, d: str) -> DataFrame:
+    """A user rule on the whole list per row, as an Arrow-batched pandas UDF."""
+    from nestgate.functions.udf_rules import min_greater_than
+
+    docs = _orders_docs(spark, d)
+    rule = R.element_udf("all_quantities_gt_1_udf", "lines", lambda c: min_greater_than(1.0)(c["l_quantity"]))
+    return docs.select("o_orderkey", rule.passed().alias("passed"))
+
+
+# ====================================================================== validation runs
+@query("check_summary", f"""
+with {PER_ORDER_SQL}, {SUMMARY_SQL}
+select rule, column_name, failed from summary
+""")
+def check_summary(spark: SparkSession, d: str) -> DataFrame:
+    """All rules counted in one pass (+ one key aggregation)."""
+    s = V.summary(_orders_docs(spark, d), S.order_rules())
+    return s.select("rule", "column_name", "failed")
+
+
+@query("check_first_failure", f"""
+with {PER_ORDER_SQL}, {SUMMARY_SQL}
+select column_name, rule, failed from (
+  select *, row_number() over (partition by column_name order by rule_order) as rn
+  from summary where failed > 0) t where rn = 1
+""")
+def check_first_failure(spark: SparkSession, d: str) -> DataFrame:
+    """First failing rule per column, in declared order."""
+    s = V.summary(_orders_docs(spark, d), S.order_rules())
+    return V.first_failures(s)
+
+
+@query("check_summary_depth", f"""
+with {PER_ORDER_SQL}, {SUMMARY_SQL}
+select 'types' as depth, cast(count(*) as bigint) as n_rules, count(*) filter (where failed > 0) as failing_rules,
+       cast(coalesce(sum(failed), 0) as bigint) as failed_total from summary where level = 'type'
+union all
+select 'flat', count(*), count(*) filter (where failed > 0), cast(coalesce(sum(failed), 0) as bigint)
+from summary where level in ('type', 'flat', 'frame')
+union all
+select 'full', count(*), count(*) filter (where failed > 0), cast(coalesce(sum(failed), 0) as bigint) from summary
+""")
+def check_summary_depth(spark: SparkSession, d: str) -> DataFrame:
+    """Types only / types + flat rules / everything, from one counting pass."""
+    return V.summary_by_depth(_orders_docs(spark, d), S.order_rules())
+
+
+FAILING_ROWS_SQL = f"""
+with {PER_ORDER_SQL}
+select o_orderkey, rule from per_order
+unpivot (passed for rule in ({", ".join(r for _, r, _, lv in RULE_META if lv != "frame")}))
+where not passed
+union all
+select o_orderkey, 'orderkey_unique' from orders where o_orderkey in (
+  select o_orderkey from orders group by o_orderkey having count(*) > 1)
+"""
+
+
+@query("failing_rows", FAILING_ROWS_SQL)
+def failing_rows(spark: SparkSession, d: str) -> DataFrame:
+    """One row per failing (order, rule)."""
+    return V.failing_rows(_orders_docs(spark, d), S.order_rules(), "o_orderkey")
+
+
+@query("failing_elements", f"""
+with l as (select l.*, o.o_orderdate from {LINES_POS_SQL} l join orders o on o.o_orderkey = l.l_orderkey)
+select l_orderkey as o_orderkey, 'all_quantities_gt_1' as rule, pos from l where l_quantity <= 1
+union all select l_orderkey, 'all_lines_open', pos from l where l_linestatus <> 'O'
+union all select l_orderkey, 'discount_at_most_0_08', pos from l where l_discount > 0.08
+union all select l_orderkey, 'returnflag_in_a_n', pos from l where l_returnflag not in ('A', 'N')
+union all select l_orderkey, 'shipped_after_order', pos from l where l_shipdate <= o_orderdate
+""")
+def failing_elements(spark: SparkSession, d: str) -> DataFrame:
+    """Which element of which order breaks which rule (value kept as JSON text)."""
+    out = V.failing_elements(_orders_docs(spark, d), S.order_rules(), "o_orderkey")
+    return out.select("o_orderkey", "rule", "pos")
+
+
+@query("quarantine_split", f"""
+with {PER_ORDER_SQL}
+select o_orderkey,
+  ({" + ".join(f"cast(not {r} as bigint)" for _, r, _, lv in RULE_META if lv != "frame")}) > 0 as quarantined,
+  ({" + ".join(f"cast(not {r} as bigint)" for _, r, _, lv in RULE_META if lv != "frame")}) as n_failed
+from per_order
+""")
+def quarantine_split(spark: SparkSession, d: str) -> DataFrame:
+    """Clean rows and quarantined rows (with the names of the failed rules)."""
+    clean, bad = V.quarantine(_orders_docs(spark, d), S.order_rules())
+    return (clean.select("o_orderkey", F.lit(False).alias("quarantined"), F.lit(0).cast("bigint").alias("n_failed"))
+            .unionByName(bad.select("o_orderkey", F.lit(True).alias("quarantined"),
+                                    F.size("_failed_rules").cast("bigint").alias("n_failed"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -92,12 +92,17 @@ def _combine(elem: Column, lookups: Sequence[Lookup], labels: Sequence[Column],
     return rec(0, {})
 
 
-def choose_strategy(lookups: Sequence[Lookup], map_max_keys: int = MAP_MAX_KEYS) -> str:
-    for lk in lookups:
-        n, _ = probe_size(lk.table.select(lk.key).distinct(), map_max_keys)
-        if n > map_max_keys:
-            return "join"
-    return "map"
+def probe_lookup(lk: Lookup, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int, int]:
+    """Bounded probe of the raw lookup rows ``(key, value)``.
+
+    Raw rows bound the grouped lookup from above (one grouped row per distinct
+    key, never more bytes), so one cheap limited scan answers both questions:
+    is it small enough for the in-place map, and may it be broadcast?"""
+    return probe_size(lk.table.select(lk.key, lk.value), max_rows)
+
+
+def choose_strategy(probes: Sequence[tuple[int, int]], map_max_keys: int = MAP_MAX_KEYS) -> str:
+    return "map" if all(n <= map_max_keys for n, _ in probes) else "join"
 
 
 def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields: Sequence[str],
@@ -110,8 +115,15 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
     ``fields`` may name element fields and lookup outputs, in the order wanted.
     ``key`` (the document key) is needed for the ``join`` strategy."""
     out_col = out_col or list_col
+    memo: dict[tuple[int, str, str], tuple[int, int]] = {}
+    probes = []
+    for lk in lookups:  # one probe per distinct (table, key, value)
+        k = (id(lk.table), lk.key, lk.value)
+        if k not in memo:
+            memo[k] = probe_lookup(lk, broadcast_max_rows)
+        probes.append(memo[k])
     if strategy == "auto":
-        strategy = choose_strategy(lookups, map_max_keys)
+        strategy = choose_strategy(probes, map_max_keys)
     if strategy == "map":
         # Subqueries may not appear inside lambdas: project each map once, then use it.
         map_cols = {f"_map{i}": lookup_map(lk) for i, lk in enumerate(lookups)}
@@ -121,7 +133,8 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
     elif strategy == "join":
         if key is None:
             raise ValueError("the join strategy needs the document key")
-        out = _enrich_by_join(df, list_col, lookups, fields, out_col, key, broadcast_max_rows, broadcast_max_bytes)
+        small = [n <= broadcast_max_rows and b <= broadcast_max_bytes for n, b in probes]
+        out = _enrich_by_join(df, list_col, lookups, fields, out_col, key, small)
     else:
         raise ValueError(f"unknown strategy {strategy}")
     elem_type = out.schema[out_col].dataType
@@ -132,14 +145,13 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
 
 
 def _enrich_by_join(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields: Sequence[str],
-                    out_col: str, key: str | Sequence[str], max_rows: int, max_bytes: int) -> DataFrame:
+                    out_col: str, key: str | Sequence[str], small: Sequence[bool]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
     flat = df.select(*keys, F.xxhash64(list_col).alias("_lh"), F.posexplode(list_col).alias("_pos", "_e"))
     label_cols = []
     for i, lk in enumerate(lookups):
         g = grouped_lookup(lk).withColumnsRenamed({"_k": f"_k{i}", "_vals": f"_vals{i}"})
-        n, b = probe_size(g, max_rows)
-        if n <= max_rows and b <= max_bytes:
+        if small[i]:  # proven small by the bounded probe
             g = F.broadcast(g)
         flat = flat.join(g, F.col("_e")[lk.element_key] == F.col(f"_k{i}"), "left").drop(f"_k{i}")
         label_cols.append(F.col(f"_vals{i}"))
