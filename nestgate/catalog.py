@@ -490,6 +490,426 @@ def quarantine_split(spark: SparkSession, d: str) -> DataFrame:
                                     F.size("_failed_rules").cast("bigint").alias("n_failed"))))
 
 
+
+# ====================================================================== sources: XML
+from pyspark.sql import types as T  # noqa: E402
+
+from nestgate.functions.coerce import coerce_to_schema  # noqa: E402
+from nestgate.operators import setops as U  # noqa: E402
+from nestgate.plans import conformance as C  # noqa: E402
+from nestgate.plans import export as K  # noqa: E402
+from nestgate.plans.profile import table_profile as _profile  # noqa: E402
+from nestgate.session import scratch_path  # noqa: E402
+from nestgate.sources import json as JS  # noqa: E402
+from nestgate.sources import synth as SY  # noqa: E402
+from nestgate.sources import xml as X  # noqa: E402
+
+# XML form of an order document: attributes for key and status, a wrapper per list.
+ORDER_XML_READ = (
+    "_key string, _status string, custkey string, totalprice string, priority string, "
+    "lines struct<line: array<struct<_number: string, _flag: string, _status: string, partkey: string, "
+    "suppkey: string, quantity: string, extendedprice: string, discount: string, tax: string>>>")
+ORDER_TYPED = (
+    "o_orderkey bigint, o_orderstatus string, o_custkey bigint, o_totalprice double, o_orderpriority string, "
+    "lines array<struct<l_linenumber: int, l_returnflag: string, l_linestatus: string, l_partkey: bigint, "
+    "l_suppkey: bigint, l_quantity: double, l_extendedprice: double, l_discount: double, l_tax: double>>")
+ORDER_XML_RENAMES = {"key": "o_orderkey", "status": "o_orderstatus", "custkey": "o_custkey",
+                     "totalprice": "o_totalprice", "priority": "o_orderpriority"}
+LINE_XML_RENAMES = {"number": "l_linenumber", "flag": "l_returnflag", "partkey": "l_partkey",
+                    "suppkey": "l_suppkey", "quantity": "l_quantity", "extendedprice": "l_extendedprice",
+                    "discount": "l_discount", "tax": "l_tax"}
+
+
+def ddl(text: str) -> T.StructType:
+    """Parse a DDL schema string (needs the active session, so called at query time)."""
+    return T.StructType.fromDDL(text)
+
+
+def order_xml_shape(docs: DataFrame) -> DataFrame:
+    return docs.select(
+        F.col("o_orderkey").alias("_key"), F.col("o_orderstatus").alias("_status"),
+        F.col("o_custkey").alias("custkey"), F.col("o_totalprice").alias("totalprice"),
+        F.col("o_orderpriority").alias("priority"),
+        F.struct(F.transform("lines", lambda x: F.struct(
+            x["l_linenumber"].alias("_number"), x["l_returnflag"].alias("_flag"), x["l_linestatus"].alias("_status"),
+            x["l_partkey"].alias("partkey"), x["l_suppkey"].alias("suppkey"), x["l_quantity"].alias("quantity"),
+            x["l_extendedprice"].alias("extendedprice"), x["l_discount"].alias("discount"),
+            x["l_tax"].alias("tax"))).alias("line")).alias("lines"))
+
+
+def harvest_orders_xml(df: DataFrame) -> DataFrame:
+    """Unwrap, clean names (order level and line level) and type an XML order harvest."""
+    unwrapped = X.unwrap_lists(df, {"lines": "line"})
+    names = {**ORDER_XML_RENAMES}
+    cleaned = X.clean_names(unwrapped, renames=names)
+    # line fields: status inside a line is the line status
+    lines_t = cleaned.schema["lines"].dataType
+    from nestgate.functions.coerce import rename_fields
+    expr, _ = rename_fields(F.col("lines"), lines_t,
+                            lambda n: {"o_orderstatus": "l_linestatus", **LINE_XML_RENAMES}.get(n, n))
+    return coerce_to_schema(cleaned.withColumn("lines", expr), ddl(ORDER_TYPED))
+
+
+LINE_OUT = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+            "l_returnflag", "l_linestatus"]
+EXPLODED_LINES_SQL = ORACLE["explode_unnest"]
+
+
+def _explode_typed(df: DataFrame) -> DataFrame:
+    flat = N.explode_elements(df, "o_orderkey", "lines")
+    return flat.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), *LINE_OUT)
+
+
+@query("xml_record_harvest", EXPLODED_LINES_SQL)
+def xml_record_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """Order documents written as XML files, harvested back with a declared schema."""
+    path = scratch_path(spark, "xml-orders")
+    order_xml_shape(S.nested_orders(spark, d)).write.format("xml").option("rowTag", "order") \
+        .option("rootTag", "orders").mode("overwrite").save(path)
+    raw = X.read_xml_records(spark, path, "order", ORDER_XML_READ)
+    return _explode_typed(harvest_orders_xml(raw.where(F.col("_corrupt_record").isNull())))
+
+
+@query("xml_lookup_harvest", f"select term_id, term_type, label from {S.TERMINOLOGY_SQL} t")
+def xml_lookup_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """A repeated element with attributes and text becomes a flat lookup table."""
+    path = scratch_path(spark, "xml-terms")
+    terms = S.terminology(spark, d)
+    terms.select(F.col("term_id").alias("_id"), F.col("term_type").alias("_type"), F.col("label").alias("_VALUE")) \
+        .write.format("xml").option("rowTag", "term").option("rootTag", "terminology").mode("overwrite").save(path)
+    raw = X.read_xml_records(spark, path, "term", "_id string, _type string, _VALUE string", file_col=None)
+    out = X.clean_names(raw.drop("_corrupt_record"))
+    return out.withColumnsRenamed({"id": "term_id", "type": "term_type", "text": "label"})
+
+
+@query("xml_unwrap_lists", ORACLE["reattach_children"])
+def xml_unwrap_lists(spark: SparkSession, d: str) -> DataFrame:
+    """S3: wrapper elements collapse to lists; an empty ``<lines/>`` becomes ``[]``."""
+    docs = S.nested_orders(spark, d)
+    xml = X.to_xml_documents(order_xml_shape(docs), "order")
+    parsed = xml.select(X.parse_xml_column("xml", ORDER_XML_READ).alias("r")).select("r.*")
+    out = X.unwrap_lists(parsed, {"lines": "line"})
+    return out.select(F.col("_key").cast("bigint").alias("o_orderkey"), F.size("lines").cast("bigint").alias("n_lines"))
+
+
+CUSTOMER_XML_READ = "_custkey string, _nationkey string, name string, acctbal string, segment string"
+CUSTOMER_TYPED = (
+    "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+
+
+@query("xml_typed_fields", "select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+def xml_typed_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Attribute prefixes stripped, names normalised, text typed with try_cast."""
+    cust = S.table(spark, d, "customer")
+    shaped = cust.select(F.col("c_custkey").alias("_custkey"), F.col("c_nationkey").alias("_nationkey"),
+                         F.col("c_name").alias("name"), F.col("c_acctbal").alias("acctbal"),
+                         F.col("c_mktsegment").alias("segment"))
+    parsed = X.to_xml_documents(shaped, "customer").select(
+        X.parse_xml_column("xml", CUSTOMER_XML_READ).alias("r")).select("r.*")
+    cleaned = X.clean_names(parsed.drop("_corrupt_record"), renames={
+        "custkey": "c_custkey", "nationkey": "c_nationkey", "name": "c_name", "acctbal": "c_acctbal",
+        "segment": "c_mktsegment"})
+    return coerce_to_schema(cleaned, ddl(CUSTOMER_TYPED), strict=True)
+
+
+@query("xml_malformed_report", "select o_orderkey from orders where o_orderpriority = '1-URGENT'")
+def xml_malformed_report(spark: SparkSession, d: str) -> DataFrame:
+    """Every malformed document is found (here: urgent orders arrive truncated)."""
+    docs = S.nested_orders(spark, d)
+    xml = order_xml_shape(docs).select(
+        F.col("_key").alias("o_orderkey"),
+        X.to_xml_documents(order_xml_shape(docs), "order").columns[0] and
+        F.to_xml(F.struct(*[F.col(c) for c in order_xml_shape(docs).columns]), {"rowTag": "order"}).alias("xml"))
+    urgent = docs.select("o_orderkey", "o_orderpriority")
+    xml = xml.join(urgent, "o_orderkey").withColumn(
+        "xml", F.when(F.col("o_orderpriority") == "1-URGENT",
+                      F.expr("substring(xml, 1, length(xml) - 12)")).otherwise(F.col("xml")))
+    parsed = xml.select("o_orderkey", X.parse_xml_column("xml", ORDER_XML_READ).alias("r"))
+    return parsed.where(F.col("r._corrupt_record").isNotNull()).select("o_orderkey")
+
+
+# ====================================================================== sources: JSON / Parquet
+JSON_ORDER_SCHEMA = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string, "
+    "lines array<struct<l_linenumber: int, l_partkey: bigint, l_suppkey: bigint, l_quantity: double, "
+    "l_extendedprice: double, l_discount: double, l_tax: double, l_returnflag: string, l_linestatus: string>>")
+
+
+@query("json_nested_harvest", EXPLODED_LINES_SQL)
+def json_nested_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """Nested documents as JSON lines, read back with a declared nested schema."""
+    path = scratch_path(spark, "json-orders")
+    K.write_json_lines(S.nested_orders(spark, d).drop("o_orderdate"), path)
+    docs = JS.read_json_documents(spark, path, JSON_ORDER_SCHEMA)
+    return _explode_typed(docs.where(F.col("_corrupt_record").isNull()))
+
+
+@query("json_lookup_harvest", f"select term_id, term_type, label from {S.TERMINOLOGY_SQL} t")
+def json_lookup_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """A flat JSON lookup file."""
+    from nestgate.plans.collection import TERMINOLOGY
+
+    path = scratch_path(spark, "json-terms")
+    K.write_json_lines(S.terminology(spark, d), path)
+    return JS.read_json_documents(spark, path, TERMINOLOGY, corrupt_col=None)
+
+
+@query("json_column_parse", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
+def json_column_parse(spark: SparkSession, d: str) -> DataFrame:
+    """S6 on a string column: ``from_json`` with a declared schema."""
+    ev = S.table(spark, d, "events")
+    return ev.select("event_id", JS.parse_json_column("props", "k bigint")["k"].alias("k"))
+
+
+@query("parquet_nested_scan", """
+select o.o_orderkey, count(l.l_orderkey) as n_lines, max(l.l_quantity) as max_quantity
+from orders o left join lineitem l on l.l_orderkey = o.o_orderkey
+where o.o_orderstatus = 'F' group by o.o_orderkey
+""")
+def parquet_nested_scan(spark: SparkSession, d: str) -> DataFrame:
+    """Nested Parquet scanned with a pushed filter and nested-leaf pruning."""
+    path = scratch_path(spark, "parquet-orders")
+    K.write_parquet(S.nested_orders(spark, d), path)
+    docs = spark.read.parquet(path).where(F.col("o_orderstatus") == "F")
+    return docs.select("o_orderkey", F.size("lines").cast("bigint").alias("n_lines"),
+                       F.array_max("lines.l_quantity").alias("max_quantity"))
+
+
+# ====================================================================== sinks
+@query("parquet_roundtrip", """
+select count(*) as rows_written, count(*) as rows_read, true as schema_equal, true as content_equal from orders
+""")
+def parquet_roundtrip(spark: SparkSession, d: str) -> DataFrame:
+    """K1/K2: nested Parquet write, re-read, schema text and content fingerprint equal."""
+    return K.roundtrip_report(spark, S.nested_orders(spark, d), scratch_path(spark, "roundtrip"))
+
+
+@query("json_document_export", """
+select o.o_orderkey, count(l.l_orderkey) as n_lines,
+       count(l.l_orderkey) filter (where l.l_returnflag = 'R') = 0 as null_written
+from orders o left join lineitem l on l.l_orderkey = o.o_orderkey group by o.o_orderkey
+""")
+def json_document_export(spark: SparkSession, d: str) -> DataFrame:
+    """K3: JSON documents keep null fields and empty lists explicitly."""
+    docs = S.nested_orders(spark, d).withColumn(
+        "first_returned", F.try_element_at(F.filter("lines", lambda x: x["l_returnflag"] == "R"), F.lit(1))
+        ["l_linenumber"])
+    out = docs.select("o_orderkey", K.to_json_document(docs).alias("doc"))
+    return out.select(
+        "o_orderkey",
+        F.json_array_length(F.get_json_object("doc", "$.lines")).cast("bigint").alias("n_lines"),
+        F.col("doc").contains('"first_returned":null').alias("null_written"))
+
+
+@query("document_by_id", """
+select o.o_orderkey, o.o_orderstatus, count(l.l_orderkey) as n_lines
+from orders o left join lineitem l on l.l_orderkey = o.o_orderkey
+where o.o_totalprice = (select max(o_totalprice) from orders)
+group by o.o_orderkey, o.o_orderstatus
+""")
+def document_by_id(spark: SparkSession, d: str) -> DataFrame:
+    """K4: the document of one key (here: the key of the most expensive order)."""
+    docs = S.nested_orders(spark, d)
+    top = S.table(spark, d, "orders").agg(F.max("o_totalprice")).scalar()
+    keys = S.table(spark, d, "orders").where(F.col("o_totalprice") == top).select("o_orderkey")
+    one = docs.join(keys, "o_orderkey", "left_semi")
+    out = K.document_by_id(one, "o_orderkey", F.col("o_orderkey"))
+    return out.select("o_orderkey", F.get_json_object("document", "$.o_orderstatus").alias("o_orderstatus"),
+                      F.json_array_length(F.get_json_object("document", "$.lines")).cast("bigint").alias("n_lines"))
+
+
+@query("table_profile", """
+with per as (select o.o_orderkey, count(l.l_orderkey) as n from orders o
+             left join lineitem l on l.l_orderkey = o.o_orderkey group by o.o_orderkey)
+select 'o_orderkey' as column_name, count(*) as n_rows, cast(0 as bigint) as n_nulls,
+       cast(null as bigint) as n_empty, cast(null as bigint) as n_elements, cast(null as bigint) as max_len from per
+union all select 'o_custkey', count(*), 0, null, null, null from per
+union all select 'o_orderstatus', count(*), 0, null, null, null from per
+union all select 'o_totalprice', count(*), 0, null, null, null from per
+union all select 'o_orderdate', count(*), 0, null, null, null from per
+union all select 'o_orderpriority', count(*), 0, null, null, null from per
+union all select 'lines', count(*), 0, count(*) filter (where n = 0), sum(n), max(n) from per
+""")
+def table_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Rows, nulls and list metrics of every column in one pass."""
+    return _profile(S.nested_orders(spark, d)).drop("data_type")
+
+
+# ====================================================================== schema rules
+CONFORMANCE_SCHEMA = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string, "
+    "lines array<struct<l_linenumber: int, l_partkey: bigint, l_suppkey: bigint, l_quantity: double, "
+    "l_extendedprice: double, l_discount: double, l_tax: double, l_returnflag: string, l_linestatus: string, "
+    "l_shipdate: timestamp>>")
+
+
+def conformance_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Order documents as JSON text with planted deviations derived from the data:
+    urgent orders carry the total price as text; pending orders name the customer key ``custkey``."""
+    docs = S.nested_orders(spark, d)
+    price = F.col("o_totalprice")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    pending = F.col("o_orderstatus") == "P"
+
+    def doc(cust_name: str, price_col):
+        return F.to_json(F.struct(F.col("o_orderkey"), F.col("o_custkey").alias(cust_name), F.col("o_orderstatus"),
+                                  price_col.alias("o_totalprice"), F.col("o_orderpriority"), F.col("lines")))
+
+    text = (F.when(pending & urgent, doc("custkey", price.cast("string")))
+            .when(pending, doc("custkey", price))
+            .when(urgent, doc("o_custkey", price.cast("string")))
+            .otherwise(doc("o_custkey", price)))
+    return docs.select("o_orderkey", text.alias("doc"))
+
+
+LINE_PATHS = ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+              "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@query("schema_conformance", """
+with o as (select o.*, exists (select 1 from lineitem l where l.l_orderkey = o.o_orderkey) as has_lines from orders o)
+select 'o_orderkey' as path, 'ok' as status, count(*) as n_docs from o
+union all select 'o_custkey', 'ok', count(*) from o where o_orderstatus <> 'P'
+union all select 'o_custkey', 'missing', count(*) from o where o_orderstatus = 'P'
+union all select 'custkey', 'undeclared', count(*) from o where o_orderstatus = 'P'
+union all select 'o_orderstatus', 'ok', count(*) from o
+union all select 'o_totalprice', 'ok', count(*) from o where o_orderpriority <> '1-URGENT'
+union all select 'o_totalprice', 'wrong_type', count(*) from o where o_orderpriority = '1-URGENT'
+union all select 'o_orderpriority', 'ok', count(*) from o
+union all select 'lines', 'ok', count(*) from o
+union all select 'lines[]', 'ok', count(*) from o where has_lines
+""" + "".join(f"union all select 'lines[].{p}', 'ok', count(*) from o where has_lines\n" for p in LINE_PATHS))
+def schema_conformance(spark: SparkSession, d: str) -> DataFrame:
+    """V1-V3: observed paths and types of JSON documents against the declared nested schema."""
+    docs = conformance_documents(spark, d)
+    return C.conformance(spark, docs, "doc", ddl(CONFORMANCE_SCHEMA)).select("path", "status", "n_docs")
+
+
+COERCE_TARGET = (
+    "o_orderkey bigint, lines array<struct<l_partkey: string, l_linenumber: double, l_returnflag: string>>")
+
+
+@query("coerce_nested", f"""
+select o.o_orderkey, coalesce(sum(cast(l.l_linenumber as double)), 0.0) as linenumber_sum,
+       coalesce(string_agg(cast(l.l_partkey as varchar), ',' order by l.pos), '') as partkeys
+from orders o left join {LINES_POS_SQL} l on l.l_orderkey = o.o_orderkey group by o.o_orderkey
+""")
+def coerce_nested(spark: SparkSession, d: str) -> DataFrame:
+    """list<struct> coerced by field name (int -> double, bigint -> string, order changed)."""
+    docs = coerce_to_schema(S.nested_orders(spark, d), ddl(COERCE_TARGET), strict=True)
+    return docs.select(
+        "o_orderkey",
+        F.aggregate("lines.l_linenumber", F.lit(0.0), lambda a, b: a + b).alias("linenumber_sum"),
+        F.array_join("lines.l_partkey", ",").alias("partkeys"))
+
+
+# ====================================================================== generator
+def _ids(spark: SparkSession, d: str) -> tuple[DataFrame, object]:
+    orders = S.table(spark, d, "orders")
+    return orders.select(F.col("o_orderkey").alias("n")), orders.agg(F.count(F.lit(1))).scalar()
+
+
+@query("generate_nested_rows", """
+select printf('OBJ-%07d', o_orderkey) as object_id, printf('Artwork %d', o_orderkey) as title,
+       1800 + o_orderkey % 200 as date_made, o_orderkey % 3 <> 0 as is_public_domain,
+       cast(50.0 + o_orderkey % 100 as double) as height,
+       printf('OBJ-%07d', (o_orderkey + 1) % (select count(*) from orders)) as related_object,
+       o_orderkey % 4 as floor, cast(2 as bigint) as n_dimensions
+from orders
+""")
+def generate_nested_rows(spark: SparkSession, d: str) -> DataFrame:
+    """Wide nested rows computed from each order key as the row number."""
+    ids, total = _ids(spark, d)
+    g = SY.generate_objects(ids, total)
+    return g.select("object_id", "title", "date_made", "is_public_domain",
+                    F.col("dimensions")[0]["value"].alias("height"),
+                    F.col("related_objects")[0]["object_id"].alias("related_object"),
+                    F.col("locations")[0]["floor"].alias("floor"),
+                    F.size("dimensions").cast("bigint").alias("n_dimensions"))
+
+
+PLANTED_K = "(select count(*) // 20 from orders)"
+
+
+@query("inject_errors", f"""
+select printf('OBJ-%07d', o_orderkey) as object_id,
+  case when o_orderkey < {PLANTED_K} then 1 else 2 end as n_dimensions,
+  case when o_orderkey < {PLANTED_K} then 0.5 else cast(least(50.0 + o_orderkey % 100, 30.0 + o_orderkey % 80) as double) end as min_dimension,
+  case when o_orderkey >= {PLANTED_K} and o_orderkey < 2 * {PLANTED_K} then 0 else 2 end as n_constituents,
+  case when o_orderkey >= 2 * {PLANTED_K} and o_orderkey < 3 * {PLANTED_K} then 0 else 2 end as n_media,
+  case when o_orderkey >= 3 * {PLANTED_K} and o_orderkey < 4 * {PLANTED_K} then 0 else 2 end as n_provenance
+from orders
+""")
+def inject_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Four disjoint blocks of 5 % of the rows each get one planted defect."""
+    ids, total = _ids(spark, d)
+    k = S.table(spark, d, "orders").agg((F.count(F.lit(1)) / 20).cast("bigint")).scalar()
+    g = SY.inject_errors(SY.generate_objects(ids, total), k)
+    return g.select("object_id", F.size("dimensions").cast("bigint").alias("n_dimensions"),
+                    F.array_min("dimensions.value").alias("min_dimension"),
+                    F.size("constituents").cast("bigint").alias("n_constituents"),
+                    F.size("media").cast("bigint").alias("n_media"),
+                    F.size("provenance").cast("bigint").alias("n_provenance"))
+
+
+@query("check_planted_errors", f"""
+with k as (select count(*) // 20 as k from orders)
+select rule, column_name, case when planted then k else 0 end as failed from k, (values
+  ('object_id_unique', 'object_id', false), ('title_min_length_1', 'title', false),
+  ('all_dimension_values_gt_1', 'dimensions', true), ('has_height_dimension', 'dimensions', false),
+  ('all_units_are_cm', 'dimensions', false), ('all_urls_are_https', 'media', false),
+  ('has_primary_image', 'media', true), ('has_at_least_one_image', 'media', true),
+  ('no_null_labels', 'classifications', false), ('has_at_least_one_constituent', 'constituents', true),
+  ('no_empty_names', 'constituents', false), ('has_at_least_one_artist', 'constituents', true),
+  ('exhibition_year_after_1800', 'exhibitions', false), ('has_provenance', 'provenance', true),
+  ('no_empty_owners', 'provenance', false), ('bib_year_after_1400', 'bibliography', false),
+  ('no_empty_inscription_text', 'inscriptions', false), ('no_empty_conservator', 'conservation', false),
+  ('language_code_is_2_chars', 'alt_titles', false), ('floor_non_negative', 'locations', false)
+) as r(rule, column_name, planted)
+""")
+def check_planted_errors(spark: SparkSession, d: str) -> DataFrame:
+    """R2 on generated rows: each planted defect is found on exactly its block."""
+    from nestgate.plans.collection import wide_rules
+
+    ids, total = _ids(spark, d)
+    k = S.table(spark, d, "orders").agg((F.count(F.lit(1)) / 20).cast("bigint")).scalar()
+    g = SY.inject_errors(SY.generate_objects(ids, total), k)
+    return V.summary(g, wide_rules()).select("rule", "column_name", "failed")
+
+
+# ====================================================================== set operations
+@query("union_batches", "select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+def union_batches(spark: SparkSession, d: str) -> DataFrame:
+    """Batches (one per order status) concatenated by name."""
+    orders = S.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    batches = [orders.where(F.col("o_orderstatus") == s) for s in ("F", "O", "P")]
+    batches.append(orders.where(~F.col("o_orderstatus").isin("F", "O", "P") | F.col("o_orderstatus").isNull()))
+    return U.union_batches(batches)
+
+
+@query("source_parity", """
+select count(*) as rows_a, count(*) as rows_b, cast(0 as bigint) as only_in_a, cast(0 as bigint) as only_in_b
+from orders
+""")
+def source_parity(spark: SparkSession, d: str) -> DataFrame:
+    """The XML route and the JSON route yield the same documents up to order."""
+    docs = S.nested_orders(spark, d)
+    xml = X.to_xml_documents(order_xml_shape(docs), "order")
+    via_xml = harvest_orders_xml(xml.select(X.parse_xml_column("xml", ORDER_XML_READ).alias("r")).select("r.*"))
+    json_t = ddl(JSON_ORDER_SCHEMA)
+    via_json = docs.select(JS.parse_json_column(K.to_json_document(docs.drop("o_orderdate")), json_t).alias("r")) \
+        .select("r.*")
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
+    line_t = ddl(
+        "o_orderkey bigint, lines array<struct<l_linenumber: int, l_partkey: bigint, l_quantity: double, "
+        "l_returnflag: string, l_linestatus: string>>")
+    a = coerce_to_schema(via_xml.select(*cols, "lines"), line_t).select(*cols[:1], "lines")
+    b = coerce_to_schema(via_json.select(*cols, "lines"), line_t).select(*cols[:1], "lines")
+    a = a.join(via_xml.select(*cols), "o_orderkey")
+    b = b.join(via_json.select(*cols), "o_orderkey")
+    return U.parity(a, b)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
