@@ -186,3 +186,79 @@ def unit_rules() -> list[R.Rule]:
         R.elements_not_null("name_not_null", "constituents", "name"),
         R.in_set("valid_roles", "constituents", "role", VALID_ROLES),
     ]
+
+
+# ---------------------------------------------------------------- harvest
+# XML read schema: leaves as strings, attributes prefixed, one wrapper per list.
+OBJECT_XML_READ = (
+    "_id string, title string, date_made string, credit_line string, department string, "
+    "constituents struct<constituent: array<struct<_role: string, name: string, birth_year: string, "
+    "nationality_id: string>>>, "
+    "classifications struct<classification: array<struct<_type_id: string, _term_id: string>>>, "
+    "dimensions struct<dimension: array<struct<_type: string, _value: string, _unit: string>>>, "
+    "media struct<image: array<struct<_type: string, url: string, caption: string>>>")
+OBJECT_XML_WRAPPERS = {"constituents": "constituent", "classifications": "classification",
+                       "dimensions": "dimension", "media": "image"}
+TERM_XML_READ = "_id string, _type string, _VALUE string"
+TERM_XML_RENAMES = {"id": "term_id", "type": "term_type", "text": "label"}
+
+
+def object_xml_typed() -> T.StructType:
+    """The harvested XML object: source names ``id`` and ``classifications`` kept."""
+    fields = []
+    for f in OBJECT.fields:
+        name = {"object_id": "id", "classification_ids": "classifications"}.get(f.name, f.name)
+        fields.append(T.StructField(name, f.dataType, True))
+    return T.StructType(fields)
+
+
+def harvest_objects_xml(spark, path: str) -> DataFrame:
+    """Object XML documents (one per file) -> typed nested rows.
+
+    Malformed records are left out here; use
+    :func:`nestgate.sources.xml.malformed_xml_files` as the load gate."""
+    from nestgate.sources.xml import harvest_xml, read_xml_records
+
+    raw = read_xml_records(spark, path, "object", OBJECT_XML_READ, file_col=None)
+    raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return harvest_xml(raw, OBJECT_XML_WRAPPERS, object_xml_typed())
+
+
+def harvest_terminology_xml(spark, path: str) -> DataFrame:
+    """``<term id type>label</term>`` elements -> (term_id, term_type, label)."""
+    from nestgate.sources.xml import clean_names, read_xml_records
+
+    raw = read_xml_records(spark, path, "term", TERM_XML_READ, file_col=None).drop("_corrupt_record")
+    return clean_names(raw, renames=TERM_XML_RENAMES)
+
+
+def harvest_objects_json(spark, path: str, multiline: bool = True) -> DataFrame:
+    """A JSON array of objects (or JSON lines) with the declared nested schema."""
+    from nestgate.sources.json import read_json_documents
+
+    return read_json_documents(spark, path, OBJECT, multiline=multiline, corrupt_col=None)
+
+
+def harvest_terminology_json(spark, path: str, multiline: bool = True) -> DataFrame:
+    """Flat JSON lookup."""
+    from nestgate.sources.json import read_json_documents
+
+    return read_json_documents(spark, path, TERMINOLOGY, multiline=multiline, corrupt_col=None)
+
+
+# ---------------------------------------------------------------- check run
+def check_objects(enriched: DataFrame, rules: list[R.Rule] | None = None) -> tuple[bool, list[dict]]:
+    """Every column visited; the first failing rule of each column reported.
+
+    One counting pass for all rules; only the per-column result (bounded by
+    the number of columns) reaches the driver."""
+    from nestgate.plans.validate import first_failures, summary
+
+    rules = rules if rules is not None else nullability_rules(ENRICHED) + object_rules()
+    first = first_failures(summary(enriched, rules)).collect()
+    order: dict[str, int] = {}
+    for i, r in enumerate(rules):
+        order.setdefault(r.column, i)
+    errors = sorted(({"column": r["column_name"], "check": r["rule"]} for r in first),
+                    key=lambda e: order.get(e["column"], 0))
+    return (not errors), errors

@@ -107,19 +107,26 @@ def harvest_xml(df: DataFrame, wrappers: Mapping[str, str], schema: T.StructType
 
 def malformed_xml_files(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str,
                         glob: str = "*.xml") -> DataFrame:
-    """Every malformed file under ``path``: ``(file_path, reason)``.
+    """Every malformed file under ``path``: ``(file_path, reason, n_parsed)``.
 
-    ``corrupt`` -- the reader flagged a record as malformed;
+    ``corrupt`` -- the reader flagged a record of the file as malformed;
     ``no_record`` -- the file yielded no ``row_tag`` record (e.g. a wrong root).
-    Distributed: the file listing and the parse are both Spark jobs."""
-    recs = read_xml_records(spark, path, row_tag, schema, options={"pathGlobFilter": glob})
-    corrupt = recs.where(F.col(CORRUPT).isNotNull()).select(
-        F.col("_source_file").alias("file_path"), F.lit("corrupt").alias("reason"))
+    ``n_parsed`` counts the file's records whose first declared field parsed.
+    Distributed: one aggregation per file over the parse, and an anti-join
+    with the file listing."""
+    st = _with_corrupt(schema, CORRUPT)
+    first = st.fields[0].name
+    recs = read_xml_records(spark, path, row_tag, st, options={"pathGlobFilter": glob})
+    per_file = recs.groupBy(F.col("_source_file").alias("file_path")).agg(
+        F.count_if(F.col(CORRUPT).isNotNull()).alias("n_corrupt"),
+        F.count(F.col(f"`{first}`")).alias("n_parsed"))
+    corrupt = per_file.where(F.col("n_corrupt") > 0).select(
+        "file_path", F.lit("corrupt").alias("reason"), F.col("n_parsed").cast("bigint").alias("n_parsed"))
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
                .select(F.col("path").alias("file_path")))
-    seen = recs.select(F.col("_source_file").alias("file_path"))
-    empty = listing.join(seen, "file_path", "left_anti").select("file_path", F.lit("no_record").alias("reason"))
-    return corrupt.unionByName(empty).distinct()
+    empty = listing.join(per_file.select("file_path"), "file_path", "left_anti").select(
+        "file_path", F.lit("no_record").alias("reason"), F.lit(0).cast("bigint").alias("n_parsed"))
+    return corrupt.unionByName(empty)
 
 
 def assert_well_formed(report: DataFrame) -> None:
