@@ -74,11 +74,10 @@ def leaf_nulls(c: Column, dt: T.DataType) -> Column:
     return F.when(c.isNull(), F.lit(1)).otherwise(F.lit(0))
 
 
-def coercion_failures(before: DataFrame, after: DataFrame, schema: T.StructType) -> DataFrame:
-    """Per declared column: leaves that were not null before coercion but are after.
+def coercion_failures(before: DataFrame, schema: T.StructType) -> DataFrame:
+    """Per declared column: leaves that are not null before coercion but are after.
 
-    ``before`` and ``after`` must be the same rows (``after = coerce_to_schema(before)``),
-    evaluated in one pass: ``(column_name, new_nulls)``."""
+    Both sides are evaluated on the same rows in one pass: ``(column_name, new_nulls)``."""
     paired = before.select(*[F.col(f.name).alias(f"_b_{f.name}") for f in schema.fields if f.name in before.columns],
                            *[coerce_column(F.col(f.name), before.schema[f.name].dataType, f.dataType).alias(f"_a_{f.name}")
                              for f in schema.fields if f.name in before.columns])

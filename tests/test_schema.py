@@ -1,0 +1,85 @@
+"""Schema conformance (V1-V3), nullability (V4) and coercion by name."""
+
+import json
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from nestgate.functions.coerce import coerce_to_schema, coercion_failures
+from nestgate.plans.conformance import conformance, dtype_report
+
+DECL = T.StructType.fromDDL  # noqa: N816
+
+
+def run(spark, docs, ddl, **kw):
+    df = spark.createDataFrame([(json.dumps(d) if not isinstance(d, str) else d,) for d in docs], "doc string")
+    out = conformance(spark, df, "doc", DECL(ddl), **kw)
+    return {(r["path"], r["status"]): r["n_docs"] for r in out.collect()}, out
+
+
+def test_conformance_statuses(spark):
+    docs = [
+        {"id": 1, "dims": [{"type": "h", "value": 1.5}]},
+        {"id": 2, "dims": [{"type": "h", "value": "big"}]},        # wrong element field type
+        {"id": 3, "dims": [{"type": "h"}]},                         # missing element field
+        {"id": 4, "dims": [], "extra": True},                       # undeclared top-level field
+        {"id": None, "dims": [{"type": "w", "value": 2, "unit": "cm"}]},  # null fits; undeclared nested field
+        "not json",
+    ]
+    got, out = run(spark, docs, "id bigint, dims array<struct<type: string, value: double>>")
+    assert got[("id", "ok")] == 5
+    assert got[("dims[].value", "ok")] == 2 and got[("dims[].value", "wrong_type")] == 1
+    assert got[("dims[].value", "missing")] == 1
+    assert got[("extra", "undeclared")] == 1 and got[("dims[].unit", "undeclared")] == 1
+    assert got[("$", "unparsable")] == 1
+    assert ("dims[]", "missing") not in got          # an empty list misses nothing
+    failing = {(r["path"], r["status"]) for r in out.where("failing").collect()}
+    assert ("extra", "undeclared") not in failing
+    strict = {(r["path"], r["status"]) for r in conformance(
+        spark, spark.createDataFrame([(json.dumps(d),) for d in docs[:4]], "doc string"), "doc",
+        DECL("id bigint, dims array<struct<type: string, value: double>>"), strict=True).where("failing").collect()}
+    assert ("extra", "undeclared") in strict
+
+
+def test_conformance_any_list_and_deep(spark):
+    docs = [{"id": 1, "tags": ["a", 1, {"x": 2}], "records": [{"name": "r", "items": [{"label": "a", "value": 1}]}]},
+            {"id": 2, "tags": [], "records": [{"name": "s", "items": [{"label": "b", "value": "x"}]}]}]
+    got, _ = run(spark, docs, "id bigint, tags array<string>, "
+                              "records array<struct<name: string, items: array<struct<label: string, value: bigint>>>>",
+                 any_paths=("tags",))
+    assert got[("tags", "ok")] == 2
+    assert got[("records[].items[].value", "ok")] == 1 and got[("records[].items[].value", "wrong_type")] == 1
+
+
+def test_mixed_arrays_counted_per_document(spark):
+    docs = [{"v": [1, "a"]}, {"v": ["b", 2, 3]}, {"v": ["c"]}]
+    got, _ = run(spark, docs, "v array<bigint>")
+    assert got[("v[]", "ok")] == 2 and got[("v[]", "wrong_type")] == 3
+
+
+def test_dtype_report(spark):
+    df = spark.createDataFrame([(1, [1])], "id bigint, xs array<bigint>")
+    decl = DECL("id bigint, xs array<double>, title string")
+    probs = {(p["column"], p["problem"]) for p in dtype_report(df, decl)}
+    assert probs == {("xs", "wrong_type"), ("title", "missing")}
+    assert ("extra", "undeclared") not in probs
+
+
+def test_coerce_by_name(spark):
+    df = spark.createDataFrame(
+        [([1, 2], ("Ann", "7"), [("b", "x1"), ("a", "2")])],
+        "values array<bigint>, info struct<name: string, score: string>, items array<struct<name: string, count: string>>")
+    target = DECL("values array<double>, info struct<score: bigint, name: string>, "
+                  "items array<struct<count: bigint, name: string>>")
+    row = coerce_to_schema(df, target).first()
+    assert row["values"] == [1.0, 2.0]
+    assert row["info"]["score"] == 7 and row["info"]["name"] == "Ann"
+    assert [(i["name"], i["count"]) for i in row["items"]] == [("b", None), ("a", 2)]
+    fails = {r["column_name"]: r["new_nulls"] for r in coercion_failures(df, target).collect()}
+    assert fails == {"values": 0, "info": 0, "items": 1}
+
+
+def test_struct_cast_is_positional_but_coerce_is_not(spark):
+    df = spark.createDataFrame([(("x", 1),)], "s struct<b: string, a: bigint>")
+    target = DECL("s struct<a: bigint, b: string>")
+    assert tuple(coerce_to_schema(df, target).first()["s"]) == (1, "x")
