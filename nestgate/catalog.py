@@ -899,14 +899,12 @@ def source_parity(spark: SparkSession, d: str) -> DataFrame:
     json_t = ddl(JSON_ORDER_SCHEMA)
     via_json = docs.select(JS.parse_json_column(K.to_json_document(docs.drop("o_orderdate")), json_t).alias("r")) \
         .select("r.*")
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderpriority"]
-    line_t = ddl(
-        "o_orderkey bigint, lines array<struct<l_linenumber: int, l_partkey: bigint, l_quantity: double, "
-        "l_returnflag: string, l_linestatus: string>>")
-    a = coerce_to_schema(via_xml.select(*cols, "lines"), line_t).select(*cols[:1], "lines")
-    b = coerce_to_schema(via_json.select(*cols, "lines"), line_t).select(*cols[:1], "lines")
-    a = a.join(via_xml.select(*cols), "o_orderkey")
-    b = b.join(via_json.select(*cols), "o_orderkey")
+    common = ddl(
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string, "
+        "lines array<struct<l_linenumber: int, l_partkey: bigint, l_quantity: double, l_returnflag: string, "
+        "l_linestatus: string>>")
+    a = coerce_to_schema(via_xml, common, strict=True)
+    b = coerce_to_schema(via_json, common, strict=True)
     return U.parity(a, b)
 
 
