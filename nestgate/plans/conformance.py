@@ -7,18 +7,22 @@ at every depth; strict mode is simply "undeclared counts as a failure".
 
 Plan, built for large inputs:
 
-1. parse once (``try_parse_json``) and take ``schema_of_variant`` per document
-   -- row-local, no shuffle;
-2. group documents by that signature (partial aggregation, so the shuffle
-   carries one row per signature per task): every document of a group has the
-   same paths and types, so one representative is walked per group.  A
-   signature with ``VARIANT`` (an array mixing element types) does not pin
-   the per-document types, so such documents are walked one distinct text
-   at a time;
-3. walk the representatives level by level with ``variant_explode``;
+1. parse each document once and take ``schema_of_variant`` -- row-local;
+2. count documents per signature in a hash aggregate (partial on the map side,
+   so the shuffle carries one row per signature per task) and name each
+   group's representative by its smallest text hash.  Documents of one
+   signature share paths and types; a signature with ``VARIANT`` (an array
+   mixing element types) does not, so those are grouped per distinct text;
+3. a second, hash-only pass picks the representatives (broadcast semi-join
+   behind a size probe); only they are parsed again and walked level by level
+   with ``variant_explode``;
 4. compare the observed ``(path, family)`` pairs with the declared paths and
    weight every finding by the group's document count.
 
+Types are those of the representative's values; arrays whose element types
+Spark merges (integers with decimals, values with nulls) are judged by the
+representative of their signature.
+
 Type families: integers; decimals/doubles/floats (integers fit a declared
 fractional type); strings (also for declared dates/timestamps, which JSON
 carries as text); booleans; objects; arrays; and null, which fits anything.
@@ -93,21 +97,57 @@ def _family_expr(sig):
             .otherwise("string"))
 
 
-def observed_paths(spark: SparkSession, docs: DataFrame, text_col: str, max_depth: int) -> DataFrame:
-    """``(path, family, n_docs)`` per document group, plus ``$`` rows for parse status.
-
-    Output columns: ``gid, n_docs, path, family`` (``path='$'`` with family
-    ``object`` or ``unparsable`` for the document itself)."""
-    v = docs.select(F.try_parse_json(F.col(text_col)).alias("v"), F.col(text_col).alias("_t"))
-    sig = F.schema_of_variant("v")
-    v = v.withColumn("_sig", sig).withColumn(
-        "_gkey", F.when(F.col("_sig").contains("VARIANT"), F.col("_t")))
-    groups = (v.groupBy("_sig", "_gkey")
-              .agg(F.count(F.lit(1)).alias("n_docs"), F.first("v", ignorenulls=True).alias("v"))
-              .withColumn("gid", F.xxhash64("_sig", "_gkey")))
-    root = groups.select("gid", "n_docs", F.lit("$").alias("path"),
-                         F.when(F.col("v").isNull(), "unparsable").otherwise(_family_expr(F.schema_of_variant("v")))
-                         .alias("family"), "v")
+def family_signature(sig):
+    """Type signature at family granularity: numeric widths and precisions dropped,
+    so documents differing only in e.g. ``DECIMAL(5,2)`` vs ``DECIMAL(7,2)`` share a group."""
+    sig = F.regexp_replace(sig, r"DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT", "NUMBER")
+    return F.regexp_replace(sig, r"\b(TINYINT|SMALLINT|INT|BIGINT)\b", "INTEGER")
+
+
+def signature_groups(docs: DataFrame, text_col: str) -> DataFrame:
+    """``(_sig, _gkey, n_docs, _rh)``: documents grouped by type signature.
+
+    A hash aggregate (numeric buffers only): ``_rh`` is the smallest text hash
+    of the group, naming its representative.  Signatures containing
+    ``VARIANT`` are refined by the text hash, so such documents are examined
+    one distinct text at a time."""
+    t = F.col(text_col)
+    sig = family_signature(F.schema_of_variant(F.try_parse_json(t)))
+    h = F.xxhash64(t)
+    keyed = docs.select(sig.alias("_sig"), h.alias("_h"))
+    keyed = keyed.withColumn("_gkey", F.when(F.col("_sig").contains("VARIANT"), F.col("_h")))
+    return keyed.groupBy("_sig", "_gkey").agg(F.count(F.lit(1)).alias("n_docs"), F.min("_h").alias("_rh"))
+
+
+def representatives(docs: DataFrame, text_col: str, groups: DataFrame, max_groups: int = 1_000_000) -> DataFrame:
+    """``(gid, n_docs, v)``: one parsed document per signature group.
+
+    Second pass over the texts computing only a hash; candidates are matched
+    against the (size-probed, then broadcast) representative hashes and only
+    they are parsed."""
+    from nestgate.operators.lookup import probe_size
+
+    hashes = groups.select(F.col("_rh").alias("_h")).distinct()
+    n, _ = probe_size(hashes, max_groups)
+    hashes = F.broadcast(hashes) if n <= max_groups else hashes
+    cand = docs.select(F.col(text_col).alias("_t")).withColumn("_h", F.xxhash64("_t")).join(hashes, "_h", "left_semi")
+    v = F.try_parse_json("_t")
+    cand = cand.select("_h", v.alias("v"), family_signature(F.schema_of_variant(v)).alias("_sig"))
+    cand = cand.withColumn("_gkey", F.when(F.col("_sig").contains("VARIANT"), F.col("_h")))
+    g = groups.select(F.col("_sig").alias("_gs"), F.col("_gkey").alias("_gk"), "n_docs", F.col("_rh").alias("_gh"))
+    joined = cand.join(g, F.col("_sig").eqNullSafe(F.col("_gs")) & F.col("_gkey").eqNullSafe(F.col("_gk"))
+                       & (F.col("_h") == F.col("_gh"))).select(F.xxhash64("_gs", "_gk").alias("gid"), "n_docs", "v")
+    # identical texts are identical documents: keep one per group
+    return joined.groupBy("gid").agg(F.first("n_docs").alias("n_docs"), F.first("v").alias("v"))
+
+
+def observed_paths(spark: SparkSession, reps: DataFrame, max_depth: int) -> DataFrame:
+    """``(gid, n_docs, path, family)`` walked level by level over the representatives.
+
+    ``path='$'`` is the document itself (family ``object`` or ``unparsable``)."""
+    root = reps.select("gid", "n_docs", F.lit("$").alias("path"),
+                       F.when(F.col("v").isNull(), "unparsable").otherwise(_family_expr(F.schema_of_variant("v")))
+                       .alias("family"), "v")
     levels = [root]
     frontier = root.where(F.col("family").isin("object", "array"))
     for _ in range(max_depth):
@@ -143,7 +183,10 @@ def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.S
     ``failing`` marks findings that break the schema (undeclared only when strict)."""
     decl = declared_paths(schema, any_paths)
     declared = spark.createDataFrame(decl, "path string, parent string, declared string")
-    obs = observed_paths(spark, docs, text_col, _depth(schema) + 1)
+    # Both intermediate results are one row per signature group: small, reused, cached.
+    groups = signature_groups(docs, text_col).cache()
+    reps = representatives(docs, text_col, groups).cache()
+    obs = observed_paths(spark, reps, _depth(schema) + 1).cache()
     obs = obs.join(F.broadcast(declared), "path", "left")  # the declared schema is small by nature
 
     accepts = F.create_map(*[x for k, vs in ACCEPTS.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])
