@@ -615,15 +615,11 @@ def xml_typed_fields(spark: SparkSession, d: str) -> DataFrame:
 @query("xml_malformed_report", "select o_orderkey from orders where o_orderpriority = '1-URGENT'")
 def xml_malformed_report(spark: SparkSession, d: str) -> DataFrame:
     """Every malformed document is found (here: urgent orders arrive truncated)."""
-    docs = S.nested_orders(spark, d)
-    xml = order_xml_shape(docs).select(
-        F.col("_key").alias("o_orderkey"),
-        X.to_xml_documents(order_xml_shape(docs), "order").columns[0] and
-        F.to_xml(F.struct(*[F.col(c) for c in order_xml_shape(docs).columns]), {"rowTag": "order"}).alias("xml"))
-    urgent = docs.select("o_orderkey", "o_orderpriority")
-    xml = xml.join(urgent, "o_orderkey").withColumn(
-        "xml", F.when(F.col("o_orderpriority") == "1-URGENT",
-                      F.expr("substring(xml, 1, length(xml) - 12)")).otherwise(F.col("xml")))
+    shaped = order_xml_shape(S.nested_orders(spark, d))
+    doc = F.to_xml(F.struct(*[F.col(c) for c in shaped.columns]), {"rowTag": "order"})
+    truncated = F.substring(doc, F.lit(1), F.length(doc) - 12)
+    xml = shaped.select(F.col("_key").alias("o_orderkey"),
+                        F.when(F.col("priority") == "1-URGENT", truncated).otherwise(doc).alias("xml"))
     parsed = xml.select("o_orderkey", X.parse_xml_column("xml", ORDER_XML_READ).alias("r"))
     return parsed.where(F.col("r._corrupt_record").isNotNull()).select("o_orderkey")
 

@@ -29,6 +29,9 @@ def _s(fmt: str, *cols: Column) -> Column:
 def generate_objects(ids: DataFrame, total: Column | int, n_col: str = "n") -> DataFrame:
     """20 columns (12 nested) per row, from the row number ``n``.
 
+    The value rules (text patterns, moduli and offsets) are fixed values of the
+    benchmark data definition, so the generated rows equal the studied ones.
+
     ``total`` is the row count used for the wrap-around of related objects."""
     n = F.col(n_col)
     tot = total if isinstance(total, Column) else F.lit(total)

@@ -129,14 +129,20 @@ def malformed_xml_files(spark: SparkSession, path: str, row_tag: str, schema: T.
     return corrupt.unionByName(empty)
 
 
-def assert_well_formed(report: DataFrame) -> None:
-    """Raise listing every malformed file (count and names), as a load gate.
-
-    The report holds one row per *bad file* only."""
-    bad = report.orderBy("file_path").collect()
-    if bad:
-        lines = "\n".join(f"  {r['file_path']}: {r['reason']}" for r in bad)
-        raise ValueError(f"Malformed XML ({len(bad)} file(s)):\n{lines}")
+def assert_well_formed(report: DataFrame, max_listed: int = 50) -> None:
+    """Load gate: raise with the number of malformed files and their names.
+
+    Only the count and the first ``max_listed`` names reach the driver; the
+    report itself stays a table (write it for the complete list)."""
+    # The parse must keep a data column besides the corrupt record, so the
+    # aggregate also returns the parsed-record total (not prunable).
+    stats = report.agg(F.count(F.lit(1)).alias("n"), F.sum("n_parsed").alias("parsed")).first()
+    n = stats["n"]
+    if n:
+        shown = report.orderBy("file_path").limit(max_listed).collect()
+        lines = "\n".join(f"  {r['file_path']}: {r['reason']}" for r in shown)
+        more = f"\n  ... and {n - len(shown)} more (see the report table)" if n > len(shown) else ""
+        raise ValueError(f"Malformed XML ({n} file(s)):\n{lines}{more}")
 
 
 def to_xml_documents(df: DataFrame, row_tag: str, out_col: str = "xml") -> DataFrame:

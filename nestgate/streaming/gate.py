@@ -39,11 +39,16 @@ def start_gate(stream: DataFrame, rules: Sequence[Rule], out_path: str, summary_
     ckpt = f"{checkpoint_root(spark)}/nestgate/stream-{name}"
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        tagged = batch.withColumn("_failed_rules", V.failed_rule_names(row_rules)).withColumn(
-            "_status", F.when(F.size("_failed_rules") == 0, "clean").otherwise("quarantined"))
-        tagged.write.mode("append").partitionBy("_status").parquet(out_path)
-        (V.summary(batch, row_rules).withColumn("batch_id", F.lit(batch_id))
-         .write.mode("append").parquet(summary_path))
+        # two writes per batch: persist so the source batch is read once
+        batch = batch.persist()
+        try:
+            tagged = batch.withColumn("_failed_rules", V.failed_rule_names(row_rules)).withColumn(
+                "_status", F.when(F.size("_failed_rules") == 0, "clean").otherwise("quarantined"))
+            tagged.write.mode("append").partitionBy("_status").parquet(out_path)
+            (V.summary(batch, row_rules).withColumn("batch_id", F.lit(batch_id))
+             .write.mode("append").parquet(summary_path))
+        finally:
+            batch.unpersist()
 
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt).queryName(name)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")

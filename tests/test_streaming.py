@@ -19,8 +19,10 @@ def test_stream_gate(spark, tmp_path):
     (src / "batch2.json").write_text("\n".join(docs[3:]) + "\n")
     rules = [r for r in M.object_rules() if r.column in ("dimensions", "media")]
     out, summ = scratch_path(spark, "t-stream-out"), scratch_path(spark, "t-stream-summary")
+    import uuid
+
     q = start_gate(json_document_stream(spark, str(src), M.OBJECT, max_files_per_trigger=1), rules, out, summ,
-                   name="t_gate")
+                   name=f"t_gate_{uuid.uuid4().hex[:8]}")
     q.awaitTermination(120)
     res = spark.read.parquet(out)
     got = {r["object_id"]: r["_status"] for r in res.select("object_id", "_status").collect()}
