@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAP_MAX_KEYS = 1024
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 BROADCAST_MAX_BYTES = 64 * 1024 * 1024
 
 
@@ -47,17 +47,15 @@ class Lookup:
 
 
 def probe_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
-    """(rows, approx bytes) of ``df`` read at most ``max_rows + 1`` rows deep.
-
-    Bounded work: the limit stops the scan once the bound is exceeded, so the
-    probe of a huge table costs no more than reading ``max_rows`` rows."""
-    row = (
-        df.limit(max_rows + 1)
-        .agg(F.count(F.lit(1)).alias("n"),
-             F.coalesce(F.sum(F.octet_length(F.to_json(F.struct(*df.columns)))), F.lit(0)).alias("b"))
-        .first()
-    )
-    return int(row["n"]), int(row["b"])
+    """(rows, approx bytes) of ``df``, looking at no more than ``max_rows + 1`` rows.
+
+    ``take`` scans partitions incrementally (one, then a growing number) and
+    stops once it has enough rows, so probing a huge table costs about
+    ``max_rows`` rows, not a scan; only one integer per row (its JSON size)
+    reaches the driver."""
+    size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
+    rows = df.select(size.alias("b")).take(max_rows + 1)
+    return len(rows), sum(r["b"] or 0 for r in rows)
 
 
 def grouped_lookup(lk: Lookup) -> DataFrame:
@@ -93,7 +91,7 @@ def _combine(elem: Column, lookups: Sequence[Lookup], labels: Sequence[Column],
 
 
 def probe_lookup(lk: Lookup, max_rows: int = BROADCAST_MAX_ROWS) -> tuple[int, int]:
-    """Bounded probe of the raw lookup rows ``(key, value)``.
+    """Bounded probe of the raw lookup rows ``(key, value)`` (see :func:`probe_size`).
 
     Raw rows bound the grouped lookup from above (one grouped row per distinct
     key, never more bytes), so one cheap limited scan answers both questions:
