@@ -150,6 +150,62 @@ def elements_vs_parent(name: str, list_col: str, fld: str | None, op: str, paren
     return all_elements(name, list_col, fld, lambda v: compare(v, op, F.col(parent_col)), level)
 
 
+# -------------------------------------------------- codegen-friendly forms
+# Same outcomes as the lambda builders above, written with array functions that
+# compile into whole-stage code (no interpreted lambda per element).  The
+# element test is kept for element-level findings.
+def all_compare(name: str, list_col: str, fld: str | None, op: str, bound: object, level: str = NESTED) -> Rule:
+    """Every element ``op bound`` (nulls ignored, empty passes) via array_min/array_max."""
+    p = _path(list_col, fld)
+    if op in (">", ">="):
+        check = compare(F.array_min(p), op, bound)
+    elif op in ("<", "<="):
+        check = compare(F.array_max(p), op, bound)
+    elif op == "==":
+        check = (F.array_min(p) == bound) & (F.array_max(p) == bound)
+    elif op == "!=":
+        check = ~F.coalesce(F.array_contains(p, bound), F.lit(False))
+    else:
+        raise ValueError(op)
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: compare(v, op, bound)))
+
+
+def any_equal(name: str, list_col: str, fld: str | None, value: object, level: str = NESTED) -> Rule:
+    """Some element equals ``value`` (an empty list fails)."""
+    p = _path(list_col, fld)
+    check = F.when(F.col(list_col).isNotNull(), F.coalesce(F.array_contains(p, value), F.lit(False)))
+    return Rule(name, list_col, check, level)
+
+
+def count_equal(name: str, list_col: str, fld: str | None, value: object, op: str, bound: int,
+                level: str = NESTED) -> Rule:
+    """Number of elements equal to ``value`` compared with ``bound``."""
+    p = _path(list_col, fld)
+    return Rule(name, list_col, compare(F.size(p) - F.size(F.array_remove(p, value)), op, bound), level)
+
+
+def no_empty_strings(name: str, list_col: str, fld: str | None, level: str = NESTED) -> Rule:
+    """Every element string has at least one character (nulls ignored)."""
+    p = _path(list_col, fld)
+    check = F.when(F.col(list_col).isNotNull(), ~F.coalesce(F.array_contains(p, ""), F.lit(False)))
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: F.char_length(v) > 0))
+
+
+def no_null_elements(name: str, list_col: str, fld: str | None, level: str = NESTED) -> Rule:
+    """No element (field) is null."""
+    p = _path(list_col, fld)
+    return Rule(name, list_col, F.size(F.array_compact(p)) == F.size(p), level,
+                ElementTest(list_col, fld, lambda v: v.isNotNull()))
+
+
+def all_in(name: str, list_col: str, fld: str | None, values: Iterable[object], level: str = NESTED) -> Rule:
+    """Every element is one of ``values`` (nulls ignored)."""
+    vals = list(values)
+    p = _path(list_col, fld)
+    check = F.size(F.array_except(F.array_compact(p), F.array(*[F.lit(v) for v in vals]))) == 0
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: v.isin(vals)))
+
+
 # ---------------------------------------------------------------- row rules
 def _len_test(v: Column, min_len: int | None, max_len: int | None, exact: int | None) -> Column:
     n = F.char_length(v)
@@ -181,11 +237,15 @@ def implies(name: str, column: str, condition: Column, consequence: Column, leve
     return Rule(name, column, ~F.coalesce(condition, F.lit(False)) | consequence, level)
 
 
-def not_null(name: str, column: str, level: str = TYPE) -> Rule:
+def not_null(name: str, column: str, level: str = TYPE, probe_field: str | None = None) -> Rule:
     """Nullability: the column (scalar or list) must not be null.
 
-    Written as ``when(isNull, false)`` so the outcome is never null."""
-    return Rule(name, column, F.when(F.col(column).isNull(), F.lit(False)).otherwise(F.lit(True)), level)
+    Written as ``when(isNull, false)`` so the outcome is never null.  For a
+    list of structs ``probe_field`` names one field: ``list.field`` is null
+    exactly when the list is, and Parquet then reads that one leaf instead of
+    every field of the list."""
+    target = F.col(f"{column}.{probe_field}") if probe_field else F.col(column)
+    return Rule(name, column, F.when(target.isNull(), F.lit(False)).otherwise(F.lit(True)), level)
 
 
 def unique(name: str, *keys: str) -> Rule:

@@ -94,15 +94,15 @@ def object_rules() -> list[R.Rule]:
         R.unique("object_id_unique", "object_id"),
         R.string_length("title_min_length_1", "title", min_len=1),
         R.min_element("all_dimension_values_gt_1", "dimensions", "value", ">", 1),
-        R.any_element("has_height_dimension", "dimensions", "type", lambda v: v == "height"),
-        R.all_elements("all_units_are_cm", "dimensions", "unit", lambda v: v == "cm"),
+        R.any_equal("has_height_dimension", "dimensions", "type", "height"),
+        R.all_compare("all_units_are_cm", "dimensions", "unit", "==", "cm"),
         R.starts_with("all_urls_are_https", "media", "url", "https://"),
-        R.count_elements("has_primary_image", "media", "type", lambda v: v == "primary", "==", 1),
+        R.count_equal("has_primary_image", "media", "type", "primary", "==", 1),
         R.list_size("has_at_least_one_image", "media", ">", 0),
-        R.elements_not_null("no_null_labels_in_classifications", "classifications", "term_label"),
+        R.no_null_elements("no_null_labels_in_classifications", "classifications", "term_label"),
         R.list_size("has_at_least_one_constituent", "constituents", ">", 0),
-        R.element_string_length("no_empty_constituent_names", "constituents", "name", min_len=1),
-        R.any_element("has_at_least_one_artist", "constituents", "role", lambda v: v == "artist"),
+        R.no_empty_strings("no_empty_constituent_names", "constituents", "name"),
+        R.any_equal("has_at_least_one_artist", "constituents", "role", "artist"),
     ]
 
 
@@ -117,7 +117,17 @@ def cross_column_rules() -> list[R.Rule]:
 
 def nullability_rules(schema: T.StructType) -> list[R.Rule]:
     """``not_null`` rules for every non-nullable declared column (level ``type``)."""
-    return [R.not_null(f"{f.name}_not_null", f.name) for f in schema.fields if not f.nullable]
+    out = []
+    for f in schema.fields:
+        if f.nullable:
+            continue
+        probe = None
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            leaves = [x.name for x in f.dataType.elementType.fields
+                      if not isinstance(x.dataType, (T.StructType, T.ArrayType, T.MapType))]
+            probe = leaves[0] if leaves else None
+        out.append(R.not_null(f"{f.name}_not_null", f.name, probe_field=probe))
+    return out
 
 
 # Wide benchmark object: extra columns and their rules.
@@ -164,27 +174,27 @@ def wide_rules() -> list[R.Rule]:
     base = [r for r in object_rules()]
     for r in base:
         if r.name == "no_null_labels_in_classifications":
-            base[base.index(r)] = R.elements_not_null("no_null_labels", "classifications", "term_label")
+            base[base.index(r)] = R.no_null_elements("no_null_labels", "classifications", "term_label")
         if r.name == "no_empty_constituent_names":
-            base[base.index(r)] = R.element_string_length("no_empty_names", "constituents", "name", min_len=1)
+            base[base.index(r)] = R.no_empty_strings("no_empty_names", "constituents", "name")
     return base + [
-        R.all_elements("exhibition_year_after_1800", "exhibitions", "year", lambda v: v > 1800),
+        R.all_compare("exhibition_year_after_1800", "exhibitions", "year", ">", 1800),
         R.list_size("has_provenance", "provenance", ">", 0),
-        R.element_string_length("no_empty_owners", "provenance", "owner", min_len=1),
-        R.all_elements("bib_year_after_1400", "bibliography", "year", lambda v: v > 1400),
-        R.element_string_length("no_empty_inscription_text", "inscriptions", "text", min_len=1),
-        R.element_string_length("no_empty_conservator", "conservation", "conservator", min_len=1),
+        R.no_empty_strings("no_empty_owners", "provenance", "owner"),
+        R.all_compare("bib_year_after_1400", "bibliography", "year", ">", 1400),
+        R.no_empty_strings("no_empty_inscription_text", "inscriptions", "text"),
+        R.no_empty_strings("no_empty_conservator", "conservation", "conservator"),
         R.element_string_length("language_code_is_2_chars", "alt_titles", "language", exact=2),
-        R.all_elements("floor_non_negative", "locations", "floor", lambda v: v >= 0),
+        R.all_compare("floor_non_negative", "locations", "floor", ">=", 0),
     ]
 
 
 def unit_rules() -> list[R.Rule]:
     """Rules of the one-bad-row study frames (birth year, roles, names)."""
     return [
-        R.all_elements("birth_year_positive", "constituents", "birth_year", lambda v: v > 0),
+        R.all_compare("birth_year_positive", "constituents", "birth_year", ">", 0),
         R.elements_not_null("name_not_null", "constituents", "name"),
-        R.in_set("valid_roles", "constituents", "role", VALID_ROLES),
+        R.all_in("valid_roles", "constituents", "role", VALID_ROLES),
     ]
 
 
