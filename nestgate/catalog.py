@@ -12,12 +12,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestgate.functions import rules as R
+from nestgate.functions.coerce import coerce_to_schema, rename_fields
 from nestgate.operators import nest as N
+from nestgate.operators import setops as U
 from nestgate.operators.lookup import Lookup, enrich_list, lookup_join
+from nestgate.plans import conformance as C
+from nestgate.plans import export as K
 from nestgate.plans import standins as S
 from nestgate.plans import validate as V
+from nestgate.plans.profile import table_profile as _profile
+from nestgate.session import scratch_path
+from nestgate.sources import json as JS
+from nestgate.sources import synth as SY
+from nestgate.sources import xml as X
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -492,17 +502,6 @@ def quarantine_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 # ====================================================================== sources: XML
-from pyspark.sql import types as T  # noqa: E402
-
-from nestgate.functions.coerce import coerce_to_schema  # noqa: E402
-from nestgate.operators import setops as U  # noqa: E402
-from nestgate.plans import conformance as C  # noqa: E402
-from nestgate.plans import export as K  # noqa: E402
-from nestgate.plans.profile import table_profile as _profile  # noqa: E402
-from nestgate.session import scratch_path  # noqa: E402
-from nestgate.sources import json as JS  # noqa: E402
-from nestgate.sources import synth as SY  # noqa: E402
-from nestgate.sources import xml as X  # noqa: E402
 
 # XML form of an order document: attributes for key and status, a wrapper per list.
 ORDER_XML_READ = (
@@ -540,11 +539,9 @@ def order_xml_shape(docs: DataFrame) -> DataFrame:
 def harvest_orders_xml(df: DataFrame) -> DataFrame:
     """Unwrap, clean names (order level and line level) and type an XML order harvest."""
     unwrapped = X.unwrap_lists(df, {"lines": "line"})
-    names = {**ORDER_XML_RENAMES}
-    cleaned = X.clean_names(unwrapped, renames=names)
-    # line fields: status inside a line is the line status
+    cleaned = X.clean_names(unwrapped, renames=ORDER_XML_RENAMES)
+    # inside a line, "status" is the line status (renamed at order level above)
     lines_t = cleaned.schema["lines"].dataType
-    from nestgate.functions.coerce import rename_fields
     expr, _ = rename_fields(F.col("lines"), lines_t,
                             lambda n: {"o_orderstatus": "l_linestatus", **LINE_XML_RENAMES}.get(n, n))
     return coerce_to_schema(cleaned.withColumn("lines", expr), ddl(ORDER_TYPED))
@@ -777,7 +774,10 @@ union all select 'lines[]', 'ok', count(*) from o where has_lines
 """ + "".join(f"union all select 'lines[].{p}', 'ok', count(*) from o where has_lines\n" for p in LINE_PATHS))
 def schema_conformance(spark: SparkSession, d: str) -> DataFrame:
     """V1-V3: observed paths and types of JSON documents against the declared nested schema."""
-    docs = conformance_documents(spark, d)
+    # Documents arrive as JSON-lines text: written once, then scanned by the check.
+    path = scratch_path(spark, "conformance-docs")
+    conformance_documents(spark, d).select("doc").write.mode("overwrite").text(path)
+    docs = spark.read.text(path).withColumnRenamed("value", "doc")
     return C.conformance(spark, docs, "doc", ddl(CONFORMANCE_SCHEMA)).select("path", "status", "n_docs")
 
 

@@ -34,6 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestgate.session import checkpoint_root
+
 ANY = "any"
 
 
@@ -180,13 +182,21 @@ def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.S
                 any_paths: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """``(path, status, n_docs, failing)`` for JSON documents in ``text_col``.
 
+    ``docs`` is read twice (counting pass, representative pass), so it should
+    be a scan of the documents (files or a written table), not an expensive
+    derivation.
+
     ``failing`` marks findings that break the schema (undeclared only when strict)."""
     decl = declared_paths(schema, any_paths)
     declared = spark.createDataFrame(decl, "path string, parent string, declared string")
-    # Both intermediate results are one row per signature group: small, reused, cached.
-    groups = signature_groups(docs, text_col).cache()
-    reps = representatives(docs, text_col, groups).cache()
-    obs = observed_paths(spark, reps, _depth(schema) + 1).cache()
+    # The intermediate results are one row per signature group (or per path of
+    # one): small and reused several times.  Lineage is cut with a reliable
+    # checkpoint in the shared checkpoint folder, so the two passes over the
+    # documents run exactly once and survive executor loss.
+    checkpoint_root(spark)
+    groups = signature_groups(docs, text_col).checkpoint(eager=True)
+    reps = representatives(docs, text_col, groups).checkpoint(eager=True)
+    obs = observed_paths(spark, reps, _depth(schema) + 1).checkpoint(eager=True)
     obs = obs.join(F.broadcast(declared), "path", "left")  # the declared schema is small by nature
 
     accepts = F.create_map(*[x for k, vs in ACCEPTS.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])

@@ -134,3 +134,37 @@ def test_summary_depths(spark):
              R.not_null("v_not_null", "v"), R.min_element("gt1", "v", None, ">", 1)]
     d = {r["depth"]: (r["n_rules"], r["failing_rules"]) for r in V.summary_by_depth(df, rules).collect()}
     assert d == {"types": (1, 0), "flat": (3, 2), "full": (4, 3)}
+
+
+def test_null_struct_element(spark):
+    """A null element inside a list: its fields read as null, so ``all`` rules ignore it,
+    ``any`` rules do not count it, and it still counts towards the list length."""
+    df = spark.createDataFrame([(1, [None, ("height", 2.0)]), (2, [None])],
+                               "id bigint, dims array<struct<type:string, value:double>>")
+    assert failing_ids(df, R.all_compare("gt1", "dims", "value", ">", 1)) == []
+    assert failing_ids(df, R.min_element("gt1_min", "dims", "value", ">", 1)) == []
+    assert failing_ids(df, R.any_equal("has_height", "dims", "type", "height")) == [2]
+    assert failing_ids(df, R.list_size("non_empty", "dims", ">", 0)) == []
+    assert failing_ids(df, R.no_null_elements("no_null_types", "dims", "type")) == [1, 2]
+
+
+def test_fast_forms_agree_with_lambda_forms(spark):
+    df = spark.createDataFrame(
+        [(1, [("a", 1, "x")]), (2, [("b", -1, "")]), (3, []), (4, None), (5, [(None, None, None), ("a", 5, "y")]),
+         (6, [("a", 0, "z"), ("a", 3, "w")])],
+        "id bigint, xs array<struct<t:string, n:bigint, s:string>>")
+    pairs = [
+        (R.all_compare("c1", "xs", "n", ">", 0), R.all_elements("l1", "xs", "n", lambda v: v > 0)),
+        (R.all_compare("c2", "xs", "n", ">=", 0), R.all_elements("l2", "xs", "n", lambda v: v >= 0)),
+        (R.all_compare("c3", "xs", "n", "<", 4), R.all_elements("l3", "xs", "n", lambda v: v < 4)),
+        (R.all_compare("c4", "xs", "t", "==", "a"), R.all_elements("l4", "xs", "t", lambda v: v == "a")),
+        (R.all_compare("c5", "xs", "t", "!=", "b"), R.all_elements("l5", "xs", "t", lambda v: v != "b")),
+        (R.any_equal("c6", "xs", "t", "a"), R.any_element("l6", "xs", "t", lambda v: v == "a")),
+        (R.count_equal("c7", "xs", "t", "a", "==", 1),
+         R.count_elements("l7", "xs", "t", lambda v: v == "a", "==", 1)),
+        (R.no_empty_strings("c8", "xs", "s"), R.element_string_length("l8", "xs", "s", min_len=1)),
+        (R.no_null_elements("c9", "xs", "t"), R.elements_not_null("l9", "xs", "t")),
+        (R.all_in("c10", "xs", "t", ["a"]), R.in_set("l10", "xs", "t", ["a"])),
+    ]
+    for fast, slow in pairs:
+        assert failing_ids(df, fast) == failing_ids(df, slow), fast.name
