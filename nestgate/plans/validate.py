@@ -143,33 +143,29 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str])
 def failing_elements(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str]) -> DataFrame:
     """``(*key, rule, pos, value)`` for every element that breaks an element rule.
 
-    Only rows that fail the rule are exploded, so clean rows cost one predicate
-    evaluation.  ``value`` is the offending field rendered as JSON text."""
+    One row-local pass for all rules: per row, each element rule contributes
+    the (position, value) of its failing elements -- the element test is
+    evaluated inside the row, so it may use other columns -- and the
+    concatenation is exploded once.  Only rows that fail some element rule
+    produce output; ``value`` is the offending field rendered as JSON text."""
     keys = [key] if isinstance(key, str) else list(key)
-    parts = []
+    per_rule = []
     for r in _row_rules(rules):
         if r.element is None:
             continue
         e = r.element
         src = F.col(f"{e.list_col}.{e.field}") if e.field else F.col(e.list_col)
-        # The element test is evaluated before exploding, inside the row, so it
-        # may refer to other columns of the row (cross-column rules).
-        tagged = F.transform(src, lambda v: F.struct(v.alias("v"), F.coalesce(e.passes(v), F.lit(True)).alias("ok")))
-        exploded = df.where(r.failed()).select(*keys, F.posexplode(tagged).alias("pos", "e"))
-        parts.append(
-            exploded.where(~F.col("e.ok")).select(
-                *keys,
-                F.lit(r.name).alias("rule"),
-                F.col("pos").cast("bigint").alias("pos"),
-                F.to_json(F.array(F.col("e.v"))).alias("value"),
-            )
-        )
-    if not parts:
+        tagged = F.transform(src, lambda v, i: F.struct(
+            F.lit(r.name).alias("rule"), i.cast("bigint").alias("pos"),
+            F.to_json(F.array(v)).alias("value"), F.coalesce(e.passes(v), F.lit(True)).alias("ok")))
+        bad = F.filter(tagged, lambda x: ~x["ok"])
+        # skip the element scan for rows that pass the rule
+        per_rule.append(F.when(r.failed(), bad))
+    if not per_rule:
         raise ValueError("no element rules given")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    found = F.flatten(F.filter(F.array(*per_rule), lambda a: a.isNotNull()))
+    out = df.select(*keys, F.explode(found).alias("f"))
+    return out.select(*keys, "f.rule", "f.pos", "f.value")
 
 
 def failures(summary_df: DataFrame) -> list[dict]:
