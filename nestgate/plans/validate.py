@@ -27,7 +27,8 @@ class ValidationError(Exception):
 
     def __init__(self, failures: list[dict]):
         self.failures = failures
-        lines = ", ".join(f"[{f['column_name']}] {f['rule']}: {f['failed']}" for f in failures)
+        lines = ", ".join(f"[{f['column_name']}] {f['rule']}" + (f": {f['failed']}" if f.get("failed") is not None
+                                                                   else "") for f in failures)
         super().__init__(f"{len(failures)} rule(s) failed: {lines}")
 
 

@@ -193,3 +193,17 @@ def test_profile(enriched):
     assert p["date_made"]["n_nulls"] == 1
     assert p["constituents"]["n_empty"] == 1 and p["constituents"]["n_elements"] == 5
     assert p["media"]["max_len"] == 3 and p["title"]["n_empty"] is None
+
+
+def test_materialize_collection_modes(spark, fixture_paths):
+    base = scratch_path(spark, "t-flow")
+    with pytest.raises(V.ValidationError, match="all_dimension_values_gt_1"):
+        M.materialize_collection(spark, base + "-block", xml_objects=fixture_paths["xml_objects"],
+                                 xml_terms=fixture_paths["xml_terms"])
+    out = M.materialize_collection(spark, base + "-warn", json_objects=fixture_paths["json_objects"],
+                                   json_terms=fixture_paths["json_terms"], mode="warn")
+    assert not out["passed"] and spark.read.json(out["output"]).count() == 5
+    out = M.materialize_collection(spark, base + "-q", xml_objects=fixture_paths["xml_objects"],
+                                   xml_terms=fixture_paths["xml_terms"], mode="quarantine")
+    back = spark.read.parquet(out["output"])
+    assert {r["object_id"] for r in back.where("_status = 'quarantined'").collect()} == {"OBJ-003", "OBJ-005"}
