@@ -721,7 +721,7 @@ union all select 'o_orderstatus', count(*), 0, null, null, null from per
 union all select 'o_totalprice', count(*), 0, null, null, null from per
 union all select 'o_orderdate', count(*), 0, null, null, null from per
 union all select 'o_orderpriority', count(*), 0, null, null, null from per
-union all select 'lines', count(*), 0, count(*) filter (where n = 0), sum(n), max(n) from per
+union all select 'lines', count(*), 0, count(*) filter (where n = 0), cast(sum(n) as bigint), max(n) from per
 """)
 def table_profile(spark: SparkSession, d: str) -> DataFrame:
     """Rows, nulls and list metrics of every column in one pass."""
@@ -829,11 +829,11 @@ PLANTED_K = "(select count(*) // 20 from orders)"
 
 @query("inject_errors", f"""
 select printf('OBJ-%07d', o_orderkey) as object_id,
-  case when o_orderkey < {PLANTED_K} then 1 else 2 end as n_dimensions,
+  cast(case when o_orderkey < {PLANTED_K} then 1 else 2 end as bigint) as n_dimensions,
   case when o_orderkey < {PLANTED_K} then 0.5 else cast(least(50.0 + o_orderkey % 100, 30.0 + o_orderkey % 80) as double) end as min_dimension,
-  case when o_orderkey >= {PLANTED_K} and o_orderkey < 2 * {PLANTED_K} then 0 else 2 end as n_constituents,
-  case when o_orderkey >= 2 * {PLANTED_K} and o_orderkey < 3 * {PLANTED_K} then 0 else 2 end as n_media,
-  case when o_orderkey >= 3 * {PLANTED_K} and o_orderkey < 4 * {PLANTED_K} then 0 else 2 end as n_provenance
+  cast(case when o_orderkey >= {PLANTED_K} and o_orderkey < 2 * {PLANTED_K} then 0 else 2 end as bigint) as n_constituents,
+  cast(case when o_orderkey >= 2 * {PLANTED_K} and o_orderkey < 3 * {PLANTED_K} then 0 else 2 end as bigint) as n_media,
+  cast(case when o_orderkey >= 3 * {PLANTED_K} and o_orderkey < 4 * {PLANTED_K} then 0 else 2 end as bigint) as n_provenance
 from orders
 """)
 def inject_errors(spark: SparkSession, d: str) -> DataFrame:
