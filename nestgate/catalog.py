@@ -427,6 +427,19 @@ def check_summary(spark: SparkSession, d: str) -> DataFrame:
     return s.select("rule", "column_name", "failed")
 
 
+@query("check_summary_children", f"""
+with {PER_ORDER_SQL}, {SUMMARY_SQL}
+select rule, column_name, failed from summary
+""")
+def check_summary_children(spark: SparkSession, d: str) -> DataFrame:
+    """R2 on parent + child tables: the same rules and counts as ``check_summary``
+    without building any list (one partial-aggregating groupBy over the lines)."""
+    orders = S.table(spark, d, "orders").select(*S.ORDER_FIELDS)
+    lines = S.table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    s = V.summary_from_children(orders, lines, "o_orderkey", "lines", S.order_rules())
+    return s.select("rule", "column_name", "failed")
+
+
 @query("check_first_failure", f"""
 with {PER_ORDER_SQL}, {SUMMARY_SQL}
 select column_name, rule, failed from (

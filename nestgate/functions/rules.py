@@ -47,6 +47,24 @@ class ElementTest:
     passes: Callable[[Column], Column]  # element value -> pass predicate
 
 
+@dataclass(frozen=True)
+class ListAgg:
+    """The same list rule as a decomposable aggregate over child rows.
+
+    ``kind``: ``all`` / ``any`` / ``any_if_any`` (element predicate), ``count``
+    (predicate, then ``op bound``), ``min`` / ``max`` (field, then ``op bound``),
+    ``size`` (``op bound``).  ``parent_refs`` are parent columns the predicate
+    reads; ``when_parent`` is an implication condition on the parent row."""
+
+    kind: str
+    field: str | None = None
+    pred: Callable[[Column], Column] | None = None
+    op: str | None = None
+    bound: object = None
+    parent_refs: tuple[str, ...] = ()
+    when_parent: Column | None = None
+
+
 @dataclass(frozen=True)
 class Rule:
     name: str
@@ -55,6 +73,7 @@ class Rule:
     level: str = NESTED
     element: ElementTest | None = None
     keys: tuple[str, ...] = field(default_factory=tuple)  # frame-level uniqueness
+    agg: ListAgg | None = None  # aggregate form, for rules over a list column
 
     def passed(self) -> Column:
         """Row outcome with the null-passes convention applied."""
@@ -72,17 +91,18 @@ def _path(list_col: str, fld: str | None) -> Column:
 
 # ---------------------------------------------------------------- list rules
 def all_elements(name: str, list_col: str, fld: str | None, pred: Callable[[Column], Column],
-                 level: str = NESTED) -> Rule:
+                 level: str = NESTED, parent_refs: Sequence[str] = ()) -> Rule:
     """Every element (or element field) satisfies ``pred``; nulls ignored."""
     check = F.forall(_path(list_col, fld), lambda v: F.coalesce(pred(v), F.lit(True)))
-    return Rule(name, list_col, check, level, ElementTest(list_col, fld, pred))
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, pred),
+                agg=ListAgg("all", fld, pred, parent_refs=tuple(parent_refs)))
 
 
 def any_element(name: str, list_col: str, fld: str | None, pred: Callable[[Column], Column],
                 level: str = NESTED) -> Rule:
     """At least one element satisfies ``pred``; an empty list fails."""
     check = F.exists(_path(list_col, fld), lambda v: F.coalesce(pred(v), F.lit(False)))
-    return Rule(name, list_col, check, level)
+    return Rule(name, list_col, check, level, agg=ListAgg("any", fld, pred))
 
 
 def any_element_if_any(name: str, list_col: str, fld: str | None, pred: Callable[[Column], Column],
@@ -90,7 +110,7 @@ def any_element_if_any(name: str, list_col: str, fld: str | None, pred: Callable
     """Guarded form: an empty list passes, otherwise like :func:`any_element`."""
     check = (F.size(F.col(list_col)) == 0) | F.exists(
         _path(list_col, fld), lambda v: F.coalesce(pred(v), F.lit(False)))
-    return Rule(name, list_col, check, level)
+    return Rule(name, list_col, check, level, agg=ListAgg("any_if_any", fld, pred))
 
 
 def count_elements(name: str, list_col: str, fld: str | None, pred: Callable[[Column], Column],
@@ -98,7 +118,7 @@ def count_elements(name: str, list_col: str, fld: str | None, pred: Callable[[Co
     """Number of elements satisfying ``pred`` compared with ``bound``."""
     n = F.size(F.filter(_path(list_col, fld), lambda v: F.coalesce(pred(v), F.lit(False))))
     check = F.when(F.col(list_col).isNotNull(), compare(n, op, bound))
-    return Rule(name, list_col, check, level)
+    return Rule(name, list_col, check, level, agg=ListAgg("count", fld, pred, op, bound))
 
 
 def min_element(name: str, list_col: str, fld: str | None, op: str, bound: object,
@@ -106,19 +126,20 @@ def min_element(name: str, list_col: str, fld: str | None, op: str, bound: objec
     """Minimum of the list (nulls ignored) compared with ``bound``; empty passes."""
     check = compare(F.array_min(_path(list_col, fld)), op, bound)
     return Rule(name, list_col, check, level,
-                ElementTest(list_col, fld, lambda v: compare(v, op, bound)))
+                ElementTest(list_col, fld, lambda v: compare(v, op, bound)), agg=ListAgg("min", fld, None, op, bound))
 
 
 def max_element(name: str, list_col: str, fld: str | None, op: str, bound: object,
                 level: str = NESTED) -> Rule:
     check = compare(F.array_max(_path(list_col, fld)), op, bound)
     return Rule(name, list_col, check, level,
-                ElementTest(list_col, fld, lambda v: compare(v, op, bound)))
+                ElementTest(list_col, fld, lambda v: compare(v, op, bound)), agg=ListAgg("max", fld, None, op, bound))
 
 
 def list_size(name: str, list_col: str, op: str, bound: int, level: str = NESTED) -> Rule:
     """Length of the list compared with ``bound`` (a null list passes)."""
-    return Rule(name, list_col, compare(F.size(F.col(list_col)), op, bound), level)
+    return Rule(name, list_col, compare(F.size(F.col(list_col)), op, bound), level,
+                agg=ListAgg("size", None, None, op, bound))
 
 
 def in_set(name: str, list_col: str, fld: str | None, values: Iterable[object],
@@ -147,7 +168,8 @@ def elements_vs_parent(name: str, list_col: str, fld: str | None, op: str, paren
     """Compare every element field with a column of the same row.
 
     Null on either side passes (vacuous truth on missing data)."""
-    return all_elements(name, list_col, fld, lambda v: compare(v, op, F.col(parent_col)), level)
+    return all_elements(name, list_col, fld, lambda v: compare(v, op, F.col(parent_col)), level,
+                        parent_refs=(parent_col,))
 
 
 # -------------------------------------------------- codegen-friendly forms
@@ -167,35 +189,38 @@ def all_compare(name: str, list_col: str, fld: str | None, op: str, bound: objec
         check = ~F.coalesce(F.array_contains(p, bound), F.lit(False))
     else:
         raise ValueError(op)
-    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: compare(v, op, bound)))
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: compare(v, op, bound)),
+                agg=ListAgg("all", fld, lambda v: compare(v, op, bound)))
 
 
 def any_equal(name: str, list_col: str, fld: str | None, value: object, level: str = NESTED) -> Rule:
     """Some element equals ``value`` (an empty list fails)."""
     p = _path(list_col, fld)
     check = F.when(F.col(list_col).isNotNull(), F.coalesce(F.array_contains(p, value), F.lit(False)))
-    return Rule(name, list_col, check, level)
+    return Rule(name, list_col, check, level, agg=ListAgg("any", fld, lambda v: v == value))
 
 
 def count_equal(name: str, list_col: str, fld: str | None, value: object, op: str, bound: int,
                 level: str = NESTED) -> Rule:
     """Number of elements equal to ``value`` compared with ``bound``."""
     p = _path(list_col, fld)
-    return Rule(name, list_col, compare(F.size(p) - F.size(F.array_remove(p, value)), op, bound), level)
+    return Rule(name, list_col, compare(F.size(p) - F.size(F.array_remove(p, value)), op, bound), level,
+                agg=ListAgg("count", fld, lambda v: v == value, op, bound))
 
 
 def no_empty_strings(name: str, list_col: str, fld: str | None, level: str = NESTED) -> Rule:
     """Every element string has at least one character (nulls ignored)."""
     p = _path(list_col, fld)
     check = F.when(F.col(list_col).isNotNull(), ~F.coalesce(F.array_contains(p, ""), F.lit(False)))
-    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: F.char_length(v) > 0))
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: F.char_length(v) > 0),
+                agg=ListAgg("all", fld, lambda v: F.char_length(v) > 0))
 
 
 def no_null_elements(name: str, list_col: str, fld: str | None, level: str = NESTED) -> Rule:
     """No element (field) is null."""
     p = _path(list_col, fld)
     return Rule(name, list_col, F.size(F.array_compact(p)) == F.size(p), level,
-                ElementTest(list_col, fld, lambda v: v.isNotNull()))
+                ElementTest(list_col, fld, lambda v: v.isNotNull()), agg=ListAgg("all", fld, lambda v: v.isNotNull()))
 
 
 def all_in(name: str, list_col: str, fld: str | None, values: Iterable[object], level: str = NESTED) -> Rule:
@@ -203,7 +228,8 @@ def all_in(name: str, list_col: str, fld: str | None, values: Iterable[object],
     vals = list(values)
     p = _path(list_col, fld)
     check = F.size(F.array_except(F.array_compact(p), F.array(*[F.lit(v) for v in vals]))) == 0
-    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: v.isin(vals)))
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: v.isin(vals)),
+                agg=ListAgg("all", fld, lambda v: v.isin(vals)))
 
 
 # ---------------------------------------------------------------- row rules
@@ -237,6 +263,16 @@ def implies(name: str, column: str, condition: Column, consequence: Column, leve
     return Rule(name, column, ~F.coalesce(condition, F.lit(False)) | consequence, level)
 
 
+def implies_rule(name: str, condition: Column, rule: Rule, level: str = NESTED) -> Rule:
+    """``condition => rule`` where ``rule`` is a list rule; keeps its aggregate form."""
+    agg = None
+    if rule.agg is not None:
+        a = rule.agg
+        agg = ListAgg(a.kind, a.field, a.pred, a.op, a.bound, a.parent_refs, condition)
+    check = ~F.coalesce(condition, F.lit(False)) | rule.passed()
+    return Rule(name, rule.column, check, level, agg=agg)
+
+
 def not_null(name: str, column: str, level: str = TYPE, probe_field: str | None = None) -> Rule:
     """Nullability: the column (scalar or list) must not be null.
 

@@ -109,8 +109,8 @@ def object_rules() -> list[R.Rule]:
 def cross_column_rules() -> list[R.Rule]:
     """The two documented cross-column rules (vacuously true on missing data)."""
     return [
-        R.implies("sculpture_must_have_depth", "dimensions", F.col("department") == "Sculpture",
-                  F.exists("dimensions.type", lambda v: F.coalesce(v == "depth", F.lit(False)))),
+        R.implies_rule("sculpture_must_have_depth", F.col("department") == "Sculpture",
+                       R.any_equal("has_depth", "dimensions", "type", "depth")),
         R.elements_vs_parent("birth_years_before_date_made", "constituents", "birth_year", "<", "date_made"),
     ]
 

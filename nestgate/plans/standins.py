@@ -104,8 +104,8 @@ def order_rules() -> list[R.Rule]:
         R.all_elements("discount_at_most_0_08", "lines", "l_discount", lambda v: v <= 0.08),
         R.in_set("returnflag_in_a_n", "lines", "l_returnflag", ["A", "N"]),
         R.elements_vs_parent("shipped_after_order", "lines", "l_shipdate", ">", "o_orderdate"),
-        R.implies("finished_order_has_finished_line", "lines", F.col("o_orderstatus") == "F",
-                  F.exists("lines.l_linestatus", lambda v: F.coalesce(v == "F", F.lit(False)))),
+        R.implies_rule("finished_order_has_finished_line", F.col("o_orderstatus") == "F",
+                       R.any_element("has_finished_line", "lines", "l_linestatus", lambda v: v == "F")),
     ]
 
 

@@ -209,3 +209,99 @@ def quarantine(df: DataFrame, rules: Sequence[Rule], col: str = "_failed_rules")
     To write both sides in one pass use :func:`nestgate.plans.export.write_split`."""
     tagged = with_findings(df, rules, col)
     return tagged.where(F.size(col) == 0).drop(col), tagged.where(F.size(col) > 0)
+
+
+# ---------------------------------------------------------------- child-table evaluation
+def _child_agg(r: Rule, i: int) -> list[Column]:
+    a = r.agg
+    v = F.col(a.field) if a.field else None
+    if a.kind in ("all",):
+        return [F.bool_and(F.coalesce(a.pred(v), F.lit(True))).alias(f"_a{i}")]
+    if a.kind in ("any", "any_if_any"):
+        return [F.bool_or(F.coalesce(a.pred(v), F.lit(False))).alias(f"_a{i}")]
+    if a.kind == "count":
+        return [F.count_if(F.coalesce(a.pred(v), F.lit(False))).alias(f"_a{i}")]
+    if a.kind == "min":
+        return [F.min(v).alias(f"_a{i}")]
+    if a.kind == "max":
+        return [F.max(v).alias(f"_a{i}")]
+    if a.kind == "size":
+        return []
+    raise ValueError(a.kind)
+
+
+def _parent_outcome(r: Rule, i: int) -> Column:
+    from nestgate.functions.rules import compare
+
+    a = r.agg
+    x, n = F.col(f"_a{i}"), F.coalesce(F.col("_n"), F.lit(0))
+    if a.kind == "all":
+        out = F.coalesce(x, F.lit(True))
+    elif a.kind == "any":
+        out = F.coalesce(x, F.lit(False))
+    elif a.kind == "any_if_any":
+        out = (n == 0) | F.coalesce(x, F.lit(False))
+    elif a.kind == "count":
+        out = compare(F.coalesce(x, F.lit(0)), a.op, a.bound)
+    elif a.kind in ("min", "max"):
+        out = compare(x, a.op, a.bound)
+    else:  # size
+        out = compare(n, a.op, a.bound)
+    if a.when_parent is not None:
+        out = ~F.coalesce(a.when_parent, F.lit(False)) | out
+    return F.coalesce(out, F.lit(True))
+
+
+def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Sequence[str], list_col: str,
+                          rules: Sequence[Rule]) -> DataFrame:
+    """:func:`summary` for documents held as a parent table plus a child table.
+
+    Equal to ``summary(parents with list_col = their children, rules)`` where
+    parents without children hold an empty list, but no list is ever built:
+    every rule over ``list_col`` is a decomposable aggregate (all / any /
+    count / min / max / size), computed in **one** ``groupBy(key)`` over the
+    child rows.  Partial aggregation runs map-side, so a key holding a third
+    of all children still sends one row per task to the shuffle; the
+    aggregated table (one row per key) is then joined to the parents, where
+    the remaining row rules are evaluated in the same counting pass.
+
+    Children carry the element fields as columns plus ``key``; element rules
+    reading parent columns get them by joining those columns first."""
+    keys = [key] if isinstance(key, str) else list(key)
+    list_rules = [r for r in rules if r.level != FRAME and r.column == list_col]
+    if any(r.agg is None for r in list_rules):
+        missing = [r.name for r in list_rules if r.agg is None]
+        raise ValueError(f"rules without an aggregate form: {missing}")
+    refs = sorted({c for r in list_rules for c in r.agg.parent_refs})
+    kids = children
+    group = list(keys)
+    if refs:
+        # distinct (key, referenced parent values): duplicated parents add no child copies
+        pr = parents.select(*keys, *[F.col(c).alias(f"_p_{c}") for c in refs]).distinct()
+        kids = kids.join(pr, on=keys, how="inner").withColumns({c: F.col(f"_p_{c}") for c in refs})
+        group += [f"_p_{c}" for c in refs]
+    aggs = [F.count(F.lit(1)).alias("_n")]
+    for i, r in enumerate(list_rules):
+        aggs += _child_agg(r, i)
+    per_key = kids.groupBy(*group).agg(*aggs)
+    if refs:
+        cond = [parents[k] == per_key[k] for k in keys] + [parents[c].eqNullSafe(per_key[f"_p_{c}"]) for c in refs]
+        joined = parents.join(per_key, on=cond, how="left").drop(*[per_key[k] for k in keys])
+    else:
+        joined = parents.join(per_key, on=keys, how="left")
+    outcomes = {r.name: _parent_outcome(r, i) for i, r in enumerate(list_rules)}
+    other = [r for r in rules if r.level != FRAME and r.column != list_col]
+    order = {r.name: i for i, r in enumerate(rules)}
+    counted = list_rules + other
+    cols = [F.count_if(~outcomes[r.name]).alias(f"r{j}") if r.name in outcomes
+            else F.count_if(r.failed()).alias(f"r{j}") for j, r in enumerate(counted)]
+    counts = joined.agg(*cols)
+    stack = ", ".join(f"{order[r.name]}L, '{_q(r.name)}', '{_q(r.column)}', '{r.level}', r{j}"
+                      for j, r in enumerate(counted))
+    out = counts.selectExpr(f"stack({len(counted)}, {stack}) as (rule_order, rule, column_name, level, failed)")
+    out = out.withColumn("failed", F.col("failed").cast("bigint"))
+    for r in _frame_rules(rules):
+        out = out.unionByName(unique_violations(parents, r).select(
+            F.lit(order[r.name]).cast("bigint").alias("rule_order"), F.lit(r.name).alias("rule"),
+            F.lit(r.column).alias("column_name"), F.lit(r.level).alias("level"), F.col("failed")))
+    return out

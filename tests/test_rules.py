@@ -168,3 +168,34 @@ def test_fast_forms_agree_with_lambda_forms(spark):
     ]
     for fast, slow in pairs:
         assert failing_ids(df, fast) == failing_ids(df, slow), fast.name
+
+
+def test_child_table_summary_equals_nested(spark):
+    from nestgate.operators.nest import nest_children, reattach
+
+    parents = spark.createDataFrame(
+        [(1, "F", 10), (2, "O", 20), (3, "F", 30), (3, "F", 5), (4, None, None)],
+        "k bigint, status string, made bigint")
+    kids = spark.createDataFrame(
+        [(1, 0.5, "F", 9), (1, 3.0, "O", 11), (2, 2.0, "O", 1), (3, 4.0, "O", 29), (3, None, "F", None),
+         (9, 1.0, "F", 1)],
+        "k bigint, q double, st string, born bigint")
+    rules = [
+        R.unique("k_unique", "k"),
+        R.string_length("status_len", "status", min_len=1),
+        R.min_element("q_gt_1", "xs", "q", ">", 1),
+        R.all_compare("q_ge_0", "xs", "q", ">=", 0),
+        R.any_equal("has_f", "xs", "st", "F"),
+        R.any_element_if_any("has_f_if_any", "xs", "st", lambda v: v == "F"),
+        R.count_equal("one_o", "xs", "st", "O", "==", 1),
+        R.list_size("non_empty", "xs", ">", 0),
+        R.no_null_elements("q_not_null", "xs", "q"),
+        R.all_in("st_known", "xs", "st", ["F", "O"]),
+        R.elements_vs_parent("born_before_made", "xs", "born", "<", "made"),
+        R.implies_rule("f_has_f", F.col("status") == "F", R.any_equal("hf", "xs", "st", "F")),
+    ]
+    nested = reattach(parents, nest_children(kids, "k", ["q", "st", "born"], "xs"), "k")
+    a = {r["rule"]: r["failed"] for r in V.summary(nested, rules).collect()}
+    b = {r["rule"]: r["failed"] for r in V.summary_from_children(parents, kids, "k", "xs", rules).collect()}
+    assert a == b
+    assert a["born_before_made"] == 2 and a["k_unique"] == 2 and a["non_empty"] == 1
