@@ -1,7 +1,5 @@
 """One-bad-row study frames (F5): every rule builder on small nested frames."""
 
-import pandas as pd
-import pytest
 from pyspark.sql import functions as F
 
 from nestgate.functions import rules as R

@@ -2,7 +2,6 @@
 
 import json
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestgate.functions.coerce import coerce_to_schema, coercion_failures
