@@ -117,17 +117,9 @@ def cross_column_rules() -> list[R.Rule]:
 
 def nullability_rules(schema: T.StructType) -> list[R.Rule]:
     """``not_null`` rules for every non-nullable declared column (level ``type``)."""
-    out = []
-    for f in schema.fields:
-        if f.nullable:
-            continue
-        probe = None
-        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
-            leaves = [x.name for x in f.dataType.elementType.fields
-                      if not isinstance(x.dataType, (T.StructType, T.ArrayType, T.MapType))]
-            probe = leaves[0] if leaves else None
-        out.append(R.not_null(f"{f.name}_not_null", f.name, probe_field=probe))
-    return out
+    from nestgate.plans.validate import nullability_rules as rules_for
+
+    return rules_for(schema)
 
 
 # Wide benchmark object: extra columns and their rules.

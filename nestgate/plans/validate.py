@@ -18,6 +18,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from nestgate.functions.rules import FRAME, Rule, select_rules
 
@@ -305,3 +306,76 @@ def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Se
             F.lit(order[r.name]).cast("bigint").alias("rule_order"), F.lit(r.name).alias("rule"),
             F.lit(r.column).alias("column_name"), F.lit(r.level).alias("level"), F.col("failed")))
     return out
+
+
+# ---------------------------------------------------------------- schema + rules in one call
+def nullability_rules(schema: T.StructType) -> list[Rule]:
+    """V4: a ``not_null`` rule (level ``types``) for every non-nullable declared column.
+
+    For a list of structs the rule reads one primitive field (``list.f`` is null
+    exactly when the list is), so Parquet decodes one leaf, not the whole list."""
+    from nestgate.functions.rules import not_null
+
+    out = []
+    for f in schema.fields:
+        if f.nullable:
+            continue
+        probe = None
+        if isinstance(f.dataType, T.ArrayType) and isinstance(f.dataType.elementType, T.StructType):
+            leaves = [x.name for x in f.dataType.elementType.fields
+                      if not isinstance(x.dataType, (T.StructType, T.ArrayType, T.MapType))]
+            probe = leaves[0] if leaves else None
+        out.append(not_null(f"{f.name}_not_null", f.name, probe_field=probe))
+    return out
+
+
+class ValidationReport:
+    """Outcome of :func:`validate_frame`: the (coerced) frame, type problems, rule summary."""
+
+    def __init__(self, frame: DataFrame, dtype_problems: list[dict], summary_df: DataFrame):
+        self.frame = frame
+        self.dtype_problems = dtype_problems
+        self.summary = summary_df
+        self._failures: list[dict] | None = None
+
+    def failures(self) -> list[dict]:
+        """Failing rules (one row per rule reaches the driver)."""
+        if self._failures is None:
+            self._failures = failures(self.summary)
+        return self._failures
+
+    @property
+    def passed(self) -> bool:
+        return not self.dtype_problems and not self.failures()
+
+    def raise_if_failed(self) -> DataFrame:
+        if self.dtype_problems:
+            raise ValidationError([{"column_name": p["column"], "rule": f"dtype:{p['problem']}", "failed": None}
+                                   for p in self.dtype_problems])
+        if self.failures():
+            raise ValidationError(self.failures())
+        return self.frame
+
+
+def validate_frame(df: DataFrame, schema, rules: Sequence[Rule] = (), depth: str = "full",
+                   coerce: bool = False, strict: bool = False) -> ValidationReport:
+    """Declared schema plus rules, checked like a declarative schema validation.
+
+    1. ``coerce``: columns rebuilt by name and leaves ``try_cast`` to the
+       declared types (a leaf that cannot be cast becomes null and is caught by
+       the nullability rules where the column is not nullable);
+    2. type check on metadata: missing columns, wrong (nested) types, and with
+       ``strict`` undeclared columns -- no data pass;
+    3. nullability rules for every non-nullable declared column (depth ``types``);
+    4. the given rules selected by ``depth`` (``types`` / ``flat`` / ``full``),
+       all counted in one pass by :func:`summary`.
+    Nothing is evaluated until the report is read."""
+    from nestgate.functions.coerce import coerce_to_schema
+    from nestgate.plans.conformance import dtype_report
+
+    frame = coerce_to_schema(df, schema, strict=strict) if coerce else df
+    problems = dtype_report(frame, schema, strict=strict)
+    present = set(frame.columns)
+    nulls = [r for r in nullability_rules(schema) if r.column in present]
+    chosen = nulls + select_rules([r for r in rules if r.column in present or r.level == FRAME], depth)
+    return ValidationReport(frame, problems, summary(frame, chosen))

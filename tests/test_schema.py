@@ -82,3 +82,25 @@ def test_struct_cast_is_positional_but_coerce_is_not(spark):
     df = spark.createDataFrame([(("x", 1),)], "s struct<b: string, a: bigint>")
     target = DECL("s struct<a: bigint, b: string>")
     assert tuple(coerce_to_schema(df, target).first()["s"]) == (1, "x")
+
+
+def test_validate_frame(spark):
+    from nestgate.functions import rules as R
+    from nestgate.plans.validate import ValidationError, validate_frame
+
+    df = spark.createDataFrame([(1, "a", ["1", "x"]), (2, None, ["3"])], "id bigint, title string, vals array<string>")
+    schema = DECL("id bigint not null, title string not null, vals array<bigint>")
+    rules = [R.unique("id_unique", "id"), R.all_compare("vals_pos", "vals", None, ">", 0)]
+    rep = validate_frame(df, schema, rules)
+    assert [p["problem"] for p in rep.dtype_problems] == ["wrong_type"]
+    rep = validate_frame(df, schema, rules, coerce=True)
+    assert rep.dtype_problems == []
+    assert {f["rule"]: f["failed"] for f in rep.failures()} == {"title_not_null": 1}
+    assert rep.frame.first()["vals"] == [1, None]      # "x" could not be cast
+    try:
+        rep.raise_if_failed()
+        raise AssertionError("expected a failure")
+    except ValidationError as e:
+        assert "title_not_null" in str(e)
+    types_only = validate_frame(df, schema, rules, depth="types", coerce=True)
+    assert {r["rule"] for r in types_only.summary.collect()} == {"id_not_null", "title_not_null"}
