@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestgate.functions import rules as R
-from nestgate.functions.coerce import coerce_to_schema, rename_fields
+from nestgate.functions.coerce import coerce_to_schema, rename_fields, string_leaves
 from nestgate.operators import nest as N
 from nestgate.operators import setops as U
 from nestgate.operators.lookup import Lookup, enrich_list, lookup_join
@@ -646,8 +646,10 @@ def json_nested_harvest(spark: SparkSession, d: str) -> DataFrame:
     """Nested documents as JSON lines, read back with a declared nested schema."""
     path = scratch_path(spark, "json-orders")
     K.write_json_lines(S.nested_orders(spark, d).drop("o_orderdate"), path)
-    docs = JS.read_json_documents(spark, path, JSON_ORDER_SCHEMA)
-    return _explode_typed(docs.where(F.col("_corrupt_record").isNull()))
+    typed = ddl(JSON_ORDER_SCHEMA)
+    raw = JS.read_json_documents(spark, path, string_leaves(typed))   # text leaves, typed by name below
+    docs = coerce_to_schema(raw.where(F.col("_corrupt_record").isNull()), typed, strict=True)
+    return _explode_typed(docs)
 
 
 @query("json_lookup_harvest", f"select term_id, term_type, label from {S.TERMINOLOGY_SQL} t")

@@ -108,3 +108,14 @@ def rename_fields(c: Column, dt: T.DataType, rename: Callable[[str], str]) -> tu
         _, et = rename_fields(F.lit(None).cast(dt.elementType), dt.elementType, rename)
         return F.transform(c, lambda x: rename_fields(x, dt.elementType, rename)[0]), T.ArrayType(et, True)
     return c, dt
+
+
+def string_leaves(dt: T.DataType) -> T.DataType:
+    """The same nested shape with every leaf as string (read as text, type later)."""
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, string_leaves(f.dataType), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(string_leaves(dt.elementType), True)
+    if isinstance(dt, T.MapType):
+        return T.MapType(T.StringType(), string_leaves(dt.valueType), True)
+    return T.StringType()

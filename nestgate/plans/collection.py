@@ -235,10 +235,16 @@ def harvest_terminology_xml(spark, path: str) -> DataFrame:
 
 
 def harvest_objects_json(spark, path: str, multiline: bool = True) -> DataFrame:
-    """A JSON array of objects (or JSON lines) with the declared nested schema."""
+    """A JSON array of objects (or JSON lines) with the declared nested schema.
+
+    Leaves are read as text and typed by name with ``try_cast``: with a typed
+    read schema one mistyped value would make the whole multi-line file
+    corrupt; here only that value becomes null (and nullability rules see it)."""
+    from nestgate.functions.coerce import coerce_to_schema, string_leaves
     from nestgate.sources.json import read_json_documents
 
-    return read_json_documents(spark, path, OBJECT, multiline=multiline, corrupt_col=None)
+    raw = read_json_documents(spark, path, string_leaves(OBJECT), multiline=multiline, corrupt_col=None)
+    return coerce_to_schema(raw, OBJECT, strict=True)
 
 
 def harvest_terminology_json(spark, path: str, multiline: bool = True) -> DataFrame:

@@ -207,3 +207,28 @@ def test_materialize_collection_modes(spark, fixture_paths):
                                    xml_terms=fixture_paths["xml_terms"], mode="quarantine")
     back = spark.read.parquet(out["output"])
     assert {r["object_id"] for r in back.where("_status = 'quarantined'").collect()} == {"OBJ-003", "OBJ-005"}
+
+
+def test_json_mistyped_value_nulls_only_that_value(spark, tmp_path):
+    from fixtures import OBJECTS
+
+    objs = [dict(o) for o in OBJECTS]
+    objs[1]["date_made"] = "circa 1900"
+    path = tmp_path / "objects.json"
+    path.write_text(json.dumps(objs, indent=2))
+    rows = {r["object_id"]: r for r in M.harvest_objects_json(spark, str(path)).collect()}
+    assert len(rows) == 5 and rows["OBJ-002"]["date_made"] is None
+    assert rows["OBJ-002"]["title"] == "Still Life with Fruit and Wine" and rows["OBJ-001"]["date_made"] == 1892
+    assert rows["OBJ-001"]["dimensions"][0]["value"] == 98.5
+
+
+def test_empty_xml_element_kept_as_empty_string(spark, tmp_path):
+    from fixtures import OBJECTS, object_xml
+
+    d = tmp_path / "x"
+    d.mkdir()
+    (d / "E.xml").write_text(object_xml(OBJECTS[1]).replace("<name>Paul Renard</name>", "<name/>"))
+    row = M.harvest_objects_xml(spark, str(d)).first()
+    assert row["constituents"][0]["name"] == ""
+    rule = R.no_empty_strings("no_empty_names", "constituents", "name")
+    assert M.harvest_objects_xml(spark, str(d)).where(rule.failed()).count() == 1
