@@ -156,11 +156,14 @@ def _enrich_by_join(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fie
     flat = flat.select(*keys, "_lh", "_pos", _combine(F.col("_e"), lookups, label_cols, fields).alias("_out"))
     regrouped = flat.groupBy(*keys, "_lh").agg(F.collect_set(F.struct("_pos", "_out")).alias("_g"))
     regrouped = regrouped.select(
-        *keys, "_lh", F.flatten(F.transform(F.array_sort("_g"), lambda s: s["_out"])).alias("_new"))
+        *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)], F.col("_lh").alias("_rlh"),
+        F.flatten(F.transform(F.array_sort("_g"), lambda s: s["_out"])).alias("_new"))
+    # null-safe on the key, so a document with a null key keeps its own list (as in the map strategy)
+    cond = [F.col(k).eqNullSafe(F.col(f"_rk{i}")) for i, k in enumerate(keys)] + [F.col("_lh") == F.col("_rlh")]
     return (
         df.withColumn("_lh", F.xxhash64(list_col))
-        .join(regrouped, on=[*keys, "_lh"], how="left")
-        .drop("_lh")
+        .join(regrouped, on=cond, how="left")
+        .drop("_lh", "_rlh", *[f"_rk{i}" for i in range(len(keys))])
         .withColumn(out_col, F.col("_new"))
         .drop("_new")
     )

@@ -232,3 +232,11 @@ def test_empty_xml_element_kept_as_empty_string(spark, tmp_path):
     assert row["constituents"][0]["name"] == ""
     rule = R.no_empty_strings("no_empty_names", "constituents", "name")
     assert M.harvest_objects_xml(spark, str(d)).where(rule.failed()).count() == 1
+
+
+def test_null_document_key_keeps_its_list(spark, terms_xml, objects_xml):
+    no_key = objects_xml.withColumn("id", F.when(F.col("id") == "OBJ-004", F.lit(None)).otherwise(F.col("id")))
+    for strategy in ("map", "join"):
+        rows = M.enrich_objects(terms_xml, no_key, strategy=strategy).collect()
+        row = next(r for r in rows if r["object_id"] is None)
+        assert [tuple(c) for c in row["classifications"]] == [("Sculpture", "Bronze")], strategy
