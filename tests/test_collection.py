@@ -177,10 +177,11 @@ def test_malformed_xml_files(spark, tmp_path, fixture_paths):
     shutil.copytree(fixture_paths["xml_objects"], d)
     (d / "BAD-1.xml").write_text('<?xml version="1.0"?>\n<object id="B1"><title>x</title><dimensions>')
     (d / "BAD-2.xml").write_text('<?xml version="1.0"?>\n<thing id="B2"><title>wrong root</title></thing>')
+    (d / "BAD-3.xml").write_text('<?xml version="1.0"?>\n<object id="B3"><title>ok</title></object>\n<object id="B3b">')
     report = malformed_xml_files(spark, str(d), "object", M.OBJECT_XML_READ)
     got = {(Path(r["file_path"]).name, r["reason"]) for r in report.collect()}
-    assert got == {("BAD-1.xml", "corrupt"), ("BAD-2.xml", "no_record")}
-    with pytest.raises(ValueError, match=r"Malformed XML \(2 file\(s\)\)"):
+    assert got == {("BAD-1.xml", "corrupt"), ("BAD-2.xml", "no_record"), ("BAD-3.xml", "corrupt")}
+    with pytest.raises(ValueError, match=r"Malformed XML \(3 file\(s\)\)"):
         assert_well_formed(report)
     assert_well_formed(malformed_xml_files(spark, fixture_paths["xml_objects"], "object", M.OBJECT_XML_READ))
 
