@@ -120,10 +120,11 @@ def test_duplicate_lists_and_unique_keys(spark):
 
 
 def test_udf_rule_matches_builtin(spark):
-    df = spark.createDataFrame([(1, [10.0, 2.0]), (2, [0.5]), (3, []), (4, None)], "id bigint, v array<double>")
+    df = spark.createDataFrame([(1, [10.0, 2.0]), (2, [0.5]), (3, []), (4, None), (5, [None, 3.0]), (6, [None, 0.2]),
+                                (7, [None])], "id bigint, v array<double>")
     udf_rule = R.element_udf("udf_gt1", "v", lambda c: min_greater_than(1.0)(c))
     builtin = R.min_element("gt1", "v", None, ">", 1)
-    assert failing_ids(df, udf_rule) == failing_ids(df, builtin) == [2]
+    assert failing_ids(df, udf_rule) == failing_ids(df, builtin) == [2, 6]
 
 
 def test_summary_depths(spark):
