@@ -241,3 +241,15 @@ def test_null_document_key_keeps_its_list(spark, terms_xml, objects_xml):
         rows = M.enrich_objects(terms_xml, no_key, strategy=strategy).collect()
         row = next(r for r in rows if r["object_id"] is None)
         assert [tuple(c) for c in row["classifications"]] == [("Sculpture", "Bronze")], strategy
+
+
+def test_hot_identical_copies_keep_single_lists(spark, terms_xml, objects_xml):
+    """A third of the rows are copies of one document: every copy keeps exactly its own
+    list (no merged lists, no pairs), through both enrichment strategies."""
+    hot = objects_xml.where(F.col("id") == "OBJ-001")
+    copies = hot.withColumn("_c", F.explode(F.sequence(F.lit(1), F.lit(1024)))).drop("_c")
+    docs = objects_xml.where(F.col("id") != "OBJ-001").unionByName(copies)
+    for strategy in ("map", "join"):
+        out = M.enrich_objects(terms_xml, docs, strategy=strategy)
+        sizes = out.where(F.col("object_id") == "OBJ-001").groupBy(F.size("classifications").alias("n")).count()
+        assert [(r["n"], r["count"]) for r in sizes.collect()] == [(4, 1024)], strategy
