@@ -79,12 +79,17 @@ def summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
                 F.col("failed"),
             )
         )
+    if not parts:
+        return df.sparkSession.createDataFrame([], SUMMARY_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
 
 
+SUMMARY_SCHEMA = "rule_order bigint, rule string, column_name string, level string, failed bigint"
+
+
 def _q(s: str) -> str:
     return s.replace("\\", "\\\\").replace("'", "\\'")
 
@@ -126,6 +131,8 @@ def summary_by_depth(df: DataFrame, rules: Sequence[Rule], depths: Sequence[str]
 def failed_rule_names(rules: Sequence[Rule]) -> Column:
     """``array<string>`` of the names of row rules the row fails."""
     row = _row_rules(rules)
+    if not row:
+        return F.array().cast("array<string>")
     return F.filter(F.array(*[F.when(r.failed(), F.lit(r.name)) for r in row]), lambda x: x.isNotNull())
 
 
@@ -134,7 +141,10 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str])
 
     Row-local: no shuffle. Frame rules add the rows of duplicated keys."""
     keys = [key] if isinstance(key, str) else list(key)
-    out = df.select(*keys, F.explode(failed_rule_names(rules)).alias("rule"))
+    if _row_rules(rules):
+        out = df.select(*keys, F.explode(failed_rule_names(rules)).alias("rule"))
+    else:
+        out = df.select(*keys, F.lit(None).cast("string").alias("rule")).where(F.lit(False))
     for r in _frame_rules(rules):
         dup = df.select(*r.keys).groupBy(*r.keys).count().where("count > 1").drop("count")
         rows = df.join(dup, on=list(r.keys), how="left_semi")

@@ -198,3 +198,14 @@ def test_child_table_summary_equals_nested(spark):
     b = {r["rule"]: r["failed"] for r in V.summary_from_children(parents, kids, "k", "xs", rules).collect()}
     assert a == b
     assert a["born_before_made"] == 2 and a["k_unique"] == 2 and a["non_empty"] == 1
+
+
+def test_empty_and_frame_only_rule_sets(spark):
+    df = spark.createDataFrame([(1, [1.0]), (1, [2.0])], "id bigint, v array<double>")
+    assert V.summary(df, []).count() == 0
+    uniq = [R.unique("id_unique", "id")]
+    assert V.summary(df, uniq).first()["failed"] == 2
+    assert sorted(r["id"] for r in V.failing_rows(df, uniq, "id").collect()) == [1, 1]
+    clean, bad = V.quarantine(df, uniq)
+    assert clean.count() == 0 and bad.count() == 2
+    V.gate(df, [])                                   # nothing to check: passes
