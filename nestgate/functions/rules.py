@@ -168,8 +168,16 @@ def elements_vs_parent(name: str, list_col: str, fld: str | None, op: str, paren
     """Compare every element field with a column of the same row.
 
     Null on either side passes (vacuous truth on missing data)."""
-    return all_elements(name, list_col, fld, lambda v: compare(v, op, F.col(parent_col)), level,
-                        parent_refs=(parent_col,))
+    parent = F.col(parent_col)
+    if op in (">", ">=", "<", "<="):
+        # all(v op p), nulls ignored, empty passes  ==  min(v) op p  (or max for < / <=):
+        # the aggregate form needs no join of the children with the parent column.
+        kind = "min" if op in (">", ">=") else "max"
+        p = _path(list_col, fld)
+        check = compare(F.array_min(p) if kind == "min" else F.array_max(p), op, parent)
+        return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: compare(v, op, parent)),
+                    agg=ListAgg(kind, fld, None, op, parent))
+    return all_elements(name, list_col, fld, lambda v: compare(v, op, parent), level, parent_refs=(parent_col,))
 
 
 # -------------------------------------------------- codegen-friendly forms

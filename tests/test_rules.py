@@ -191,6 +191,7 @@ def test_child_table_summary_equals_nested(spark):
         R.no_null_elements("q_not_null", "xs", "q"),
         R.all_in("st_known", "xs", "st", ["F", "O"]),
         R.elements_vs_parent("born_before_made", "xs", "born", "<", "made"),
+        R.elements_vs_parent("born_is_made", "xs", "born", "==", "made"),       # join-first path
         R.implies_rule("f_has_f", F.col("status") == "F", R.any_equal("hf", "xs", "st", "F")),
     ]
     nested = reattach(parents, nest_children(kids, "k", ["q", "st", "born"], "xs"), "k")
