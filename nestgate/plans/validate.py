@@ -5,6 +5,10 @@
 * :func:`failing_rows`    -- ``(key, rule)`` for every failing row (R4)
 * :func:`failing_elements`-- ``(key, rule, pos, value)`` per failing element (R5)
 * :func:`gate` / :func:`quarantine` -- blocking gate and row split (R7)
+* :func:`summary_from_children` -- the same counts for parent + child tables,
+  from one partial-aggregating ``groupBy`` (no lists built)
+* :func:`validate_frame`  -- declared schema (coercion, types, nullability) plus
+  rules at a depth, as one report
 
 All row rules of a run are evaluated in **one** aggregation over the input
 (a single scan, partial aggregation, one tiny shuffle of per-task counters).
