@@ -39,15 +39,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (tests, local runs) a fresh
     folder is created and registered, so lineage cuts and scratch tables work.
     """
+    try:
+        sc = spark.sparkContext          # not available on a Spark Connect session
+    except Exception:  # noqa: BLE001
+        sc = None
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         root = tempfile.mkdtemp(prefix="nestgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
-        spark.sparkContext.setCheckpointDir(root)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(root)
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(root)
     return root.rstrip("/")
 
 
