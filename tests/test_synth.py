@@ -23,3 +23,25 @@ def test_planted_errors_found_exactly(spark):
     row = df.where(F.col("object_id") == "OBJ-0000005").first()
     assert row["title"] == "Artwork 5" and row["date_made"] == 1805 and row["dimensions"][0]["value"] == 0.5
     assert df.where(F.col("object_id") == f"OBJ-{n - 1:07d}").first()["related_objects"][0]["object_id"] == "OBJ-0000000"
+
+
+def test_command_line(spark, capsys):
+    import json
+
+    from nestgate.__main__ import main
+    from nestgate.session import scratch_path
+
+    path = scratch_path(spark, "t-cli")
+    assert main(["generate", "--rows", "2000", "--out", path], spark=spark) == 0
+    capsys.readouterr()
+    assert main(["validate", path, "--depth", "full"], spark=spark) == 1
+    out = json.loads(capsys.readouterr().out)
+    assert {f["rule"] for f in out["failures"]} == {
+        "all_dimension_values_gt_1", "has_at_least_one_constituent", "has_at_least_one_artist",
+        "has_primary_image", "has_at_least_one_image", "has_provenance"}
+    assert all(f["failed"] == 100 for f in out["failures"])
+    assert main(["validate", path, "--depth", "types"], spark=spark) == 0
+    capsys.readouterr()
+    main(["profile", path], spark=spark)
+    prof = {json.loads(x)["column_name"]: json.loads(x) for x in capsys.readouterr().out.splitlines()}
+    assert prof["media"]["n_empty"] == 100 and prof["object_id"]["n_rows"] == 2000
