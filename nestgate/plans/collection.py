@@ -287,6 +287,11 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
     from nestgate.plans import validate as V
 
     if xml_objects:
+        from nestgate.sources.xml import assert_well_formed, malformed_xml_files
+
+        # load gate: every malformed file is listed and nothing is loaded
+        assert_well_formed(malformed_xml_files(spark, xml_objects, "object", OBJECT_XML_READ).unionByName(
+            malformed_xml_files(spark, xml_terms, "term", TERM_XML_READ)))
         objects, terms = harvest_objects_xml(spark, xml_objects), harvest_terminology_xml(spark, xml_terms)
     else:
         objects, terms = harvest_objects_json(spark, json_objects), harvest_terminology_json(spark, json_terms)

@@ -253,3 +253,14 @@ def test_hot_identical_copies_keep_single_lists(spark, terms_xml, objects_xml):
         out = M.enrich_objects(terms_xml, docs, strategy=strategy)
         sizes = out.where(F.col("object_id") == "OBJ-001").groupBy(F.size("classifications").alias("n")).count()
         assert [(r["n"], r["count"]) for r in sizes.collect()] == [(4, 1024)], strategy
+
+
+def test_materialize_collection_refuses_malformed_xml(spark, tmp_path, fixture_paths):
+    import shutil
+
+    d = tmp_path / "objs"
+    shutil.copytree(fixture_paths["xml_objects"], d)
+    (d / "BAD.xml").write_text('<?xml version="1.0"?>\n<object id="B"><title>x</title><dimensions>')
+    with pytest.raises(ValueError, match=r"Malformed XML \(1 file\(s\)\)"):
+        M.materialize_collection(spark, scratch_path(spark, "t-flow-bad"), xml_objects=str(d),
+                                 xml_terms=fixture_paths["xml_terms"], mode="warn")
