@@ -308,6 +308,12 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
     rules = nullability_rules(ENRICHED) + object_rules()
     passed, errors = check_objects(transformed, rules)
     out["passed"], out["errors"] = passed, errors
+    if not passed:
+        # which rows and which nested elements fail: written as tables, not collected
+        out["failing_rows"] = K.write_parquet(V.failing_rows(transformed, rules, "object_id"),
+                                              f"{out_dir}/findings/failing_rows")
+        out["failing_elements"] = K.write_parquet(V.failing_elements(transformed, rules, "object_id"),
+                                                  f"{out_dir}/findings/failing_elements")
     if not passed and mode == "block":
         raise V.ValidationError([{"column_name": e["column"], "rule": e["check"], "failed": None} for e in errors])
     if mode == "quarantine":

@@ -204,6 +204,11 @@ def test_materialize_collection_modes(spark, fixture_paths):
     out = M.materialize_collection(spark, base + "-warn", json_objects=fixture_paths["json_objects"],
                                    json_terms=fixture_paths["json_terms"], mode="warn")
     assert not out["passed"] and spark.read.json(out["output"]).count() == 5
+    rows = {(r["object_id"], r["rule"]) for r in spark.read.parquet(out["failing_rows"]).collect()}
+    assert rows == {("OBJ-005", "all_dimension_values_gt_1"), ("OBJ-003", "has_at_least_one_constituent"),
+                    ("OBJ-003", "has_at_least_one_artist")}
+    el = spark.read.parquet(out["failing_elements"]).first()
+    assert (el["object_id"], el["pos"], el["value"]) == ("OBJ-005", 0, "[0.5]")
     out = M.materialize_collection(spark, base + "-q", xml_objects=fixture_paths["xml_objects"],
                                    xml_terms=fixture_paths["xml_terms"], mode="quarantine")
     back = spark.read.parquet(out["output"])
