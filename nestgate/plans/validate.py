@@ -60,6 +60,27 @@ def unique_violations(df: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
+def duplicate_keys(df: DataFrame, rule: Rule, max_rows: int = 1_000_000) -> tuple[DataFrame, bool]:
+    """The key values that occur more than once, and whether they may be broadcast.
+
+    One partial-aggregating pass over the key columns only; the result is cut
+    from its lineage (checkpoint in the shared folder) and, when a bounded
+    probe shows it small -- the usual case, few duplicates -- broadcast, so
+    attaching uniqueness findings does not shuffle the data itself."""
+    from nestgate.operators.lookup import probe_size
+    from nestgate.session import checkpoint_root
+
+    keys = list(rule.keys)
+    checkpoint_root(df.sparkSession)
+    dup = df.select(*keys).groupBy(*keys).count().where("count > 1").drop("count").checkpoint(eager=True)
+    n, b = probe_size(dup, max_rows)
+    return dup, (n <= max_rows and b <= 64 * 1024 * 1024)
+
+
+def _hinted(dup: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(dup) if small else dup
+
+
 def summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """``(rule_order, rule, column_name, level, failed)``: one row per rule.
 
@@ -150,8 +171,7 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str])
     else:
         out = df.select(*keys, F.lit(None).cast("string").alias("rule")).where(F.lit(False))
     for r in _frame_rules(rules):
-        dup = df.select(*r.keys).groupBy(*r.keys).count().where("count > 1").drop("count")
-        rows = df.join(dup, on=list(r.keys), how="left_semi")
+        rows = df.join(_hinted(*duplicate_keys(df, r)), on=list(r.keys), how="left_semi")
         out = out.unionByName(rows.select(*keys, F.lit(r.name).alias("rule")))
     return out
 
@@ -206,10 +226,8 @@ def with_findings(df: DataFrame, rules: Sequence[Rule], col: str = "_failed_rule
     """Attach the failing rule names per row; frame rules via a semi-join on duplicates."""
     out = df.withColumn(col, failed_rule_names(rules))
     for r in _frame_rules(rules):
-        dup = (
-            df.select(*r.keys).groupBy(*r.keys).count().where("count > 1")
-            .select(*r.keys, F.lit(True).alias("_dup"))
-        )
+        keys_df, small = duplicate_keys(df, r)
+        dup = _hinted(keys_df.withColumn("_dup", F.lit(True)), small)
         out = (
             out.join(dup, on=list(r.keys), how="left")
             .withColumn(col, F.when(F.col("_dup"), F.array_append(F.col(col), F.lit(r.name))).otherwise(F.col(col)))

@@ -60,3 +60,9 @@ def test_small_lookup_join_is_broadcast(spark, terms_xml, objects_xml):
     terms = terms_xml.select(F.col("term_id").alias("tid"), "label")
     p = plan(lookup_join(flat, terms, "term_id", "tid"))
     assert "BroadcastHashJoin" in p
+
+
+def test_uniqueness_findings_do_not_shuffle_the_data(spark, enriched):
+    tagged = V.with_findings(enriched, [R.unique("id_unique", "object_id")])
+    p = plan(tagged)
+    assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
