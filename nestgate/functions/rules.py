@@ -108,7 +108,7 @@ def any_element(name: str, list_col: str, fld: str | None, pred: Callable[[Colum
 def any_element_if_any(name: str, list_col: str, fld: str | None, pred: Callable[[Column], Column],
                        level: str = NESTED) -> Rule:
     """Guarded form: an empty list passes, otherwise like :func:`any_element`."""
-    check = (F.size(F.col(list_col)) == 0) | F.exists(
+    check = F.when(F.col(list_col).isNotNull(), F.size(F.col(list_col)) == 0) | F.exists(
         _path(list_col, fld), lambda v: F.coalesce(pred(v), F.lit(False)))
     return Rule(name, list_col, check, level, agg=ListAgg("any_if_any", fld, pred))
 
@@ -138,8 +138,9 @@ def max_element(name: str, list_col: str, fld: str | None, op: str, bound: objec
 
 def list_size(name: str, list_col: str, op: str, bound: int, level: str = NESTED) -> Rule:
     """Length of the list compared with ``bound`` (a null list passes)."""
-    return Rule(name, list_col, compare(F.size(F.col(list_col)), op, bound), level,
-                agg=ListAgg("size", None, None, op, bound))
+    # guarded: with ANSI mode off size(null) is -1, not null
+    check = F.when(F.col(list_col).isNotNull(), compare(F.size(F.col(list_col)), op, bound))
+    return Rule(name, list_col, check, level, agg=ListAgg("size", None, None, op, bound))
 
 
 def in_set(name: str, list_col: str, fld: str | None, values: Iterable[object],
@@ -212,8 +213,8 @@ def count_equal(name: str, list_col: str, fld: str | None, value: object, op: st
                 level: str = NESTED) -> Rule:
     """Number of elements equal to ``value`` compared with ``bound``."""
     p = _path(list_col, fld)
-    return Rule(name, list_col, compare(F.size(p) - F.size(F.array_remove(p, value)), op, bound), level,
-                agg=ListAgg("count", fld, lambda v: v == value, op, bound))
+    check = F.when(F.col(list_col).isNotNull(), compare(F.size(p) - F.size(F.array_remove(p, value)), op, bound))
+    return Rule(name, list_col, check, level, agg=ListAgg("count", fld, lambda v: v == value, op, bound))
 
 
 def no_empty_strings(name: str, list_col: str, fld: str | None, level: str = NESTED) -> Rule:
@@ -227,7 +228,8 @@ def no_empty_strings(name: str, list_col: str, fld: str | None, level: str = NES
 def no_null_elements(name: str, list_col: str, fld: str | None, level: str = NESTED) -> Rule:
     """No element (field) is null."""
     p = _path(list_col, fld)
-    return Rule(name, list_col, F.size(F.array_compact(p)) == F.size(p), level,
+    check = F.when(F.col(list_col).isNotNull(), F.size(F.array_compact(p)) == F.size(p))
+    return Rule(name, list_col, check, level,
                 ElementTest(list_col, fld, lambda v: v.isNotNull()), agg=ListAgg("all", fld, lambda v: v.isNotNull()))
 
 
@@ -235,7 +237,8 @@ def all_in(name: str, list_col: str, fld: str | None, values: Iterable[object],
     """Every element is one of ``values`` (nulls ignored)."""
     vals = list(values)
     p = _path(list_col, fld)
-    check = F.size(F.array_except(F.array_compact(p), F.array(*[F.lit(v) for v in vals]))) == 0
+    check = F.when(F.col(list_col).isNotNull(),
+                   F.size(F.array_except(F.array_compact(p), F.array(*[F.lit(v) for v in vals]))) == 0)
     return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: v.isin(vals)),
                 agg=ListAgg("all", fld, lambda v: v.isin(vals)))
 

@@ -79,12 +79,12 @@ def rename_if_present(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 
 def filter_list_length(df: DataFrame, list_col: str, op: str, bound: int) -> DataFrame:
     """P5: keep rows whose list length satisfies ``op bound``; a null list drops out."""
-    return df.where(compare(F.size(F.col(list_col)), op, bound))
+    return df.where(compare(list_length(list_col), op, bound))
 
 
 def list_length(list_col: str) -> Column:
-    """Length of a list column (null for a null list)."""
-    return F.size(F.col(list_col))
+    """Length of a list column (null for a null list, whatever the ANSI mode)."""
+    return F.when(F.col(list_col).isNotNull(), F.size(F.col(list_col)))
 
 
 def field_values(list_col: str, fld: str) -> Column:

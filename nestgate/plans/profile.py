@@ -22,9 +22,10 @@ def table_profile(df: DataFrame) -> DataFrame:
         col = F.col(f"`{c}`")
         aggs.append(F.count_if(col.isNull()).alias(f"_n{i}"))
         if c in lists:
-            aggs += [F.count_if(F.size(col) == 0).alias(f"_e{i}"),
-                     F.coalesce(F.sum(F.size(col)), F.lit(0)).cast("bigint").alias(f"_s{i}"),
-                     F.max(F.size(col)).cast("bigint").alias(f"_m{i}")]
+            n = F.when(col.isNotNull(), F.size(col))      # size(null) is -1 when ANSI mode is off
+            aggs += [F.count_if(n == 0).alias(f"_e{i}"),
+                     F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias(f"_s{i}"),
+                     F.max(n).cast("bigint").alias(f"_m{i}")]
     row = df.agg(*aggs)
     parts = []
     for i, f in enumerate(df.schema.fields):

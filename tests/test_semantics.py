@@ -107,3 +107,20 @@ def test_child_table_path_matches_nested(spark):
     b = {r["rule"]: r["failed"] for r in V.summary_from_children(parents, children, "k", "xs", rules).collect()}
     assert a == b
     assert children.where(F.col("t").isNull() & F.col("n").isNull()).count() > 0   # null elements were kept
+
+
+def test_rules_do_not_depend_on_ansi_mode(spark):
+    rows = make_rows(seed=5)
+    df = spark.createDataFrame(rows, SCHEMA)
+    rules = [r for r, _ in cases()]
+    on = {r["rule"]: r["failed"] for r in V.summary(df, rules).collect()}
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        off = {r["rule"]: r["failed"] for r in V.summary(df, rules).collect()}
+        from nestgate.plans.profile import table_profile
+
+        prof = {r["column_name"]: r for r in table_profile(df).collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert on == off
+    assert prof["xs"]["n_elements"] == sum(len(xs) for _, xs in rows if xs is not None)
