@@ -45,3 +45,14 @@ def test_command_line(spark, capsys):
     main(["profile", path], spark=spark)
     prof = {json.loads(x)["column_name"]: json.loads(x) for x in capsys.readouterr().out.splitlines()}
     assert prof["media"]["n_empty"] == 100 and prof["object_id"]["n_rows"] == 2000
+
+
+def test_full_size_planted_errors(spark):
+    """The reference benchmark's shape: 1,000,000 rows, each planted rule fails on exactly 50,000."""
+    ids = spark.range(SY.BENCH_ROWS).select(F.col("id").alias("n"))
+    df = SY.inject_errors(SY.generate_objects(ids, SY.BENCH_ROWS), SY.ERRORS_PER_KIND).drop("n")
+    s = {r["rule"]: r["failed"] for r in V.summary(df, M.nullability_rules(M.WIDE) + M.wide_rules()).collect()}
+    failing = {r: v for r, v in s.items() if v}
+    assert failing == {r: 50_000 for r in ("all_dimension_values_gt_1", "has_at_least_one_constituent",
+                                           "has_at_least_one_artist", "has_primary_image", "has_at_least_one_image",
+                                           "has_provenance")}
