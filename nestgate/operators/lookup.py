@@ -115,11 +115,12 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
     out_col = out_col or list_col
     memo: dict[tuple[int, str, str], tuple[int, int]] = {}
     probes = []
-    for lk in lookups:  # one probe per distinct (table, key, value)
-        k = (id(lk.table), lk.key, lk.value)
-        if k not in memo:
-            memo[k] = probe_lookup(lk, broadcast_max_rows)
-        probes.append(memo[k])
+    if strategy != "map":  # a forced map needs no size facts
+        for lk in lookups:  # one probe per distinct (table, key, value)
+            k = (id(lk.table), lk.key, lk.value)
+            if k not in memo:
+                memo[k] = probe_lookup(lk, broadcast_max_rows)
+            probes.append(memo[k])
     if strategy == "auto":
         strategy = choose_strategy(probes, map_max_keys)
     if strategy == "map":
