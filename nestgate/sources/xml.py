@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestgate.functions.coerce import coerce_to_schema, rename_fields
+from nestgate.functions.coerce import coerce_to_schema
 
 CORRUPT = "_corrupt_record"
 ATTRIBUTE_PREFIX = "_"
@@ -82,18 +82,49 @@ def xml_name(name: str, text_name: str = "text", prefix: str = ATTRIBUTE_PREFIX,
     return name
 
 
+def _is_attribute(name: str) -> bool:
+    return name.startswith(ATTRIBUTE_PREFIX) and name not in (CORRUPT, VALUE_TAG)
+
+
+def _clean_level(names: list[str], rn) -> dict[str, str]:
+    """New names for one struct level; an attribute whose name a child element
+    already uses keeps an ``_attr`` suffix instead of colliding with it."""
+    children = {rn(n) for n in names if not _is_attribute(n)}
+    return {n: (rn(n) + "_attr" if _is_attribute(n) and rn(n) in children else rn(n)) for n in names}
+
+
+def _clean(c: Column, dt: T.DataType, rn) -> tuple[Column, T.DataType]:
+    if isinstance(dt, T.StructType):
+        new = _clean_level([f.name for f in dt.fields], rn)
+        parts, fields = [], []
+        for f in dt.fields:
+            sub, st = _clean(c[f.name], f.dataType, rn)
+            parts.append(sub.alias(new[f.name]))
+            fields.append(T.StructField(new[f.name], st, True))
+        t = T.StructType(fields)
+        return F.when(c.isNull(), F.lit(None).cast(t)).otherwise(F.struct(*parts)), t
+    if isinstance(dt, T.ArrayType):
+        _, et = _clean(F.lit(None).cast(dt.elementType), dt.elementType, rn)
+        return F.transform(c, lambda x: _clean(x, dt.elementType, rn)[0]), T.ArrayType(et, True)
+    return c, dt
+
+
 def clean_names(df: DataFrame, text_name: str = "text", renames: Mapping[str, str] | None = None) -> DataFrame:
-    """Strip the attribute prefix and rename the text value, at every depth."""
+    """Strip the attribute prefix and rename the text value, at every depth.
+
+    ``renames`` maps cleaned names to final ones.  Where an attribute and a
+    child element share a name, the attribute becomes ``<name>_attr``."""
     renames = dict(renames or {})
 
     def rn(n: str) -> str:
         n2 = xml_name(n, text_name)
         return renames.get(n2, n2)
 
+    top = _clean_level([f.name for f in df.schema.fields], rn)
     cols = []
     for f in df.schema.fields:
-        expr, _ = rename_fields(F.col(f"`{f.name}`"), f.dataType, rn)
-        cols.append(expr.alias(rn(f.name)))
+        expr, _ = _clean(F.col(f"`{f.name}`"), f.dataType, rn)
+        cols.append(expr.alias(top[f.name]))
     return df.select(*cols)
 
 

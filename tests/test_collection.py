@@ -269,3 +269,12 @@ def test_materialize_collection_refuses_malformed_xml(spark, tmp_path, fixture_p
     with pytest.raises(ValueError, match=r"Malformed XML \(1 file\(s\)\)"):
         M.materialize_collection(spark, scratch_path(spark, "t-flow-bad"), xml_objects=str(d),
                                  xml_terms=fixture_paths["xml_terms"], mode="warn")
+
+
+def test_xml_attribute_and_child_with_the_same_name(spark):
+    from nestgate.sources.xml import clean_names, parse_xml_column
+
+    df = spark.createDataFrame([('<c role="attr-role"><role>child-role</role><name>n</name></c>',)], "x string")
+    parsed = df.select(parse_xml_column("x", "_role string, role string, name string").alias("r")).select("r.*")
+    row = clean_names(parsed.drop("_corrupt_record")).first()
+    assert (row["role"], row["role_attr"], row["name"]) == ("child-role", "attr-role", "n")
