@@ -1,9 +1,16 @@
 """Query catalogue over the driver tables: Spark plans and equivalent SQL.
 
 Every query reads whole tables (or data Spark derives from them).  Each entry
-has a Spark callable ``(spark, sf_dir) -> DataFrame`` and, where the result is
-expressible in plain SQL, the oracle text run by DuckDB on the same tables.
-Outputs are flat scalar columns with identical names on both sides.
+has a Spark callable ``(spark, sf_dir) -> DataFrame`` and the oracle text run by
+DuckDB on the same tables.  Outputs are flat scalar columns with identical
+names and types on both sides.
+
+Stand-ins (see :mod:`nestgate.plans.standins`): an order is a document, its
+line items the nested list, the customer the constituent; nation, region,
+part and supplier names form the terminology.  Defects the harvest, malformed
+and conformance queries must find are derived from data properties (order
+priority and status), never from id subsets.  Queries that write files (XML,
+JSON, Parquet round trips) write under ``spark.checkpoint.dir``.
 """
 
 from __future__ import annotations
