@@ -214,16 +214,25 @@ def object_xml_typed() -> T.StructType:
     return T.StructType(fields)
 
 
+def harvest_objects_xml_text(spark, path: str) -> DataFrame:
+    """Object XML documents unwrapped and renamed, every leaf still text."""
+    from nestgate.sources.xml import clean_names, read_xml_records, unwrap_lists
+
+    raw = read_xml_records(spark, path, "object", OBJECT_XML_READ, file_col=None)
+    raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
+    return clean_names(unwrap_lists(raw, OBJECT_XML_WRAPPERS))
+
+
 def harvest_objects_xml(spark, path: str) -> DataFrame:
     """Object XML documents (one per file) -> typed nested rows.
 
     Malformed records are left out here; use
-    :func:`nestgate.sources.xml.malformed_xml_files` as the load gate."""
-    from nestgate.sources.xml import harvest_xml, read_xml_records
+    :func:`nestgate.sources.xml.malformed_xml_files` as the load gate, and
+    :func:`nestgate.functions.coerce.coercion_failures` on
+    :func:`harvest_objects_xml_text` to count values that could not be typed."""
+    from nestgate.functions.coerce import coerce_to_schema
 
-    raw = read_xml_records(spark, path, "object", OBJECT_XML_READ, file_col=None)
-    raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
-    return harvest_xml(raw, OBJECT_XML_WRAPPERS, object_xml_typed())
+    return coerce_to_schema(harvest_objects_xml_text(spark, path), object_xml_typed())
 
 
 def harvest_terminology_xml(spark, path: str) -> DataFrame:
@@ -292,11 +301,22 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
         # load gate: every malformed file is listed and nothing is loaded
         assert_well_formed(malformed_xml_files(spark, xml_objects, "object", OBJECT_XML_READ).unionByName(
             malformed_xml_files(spark, xml_terms, "term", TERM_XML_READ)))
+        text, typed = harvest_objects_xml_text(spark, xml_objects), object_xml_typed()
         objects, terms = harvest_objects_xml(spark, xml_objects), harvest_terminology_xml(spark, xml_terms)
     else:
+        from nestgate.functions.coerce import string_leaves
+        from nestgate.sources.json import read_json_documents
+
+        text, typed = read_json_documents(spark, json_objects, string_leaves(OBJECT), multiline=True,
+                                          corrupt_col=None), OBJECT
         objects, terms = harvest_objects_json(spark, json_objects), harvest_terminology_json(spark, json_terms)
+    from nestgate.functions.coerce import coercion_failures
+
+    # values present in the source that could not be typed (one aggregation; one row per column)
+    out_typing = {r["column_name"]: r["new_nulls"] for r in coercion_failures(text, typed).collect()
+                  if r["new_nulls"]}
     out = {"harvest_objects": f"{out_dir}/harvest/objects", "harvest_terminology": f"{out_dir}/harvest/terminology",
-           "transform": f"{out_dir}/transform/objects_enriched"}
+           "transform": f"{out_dir}/transform/objects_enriched", "untyped_values": out_typing}
     K.write_parquet(objects, out["harvest_objects"])
     K.write_parquet(terms, out["harvest_terminology"])
     enriched = enrich_objects(spark.read.parquet(out["harvest_terminology"]),

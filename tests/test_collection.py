@@ -278,3 +278,18 @@ def test_xml_attribute_and_child_with_the_same_name(spark):
     parsed = df.select(parse_xml_column("x", "_role string, role string, name string").alias("r")).select("r.*")
     row = clean_names(parsed.drop("_corrupt_record")).first()
     assert (row["role"], row["role_attr"], row["name"]) == ("child-role", "attr-role", "n")
+
+
+def test_materialize_collection_counts_untyped_values(spark, tmp_path, fixture_paths):
+    import shutil
+
+    d = tmp_path / "objs"
+    shutil.copytree(fixture_paths["xml_objects"], d)
+    p = d / "OBJ-002.xml"
+    p.write_text(p.read_text().replace('value="45.0"', 'value="abc"').replace("<birth_year>1870", "<birth_year>c.1870"))
+    out = M.materialize_collection(spark, scratch_path(spark, "t-flow-typing"), xml_objects=str(d),
+                                   xml_terms=fixture_paths["xml_terms"], mode="warn")
+    assert out["untyped_values"] == {"dimensions": 1, "constituents": 1}
+    ok = M.materialize_collection(spark, scratch_path(spark, "t-flow-typing-ok"), json_objects=fixture_paths["json_objects"],
+                                  json_terms=fixture_paths["json_terms"], mode="warn")
+    assert ok["untyped_values"] == {}
