@@ -284,14 +284,16 @@ def check_objects(enriched: DataFrame, rules: list[R.Rule] | None = None) -> tup
 # ---------------------------------------------------------------- end-to-end run
 def materialize_collection(spark, out_dir: str, xml_objects: str | None = None, xml_terms: str | None = None,
                            json_objects: str | None = None, json_terms: str | None = None,
-                           mode: str = "block", strategy: str = "auto") -> dict:
+                           mode: str = "block", strategy: str = "auto", bulk_index: str | None = None) -> dict:
     """Harvest -> Parquet -> enrich -> Parquet (round-trip checked) -> check -> gate -> JSON lines.
 
     Either the XML pair or the JSON pair of inputs is given.  ``mode``:
     ``block`` raises :class:`~nestgate.plans.validate.ValidationError` before
     any output is written; ``warn`` writes everything; ``quarantine`` writes
     clean rows to the output and failing rows (with rule names) aside, in one
-    pass.  Returns the paths written and the per-column first failures."""
+    pass.  ``bulk_index`` writes search-engine bulk pairs (action line, then
+    document) instead of plain JSON lines.  Returns the paths written, the
+    per-column first failures and the count of values that could not be typed."""
     from nestgate.plans import export as K
     from nestgate.plans import validate as V
 
@@ -340,6 +342,11 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
         tagged = V.with_findings(transformed, rules).withColumn(
             "_status", F.when(F.size("_failed_rules") == 0, "clean").otherwise("quarantined"))
         out["output"] = K.write_split(tagged, f"{out_dir}/output/objects")
+    elif bulk_index:
+        # search-engine bulk format: an action line, then the document, per object
+        path = f"{out_dir}/output/objects_bulk"
+        K.bulk_index_lines(transformed, "object_id", bulk_index).write.mode("overwrite").text(path)
+        out["output"] = path
     else:
         out["output"] = K.write_json_lines(transformed, f"{out_dir}/output/objects")
     return out

@@ -293,3 +293,12 @@ def test_materialize_collection_counts_untyped_values(spark, tmp_path, fixture_p
     ok = M.materialize_collection(spark, scratch_path(spark, "t-flow-typing-ok"), json_objects=fixture_paths["json_objects"],
                                   json_terms=fixture_paths["json_terms"], mode="warn")
     assert ok["untyped_values"] == {}
+
+
+def test_materialize_collection_bulk_output(spark, fixture_paths):
+    out = M.materialize_collection(spark, scratch_path(spark, "t-flow-bulk"), json_objects=fixture_paths["json_objects"],
+                                   json_terms=fixture_paths["json_terms"], mode="warn", bulk_index="objects")
+    lines = [r["value"] for r in spark.read.text(out["output"]).collect()]
+    assert len(lines) == 10
+    actions = [json.loads(x) for x in lines if x.startswith('{"index"')]
+    assert sorted(a["index"]["_id"] for a in actions) == ["OBJ-001", "OBJ-002", "OBJ-003", "OBJ-004", "OBJ-005"]
