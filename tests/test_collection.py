@@ -302,3 +302,15 @@ def test_materialize_collection_bulk_output(spark, fixture_paths):
     assert len(lines) == 10
     actions = [json.loads(x) for x in lines if x.startswith('{"index"')]
     assert sorted(a["index"]["_id"] for a in actions) == ["OBJ-001", "OBJ-002", "OBJ-003", "OBJ-004", "OBJ-005"]
+
+
+def test_command_line_collection(spark, fixture_paths, capsys):
+    from nestgate.__main__ import main
+
+    out_dir = scratch_path(spark, "t-cli-flow")
+    rc = main(["collection", "--out", out_dir, "--xml-objects", fixture_paths["xml_objects"],
+               "--xml-terms", fixture_paths["xml_terms"], "--mode", "quarantine"], spark=spark)
+    assert rc == 0
+    res = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert res["passed"] is False and res["errors"][0] == {"column": "dimensions", "check": "all_dimension_values_gt_1"}
+    assert spark.read.parquet(res["output"]).where("_status = 'clean'").count() == 3
