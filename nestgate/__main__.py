@@ -42,6 +42,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     g.add_argument("--out", required=True)
     p = sub.add_parser("profile")
     p.add_argument("path")
+    p.add_argument("--show", type=int, default=0, help="also print the first N rows as JSON documents")
     v = sub.add_parser("validate")
     v.add_argument("path")
     v.add_argument("--depth", choices=["types", "flat", "full"], default="full")
@@ -65,8 +66,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     elif args.cmd == "profile":
         from nestgate.plans.profile import table_profile
 
-        for r in table_profile(spark.read.parquet(args.path)).collect():
+        from nestgate.plans.export import to_json_document
+
+        df = spark.read.parquet(args.path)
+        for r in table_profile(df).collect():
             print(json.dumps(r.asDict()))
+        if args.show:  # a sample for display: the limit is the feature here
+            for r in df.limit(args.show).select(to_json_document(df).alias("d")).collect():
+                print(r["d"])
     elif args.cmd == "validate":
         from nestgate.plans import collection as M
         from nestgate.plans.validate import validate_frame

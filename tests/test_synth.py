@@ -42,9 +42,11 @@ def test_command_line(spark, capsys):
     assert all(f["failed"] == 100 for f in out["failures"])
     assert main(["validate", path, "--depth", "types"], spark=spark) == 0
     capsys.readouterr()
-    main(["profile", path], spark=spark)
-    prof = {json.loads(x)["column_name"]: json.loads(x) for x in capsys.readouterr().out.splitlines()}
+    main(["profile", path, "--show", "2"], spark=spark)
+    lines = [json.loads(x) for x in capsys.readouterr().out.splitlines()]
+    prof = {x["column_name"]: x for x in lines if "column_name" in x}
     assert prof["media"]["n_empty"] == 100 and prof["object_id"]["n_rows"] == 2000
+    assert len([x for x in lines if "object_id" in x]) == 2
 
 
 def test_full_size_planted_errors(spark):
