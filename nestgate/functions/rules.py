@@ -45,6 +45,7 @@ class ElementTest:
     list_col: str
     field: str | None
     passes: Callable[[Column], Column]  # element value -> pass predicate
+    parent_refs: tuple[str, ...] = ()  # parent columns the predicate reads
 
 
 @dataclass(frozen=True)
@@ -94,7 +95,7 @@ def all_elements(name: str, list_col: str, fld: str | None, pred: Callable[[Colu
                  level: str = NESTED, parent_refs: Sequence[str] = ()) -> Rule:
     """Every element (or element field) satisfies ``pred``; nulls ignored."""
     check = F.forall(_path(list_col, fld), lambda v: F.coalesce(pred(v), F.lit(True)))
-    return Rule(name, list_col, check, level, ElementTest(list_col, fld, pred),
+    return Rule(name, list_col, check, level, ElementTest(list_col, fld, pred, tuple(parent_refs)),
                 agg=ListAgg("all", fld, pred, parent_refs=tuple(parent_refs)))
 
 
@@ -176,7 +177,8 @@ def elements_vs_parent(name: str, list_col: str, fld: str | None, op: str, paren
         kind = "min" if op in (">", ">=") else "max"
         p = _path(list_col, fld)
         check = compare(F.array_min(p) if kind == "min" else F.array_max(p), op, parent)
-        return Rule(name, list_col, check, level, ElementTest(list_col, fld, lambda v: compare(v, op, parent)),
+        return Rule(name, list_col, check, level,
+                    ElementTest(list_col, fld, lambda v: compare(v, op, parent), (parent_col,)),
                     agg=ListAgg(kind, fld, None, op, parent))
     return all_elements(name, list_col, fld, lambda v: compare(v, op, parent), level, parent_refs=(parent_col,))
 

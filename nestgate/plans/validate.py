@@ -341,6 +341,35 @@ def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Se
 
 
 # ---------------------------------------------------------------- schema + rules in one call
+def failing_elements_from_children(children: DataFrame, key: str | Sequence[str], list_col: str,
+                                   rules: Sequence[Rule], parents: DataFrame | None = None) -> DataFrame:
+    """R5 for parent + child tables: ``(*key, rule, value)`` per failing child row.
+
+    The same element tests as :func:`failing_elements`, evaluated in one pass
+    over the child rows (each row collects the names and values of the rules
+    it breaks, then one explode).  Rules comparing elements with parent
+    columns need ``parents``; only the distinct (key, referenced columns) are
+    joined to the children."""
+    keys = [key] if isinstance(key, str) else list(key)
+    el_rules = [r for r in _row_rules(rules) if r.column == list_col and r.element is not None]
+    if not el_rules:
+        raise ValueError("no element rules over this list")
+    refs = sorted({c for r in el_rules for c in r.element.parent_refs})
+    kids = children
+    if refs:
+        if parents is None:
+            raise ValueError(f"rules read parent columns {refs}: pass parents")
+        kids = kids.join(parents.select(*keys, *refs).distinct(), on=keys, how="inner")
+    per_rule = []
+    for r in el_rules:
+        e = r.element
+        v = F.col(e.field) if e.field else F.col(list_col)
+        per_rule.append(F.when(~F.coalesce(e.passes(v), F.lit(True)),
+                               F.struct(F.lit(r.name).alias("rule"), F.to_json(F.array(v)).alias("value"))))
+    found = F.filter(F.array(*per_rule), lambda x: x.isNotNull())
+    return kids.select(*keys, F.explode(found).alias("f")).select(*keys, "f.rule", "f.value")
+
+
 def nullability_rules(schema: T.StructType) -> list[Rule]:
     """V4: a ``not_null`` rule (level ``types``) for every non-nullable declared column.
 
