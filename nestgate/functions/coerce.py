@@ -53,13 +53,18 @@ def coerce_to_schema(df: DataFrame, schema: T.StructType, strict: bool = False)
     cols = []
     for f in schema.fields:
         if f.name in df.columns:
-            cols.append(coerce_column(F.col(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name))
+            cols.append(coerce_column(_top(f.name), df.schema[f.name].dataType, f.dataType).alias(f.name))
         else:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    extra = [] if strict else [c for c in df.columns if _field(schema, c) is None]
+    extra = [] if strict else [_top(c) for c in df.columns if _field(schema, c) is None]
     return df.select(*cols, *extra)
 
 
+def _top(name: str) -> Column:
+    """A top-level column by name, even if the name contains dots."""
+    return F.col(f"`{name}`")
+
+
 def leaf_nulls(c: Column, dt: T.DataType) -> Column:
     """Number of null leaves in a (nested) value; a null container counts once."""
     if isinstance(dt, T.StructType):
@@ -78,15 +83,15 @@ def coercion_failures(before: DataFrame, schema: T.StructType) -> DataFrame:
     """Per declared column: leaves that are not null before coercion but are after.
 
     Both sides are evaluated on the same rows in one pass: ``(column_name, new_nulls)``."""
-    paired = before.select(*[F.col(f.name).alias(f"_b_{f.name}") for f in schema.fields if f.name in before.columns],
-                           *[coerce_column(F.col(f.name), before.schema[f.name].dataType, f.dataType).alias(f"_a_{f.name}")
+    paired = before.select(*[_top(f.name).alias(f"_b_{f.name}") for f in schema.fields if f.name in before.columns],
+                           *[coerce_column(_top(f.name), before.schema[f.name].dataType, f.dataType).alias(f"_a_{f.name}")
                              for f in schema.fields if f.name in before.columns])
     aggs = []
     for f in schema.fields:
         if f.name not in before.columns:
             continue
-        b = leaf_nulls(F.col(f"_b_{f.name}"), before.schema[f.name].dataType)
-        a = leaf_nulls(F.col(f"_a_{f.name}"), f.dataType)
+        b = leaf_nulls(_top(f"_b_{f.name}"), before.schema[f.name].dataType)
+        a = leaf_nulls(_top(f"_a_{f.name}"), f.dataType)
         aggs.append(F.sum(a - b).cast("bigint").alias(f.name))
     counts = paired.agg(*aggs)
     names = [f.name for f in schema.fields if f.name in before.columns]

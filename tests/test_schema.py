@@ -104,3 +104,12 @@ def test_validate_frame(spark):
         assert "title_not_null" in str(e)
     types_only = validate_frame(df, schema, rules, depth="types", coerce=True)
     assert {r["rule"] for r in types_only.summary.collect()} == {"id_not_null", "title_not_null"}
+
+
+def test_coerce_column_names_with_dots(spark):
+    df = spark.createDataFrame([("1", "x")], "`a.b` string, c string")
+    out = coerce_to_schema(df, T.StructType([T.StructField("a.b", T.LongType())]))
+    assert out.columns == ["a.b", "c"] and out.first()["a.b"] == 1
+    fails = {r["column_name"]: r["new_nulls"] for r in coercion_failures(df, T.StructType(
+        [T.StructField("a.b", T.LongType())])).collect()}
+    assert fails == {"a.b": 0}
