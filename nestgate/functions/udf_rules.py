@@ -19,7 +19,9 @@ def list_min(values: pd.Series) -> tuple[np.ndarray, np.ndarray]:
     """Per-row minimum of a batch of double lists, nulls ignored.
 
     Returns (minimum, defined): ``defined`` is false for null lists and for
-    lists without a non-null value."""
+    lists without a non-null value.  Batches arrive with nulls as NaN, so a
+    NaN value also counts as missing here (Spark's own ordering would rank it
+    above every number)."""
     arr = pa.array(values, type=pa.list_(pa.float64()), from_pandas=True)
     flat, parents = pc.list_flatten(arr), pc.list_parent_indices(arr)
     keep = pc.is_valid(flat)
