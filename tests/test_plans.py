@@ -66,3 +66,11 @@ def test_uniqueness_findings_do_not_shuffle_the_data(spark, enriched):
     tagged = V.with_findings(enriched, [R.unique("id_unique", "object_id")])
     p = plan(tagged)
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+
+
+def test_conformance_signature_grouping_is_a_hash_aggregate(spark):
+    from nestgate.plans.conformance import signature_groups
+
+    docs = spark.createDataFrame([('{"a": 1, "b": [1.5]}',), ('{"a": "x"}',)], "doc string")
+    p = plan(signature_groups(docs, "doc"))
+    assert "HashAggregate" in p and "SortAggregate" not in p and "ObjectHashAggregate" not in p
