@@ -342,8 +342,10 @@ def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Se
 
 # ---------------------------------------------------------------- schema + rules in one call
 def failing_elements_from_children(children: DataFrame, key: str | Sequence[str], list_col: str,
-                                   rules: Sequence[Rule], parents: DataFrame | None = None) -> DataFrame:
-    """R5 for parent + child tables: ``(*key, rule, value)`` per failing child row.
+                                   rules: Sequence[Rule], parents: DataFrame | None = None,
+                                   pos_col: str | None = None) -> DataFrame:
+    """R5 for parent + child tables: ``(*key, rule, value)`` per failing child row
+    (plus ``pos`` when the children carry their position in ``pos_col``).
 
     The same element tests as :func:`failing_elements`, evaluated in one pass
     over the child rows (each row collects the names and values of the rules
@@ -367,7 +369,9 @@ def failing_elements_from_children(children: DataFrame, key: str | Sequence[str]
         per_rule.append(F.when(~F.coalesce(e.passes(v), F.lit(True)),
                                F.struct(F.lit(r.name).alias("rule"), F.to_json(F.array(v)).alias("value"))))
     found = F.filter(F.array(*per_rule), lambda x: x.isNotNull())
-    return kids.select(*keys, F.explode(found).alias("f")).select(*keys, "f.rule", "f.value")
+    pos = [F.col(pos_col).cast("bigint").alias("pos")] if pos_col else []
+    out = kids.select(*keys, *pos, F.explode(found).alias("f"))
+    return out.select(*keys, "f.rule", *(["pos"] if pos_col else []), "f.value")
 
 
 def nullability_rules(schema: T.StructType) -> list[Rule]:

@@ -130,9 +130,9 @@ def test_child_table_element_findings_match_nested(spark):
     rows = [(k, xs if xs is not None else []) for k, xs in make_rows(seed=3)]
     nested = spark.createDataFrame(rows, SCHEMA).withColumn("lim", (F.col("k") % 4).cast("bigint"))
     parents = nested.select("k", "lim")
-    children = explode_elements(nested, "k", "xs", pos_col=None)
+    children = explode_elements(nested, "k", "xs", pos_col="p")
     rules = [r for r, _ in cases()] + [R.elements_vs_parent("n_below_lim", "xs", "n", "<", "lim")]
-    a = sorted((r["k"], r["rule"], r["value"]) for r in V.failing_elements(nested, rules, "k").collect())
-    b = sorted((r["k"], r["rule"], r["value"])
-               for r in V.failing_elements_from_children(children, "k", "xs", rules, parents=parents).collect())
+    a = sorted((r["k"], r["rule"], r["pos"], r["value"]) for r in V.failing_elements(nested, rules, "k").collect())
+    b = sorted((r["k"], r["rule"], r["pos"], r["value"]) for r in V.failing_elements_from_children(
+        children, "k", "xs", rules, parents=parents, pos_col="p").collect())
     assert a == b and len(a) > 0
