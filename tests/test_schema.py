@@ -113,3 +113,17 @@ def test_coerce_column_names_with_dots(spark):
     fails = {r["column_name"]: r["new_nulls"] for r in coercion_failures(df, T.StructType(
         [T.StructField("a.b", T.LongType())])).collect()}
     assert fails == {"a.b": 0}
+
+
+def test_validate_frame_strict(spark):
+    from nestgate.plans.validate import validate_frame
+
+    df = spark.createDataFrame([(1, "x", 2.0)], "id bigint, title string, extra double")
+    schema = DECL("id bigint, title string, missing_col string")
+    loose = validate_frame(df, schema)
+    assert [(p["column"], p["problem"]) for p in loose.dtype_problems] == [("missing_col", "missing")]
+    strict = validate_frame(df, schema, strict=True)
+    assert {(p["column"], p["problem"]) for p in strict.dtype_problems} == {("missing_col", "missing"),
+                                                                          ("extra", "undeclared")}
+    coerced = validate_frame(df, schema, coerce=True, strict=True)
+    assert coerced.frame.columns == ["id", "title", "missing_col"] and coerced.dtype_problems == []
