@@ -727,8 +727,7 @@ def document_by_id(spark: SparkSession, d: str) -> DataFrame:
     docs = S.nested_orders(spark, d)
     top = S.table(spark, d, "orders").agg(F.max("o_totalprice")).scalar()
     keys = S.table(spark, d, "orders").where(F.col("o_totalprice") == top).select("o_orderkey")
-    one = docs.join(keys, "o_orderkey", "left_semi")
-    out = K.document_by_id(one, "o_orderkey", F.col("o_orderkey"))
+    out = K.documents_by_ids(docs, "o_orderkey", keys)
     return out.select("o_orderkey", F.get_json_object("document", "$.o_orderstatus").alias("o_orderstatus"),
                       F.json_array_length(F.get_json_object("document", "$.lines")).cast("bigint").alias("n_lines"))
 

@@ -50,6 +50,13 @@ def document_by_id(df: DataFrame, id_col: str, value: object | Column) -> DataFr
     return df.where(F.col(id_col) == value).select(F.col(id_col), to_json_document(df).alias("document"))
 
 
+def documents_by_ids(df: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """K4 for a set of keys given as a table (one column ``id_col``): a semi-join,
+    so the documents are never duplicated and no key list passes the driver."""
+    sel = df.join(ids.select(id_col).distinct(), on=id_col, how="left_semi")
+    return sel.select(F.col(id_col), to_json_document(df).alias("document"))
+
+
 def schema_string(df: DataFrame) -> str:
     """Type listing that ignores nullability (Parquet re-reads turn it to nullable)."""
     return df.schema.simpleString()
