@@ -10,6 +10,15 @@ Null semantics inside lists:
   * ``any``   treats a null outcome as false
   * ``count`` counts true outcomes only
   * ``min``   ignores null values; an empty list has no minimum and passes
+
+Each list rule comes in up to three equivalent forms:
+  * the row predicate over the nested list (lambda builders use ``forall`` /
+    ``exists`` / ``filter``; the ``all_compare`` / ``any_equal`` /
+    ``count_equal`` / ``no_empty_strings`` / ``no_null_elements`` / ``all_in``
+    builders use array functions that compile into whole-stage code);
+  * an :class:`ElementTest` for element-level findings;
+  * a :class:`ListAgg`, the rule as a decomposable aggregate over child rows,
+    used when documents are held as parent + child tables.
 """
 
 from __future__ import annotations
