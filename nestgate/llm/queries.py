@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from nestgate.llm.common import table
+from nestgate.llm.feistel_shards import document_shards
+from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -31,6 +33,9 @@ def oracle_sql() -> dict[str, str]:
 
 @query("op5_feistel_shards")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from nestgate.llm.feistel_shards import document_shards
-
     return document_shards(table(spark, sf_dir, "documents"))
+
+
+@query("op4_line_quality", QUALITY_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_quality(table(spark, sf_dir, "documents"))
