@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,3 +59,52 @@ def row_numbers(df: DataFrame, keys: list, name: str, partitions: int | None = N
     numbered = (placed.withColumn(p_col, part).join(F.broadcast(offsets), p_col)
                 .withColumn(name, F.col(start) + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))))
     return numbered.drop(at, p_col, start), total
+
+
+def each_group(df: DataFrame, keys: list[str], step: Callable, schema: str) -> DataFrame:
+    """``step(columns) -> columns`` for each group of ``keys``, one group in memory at a time.
+
+    ``columns`` is a dict of Python lists.  The rows of a group are dealt to one task and sorted
+    together, so small groups cost no data frame each; the caller bounds the size of a group.
+    """
+    names = df.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = None, None
+        out: dict[str, list] = {}
+
+        def flush(force: bool):
+            if out and (force or len(next(iter(out.values()))) >= 4096):
+                done = pa.RecordBatch.from_pydict(out)
+                out.clear()
+                return done
+            return None
+
+        def close():
+            for k, v in step(held).items():
+                out.setdefault(k, []).extend(v)
+
+        for b in batches:
+            cols = {n: b.column(i).to_pylist() for i, n in enumerate(names)}
+            marks = list(zip(*(cols[k] for k in keys)))
+            start = 0
+            for i in range(len(marks) + 1):
+                if i < len(marks) and marks[i] == now:
+                    continue
+                if held is not None:
+                    for n in names:
+                        held[n].extend(cols[n][start:i])
+                if i < len(marks):
+                    if held is not None:
+                        close()
+                        if (done := flush(False)) is not None:
+                            yield done
+                    held, now, start = {n: [] for n in names}, marks[i], i
+        if held is not None:
+            close()
+        if (done := flush(True)) is not None:
+            yield done
+
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.repartition(n, *keys).sortWithinPartitions(*keys)
+    return dealt.mapInArrow(run, schema)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from nestgate.llm.common import table
 from nestgate.llm.feistel_shards import document_shards
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
+from nestgate.llm.minhash_dedup import document_components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -36,6 +37,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_shards(table(spark, sf_dir, "documents"))
 
 
+@query("op1_minhash_dedup")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_components(table(spark, sf_dir, "documents"))
+
+
 @query("op4_line_quality", QUALITY_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(table(spark, sf_dir, "documents"))
