@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from nestgate.llm.common import table
 from nestgate.llm.feistel_shards import document_shards
+from nestgate.llm.license_scan import document_licenses
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 from nestgate.llm.minhash_dedup import document_components
 
@@ -45,3 +46,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_line_quality", QUALITY_SQL)
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(table(spark, sf_dir, "documents"))
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_licenses(table(spark, sf_dir, "documents"))
