@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from nestgate.llm.best_fit_pack import pack
 from nestgate.llm.common import table
 from nestgate.llm.feistel_shards import document_shards
 from nestgate.llm.license_scan import document_licenses
@@ -51,3 +52,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_license_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_licenses(table(spark, sf_dir, "documents"))
+
+
+@query("op9_best_fit_pack")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
