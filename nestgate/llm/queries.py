@@ -12,6 +12,7 @@ from nestgate.llm.feistel_shards import document_shards
 from nestgate.llm.license_scan import document_licenses
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 from nestgate.llm.minhash_dedup import document_components
+from nestgate.llm.suffix_dedup import document_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -57,3 +58,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_best_fit_pack")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
+
+
+@query("op3_suffix_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_repeats(table(spark, sf_dir, "documents"))
