@@ -14,9 +14,15 @@ from pyspark.sql import functions as F
 from nestgate.llm.common import saved
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+EDGES_A_TASK = 50_000
+
+
+def _star(edges: DataFrame, large: bool, tasks: int) -> DataFrame:
     """One star step on rows (u, v).  Large: strictly larger neighbours of u move to u's smallest
-    neighbour (u included); small: the smaller neighbours and u itself do."""
+    neighbour (u included); small: the smaller neighbours and u itself do.
+
+    ``tasks`` follows the number of edges, so small tables are not written as very many files.
+    """
     if large:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
@@ -28,7 +34,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         out = joined.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(
             low.select("u", F.col("m").alias("v")))
-    return out.filter(F.col("u") != F.col("v")).distinct()
+    return out.filter(F.col("u") != F.col("v")).coalesce(tasks).distinct().coalesce(tasks)
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -40,8 +46,9 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Rows ``(node, root)`` for every node of ``edges (u, v)``; ``root`` is the smallest node."""
     edges = saved(edges.select("u", "v").filter(F.col("u") != F.col("v")).distinct())
     before = _mark(edges)
+    tasks = max(1, -(-before[0] // EDGES_A_TASK))
     for _ in range(max_rounds):
-        edges = saved(_star(_star(edges, large=True), large=False))
+        edges = saved(_star(_star(edges.coalesce(tasks), True, tasks), False, tasks))
         now = _mark(edges)
         if now == before:
             break

@@ -85,14 +85,14 @@ def shingle_set(text: str | None, words: _WordHashes) -> np.ndarray:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
-    """The universal hash minima of a set."""
+    """The universal hash minima of a set: the low 16 bits, which differ for different minima but once in 65536."""
     x = (shingles >> np.uint64(32)).astype(np.uint32)
     out = np.full(MINIMA, 0xFFFFFFFF, np.uint32)
     for i in range(0, len(x), 512):
         h = _A[:, None] * x[None, i:i + 512]
         h += _B[:, None]
         np.minimum(out, h.min(axis=1), out=out)
-    return out
+    return out.astype(np.uint16)
 
 
 def set_name(shingles: np.ndarray) -> bytes:
@@ -151,7 +151,7 @@ def _links(with_sets: bool):
     def of(group: dict) -> dict:
         order = sorted(range(len(group["node"])), key=group["node"].__getitem__)
         node = [group["node"][i] for i in order]
-        sig = np.frombuffer(b"".join(group["sig"][i] for i in order), np.uint32).reshape(len(order), MINIMA)
+        sig = np.frombuffer(b"".join(group["sig"][i] for i in order), np.uint16).reshape(len(order), MINIMA)
         sets = [np.frombuffer(group["shingles"][i], np.uint64) for i in order] if with_sets else None
         pairs = _forest_links(sig, np.array([group["side"][i] for i in order]), sets)
         return {"u": [node[i] for i, _ in pairs], "v": [node[j] for _, j in pairs]}
@@ -185,7 +185,7 @@ def _band_names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         if not b.num_rows:
             continue
-        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(-1, BANDS, ROWS).astype(np.uint64)
+        sig = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, BANDS, ROWS).astype(np.uint64)
         h = np.tile(np.arange(BANDS, dtype=np.uint64), (len(sig), 1))
         for r in range(ROWS):
             h = _spread(h * _MULT + sig[:, :, r])
@@ -205,7 +205,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text: str = "text") -
     # buckets with two classes or more
     buckets = classes.select("node", "sig").mapInArrow(_band_names, "node binary, bucket long")
     shared = buckets.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
-    met = saved(_dealt(buckets, "bucket", shared))
+    met = _dealt(buckets, "bucket", shared)
     agreeing = each_group(met.join(classes.select("node", "sig"), "node").select("bucket", "p", "q", "node", "side", "sig"),
                           ["bucket", "p", "q"], _links(False), "u binary, v binary")
     clusters = components(agreeing)
