@@ -13,6 +13,7 @@ from nestgate.llm.license_scan import document_licenses
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 from nestgate.llm.minhash_dedup import document_components
 from nestgate.llm.suffix_dedup import document_repeats
+from nestgate.llm.zstd_quality import document_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -63,3 +64,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op10_zstd_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
