@@ -13,6 +13,7 @@ from nestgate.llm.license_scan import document_licenses
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 from nestgate.llm.minhash_dedup import document_components
 from nestgate.llm.suffix_dedup import document_repeats
+from nestgate.llm.warc_write import WARC_SQL, page_records
 from nestgate.llm.zstd_quality import document_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -69,3 +70,8 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_zstd_quality")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op7_warc_write", WARC_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_records(table(spark, sf_dir, "pages"))
