@@ -13,6 +13,7 @@ from nestgate.llm.license_scan import document_licenses
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 from nestgate.llm.minhash_dedup import document_components
 from nestgate.llm.suffix_dedup import document_repeats
+from nestgate.llm.syncmer_prints import document_prints
 from nestgate.llm.warc_write import WARC_SQL, page_records
 from nestgate.llm.zstd_quality import document_scores
 
@@ -62,6 +63,11 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"))
 
 
+@query("op2_syncmer_prints")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_prints(table(spark, sf_dir, "documents"))
+
+
 @query("op3_suffix_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_repeats(table(spark, sf_dir, "documents"))
