@@ -20,6 +20,7 @@ and are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -36,31 +37,92 @@ from nestgate.llm.common import row_numbers, saved
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHED = 300_000                       # chunks whose ids a task remembers
+CACHED = 400_000                       # chunks whose ids a Python worker remembers, in each of two generations
 BLANK = re.compile(r"[ \t\n\r]+")
+SEPARATORS = re.compile("[\x1c-\x1f]")     # split() takes them for white space, the tokenizer does not
+PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_level() -> dict[int, int]:
+    """Byte-level alphabet: printable bytes stand for themselves, the others for 256 and up in order."""
+    same = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    moved = [b for b in range(256) if b not in same]
+    return {b: 256 + i for i, b in enumerate(moved)}
+
+
+BYTE_LEVEL = _byte_level()
 
 
 class ChunkIds(dict):
-    """Ids (little-endian bytes) of text between blanks.
+    """Ids (little-endian bytes) of text between white space.
 
-    The tokenizer turns white space into separators and drops it, so a text's ids are those of
-    its blank-separated chunks one after the other; each distinct chunk is encoded once.
+    The tokenizer turns white space into separators and drops it, so a text's ids are those of its
+    chunks one after the other; a remembered chunk is not encoded again.  Chunks of Latin-1 letters
+    and closing punctuation, nearly all of them, go to the tokenizer's model word by word: its
+    normalisation only lowers them and its splitting parts the letters from the punctuation.
+    Two generations of ``CACHED`` chunks each bound the memory.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        self.path = path
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.simple = {"NFC", "Replace", "Lowercase"} >= _kinds(self.tokenizer.normalizer) and {
+            "Split", "ByteLevel"} >= _kinds(self.tokenizer.pre_tokenizer)
+        self.words: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def _encode(self, chunk: str) -> bytes:
+        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def _word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            if len(self.words) >= CACHED:
+                self.words.clear()
+            mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(BYTE_LEVEL)
+            found = self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+        return found
+
+    def __missing__(self, chunk: str) -> bytes:
+        found = self.old.get(chunk)
+        if found is None:
+            plain = PLAIN.fullmatch(chunk) if self.simple else None
+            if plain is None:
+                found = self._encode(chunk)
+            else:
+                found = self._word(plain[1].lower())
+                if plain[2]:
+                    found += self[plain[2]] if plain[2] != chunk else self._encode(chunk)
+        if len(chunk) <= 64:
+            if len(self) >= CACHED:
+                self.old = dict(self)
+                self.clear()
+            self[chunk] = found
+        return found
 
     def of_text(self, text: str | None) -> bytes:
-        chunks = BLANK.split(text or "")
-        if len(self) > CACHED:
-            self.clear()
-        new = list({c for c in chunks if c not in self})
-        for c, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[c] = np.array(e.ids, "<u4").tobytes()
-        return b"".join(map(self.__getitem__, chunks))
+        text = text or ""
+        return b"".join(map(self.__getitem__, BLANK.split(text) if SEPARATORS.search(text) else text.split()))
+
+
+def _kinds(part) -> set[str]:
+    """Names of the steps of a normalizer or pre-tokenizer."""
+    state = json.loads(part.__getstate__()) if part is not None else {}
+    return {x["type"] for x in state.get("normalizers", state.get("pretokenizers", [state] if state else []))}
+
+
+_REMEMBERED: list[ChunkIds] = []
+
+
+def chunk_ids(path: str) -> ChunkIds:
+    """One cache for each Python worker; Spark reuses workers for many tasks."""
+    if not _REMEMBERED or _REMEMBERED[0].path != path:
+        _REMEMBERED[:] = [ChunkIds(path)]
+    return _REMEMBERED[0]
 
 
 def default_tokenizer() -> str:
@@ -75,7 +137,7 @@ def token_pieces(df: DataFrame, id_col: str, text: str, path: str, capacity: int
     end, width = np.array([END_ID], "<u4").tobytes(), 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids_of = ChunkIds(path)
+        ids_of = chunk_ids(path)
         for b in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, t in enumerate(b.column(1).to_pylist()):

@@ -82,3 +82,18 @@ def test_exact_complements():
     assert P.plan({5: 4, 3: 4, 2: 4}, 10) == [((5, 5), 2), ((3, 3, 2, 2), 2)]
     assert P.plan({7: 1, 2: 1, 1: 1, 3: 0}, 10) == [((7, 2, 1), 1)]
     assert P.plan({6: 1, 2: 2}, 10) == [((6, 2, 2), 1)]
+
+
+def test_ids_equal_the_tokenizer_on_whole_texts(monkeypatch):
+    """Every white-space character and awkward neighbours, with a cache that overflows all the time."""
+    monkeypatch.setattr(P, "CACHED", 7)
+    t = Tokenizer.from_file(P.default_tokenizer())
+    r = random.Random(5)
+    spaces = [chr(c) for c in range(0x110000) if chr(c).isspace()]
+    parts = ["word", "Word,", "ÉCOLE.", "it's", "'s", "x_y", "a1b2", "<|endoftext|>", "end<|startoftext|>", "ß", "ſ", "İ",
+             "ΑΣ", "e\u0301", "ﬁ", "...", "don't!!", "a'", "ÿ;", "½", "\u200b", "A" * 90, "\xad", "µm", "ªº", "__a__"]
+    ids = P.ChunkIds(P.default_tokenizer())
+    assert ids.simple
+    for _ in range(1500):
+        text = "".join(r.choice(parts) + r.choice(spaces + ["", "", " "]) for _ in range(r.randrange(0, 7)))
+        assert list(np.frombuffer(ids.of_text(text), "<u4")) == t.encode(text, add_special_tokens=False).ids, repr(text)
