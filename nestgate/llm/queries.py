@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from nestgate.llm.best_fit_pack import pack
+from nestgate.llm.budget_mix import MIX_SQL, document_mix
 from nestgate.llm.common import table
 from nestgate.llm.feistel_shards import document_shards
 from nestgate.llm.license_scan import document_licenses
@@ -30,6 +31,13 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+@query("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 
@@ -53,6 +61,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_quality(table(spark, sf_dir, "documents"))
 
 
+@query("op6_budget_mix", MIX_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_mix(table(spark, sf_dir, "documents"))
+
+
 @query("op8_license_scan")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_licenses(table(spark, sf_dir, "documents"))
