@@ -248,30 +248,57 @@ def repeated_windows(texts: DataFrame) -> DataFrame:
     return places.join(marks, ["h", "g"]).select("name", "first", "count", "marks")
 
 
-def _cut(texts: list[bytes], found: list) -> tuple[list, ...]:
+def _starts(found: pa.ListArray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of marked windows as (row number, first window, windows), from lists of (first, count, marks)."""
+    offsets = found.offsets.to_numpy()
+    owner = np.repeat(np.arange(len(found)), np.diff(offsets))
+    first, count, marks = found.values.slice(offsets[0], offsets[-1] - offsets[0]).flatten()
+    first, count, whole = first.to_numpy(), count.to_numpy().astype(np.int64), marks.is_null().to_numpy(False)
+    some = np.flatnonzero(~whole)
+    out = [(owner[whole], first[whole], count[whole])]
+    if len(some):
+        parts = marks.take(pa.array(some)).to_pylist()
+        size = np.fromiter(map(len, parts), np.int64, len(parts))
+        bits = np.flatnonzero(np.unpackbits(np.frombuffer(b"".join(parts), np.uint8)))
+        begin = 8 * (np.cumsum(size) - size)
+        row = np.searchsorted(begin, bits, side="right") - 1
+        out.append((owner[some][row], first[some][row] + bits - begin[row], np.ones(len(bits), np.int64)))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _cut(texts: list[bytes], found: pa.ListArray) -> tuple[list, ...]:
     removed, spans, digest, kept = [], [], [], []
-    for t, rows in zip(texts, found):
-        if not rows:
-            removed.append(0)
-            spans.append(0)
-            kept.append(t)
-        else:
-            edge = np.zeros(len(t) + WIDTH + 1, np.int32)
-            for r in rows:
-                a, c, m = r["first"], r["count"], r["marks"]
-                at = np.arange(c) if m is None else np.flatnonzero(np.unpackbits(np.frombuffer(m, np.uint8), count=None)[:c])
-                np.add.at(edge, a + at, 1)
-                np.add.at(edge, a + at + WIDTH, -1)
-            gone = np.cumsum(edge)[:len(t)] > 0
-            removed.append(int(gone.sum()))
-            spans.append(int(gone[0]) + int((gone[1:] & ~gone[:-1]).sum()))
-            kept.append(np.frombuffer(t, np.uint8)[~gone].tobytes())
-        digest.append(hashlib.sha256(kept[-1]).hexdigest())
+    owner, first, count = _starts(found)
+    order = np.argsort(owner, kind="stable")
+    owner, first, count = owner[order], first[order], count[order]
+    i = 0
+    while i < len(texts):
+        j, size = i, 0
+        while j < len(texts) and (j == i or size + len(texts[j]) <= BLOCK_BYTES):
+            size += len(texts[j])
+            j += 1
+        lengths = np.fromiter(map(len, texts[i:j]), np.int64, j - i)
+        base = np.cumsum(lengths) - lengths
+        a, b = np.searchsorted(owner, [i, j])
+        begin = base[owner[a:b] - i] + first[a:b]
+        edge = np.bincount(begin, minlength=size + 1)
+        edge -= np.bincount(begin + count[a:b] - 1 + WIDTH, minlength=size + 1)
+        gone = np.cumsum(edge[:size]) > 0
+        for k, at in enumerate(base.tolist()):
+            t = texts[i + k]
+            g = gone[at:at + len(t)]
+            n = int(np.count_nonzero(g))
+            removed.append(n)
+            spans.append(int(g[0]) + int(np.count_nonzero(g[1:] & ~g[:-1])) if n else 0)
+            kept.append(t if not n else b"" if n == len(t) else np.frombuffer(t, np.uint8)[~g].tobytes())
+            digest.append(hashlib.sha256(kept[-1]).hexdigest())
+        i = j
     return removed, spans, digest, kept
 
 
-def cut_repeats(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and the bytes ``kept_bytes``."""
+def cut_repeats(df: DataFrame, text: str = "text", with_bytes: bool = True) -> DataFrame:
+    """``df`` with ``n_bytes``, ``n_removed``, ``n_spans``, ``kept_sha256`` and, where asked for (else
+    null), the bytes ``kept_bytes``."""
     new = ["n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes"]
     df = df.drop(*new)
     name, rows = free_name(df, "_name"), free_name(df, "_rows")
@@ -286,10 +313,11 @@ def cut_repeats(df: DataFrame, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = _texts(b.column(at))
-            removed, spans, digest, kept = _cut(texts, b.column(b.num_columns - 1).to_pylist())
+            removed, spans, digest, kept = _cut(texts, b.column(b.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
                 [*b.columns[:-1], pa.array(list(map(len, texts)), pa.int64()), pa.array(removed, pa.int64()),
-                 pa.array(spans, pa.int64()), pa.array(digest, pa.string()), pa.array(kept, pa.binary())],
+                 pa.array(spans, pa.int64()), pa.array(digest, pa.string()),
+                 pa.array(kept if with_bytes else [None] * len(kept), pa.binary())],
                 [*names, *new])
 
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
@@ -299,7 +327,7 @@ def cut_repeats(df: DataFrame, text: str = "text") -> DataFrame:
 
 def document_repeats(docs: DataFrame) -> DataFrame:
     """Query form: one row for each document."""
-    return cut_repeats(docs.select("doc_id", "text")).drop("text", "kept_bytes")
+    return cut_repeats(docs.select("doc_id", "text"), with_bytes=False).drop("text", "kept_bytes")
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
