@@ -49,21 +49,21 @@ class Lookup:
 def probe_size(df: DataFrame, max_rows: int) -> tuple[int, int]:
     """(rows, approx bytes) of ``df``, looking at no more than ``max_rows + 1`` rows.
 
-    ``take`` scans partitions incrementally (one, then a growing number) and
-    stops once it has enough rows, so probing a huge table costs about
-    ``max_rows`` rows, not a scan; only one integer per row (its JSON size)
-    reaches the driver."""
+    The limit and the sums run in the executors; one row reaches the driver."""
     size = F.octet_length(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
-    rows = df.select(size.alias("b")).take(max_rows + 1)
-    return len(rows), sum(r["b"] or 0 for r in rows)
+    row = df.select(size.alias("b")).limit(max_rows + 1).agg(F.count(F.lit(1)), F.coalesce(F.sum("b"), F.lit(0))).first()
+    return row[0], row[1]
 
 
 def grouped_lookup(lk: Lookup) -> DataFrame:
-    """One row per lookup key: ``(key, array of values)``; null keys never match."""
+    """One row per lookup key: ``(key, array of values)``; null keys never match.
+
+    Values are ordered (nulls last) and null values kept, as a left join keeps them."""
+    value = F.struct(F.col(lk.value).isNull().alias("n"), F.col(lk.value).alias("v"))
     return (
         lk.table.where(F.col(lk.key).isNotNull())
         .groupBy(F.col(lk.key).alias("_k"))
-        .agg(F.collect_list(lk.value).alias("_vals"))
+        .agg(F.transform(F.sort_array(F.collect_list(value)), lambda s: s["v"]).alias("_vals"))
     )
 
 
@@ -111,7 +111,10 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
     """Resolve ids inside ``list_col`` through lookups; output elements carry ``fields``.
 
     ``fields`` may name element fields and lookup outputs, in the order wanted.
-    ``key`` (the document key) is needed for the ``join`` strategy."""
+    ``key`` (the document key) is always required, so a call does not start to fail
+    when the lookup outgrows the ``map`` strategy."""
+    if key is None:
+        raise ValueError("enrich_list needs the document key")
     out_col = out_col or list_col
     memo: dict[tuple[int, str, str], tuple[int, int]] = {}
     probes = []
@@ -130,8 +133,6 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
             x, lookups, [F.col(f"_map{i}")[x[lk.element_key]] for i, lk in enumerate(lookups)], fields)))
         out = df.withColumns(map_cols).withColumn(out_col, expr).drop(*map_cols)
     elif strategy == "join":
-        if key is None:
-            raise ValueError("the join strategy needs the document key")
         small = [n <= broadcast_max_rows and b <= broadcast_max_bytes for n, b in probes]
         out = _enrich_by_join(df, list_col, lookups, fields, out_col, key, small)
     else:
@@ -146,25 +147,34 @@ def enrich_list(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields:
 def _enrich_by_join(df: DataFrame, list_col: str, lookups: Sequence[Lookup], fields: Sequence[str],
                     out_col: str, key: str | Sequence[str], small: Sequence[bool]) -> DataFrame:
     keys = [key] if isinstance(key, str) else list(key)
-    flat = df.select(*keys, F.xxhash64(list_col).alias("_lh"), F.posexplode(list_col).alias("_pos", "_e"))
+    # Never-null stand-ins of the keys: plain equality on them is null-safe (a document with a null key
+    # keeps its own list) and the regrouped rows are joined on the columns they are partitioned by.
+    row_key = {}
+    for i, k in enumerate(keys):
+        row_key[f"_rn{i}"] = F.col(k).isNull()
+        row_key[f"_rk{i}"] = F.coalesce(F.col(k).cast("string"), F.lit(""))
+    row_key["_lh"] = F.xxhash64(list_col)
+    flat = df.select(*[c.alias(n) for n, c in row_key.items()], F.posexplode(list_col).alias("_pos", "_e"))
     label_cols = []
     for i, lk in enumerate(lookups):
         g = grouped_lookup(lk).withColumnsRenamed({"_k": f"_k{i}", "_vals": f"_vals{i}"})
         if small[i]:  # proven small by the bounded probe
-            g = F.broadcast(g)
-        flat = flat.join(g, F.col("_e")[lk.element_key] == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+            flat = flat.join(F.broadcast(g), F.col("_e")[lk.element_key] == F.col(f"_k{i}"), "left").drop(f"_k{i}")
+        else:
+            # elements without id match nothing: a salt spreads them over the partitions
+            no_id = F.col("_e")[lk.element_key].isNull()
+            flat = flat.withColumn("_salt", F.when(no_id, F.xxhash64("_lh", "_pos")).otherwise(F.lit(0).cast("long")))
+            g = g.withColumn("_one", F.lit(0).cast("long"))
+            flat = flat.join(g, (F.col("_e")[lk.element_key] == F.col(f"_k{i}")) & (F.col("_salt") == F.col("_one")),
+                             "left").drop(f"_k{i}", "_salt", "_one")
         label_cols.append(F.col(f"_vals{i}"))
-    flat = flat.select(*keys, "_lh", "_pos", _combine(F.col("_e"), lookups, label_cols, fields).alias("_out"))
-    regrouped = flat.groupBy(*keys, "_lh").agg(F.collect_set(F.struct("_pos", "_out")).alias("_g"))
-    regrouped = regrouped.select(
-        *[F.col(k).alias(f"_rk{i}") for i, k in enumerate(keys)], F.col("_lh").alias("_rlh"),
-        F.flatten(F.transform(F.array_sort("_g"), lambda s: s["_out"])).alias("_new"))
-    # null-safe on the key, so a document with a null key keeps its own list (as in the map strategy)
-    cond = [F.col(k).eqNullSafe(F.col(f"_rk{i}")) for i, k in enumerate(keys)] + [F.col("_lh") == F.col("_rlh")]
+    flat = flat.select(*row_key, "_pos", _combine(F.col("_e"), lookups, label_cols, fields).alias("_out"))
+    regrouped = flat.groupBy(*row_key).agg(F.collect_set(F.struct("_pos", "_out")).alias("_g"))
+    regrouped = regrouped.select(*row_key, F.flatten(F.transform(F.array_sort("_g"), lambda s: s["_out"])).alias("_new"))
     return (
-        df.withColumn("_lh", F.xxhash64(list_col))
-        .join(regrouped, on=cond, how="left")
-        .drop("_lh", "_rlh", *[f"_rk{i}" for i in range(len(keys))])
+        df.withColumns(row_key)
+        .join(regrouped, on=list(row_key), how="left")
+        .drop(*row_key)
         .withColumn(out_col, F.col("_new"))
         .drop("_new")
     )
@@ -174,5 +184,9 @@ def lookup_join(df: DataFrame, lookup: DataFrame, on_left: str, on_right: str,
                 max_rows: int = BROADCAST_MAX_ROWS, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Flat left lookup join; broadcast only behind a bounded size probe."""
     n, b = probe_size(lookup, max_rows)
+    same = on_left == on_right
+    if same:  # one key column in the result
+        lookup = lookup.withColumnRenamed(on_right, "_rk")
     right = F.broadcast(lookup) if (n <= max_rows and b <= max_bytes) else lookup
-    return df.join(right, F.col(on_left) == right[on_right], "left")
+    out = df.join(right, df[on_left] == right["_rk" if same else on_right], "left")
+    return out.drop("_rk") if same else out

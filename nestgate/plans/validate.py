@@ -45,8 +45,13 @@ def _frame_rules(rules: Sequence[Rule]) -> list[Rule]:
     return [r for r in rules if r.level == FRAME]
 
 
+def _distinct_rules(rules: Sequence[Rule]) -> list[Rule]:
+    """A rule is named by (column, name); repeats of one are evaluated once."""
+    return list({(r.column, r.name): r for r in reversed(rules)}.values())[::-1]
+
+
 def unique_violations(df: DataFrame, rule: Rule) -> DataFrame:
-    """Rows whose key occurs more than once: one row ``(failed)``.
+    """Rows whose key occurs more than once: one row ``(failed)``.  Null keys are equal to each other.
 
     ``groupBy(key).count()`` aggregates partially on the map side, so a hot
     key contributes one row per task to the shuffle, not one row per record."""
@@ -77,8 +82,14 @@ def duplicate_keys(df: DataFrame, rule: Rule, max_rows: int = 1_000_000) -> tupl
     return dup, (n <= max_rows and b <= 64 * 1024 * 1024)
 
 
-def _hinted(dup: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(dup) if small else dup
+def _on_keys(df: DataFrame, dup: DataFrame, small: bool, keys: Sequence[str], how: str) -> DataFrame:
+    """Join with duplicated keys; nulls match nulls, as in the count of violations."""
+    right = dup.withColumnsRenamed({k: f"_k{i}" for i, k in enumerate(keys)})
+    cond = None
+    for i, k in enumerate(keys):
+        c = df[k].eqNullSafe(right[f"_k{i}"])
+        cond = c if cond is None else cond & c
+    return df.join(F.broadcast(right) if small else right, cond, how).drop(*[f"_k{i}" for i in range(len(keys))])
 
 
 def summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
@@ -86,18 +97,19 @@ def summary(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     Row rules: one ``count_if`` per rule in a single aggregation (R2/R9)."""
     parts: list[DataFrame] = []
+    rules = _distinct_rules(rules)
     row = _row_rules(rules)
-    order = {r.name: i for i, r in enumerate(rules)}
+    order = {(r.column, r.name): i for i, r in enumerate(rules)}
     if row:
         counts = df.agg(*[F.count_if(r.failed()).cast("bigint").alias(f"r{i}") for i, r in enumerate(row)])
         stack = ", ".join(
-            f"{order[r.name]}L, '{_q(r.name)}', '{_q(r.column)}', '{r.level}', r{i}" for i, r in enumerate(row)
+            f"{order[r.column, r.name]}L, '{_q(r.name)}', '{_q(r.column)}', '{r.level}', r{i}" for i, r in enumerate(row)
         )
         parts.append(counts.selectExpr(f"stack({len(row)}, {stack}) as (rule_order, rule, column_name, level, failed)"))
     for r in _frame_rules(rules):
         parts.append(
             unique_violations(df, r).select(
-                F.lit(order[r.name]).cast("bigint").alias("rule_order"),
+                F.lit(order[r.column, r.name]).cast("bigint").alias("rule_order"),
                 F.lit(r.name).alias("rule"),
                 F.lit(r.column).alias("column_name"),
                 F.lit(r.level).alias("level"),
@@ -135,12 +147,14 @@ def summary_by_depth(df: DataFrame, rules: Sequence[Rule], depths: Sequence[str]
 
     All depths share one pass: the full rule set is counted once and each
     depth is a selection of rule rows."""
+    rules = _distinct_rules(rules)
     s = summary(df, rules)
+    at = {(r.column, r.name): i for i, r in enumerate(rules)}
     parts = []
     for d in depths:
-        names = [r.name for r in select_rules(rules, d)]
+        names = [at[r.column, r.name] for r in select_rules(rules, d)]
         parts.append(
-            s.where(F.col("rule").isin(names) if names else F.lit(False))
+            s.where(F.col("rule_order").isin(names) if names else F.lit(False))
             .agg(
                 F.count_if(F.col("failed") > 0).cast("bigint").alias("failing_rules"),
                 F.coalesce(F.sum("failed"), F.lit(0)).cast("bigint").alias("failed_total"),
@@ -166,12 +180,13 @@ def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str])
 
     Row-local: no shuffle. Frame rules add the rows of duplicated keys."""
     keys = [key] if isinstance(key, str) else list(key)
+    rules = _distinct_rules(rules)
     if _row_rules(rules):
         out = df.select(*keys, F.explode(failed_rule_names(rules)).alias("rule"))
     else:
         out = df.select(*keys, F.lit(None).cast("string").alias("rule")).where(F.lit(False))
     for r in _frame_rules(rules):
-        rows = df.join(_hinted(*duplicate_keys(df, r)), on=list(r.keys), how="left_semi")
+        rows = _on_keys(df, *duplicate_keys(df, r), r.keys, "left_semi")
         out = out.unionByName(rows.select(*keys, F.lit(r.name).alias("rule")))
     return out
 
@@ -191,10 +206,11 @@ def failing_elements(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[s
             continue
         e = r.element
         src = F.col(f"{e.list_col}.{e.field}") if e.field else F.col(e.list_col)
-        tagged = F.transform(src, lambda v, i: F.struct(
-            F.lit(r.name).alias("rule"), i.cast("bigint").alias("pos"),
-            F.to_json(F.array(v)).alias("value"), F.coalesce(e.passes(v), F.lit(True)).alias("ok")))
-        bad = F.filter(tagged, lambda x: ~x["ok"])
+        tested = F.transform(src, lambda v, i: F.struct(
+            i.cast("bigint").alias("pos"), v.alias("v"), F.coalesce(e.passes(v), F.lit(True)).alias("ok")))
+        # only failing elements are rendered
+        bad = F.transform(F.filter(tested, lambda x: ~x["ok"]), lambda x: F.struct(
+            F.lit(r.name).alias("rule"), x["pos"].alias("pos"), F.to_json(F.array(x["v"])).alias("value")))
         # skip the element scan for rows that pass the rule
         per_rule.append(F.when(r.failed(), bad))
     if not per_rule:
@@ -224,12 +240,12 @@ def gate(df: DataFrame, rules: Sequence[Rule], mode: str = "block") -> DataFrame
 
 def with_findings(df: DataFrame, rules: Sequence[Rule], col: str = "_failed_rules") -> DataFrame:
     """Attach the failing rule names per row; frame rules via a semi-join on duplicates."""
+    rules = _distinct_rules(rules)
     out = df.withColumn(col, failed_rule_names(rules))
     for r in _frame_rules(rules):
         keys_df, small = duplicate_keys(df, r)
-        dup = _hinted(keys_df.withColumn("_dup", F.lit(True)), small)
         out = (
-            out.join(dup, on=list(r.keys), how="left")
+            _on_keys(out, keys_df.withColumn("_dup", F.lit(True)), small, r.keys, "left")
             .withColumn(col, F.when(F.col("_dup"), F.array_append(F.col(col), F.lit(r.name))).otherwise(F.col(col)))
             .drop("_dup")
         )
@@ -301,6 +317,7 @@ def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Se
     Children carry the element fields as columns plus ``key``; element rules
     reading parent columns get them by joining those columns first."""
     keys = [key] if isinstance(key, str) else list(key)
+    rules = _distinct_rules(rules)
     list_rules = [r for r in rules if r.level != FRAME and r.column == list_col]
     if any(r.agg is None for r in list_rules):
         missing = [r.name for r in list_rules if r.agg is None]
@@ -322,20 +339,19 @@ def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Se
         joined = parents.join(per_key, on=cond, how="left").drop(*[per_key[k] for k in keys])
     else:
         joined = parents.join(per_key, on=keys, how="left")
-    outcomes = {r.name: _parent_outcome(r, i) for i, r in enumerate(list_rules)}
     other = [r for r in rules if r.level != FRAME and r.column != list_col]
-    order = {r.name: i for i, r in enumerate(rules)}
+    order = {(r.column, r.name): i for i, r in enumerate(rules)}
     counted = list_rules + other
-    cols = [F.count_if(~outcomes[r.name]).alias(f"r{j}") if r.name in outcomes
+    cols = [F.count_if(~_parent_outcome(r, j)).alias(f"r{j}") if j < len(list_rules)
             else F.count_if(r.failed()).alias(f"r{j}") for j, r in enumerate(counted)]
     counts = joined.agg(*cols)
-    stack = ", ".join(f"{order[r.name]}L, '{_q(r.name)}', '{_q(r.column)}', '{r.level}', r{j}"
+    stack = ", ".join(f"{order[r.column, r.name]}L, '{_q(r.name)}', '{_q(r.column)}', '{r.level}', r{j}"
                       for j, r in enumerate(counted))
     out = counts.selectExpr(f"stack({len(counted)}, {stack}) as (rule_order, rule, column_name, level, failed)")
     out = out.withColumn("failed", F.col("failed").cast("bigint"))
     for r in _frame_rules(rules):
         out = out.unionByName(unique_violations(parents, r).select(
-            F.lit(order[r.name]).cast("bigint").alias("rule_order"), F.lit(r.name).alias("rule"),
+            F.lit(order[r.column, r.name]).cast("bigint").alias("rule_order"), F.lit(r.name).alias("rule"),
             F.lit(r.column).alias("column_name"), F.lit(r.level).alias("level"), F.col("failed")))
     return out
 
@@ -395,11 +411,16 @@ def nullability_rules(schema: T.StructType) -> list[Rule]:
 
 
 class ValidationReport:
-    """Outcome of :func:`validate_frame`: the (coerced) frame, type problems, rule summary."""
+    """Outcome of :func:`validate_frame`: the (coerced) frame, type problems, rule summary.
+
+    ``not_evaluated``: (column, rule) pairs that could not be evaluated because
+    of the type problems; they count as neither passed nor failed."""
 
-    def __init__(self, frame: DataFrame, dtype_problems: list[dict], summary_df: DataFrame):
+    def __init__(self, frame: DataFrame, dtype_problems: list[dict], summary_df: DataFrame,
+                 not_evaluated: Sequence[tuple[str, str]] = ()):
         self.frame = frame
         self.dtype_problems = dtype_problems
+        self.not_evaluated = list(not_evaluated)
         self.summary = summary_df
         self._failures: list[dict] | None = None
 
@@ -440,7 +461,24 @@ def validate_frame(df: DataFrame, schema, rules: Sequence[Rule] = (), depth: str
 
     frame = coerce_to_schema(df, schema, strict=strict) if coerce else df
     problems = dtype_report(frame, schema, strict=strict)
-    present = set(frame.columns)
-    nulls = [r for r in nullability_rules(schema) if r.column in present]
-    chosen = nulls + select_rules([r for r in rules if r.column in present or r.level == FRAME], depth)
-    return ValidationReport(frame, problems, summary(frame, chosen))
+    wrong = {p["column"] for p in problems if p["problem"] != "undeclared"}
+    chosen, left = [], []
+    for r in nullability_rules(schema) + select_rules(list(rules), depth):
+        if r.column in wrong or not _evaluable(frame, r):
+            left.append((r.column, r.name))
+        else:
+            chosen.append(r)
+    return ValidationReport(frame, problems, summary(frame, chosen), left)
+
+
+def _evaluable(frame: DataFrame, rule: Rule) -> bool:
+    """Whether the frame has what the rule reads (analysis only, no data pass)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        if rule.level == FRAME:
+            return set(rule.keys) <= set(frame.columns)
+        frame.select(rule.failed()).schema  # noqa: B018
+    except AnalysisException:
+        return False
+    return True

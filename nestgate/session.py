@@ -36,8 +36,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (tests, local runs) a fresh
+    Read from the session; only when it is unset in a local run (tests) a fresh
     folder is created and registered, so lineage cuts and scratch tables work.
+    On a cluster an unset folder is an error: a machine-local one is not shared.
     """
     try:
         sc = spark.sparkContext          # not available on a Spark Connect session
@@ -47,6 +48,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
+        master = spark.conf.get("spark.master", "") or ""
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="nestgate-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     if sc is not None and sc.getCheckpointDir() is None:
@@ -55,5 +59,17 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared checkpoint folder."""
-    return f"{checkpoint_root(spark)}/nestgate/{name}-{uuid.uuid4().hex[:12]}"
+    """A new, unique path under the shared checkpoint folder; removed when the application ends."""
+    root = checkpoint_root(spark)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001
+        sc = None
+    if sc is None:
+        return f"{root}/nestgate/{name}-{uuid.uuid4().hex[:12]}"
+    folder = f"{root}/nestgate/{sc.applicationId}"
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if fs.mkdirs(path):
+        fs.deleteOnExit(path)
+    return f"{folder}/{name}-{uuid.uuid4().hex[:12]}"
