@@ -34,6 +34,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     c.add_argument("--xml-terms")
     c.add_argument("--json-objects")
     c.add_argument("--json-terms")
+    c.add_argument("--multiline", action="store_true", help="JSON files hold one object or array each")
     c.add_argument("--mode", choices=["block", "warn", "quarantine"], default="block")
     c.add_argument("--bulk-index", help="write search-engine bulk pairs for this index")
     g = sub.add_parser("generate")
@@ -53,7 +54,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         from nestgate.plans.collection import materialize_collection
 
         out = materialize_collection(spark, args.out, args.xml_objects, args.xml_terms, args.json_objects,
-                                     args.json_terms, mode=args.mode, bulk_index=args.bulk_index)
+                                     args.json_terms, mode=args.mode, bulk_index=args.bulk_index,
+                                     multiline=args.multiline)
         print(json.dumps(out, default=str))
     elif args.cmd == "generate":
         from nestgate.sources import synth as SY

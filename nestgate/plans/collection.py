@@ -243,8 +243,8 @@ def harvest_terminology_xml(spark, path: str) -> DataFrame:
     return clean_names(raw, renames=TERM_XML_RENAMES)
 
 
-def harvest_objects_json(spark, path: str, multiline: bool = True) -> DataFrame:
-    """A JSON array of objects (or JSON lines) with the declared nested schema.
+def harvest_objects_json(spark, path: str, multiline: bool = False) -> DataFrame:
+    """JSON lines (with ``multiline`` one object or array a file) with the declared nested schema.
 
     Leaves are read as text and typed by name with ``try_cast``: with a typed
     read schema one mistyped value would make the whole multi-line file
@@ -256,7 +256,7 @@ def harvest_objects_json(spark, path: str, multiline: bool = True) -> DataFrame:
     return coerce_to_schema(raw, OBJECT, strict=True)
 
 
-def harvest_terminology_json(spark, path: str, multiline: bool = True) -> DataFrame:
+def harvest_terminology_json(spark, path: str, multiline: bool = False) -> DataFrame:
     """Flat JSON lookup."""
     from nestgate.sources.json import read_json_documents
 
@@ -284,10 +284,13 @@ def check_objects(enriched: DataFrame, rules: list[R.Rule] | None = None) -> tup
 # ---------------------------------------------------------------- end-to-end run
 def materialize_collection(spark, out_dir: str, xml_objects: str | None = None, xml_terms: str | None = None,
                            json_objects: str | None = None, json_terms: str | None = None,
-                           mode: str = "block", strategy: str = "auto", bulk_index: str | None = None) -> dict:
+                           mode: str = "block", strategy: str = "auto", bulk_index: str | None = None,
+                           multiline: bool = False) -> dict:
     """Harvest -> Parquet -> enrich -> Parquet (round-trip checked) -> check -> gate -> JSON lines.
 
-    Either the XML pair or the JSON pair of inputs is given.  ``mode``:
+    Either the XML pair or the JSON pair of inputs is given; JSON is read as lines,
+    or with ``multiline`` as one object or array a file.  Nothing is loaded when a
+    file is malformed; ``findings/malformed_files`` then lists all of them.  ``mode``:
     ``block`` raises :class:`~nestgate.plans.validate.ValidationError` before
     any output is written; ``warn`` writes everything; ``quarantine`` writes
     clean rows to the output and failing rows (with rule names) aside, in one
@@ -302,16 +305,19 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
 
         # load gate: every malformed file is listed and nothing is loaded
         assert_well_formed(malformed_xml_files(spark, xml_objects, "object", OBJECT_XML_READ).unionByName(
-            malformed_xml_files(spark, xml_terms, "term", TERM_XML_READ)))
+            malformed_xml_files(spark, xml_terms, "term", TERM_XML_READ)), f"{out_dir}/findings/malformed_files")
         text, typed = harvest_objects_xml_text(spark, xml_objects), object_xml_typed()
         objects, terms = harvest_objects_xml(spark, xml_objects), harvest_terminology_xml(spark, xml_terms)
     else:
         from nestgate.functions.coerce import string_leaves
-        from nestgate.sources.json import read_json_documents
+        from nestgate.sources.json import assert_json_well_formed, malformed_json, read_json_documents
 
-        text, typed = read_json_documents(spark, json_objects, string_leaves(OBJECT), multiline=True,
+        assert_json_well_formed(malformed_json(spark, json_objects, multiline).unionByName(
+            malformed_json(spark, json_terms, multiline)), f"{out_dir}/findings/malformed_files")
+        text, typed = read_json_documents(spark, json_objects, string_leaves(OBJECT), multiline=multiline,
                                           corrupt_col=None), OBJECT
-        objects, terms = harvest_objects_json(spark, json_objects), harvest_terminology_json(spark, json_terms)
+        objects = harvest_objects_json(spark, json_objects, multiline)
+        terms = harvest_terminology_json(spark, json_terms, multiline)
     from nestgate.functions.coerce import coercion_failures
 
     # values present in the source that could not be typed (one aggregation; one row per column)

@@ -31,3 +31,30 @@ def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.St
 def parse_json_column(c: Column | str, schema: T.StructType | str) -> Column:
     """S6 for a string column: a struct per row; unparsable text gives null."""
     return F.from_json(F.col(c) if isinstance(c, str) else c, schema, {"mode": "PERMISSIVE"})
+
+
+def malformed_json(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
+    """``(file_path, n_bad)`` of files that are not what the reader expects.
+
+    JSON lines: lines that are not a JSON object.  ``multiline``: files that are
+    not one JSON object or one array of objects as a whole (cut off, or in fact
+    JSON lines, of which the multi-line reader would return the first only)."""
+    text = spark.read.text(path, wholetext=multiline).select(
+        F.col("_metadata.file_path").alias("file_path"), "value")
+    parsed = F.schema_of_variant(F.try_parse_json("value"))
+    kinds = "^(OBJECT|ARRAY<OBJECT|ARRAY<VOID>)" if multiline else "^OBJECT"
+    wrong = ~F.coalesce(parsed.rlike(kinds), F.lit(False))
+    if multiline:  # the parser stops after the first value: a whole value on the first line must be the last
+        rest = F.regexp_replace("value", r"^\s*[^\n]*\n?", "")
+        line = F.regexp_extract("value", r"^\s*([^\n]*)", 1)
+        wrong = wrong | (F.try_parse_json(line).isNotNull() & (F.trim(F.translate(rest, "\r\n\t", "   ")) != ""))
+    bad = F.when(F.trim("value") == "", F.lit(multiline)).otherwise(wrong)
+    return text.where(bad).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_bad"))
+
+
+def assert_json_well_formed(report: DataFrame, out: str) -> None:
+    """Load gate: the report as a table under ``out``; raise with the number of files if it has any."""
+    report.write.mode("overwrite").parquet(out)
+    n = report.sparkSession.read.schema(report.schema).parquet(out).count()
+    if n:
+        raise ValueError(f"Malformed JSON: {n} file(s), listed in {out}")

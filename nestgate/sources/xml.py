@@ -18,14 +18,13 @@ Many small files (one record per file) are packed into tasks by
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestgate.functions.coerce import coerce_to_schema
-
 CORRUPT = "_corrupt_record"
 ATTRIBUTE_PREFIX = "_"
 VALUE_TAG = "_VALUE"
@@ -128,12 +127,14 @@ def clean_names(df: DataFrame, text_name: str = "text", renames: Mapping[str, st
     return df.select(*cols)
 
 
-def harvest_xml(df: DataFrame, wrappers: Mapping[str, str], schema: T.StructType,
-                renames: Mapping[str, str] | None = None, text_name: str = "text") -> DataFrame:
-    """S3+S4: unwrap, clean names and coerce to the declared schema.
-
-    Extra columns (corrupt record, source file) are kept after the declared ones."""
-    return coerce_to_schema(clean_names(unwrap_lists(df, wrappers), text_name, renames), schema)
+def _ends_its_root(text: Column) -> Column:
+    """Whether a document's text closes the element it opens first (or that element is empty)."""
+    body = F.trim(F.regexp_replace(F.regexp_replace(text, r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>\[]*(\[.*?\])?\s*>", ""),
+                                   "[\\s\ufeff]+", " "))
+    root = F.regexp_extract(body, r"^<([^\s/>]+)", 1)
+    end = F.concat(F.lit("</"), root, F.lit(">"))
+    closed = F.regexp_replace(body, r"\s+>$", ">").endswith(end)
+    return (root != "") & (closed | body.rlike(r"^<[^>]*/>$"))
 
 
 def malformed_xml_files(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str,
@@ -141,39 +142,43 @@ def malformed_xml_files(spark: SparkSession, path: str, row_tag: str, schema: T.
     """Every malformed file under ``path``: ``(file_path, reason, n_parsed)``.
 
     ``corrupt`` -- the reader flagged a record of the file as malformed;
+    ``empty`` -- the file has no bytes;
+    ``unclosed`` -- the file does not end with the end tag of its root element
+    (cut off, or followed by other content);
     ``no_record`` -- the file yielded no ``row_tag`` record (e.g. a wrong root).
-    ``n_parsed`` counts the file's records whose first declared field parsed.
-    Distributed: one aggregation per file over the parse, and an anti-join
-    with the file listing."""
+    One reason a file, the first that applies.  ``n_parsed`` counts the file's
+    records whose first declared field parsed.  Distributed: one aggregation per
+    file over the parse, joined to the listing of the files; both name files by
+    ``_metadata.file_path``, so encoded names agree."""
     st = _with_corrupt(schema, CORRUPT)
     first = st.fields[0].name
     recs = read_xml_records(spark, path, row_tag, st, options={"pathGlobFilter": glob})
     per_file = recs.groupBy(F.col("_source_file").alias("file_path")).agg(
         F.count_if(F.col(CORRUPT).isNotNull()).alias("n_corrupt"),
         F.count(F.col(f"`{first}`")).alias("n_parsed"))
-    corrupt = per_file.where(F.col("n_corrupt") > 0).select(
-        "file_path", F.lit("corrupt").alias("reason"), F.col("n_parsed").cast("bigint").alias("n_parsed"))
-    listing = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
-               .select(F.col("path").alias("file_path")))
-    empty = listing.join(per_file.select("file_path"), "file_path", "left_anti").select(
-        "file_path", F.lit("no_record").alias("reason"), F.lit(0).cast("bigint").alias("n_parsed"))
-    return corrupt.unionByName(empty)
-
-
-def assert_well_formed(report: DataFrame, max_listed: int = 50) -> None:
-    """Load gate: raise with the number of malformed files and their names.
-
-    Only the count and the first ``max_listed`` names reach the driver; the
-    report itself stays a table (write it for the complete list)."""
-    # The parse must keep a data column besides the corrupt record, so the
-    # aggregate also returns the parsed-record total (not prunable).
-    stats = report.agg(F.count(F.lit(1)).alias("n"), F.sum("n_parsed").alias("parsed")).first()
-    n = stats["n"]
+    files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
+    listing = files.select(F.col("_metadata.file_path").alias("file_path"),
+                           _ends_its_root(F.col("content").cast("string")).alias("whole"))
+    # file scans leave out files without bytes; the driver's own listing has them
+    # (with more slashes after ``file:`` than the scans have)
+    named = spark.createDataFrame([(re.sub("^file:/+", "file:/", f),) for f in files.inputFiles()], "name string")
+    reason = (F.when(F.col("whole").isNull(), "empty").when(F.col("n_corrupt") > 0, "corrupt")
+              .when(~F.col("whole"), "unclosed").when(F.col("n_corrupt").isNull(), "no_record"))
+    name = F.regexp_replace("file_path", "^file:/+", "file:/")
+    return (named.join(listing.withColumn("name", name).drop("file_path"), "name", "left")
+            .join(per_file.withColumn("name", name).drop("file_path"), "name", "left")
+            .withColumnRenamed("name", "file_path")
+            .withColumn("reason", reason).where(F.col("reason").isNotNull())
+            .select("file_path", "reason", F.coalesce("n_parsed", F.lit(0)).cast("bigint").alias("n_parsed")))
+
+
+def assert_well_formed(report: DataFrame, out: str) -> None:
+    """Load gate: the whole report is written as a table under ``out``; if it has rows, raise with
+    their number and the table's path."""
+    report.write.mode("overwrite").parquet(out)
+    n = report.sparkSession.read.schema(report.schema).parquet(out).count()
     if n:
-        shown = report.orderBy("file_path").limit(max_listed).collect()
-        lines = "\n".join(f"  {r['file_path']}: {r['reason']}" for r in shown)
-        more = f"\n  ... and {n - len(shown)} more (see the report table)" if n > len(shown) else ""
-        raise ValueError(f"Malformed XML ({n} file(s)):\n{lines}{more}")
+        raise ValueError(f"Malformed XML: {n} file(s), listed in {out}")
 
 
 def to_xml_documents(df: DataFrame, row_tag: str, out_col: str = "xml") -> DataFrame:

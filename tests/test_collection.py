@@ -13,19 +13,19 @@ from nestgate.plans import validate as V
 from nestgate.session import scratch_path
 
 EXPECTED_CLASSIFICATIONS = {
-    "OBJ-001": [("Painting", "Oil on canvas"), ("Landscape", "Landscape"), ("Landscape", "Seascape"),
-                ("Landscape", "Harbor")],
-    "OBJ-002": [("Painting", "Oil on panel"), ("Landscape", "Still Life"), ("Landscape", "Fruit")],
-    "OBJ-003": [("Painting", "Oil on canvas"), ("Landscape", "Portrait")],
-    "OBJ-004": [("Sculpture", "Bronze")],
-    "OBJ-005": [("Print", "Etching on paper"), ("Landscape", "Landscape")],
+    "OBJ-001": [("Hanging", "Dyed wool"), ("Hills", "Hills"), ("Hills", "Open water"),
+                ("Hills", "Moorings")],
+    "OBJ-002": [("Hanging", "Wax on slate"), ("Hills", "Tableware"), ("Hills", "Gourds")],
+    "OBJ-003": [("Hanging", "Dyed wool"), ("Hills", "Faces")],
+    "OBJ-004": [("Carving", "Pearwood")],
+    "OBJ-005": [("Sheet", "Ink on bark"), ("Hills", "Hills")],
 }
 EXPECTED_CONSTITUENTS = {
-    "OBJ-001": [("Marie Duval", "artist", 1856, "French"), ("Atelier Leblanc", "frame_maker", None, None)],
-    "OBJ-002": [("Paul Renard", "artist", 1870, "French")],
+    "OBJ-001": [("Ilse Tamm", "artist", 1688, "Northern"), ("Workshop Koru", "frame_maker", None, None)],
+    "OBJ-002": [("Odo Prell", "artist", 1702, "Northern")],
     "OBJ-003": [],
-    "OBJ-004": [("Giovanni Bellini", "artist", 1885, "Italian")],
-    "OBJ-005": [("Hendrik van Meer", "artist", 1845, "Dutch")],
+    "OBJ-004": [("Sera Vint", "artist", 1720, "Coastal")],
+    "OBJ-005": [("Jurre Abt", "artist", 1765, "Lowland")],
 }
 
 
@@ -57,8 +57,8 @@ def test_enriched_matches_expected(enriched):
 
 
 def test_json_source_parity(spark, fixture_paths, enriched):
-    terms = M.harvest_terminology_json(spark, fixture_paths["json_terms"])
-    objs = M.harvest_objects_json(spark, fixture_paths["json_objects"])
+    terms = M.harvest_terminology_json(spark, fixture_paths["json_terms"], multiline=True)
+    objs = M.harvest_objects_json(spark, fixture_paths["json_objects"], multiline=True)
     from_json = M.enrich_objects(terms, objs)
     r = U.parity(enriched, from_json).first()
     assert (r["rows_a"], r["rows_b"], r["only_in_a"], r["only_in_b"]) == (5, 5, 0, 0)
@@ -115,15 +115,15 @@ def test_gate_and_quarantine(enriched):
 
 
 def test_duplicate_terms_multiply_and_missing_terms_stay(spark, terms_xml, objects_xml):
-    dup = terms_xml.unionByName(spark.createDataFrame([("T-005", "medium", "Cast bronze")], terms_xml.schema))
+    dup = terms_xml.unionByName(spark.createDataFrame([("T-005", "medium", "Walnut")], terms_xml.schema))
     missing = terms_xml.where(F.col("term_id") != "T-007")
     for strategy in ("map", "join"):
         out = {r["object_id"]: r for r in M.enrich_objects(dup, objects_xml, strategy=strategy).collect()}
-        assert [tuple(c) for c in out["OBJ-004"]["classifications"]] == [("Sculpture", "Bronze"),
-                                                                         ("Sculpture", "Cast bronze")]
+        assert [tuple(c) for c in out["OBJ-004"]["classifications"]] == [("Carving", "Pearwood"),
+                                                                         ("Carving", "Walnut")]
         out = M.enrich_objects(missing, objects_xml, strategy=strategy)
         row = {r["object_id"]: r for r in out.collect()}["OBJ-002"]
-        assert tuple(row["classifications"][0]) == ("Painting", None)
+        assert tuple(row["classifications"][0]) == ("Hanging", None)
         nulls = R.elements_not_null("no_null_labels_in_classifications", "classifications", "term_label")
         assert V.summary(out, [nulls]).first()["failed"] == 1
 
@@ -149,10 +149,10 @@ def test_parquet_roundtrip_and_json_export(spark, enriched):
     obj3 = next(d for d in docs if d["object_id"] == "OBJ-003")
     assert obj3["date_made"] is None and "date_made" in obj3 and obj3["constituents"] == []
     obj1 = next(d for d in docs if d["object_id"] == "OBJ-001")
-    assert obj1["constituents"][1] == {"name": "Atelier Leblanc", "role": "frame_maker", "birth_year": None,
+    assert obj1["constituents"][1] == {"name": "Workshop Koru", "role": "frame_maker", "birth_year": None,
                                        "nationality": None}
     one = K.document_by_id(enriched, "object_id", "OBJ-004").first()
-    assert json.loads(one["document"])["department"] == "Sculpture"
+    assert json.loads(one["document"])["department"] == "Carving"
     bulk = K.bulk_index_lines(enriched, "object_id", "objects").first()["value"].split("\n")
     assert json.loads(bulk[0])["index"]["_index"] == "objects"
 
@@ -178,12 +178,42 @@ def test_malformed_xml_files(spark, tmp_path, fixture_paths):
     (d / "BAD-1.xml").write_text('<?xml version="1.0"?>\n<object id="B1"><title>x</title><dimensions>')
     (d / "BAD-2.xml").write_text('<?xml version="1.0"?>\n<thing id="B2"><title>wrong root</title></thing>')
     (d / "BAD-3.xml").write_text('<?xml version="1.0"?>\n<object id="B3"><title>ok</title></object>\n<object id="B3b">')
+    (d / "BAD-4.xml").write_text("")
+    (d / "BAD-5.xml").write_text('<objects><object id="B5"><title>ok</title></object>')
+    (d / "BAD-6.xml").write_text('<object id="B6"><title>ok</title></object>\nand more')
+    (d / "good name.xml").write_text('<object id="G1"><title>ok</title></object >\n<!-- end -->\n')
+    (d / "good2.xml").write_text('<objects><object id="G2"><title>a &lt; b</title></object></objects>')
     report = malformed_xml_files(spark, str(d), "object", M.OBJECT_XML_READ)
     got = {(Path(r["file_path"]).name, r["reason"]) for r in report.collect()}
-    assert got == {("BAD-1.xml", "corrupt"), ("BAD-2.xml", "no_record"), ("BAD-3.xml", "corrupt")}
-    with pytest.raises(ValueError, match=r"Malformed XML \(3 file\(s\)\)"):
-        assert_well_formed(report)
-    assert_well_formed(malformed_xml_files(spark, fixture_paths["xml_objects"], "object", M.OBJECT_XML_READ))
+    assert got == {("BAD-1.xml", "corrupt"), ("BAD-2.xml", "no_record"), ("BAD-3.xml", "corrupt"), ("BAD-4.xml", "empty"),
+                   ("BAD-5.xml", "unclosed"), ("BAD-6.xml", "corrupt")}
+    listed = str(tmp_path / "listed")
+    with pytest.raises(ValueError, match=r"Malformed XML: 6 file\(s\), listed in"):
+        assert_well_formed(report, listed)
+    assert spark.read.parquet(listed).count() == 6
+    assert_well_formed(malformed_xml_files(spark, fixture_paths["xml_objects"], "object", M.OBJECT_XML_READ), listed)
+
+
+def test_json_lines_keep_every_row_and_the_wrong_form_is_refused(spark, tmp_path, capsys):
+    from fixtures import OBJECTS, TERMS
+    from nestgate.__main__ import main
+
+    lines, terms = tmp_path / "objects.jsonl", tmp_path / "terms.jsonl"
+    lines.write_text("\n".join(json.dumps(o) for o in OBJECTS) + "\n\n")
+    terms.write_text("\n".join(json.dumps({"term_id": i, "term_type": t, "label": x}) for i, t, x in TERMS))
+    assert M.harvest_objects_json(spark, str(lines)).count() == 5
+    out = str(tmp_path / "out")
+    args = ["collection", "--out", out, "--json-objects", str(lines), "--json-terms", str(terms), "--mode", "warn"]
+    assert main(args, spark=spark) == 0
+    assert spark.read.json(json.loads(capsys.readouterr().out.strip().splitlines()[-1])["output"]).count() == 5
+    with pytest.raises(ValueError, match="Malformed JSON: 2 file"):
+        main([*args, "--multiline"], spark=spark)
+    cut = tmp_path / "cut.json"
+    cut.write_text(json.dumps(OBJECTS)[:-30])
+    whole = tmp_path / "whole.json"
+    whole.write_text(json.dumps([{"term_id": i, "term_type": t, "label": x} for i, t, x in TERMS], indent=1))
+    with pytest.raises(ValueError, match="Malformed JSON: 1 file"):
+        M.materialize_collection(spark, out, json_objects=str(cut), json_terms=str(whole), mode="warn", multiline=True)
 
 
 def test_profile(enriched):
@@ -202,7 +232,7 @@ def test_materialize_collection_modes(spark, fixture_paths):
         M.materialize_collection(spark, base + "-block", xml_objects=fixture_paths["xml_objects"],
                                  xml_terms=fixture_paths["xml_terms"])
     out = M.materialize_collection(spark, base + "-warn", json_objects=fixture_paths["json_objects"],
-                                   json_terms=fixture_paths["json_terms"], mode="warn")
+                                   json_terms=fixture_paths["json_terms"], multiline=True, mode="warn")
     assert not out["passed"] and spark.read.json(out["output"]).count() == 5
     rows = {(r["object_id"], r["rule"]) for r in spark.read.parquet(out["failing_rows"]).collect()}
     assert rows == {("OBJ-005", "all_dimension_values_gt_1"), ("OBJ-003", "has_at_least_one_constituent"),
@@ -222,10 +252,10 @@ def test_json_mistyped_value_nulls_only_that_value(spark, tmp_path):
     objs[1]["date_made"] = "circa 1900"
     path = tmp_path / "objects.json"
     path.write_text(json.dumps(objs, indent=2))
-    rows = {r["object_id"]: r for r in M.harvest_objects_json(spark, str(path)).collect()}
+    rows = {r["object_id"]: r for r in M.harvest_objects_json(spark, str(path), multiline=True).collect()}
     assert len(rows) == 5 and rows["OBJ-002"]["date_made"] is None
-    assert rows["OBJ-002"]["title"] == "Still Life with Fruit and Wine" and rows["OBJ-001"]["date_made"] == 1892
-    assert rows["OBJ-001"]["dimensions"][0]["value"] == 98.5
+    assert rows["OBJ-002"]["title"] == "Two Jugs and a Gourd" and rows["OBJ-001"]["date_made"] == 1711
+    assert rows["OBJ-001"]["dimensions"][0]["value"] == 61.5
 
 
 def test_empty_xml_element_kept_as_empty_string(spark, tmp_path):
@@ -233,7 +263,7 @@ def test_empty_xml_element_kept_as_empty_string(spark, tmp_path):
 
     d = tmp_path / "x"
     d.mkdir()
-    (d / "E.xml").write_text(object_xml(OBJECTS[1]).replace("<name>Paul Renard</name>", "<name/>"))
+    (d / "E.xml").write_text(object_xml(OBJECTS[1]).replace("<name>Odo Prell</name>", "<name/>"))
     row = M.harvest_objects_xml(spark, str(d)).first()
     assert row["constituents"][0]["name"] == ""
     rule = R.no_empty_strings("no_empty_names", "constituents", "name")
@@ -245,7 +275,7 @@ def test_null_document_key_keeps_its_list(spark, terms_xml, objects_xml):
     for strategy in ("map", "join"):
         rows = M.enrich_objects(terms_xml, no_key, strategy=strategy).collect()
         row = next(r for r in rows if r["object_id"] is None)
-        assert [tuple(c) for c in row["classifications"]] == [("Sculpture", "Bronze")], strategy
+        assert [tuple(c) for c in row["classifications"]] == [("Carving", "Pearwood")], strategy
 
 
 def test_hot_identical_copies_keep_single_lists(spark, terms_xml, objects_xml):
@@ -266,7 +296,7 @@ def test_materialize_collection_refuses_malformed_xml(spark, tmp_path, fixture_p
     d = tmp_path / "objs"
     shutil.copytree(fixture_paths["xml_objects"], d)
     (d / "BAD.xml").write_text('<?xml version="1.0"?>\n<object id="B"><title>x</title><dimensions>')
-    with pytest.raises(ValueError, match=r"Malformed XML \(1 file\(s\)\)"):
+    with pytest.raises(ValueError, match=r"Malformed XML: 1 file\(s\)"):
         M.materialize_collection(spark, scratch_path(spark, "t-flow-bad"), xml_objects=str(d),
                                  xml_terms=fixture_paths["xml_terms"], mode="warn")
 
@@ -286,18 +316,18 @@ def test_materialize_collection_counts_untyped_values(spark, tmp_path, fixture_p
     d = tmp_path / "objs"
     shutil.copytree(fixture_paths["xml_objects"], d)
     p = d / "OBJ-002.xml"
-    p.write_text(p.read_text().replace('value="45.0"', 'value="abc"').replace("<birth_year>1870", "<birth_year>c.1870"))
+    p.write_text(p.read_text().replace('value="33.0"', 'value="abc"').replace("<birth_year>1702", "<birth_year>c.1870"))
     out = M.materialize_collection(spark, scratch_path(spark, "t-flow-typing"), xml_objects=str(d),
                                    xml_terms=fixture_paths["xml_terms"], mode="warn")
     assert out["untyped_values"] == {"dimensions": 1, "constituents": 1}
     ok = M.materialize_collection(spark, scratch_path(spark, "t-flow-typing-ok"), json_objects=fixture_paths["json_objects"],
-                                  json_terms=fixture_paths["json_terms"], mode="warn")
+                                  json_terms=fixture_paths["json_terms"], multiline=True, mode="warn")
     assert ok["untyped_values"] == {}
 
 
 def test_materialize_collection_bulk_output(spark, fixture_paths):
     out = M.materialize_collection(spark, scratch_path(spark, "t-flow-bulk"), json_objects=fixture_paths["json_objects"],
-                                   json_terms=fixture_paths["json_terms"], mode="warn", bulk_index="objects")
+                                   json_terms=fixture_paths["json_terms"], multiline=True, mode="warn", bulk_index="objects")
     lines = [r["value"] for r in spark.read.text(out["output"]).collect()]
     assert len(lines) == 10
     actions = [json.loads(x) for x in lines if x.startswith('{"index"')]

@@ -17,7 +17,7 @@ def failing_ids(df, rule, key="id"):
 def cons_frame(spark, bad_row=None, **bad):
     rows = []
     for i in range(1, 6):
-        c = {"name": f"Person {i}", "role": "Artist", "birth_year": 1800 + i, "nationality": "French"}
+        c = {"name": f"Person {i}", "role": "Artist", "birth_year": 1800 + i, "nationality": "Northern"}
         if i == bad_row:
             c.update(bad)
         rows.append((i, [tuple(c.values())]))
@@ -82,8 +82,8 @@ def test_list_of_scalars_element_rules(spark):
 
 def test_cross_column_rules(spark):
     df = spark.createDataFrame(
-        [(1, "Sculpture", [("height", 1.0)], 1900, [1850]), (2, "Sculpture", [("depth", 2.0)], 1900, [1950]),
-         (3, "Paintings", [("height", 3.0)], None, [1700])],
+        [(1, "Carving", [("height", 1.0)], 1900, [1850]), (2, "Carving", [("depth", 2.0)], 1900, [1950]),
+         (3, "Hangings", [("height", 3.0)], None, [1700])],
         "id bigint, department string, dimensions array<struct<type:string, value:double>>, date_made bigint, "
         "births array<bigint>")
     depth = next(r for r in M.cross_column_rules() if r.name == "sculpture_must_have_depth")
