@@ -7,21 +7,16 @@ at every depth; strict mode is simply "undeclared counts as a failure".
 
 Plan, built for large inputs:
 
-1. parse each document once and take ``schema_of_variant`` -- row-local;
-2. count documents per signature in a hash aggregate (partial on the map side,
-   so the shuffle carries one row per signature per task) and name each
-   group's representative by its smallest text hash.  Documents of one
-   signature share paths and types; a signature with ``VARIANT`` (an array
-   mixing element types) does not, so those are grouped per distinct text;
-3. a second, hash-only pass picks the representatives (broadcast semi-join
-   behind a size probe); only they are parsed again and walked level by level
-   with ``variant_explode``;
-4. compare the observed ``(path, family)`` pairs with the declared paths and
-   weight every finding by the group's document count.
-
-Types are those of the representative's values; arrays whose element types
-Spark merges (integers with decimals, values with nulls) are judged by the
-representative of their signature.
+1. each document is parsed once and its distinct ``(path, family)`` pairs are
+   listed inside the row, level by level -- no shuffle, no second read;
+2. documents with the same pairs are counted together in one hash aggregate
+   (partial on the map side, so the shuffle carries a row per pair set and task);
+3. the pair sets are compared with the declared paths and every finding is
+   weighted by its document count.
+
+Pairs come from the values themselves: field names that look like type names,
+and arrays that mix element types, are judged like any others, and what one
+document yields does not depend on the documents around it.
 
 Type families: integers; decimals/doubles/floats (integers fit a declared
 fractional type); strings (also for declared dates/timestamps, which JSON
@@ -99,73 +94,36 @@ def _family_expr(sig):
             .otherwise("string"))
 
 
-def family_signature(sig):
-    """Type signature at family granularity: numeric widths and precisions dropped,
-    so documents differing only in e.g. ``DECIMAL(5,2)`` vs ``DECIMAL(7,2)`` share a group."""
-    sig = F.regexp_replace(sig, r"DECIMAL\(\d+,\d+\)|DOUBLE|FLOAT", "NUMBER")
-    return F.regexp_replace(sig, r"\b(TINYINT|SMALLINT|INT|BIGINT)\b", "INTEGER")
-
-
-def signature_groups(docs: DataFrame, text_col: str) -> DataFrame:
-    """``(_sig, _gkey, n_docs, _rh)``: documents grouped by type signature.
-
-    A hash aggregate (numeric buffers only): ``_rh`` is the smallest text hash
-    of the group, naming its representative.  Signatures containing
-    ``VARIANT`` are refined by the text hash, so such documents are examined
-    one distinct text at a time."""
-    t = F.col(text_col)
-    sig = family_signature(F.schema_of_variant(F.try_parse_json(t)))
-    h = F.xxhash64(t)
-    keyed = docs.select(sig.alias("_sig"), h.alias("_h"))
-    keyed = keyed.withColumn("_gkey", F.when(F.col("_sig").contains("VARIANT"), F.col("_h")))
-    return keyed.groupBy("_sig", "_gkey").agg(F.count(F.lit(1)).alias("n_docs"), F.min("_h").alias("_rh"))
-
-
-def representatives(docs: DataFrame, text_col: str, groups: DataFrame, max_groups: int = 1_000_000) -> DataFrame:
-    """``(gid, n_docs, v)``: one parsed document per signature group.
-
-    Second pass over the texts computing only a hash; candidates are matched
-    against the (size-probed, then broadcast) representative hashes and only
-    they are parsed."""
-    from nestgate.operators.lookup import probe_size
-
-    hashes = groups.select(F.col("_rh").alias("_h")).distinct()
-    n, _ = probe_size(hashes, max_groups)
-    hashes = F.broadcast(hashes) if n <= max_groups else hashes
-    cand = docs.select(F.col(text_col).alias("_t")).withColumn("_h", F.xxhash64("_t")).join(hashes, "_h", "left_semi")
-    v = F.try_parse_json("_t")
-    cand = cand.select("_h", v.alias("v"), family_signature(F.schema_of_variant(v)).alias("_sig"))
-    cand = cand.withColumn("_gkey", F.when(F.col("_sig").contains("VARIANT"), F.col("_h")))
-    g = groups.select(F.col("_sig").alias("_gs"), F.col("_gkey").alias("_gk"), "n_docs", F.col("_rh").alias("_gh"))
-    joined = cand.join(g, F.col("_sig").eqNullSafe(F.col("_gs")) & F.col("_gkey").eqNullSafe(F.col("_gk"))
-                       & (F.col("_h") == F.col("_gh"))).select(F.xxhash64("_gs", "_gk").alias("gid"), "n_docs", "v")
-    # identical texts are identical documents: keep one per group
-    return joined.groupBy("gid").agg(F.first("n_docs").alias("n_docs"), F.first("v").alias("v"))
-
-
-def observed_paths(spark: SparkSession, reps: DataFrame, max_depth: int) -> DataFrame:
-    """``(gid, n_docs, path, family)`` walked level by level over the representatives.
-
-    ``path='$'`` is the document itself (family ``object`` or ``unparsable``)."""
-    root = reps.select("gid", "n_docs", F.lit("$").alias("path"),
-                       F.when(F.col("v").isNull(), "unparsable").otherwise(_family_expr(F.schema_of_variant("v")))
-                       .alias("family"), "v")
-    levels = [root]
-    frontier = root.where(F.col("family").isin("object", "array"))
+def _tag(path, v):
+    family = _family_expr(F.coalesce(F.schema_of_variant(v), F.lit("VOID")))
+    return F.struct(path.alias("path"), family.alias("family"), v.alias("v"))
+
+
+def _below(node):
+    """The children of an object or array node."""
+    of_object = F.transform(
+        F.map_entries(node["v"].cast("map<string, variant>")),
+        lambda e: _tag(F.when(node["path"] == "$", e["key"]).otherwise(F.concat_ws(".", node["path"], e["key"])),
+                       e["value"]))
+    of_array = F.transform(node["v"].cast("array<variant>"), lambda e: _tag(F.concat(node["path"], F.lit("[]")), e))
+    return F.when(node["family"] == "object", of_object).otherwise(of_array)
+
+
+def _bare(nodes):
+    return F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), n["family"].alias("family")))
+
+
+def observed_groups(docs: DataFrame, text_col: str, max_depth: int) -> DataFrame:
+    """``(pairs, n_docs)``: documents counted per sorted set of ``(path, family)`` pairs."""
+    rows = docs.select(F.try_parse_json(F.col(text_col)).alias("_v"))
+    rows = rows.select(F.when(F.col("_v").isNotNull(), F.array(_tag(F.lit("$"), F.col("_v")))).alias("_l"))
+    unparsable = F.array(F.struct(F.lit("$").alias("path"), F.lit("unparsable").alias("family")))
+    rows = rows.select("_l", F.coalesce(_bare(F.col("_l")), unparsable).alias("_p"))
     for _ in range(max_depth):
-        ex = frontier.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))
-        child_path = F.when(F.col("key").isNotNull(),
-                            F.when(F.col("path") == "$", F.col("key")).otherwise(F.concat_ws(".", "path", "key"))) \
-            .otherwise(F.concat(F.col("path"), F.lit("[]")))
-        nxt = ex.select("gid", "n_docs", child_path.alias("path"),
-                        _family_expr(F.schema_of_variant(F.col("value"))).alias("family"),
-                        F.col("value").alias("v"))
-        levels.append(nxt)
-        frontier = nxt.where(F.col("family").isin("object", "array"))
-    out = levels[0].drop("v")
-    for lv in levels[1:]:
-        out = out.unionByName(lv.drop("v"))
-    return out.distinct()
+        containers = F.filter("_l", lambda n: n["family"].isin("object", "array"))
+        rows = rows.select(F.flatten(F.transform(containers, _below)).alias("_l"), "_p")
+        rows = rows.select("_l", F.coalesce(F.array_union("_p", _bare(F.col("_l"))), F.col("_p")).alias("_p"))
+    return (rows.groupBy(F.sort_array("_p").alias("pairs")).agg(F.count(F.lit(1)).alias("n_docs")))
 
 
 def _depth(schema: T.StructType) -> int:
@@ -182,21 +140,17 @@ def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.S
                 any_paths: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
     """``(path, status, n_docs, failing)`` for JSON documents in ``text_col``.
 
-    ``docs`` is read twice (counting pass, representative pass), so it should
-    be a scan of the documents (files or a written table), not an expensive
-    derivation.
+    ``docs`` is read once.
 
     ``failing`` marks findings that break the schema (undeclared only when strict)."""
     decl = declared_paths(schema, any_paths)
     declared = spark.createDataFrame(decl, "path string, parent string, declared string")
-    # The intermediate results are one row per signature group (or per path of
-    # one): small and reused several times.  Lineage is cut with a reliable
-    # checkpoint in the shared checkpoint folder, so the two passes over the
-    # documents run exactly once and survive executor loss.
+    # One row per pair set, used several times: saved in the shared checkpoint
+    # folder, so the pass over the documents runs once and survives executor loss.
     checkpoint_root(spark)
-    groups = signature_groups(docs, text_col).checkpoint(eager=True)
-    reps = representatives(docs, text_col, groups).checkpoint(eager=True)
-    obs = observed_paths(spark, reps, _depth(schema) + 1).checkpoint(eager=True)
+    groups = observed_groups(docs, text_col, _depth(schema) + 1).withColumn(
+        "gid", F.monotonically_increasing_id()).checkpoint(eager=True)
+    obs = groups.select("gid", "n_docs", F.explode("pairs").alias("p")).select("gid", "n_docs", "p.path", "p.family")
     obs = obs.join(F.broadcast(declared), "path", "left")  # the declared schema is small by nature
 
     accepts = F.create_map(*[x for k, vs in ACCEPTS.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])

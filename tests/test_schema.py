@@ -127,3 +127,29 @@ def test_validate_frame_strict(spark):
                                                                           ("extra", "undeclared")}
     coerced = validate_frame(df, schema, coerce=True, strict=True)
     assert coerced.frame.columns == ["id", "title", "missing_col"] and coerced.dtype_problems == []
+
+
+def _found(spark, docs, schema, **kw):
+    df = spark.createDataFrame([(d,) for d in docs], "doc string")
+    return {(r["path"], r["status"]): (r["n_docs"], r["failing"])
+            for r in conformance(spark, df, "doc", T.StructType.fromDDL(schema), **kw).collect()}
+
+
+def test_conformance_field_names_like_type_names(spark):
+    got = _found(spark, ['{"FLOAT":1}', '{"DOUBLE":1}', '{"DOUBLE":2}'], "FLOAT bigint")
+    assert got == {("FLOAT", "ok"): (1, False), ("FLOAT", "missing"): (2, True), ("DOUBLE", "undeclared"): (2, False)}
+
+
+def test_conformance_of_mixed_arrays_does_not_depend_on_other_documents(spark):
+    one, two = '{"x":[1,2.5]}', '{"x":[1.5,2.5]}'
+    alone = _found(spark, [one], "x array<bigint>")
+    assert alone == {("x", "ok"): (1, False), ("x[]", "ok"): (1, False), ("x[]", "wrong_type"): (1, True)}
+    assert _found(spark, [one, two], "x array<bigint>") == {
+        ("x", "ok"): (2, False), ("x[]", "ok"): (1, False), ("x[]", "wrong_type"): (2, True)}
+
+
+def test_conformance_nulls_strict_and_any(spark):
+    docs = ['{"a":null,"b":{"c":1,"z":[]}}', '{"a":1,"b":null}', "not json", '{"a":"x","b":{"c":true}}']
+    got = _found(spark, docs, "a bigint, b struct<c: bigint>", any_paths=("b.c",), strict=True)
+    assert got == {("a", "ok"): (2, False), ("a", "wrong_type"): (1, True), ("b", "ok"): (3, False),
+                   ("b.c", "ok"): (2, False), ("b.z", "undeclared"): (1, True), ("$", "unparsable"): (1, True)}
