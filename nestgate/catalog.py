@@ -926,6 +926,178 @@ def source_parity(spark: SparkSession, d: str) -> DataFrame:
     return U.parity(a, b)
 
 
+# ====================================================================== failing data in every rule
+@query("lookup_null_label", f"""
+with t as (select p_partkey, case when p_size % 3 = 0 then null else p_name end as label from part)
+select l.l_orderkey as o_orderkey, count(*) as n_elements, count(*) - count(t.label) as n_null_labels
+from lineitem l left join t on t.p_partkey = l.l_partkey group by l.l_orderkey
+""")
+def lookup_null_label(spark: SparkSession, d: str) -> DataFrame:
+    """Terms without label keep their elements, and the rule on labels reports them."""
+    parts = S.table(spark, d, "part").select(
+        F.concat(F.lit("P-"), F.col("p_partkey").cast("string")).alias("term_id"),
+        F.when(F.col("p_size") % 3 != 0, F.col("p_name")).alias("label"))
+    docs = S.line_refs(S.nested_lines(spark, d))
+    docs = enrich_list(docs, "line_refs", [Lookup("part_id", parts, "term_id", "label", "part_label")],
+                       ["l_linenumber", "part_label"], key="o_orderkey")
+    return docs.select("o_orderkey", F.size("line_refs").cast("bigint").alias("n_elements"),
+                       F.size(F.filter("line_refs", lambda x: x["part_label"].isNull())).cast("bigint")
+                       .alias("n_null_labels"))
+
+
+# returned lines lose their order key, so the key is null in many rows and repeated in others
+NULL_KEY_SQL = """(select case when l_returnflag = 'R' then null else l_orderkey end as k, l_linenumber from lineitem)"""
+
+
+@query("unique_null_keys", f"""
+with l as {NULL_KEY_SQL},
+dup as (select count(*) as n from l group by k, l_linenumber having count(*) > 1),
+f as (select cast(coalesce(sum(n), 0) as bigint) as n from dup)
+select f.n as in_summary, f.n as in_failing_rows, f.n as in_quarantine from f
+""")
+def unique_null_keys(spark: SparkSession, d: str) -> DataFrame:
+    """Repeated keys, null ones included, counted alike by summary, failing rows and quarantine."""
+    lines = S.table(spark, d, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("k"), "l_linenumber")
+    rules = [R.unique("line_key_unique", "k", "l_linenumber")]
+    rows = V.failing_rows(lines, rules, "k").agg(F.count(F.lit(1)).alias("in_failing_rows"))
+    quarantined = V.with_findings(lines, rules).where(F.size("_failed_rules") > 0).agg(
+        F.count(F.lit(1)).alias("in_quarantine"))
+    found = V.summary(lines, rules).select(F.col("failed").alias("in_summary"))
+    return found.crossJoin(rows).crossJoin(quarantined)                 # one row each
+
+
+def _same_name_rules() -> list[R.Rule]:
+    return [R.string_length("length_at_least_2", "o_orderstatus", min_len=2),
+            R.element_string_length("length_at_least_2", "lines", "l_returnflag", min_len=1),
+            R.list_size("more_than_2", "lines", ">", 2),
+            R.row_rule("more_than_2", "o_custkey", F.col("o_custkey") > 2)]
+
+
+@query("check_same_rule_names", """
+with n as (select o.*, (select count(*) from lineitem l where l.l_orderkey = o.o_orderkey) as n from orders o),
+f as (
+  select 'length_at_least_2' as rule, 'o_orderstatus' as column_name,
+    cast(count(*) filter (where length(o_orderstatus) < 2) as bigint) as failed from n
+  union all select 'length_at_least_2', 'lines', cast(0 as bigint)
+  union all select 'more_than_2', 'lines', count(*) filter (where n <= 2) from n
+  union all select 'more_than_2', 'o_custkey', count(*) filter (where o_custkey <= 2) from n)
+select form, rule, column_name, failed from f, (values ('nested'), ('children')) as v(form)
+union all select 'depth flat', 'all', 'all', sum(failed) from f where column_name in ('o_orderstatus', 'o_custkey')
+""")
+def check_same_rule_names(spark: SparkSession, d: str) -> DataFrame:
+    """A rule is its column and its name; one name on two columns gives two results."""
+    rules = _same_name_rules()
+    orders = S.table(spark, d, "orders").select(*S.ORDER_FIELDS)
+    lines = S.table(spark, d, "lineitem").withColumnRenamed("l_orderkey", "o_orderkey")
+    docs = S.nested_orders(spark, d)
+    shape = ["rule", "column_name", "failed"]
+    nested = V.summary(docs, rules + rules[:1]).select(F.lit("nested").alias("form"), *shape)
+    children = V.summary_from_children(orders, lines, "o_orderkey", "lines", rules).select(
+        F.lit("children").alias("form"), *shape)
+    flat = V.summary_by_depth(docs, rules, ["flat"]).select(
+        F.lit("depth flat").alias("form"), F.lit("all").alias("rule"), F.lit("all").alias("column_name"),
+        F.col("failed_total").alias("failed"))
+    return nested.unionByName(children).unionByName(flat)
+
+
+@query("check_segment_rules", """
+select o.o_orderkey, c.c_mktsegment is null or starts_with(c.c_mktsegment, 'M') as prefix_passed,
+  c.c_mktsegment is null or length(c.c_mktsegment) >= 9 as length_passed
+from orders o left join customer c on c.c_custkey = o.o_custkey
+""")
+def check_segment_rules(spark: SparkSession, d: str) -> DataFrame:
+    """Prefix and length rules on nested text that part of the data breaks."""
+    docs = S.nested_orders(spark, d, with_constituents=True)
+    prefix = R.starts_with("segment_starts_with_m", "constituents", "segment", "M")
+    length = R.element_string_length("segment_min_9", "constituents", "segment", min_len=9)
+    return docs.select("o_orderkey", prefix.passed().alias("prefix_passed"), length.passed().alias("length_passed"))
+
+
+@query("check_null_values", """
+select 'o_custkey' as column_name, count(*) filter (where o_orderpriority = '1-URGENT') as nulls from orders
+union all select 'lines', count(*) filter (where o_orderkey not in (select l_orderkey from lineitem)) from orders
+""")
+def check_null_values(spark: SparkSession, d: str) -> DataFrame:
+    """V4: nulls in a scalar and in a list column (urgent orders lose their customer, lists stay missing)."""
+    orders = S.table(spark, d, "orders").withColumn(
+        "o_custkey", F.when(F.col("o_orderpriority") != "1-URGENT", F.col("o_custkey")))
+    docs = orders.join(S.nested_lines(spark, d), "o_orderkey", "left")
+    s = V.summary(docs, [R.not_null(c, c) for c in ("o_custkey", "lines")])
+    return s.select("column_name", F.col("failed").alias("nulls"))
+
+
+@query("failing_element_values", f"""
+select l_orderkey as o_orderkey, 'all_lines_open' as rule, pos, '["' || l_linestatus || '"]' as value
+from {LINES_POS_SQL} where l_linestatus <> 'O'
+union all select l_orderkey, 'returnflag_in_a_n', pos, '["' || l_returnflag || '"]'
+from {LINES_POS_SQL} where l_returnflag not in ('A', 'N')
+""")
+def failing_element_values(spark: SparkSession, d: str) -> DataFrame:
+    """The value of every failing element, as JSON text."""
+    rules = [r for r in S.order_rules() if r.name in ("all_lines_open", "returnflag_in_a_n")]
+    return V.failing_elements(S.nested_orders(spark, d), rules, "o_orderkey")
+
+
+# Field names that look like type names, and an array that mixes integers with decimals.
+TYPE_NAME_SCHEMA = "o_orderkey bigint, FLOAT bigint, prices array<bigint>, extra string"
+
+
+@query("conformance_strict", """
+with d as (
+  select o_orderstatus = 'F' as f, o_orderpriority = '1-URGENT' as urgent from orders)
+select 'o_orderkey' as path, 'ok' as status, count(*) as n_docs, false as failing from d
+union all select 'FLOAT', 'ok', count(*), false from d where f having count(*) > 0
+union all select 'FLOAT', 'missing', count(*), true from d where not f having count(*) > 0
+union all select 'DOUBLE', 'undeclared', count(*), true from d where not f having count(*) > 0
+union all select 'prices', 'ok', count(*), false from d
+union all select 'prices[]', 'ok', count(*), false from d
+union all select 'prices[]', 'wrong_type', count(*), true from d where urgent having count(*) > 0
+union all select 'extra', 'ok', count(*), false from d
+""")
+def conformance_strict(spark: SparkSession, d: str) -> DataFrame:
+    """V2/V3: undeclared paths fail in strict mode, a path of any type passes, values are judged one by one."""
+    o = S.table(spark, d, "orders")
+    key = F.col("o_orderkey").cast("string")
+    name = F.when(F.col("o_orderstatus") == "F", F.lit("FLOAT")).otherwise("DOUBLE")
+    prices = F.when(F.col("o_orderpriority") == "1-URGENT", F.lit("[1,2.5]")).otherwise("[1,2]")
+    extra = F.when(F.col("o_custkey") % 2 == 0, F.lit('"text"')).otherwise('{"n":1}')
+    doc = F.concat(F.lit('{"o_orderkey":'), key, F.lit(',"'), name, F.lit('":1,"prices":'), prices,
+                   F.lit(',"extra":'), extra, F.lit("}"))
+    return C.conformance(spark, o.select(doc.alias("doc")), "doc", ddl(TYPE_NAME_SCHEMA), any_paths=("extra",),
+                         strict=True)
+
+
+ORDER_FULL = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
+    "o_orderpriority string, lines array<struct<l_linenumber: int, l_partkey: bigint, l_suppkey: bigint, "
+    "l_quantity: double, l_extendedprice: double, l_discount: double, l_tax: double, l_returnflag: string, "
+    "l_linestatus: string, l_shipdate: timestamp>>")
+
+
+@query("source_content", f"""
+select route, l_orderkey as o_orderkey, o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority,
+  pos, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+  l_shipdate
+from {LINES_POS_SQL} l join orders o on o.o_orderkey = l.l_orderkey, (values ('xml'), ('json')) as v(route)
+""")
+def source_content(spark: SparkSession, d: str) -> DataFrame:
+    """Every field of every line, dates included, after a round trip through XML and through JSON."""
+    docs = S.nested_orders(spark, d)
+    full = ddl(ORDER_FULL)
+    text = string_leaves(full)
+    xml = X.to_xml_documents(docs, "order")
+    via_xml = xml.select(X.parse_xml_column("xml", text).alias("r")).select("r.*").drop("_corrupt_record")
+    via_json = docs.select(JS.parse_json_column(K.to_json_document(docs), text).alias("r")).select("r.*")
+    out = None
+    for route, harvested in (("xml", via_xml), ("json", via_json)):
+        typed = coerce_to_schema(harvested, full, strict=True)
+        flat = N.explode_elements(typed, ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                                          "o_orderpriority"], "lines").withColumn("route", F.lit(route))
+        out = flat if out is None else out.unionByName(flat)
+    return out.withColumn("pos", F.col("pos").cast("bigint"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

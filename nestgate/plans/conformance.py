@@ -160,8 +160,9 @@ def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.S
               .when(F.array_contains(accepts[F.col("declared")], F.col("family")), "ok")
               .otherwise("wrong_type"))
     found = obs.withColumn("status", status)
-    # Undeclared paths are reported at their top only (their parent is declared or the root).
-    decl_names = spark.createDataFrame([(p,) for p, _, _ in decl] + [("$",)], "parent_path string")
+    # Undeclared paths are reported at their top only (their parent is declared or the root);
+    # nothing is looked for below a path of any type.
+    decl_names = spark.createDataFrame([(p,) for p, _, f in decl if f != ANY] + [("$",)], "parent_path string")
     found = found.withColumn("parent_path", F.regexp_replace(
         F.regexp_replace("path", r"(\[\])$", ""), r"\.[^.\[\]]+$", ""))
     found = found.withColumn("parent_path", F.when(F.col("parent_path") == F.col("path"), "$")
