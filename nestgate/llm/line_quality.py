@@ -134,12 +134,15 @@ def quality_rules(df: DataFrame, text: str = "text", max_lost_percent: int = MAX
         f"{q}_clean": F.when(F.col(text).isNotNull(), F.concat_ws("\n", F.transform(
             F.filter(col("judged"), lambda x: x["rule"].isNull()), lambda x: x["line"]))),
     })
-    out = out.withColumn(f"{q}_repeat", F.coalesce(covered_words(col("places")), F.lit(0).cast("long")))
+    # A filter on the verdict must not move below this step: it would repeat the lists' expressions inside
+    # each other.  It reads a column that is not deterministic, which keeps it above.
+    out = out.withColumns({f"{q}_repeat": F.coalesce(covered_words(col("places")), F.lit(0).cast("long")),
+                           f"{q}_row": F.monotonically_increasing_id()})
     failed = (col("n") < 10) | (col("repeat") * 100 > col("n") * 20)
     return out.select(
         *df.columns, col("n").alias("n_words"), col("chars").alias("word_chars"), col("symbols").alias("n_symbols"),
         col("dup").alias("n_dup_lines"), col("repeat").alias("n_repeat_words"), failed.alias("base_failed"),
-        (~failed & (col("lost") * 100 <= col("total") * max_lost_percent)).alias("kept"),
+        (~failed & (col("lost") * 100 <= col("total") * max_lost_percent) & (col("row") >= 0)).alias("kept"),
         col("nlines").alias("n_lines"), col("p").alias("n_punctuation"), col("v").alias("n_navigation"),
         col("b").alias("n_boilerplate"), col("total").alias("line_chars"), col("lost").alias("lost_chars"),
         col("clean").alias("clean_text"))
