@@ -32,13 +32,31 @@ def test_rules_read_only_referenced_nested_leaves(spark, enriched):
 
 def test_map_enrichment_does_not_shuffle_documents(spark, terms_xml, objects_xml):
     lk = Lookup("nationality_id", terms_xml.where("term_type = 'nationality'"), "term_id", "label", "nationality")
-    out = enrich_list(objects_xml, "constituents", [lk], ["name", "nationality"], strategy="map")
+    out = enrich_list(objects_xml, "constituents", [lk], ["name", "nationality"], key="id", strategy="map")
     p = plan(out)
     main, _, subqueries = p.partition("===== Subqueries =====")
     assert "Exchange" not in main.split("\n\n")[0]          # tree of the main query
     assert "Subquery" in subqueries or "subquery" in main
 
 
+def test_join_enrichment_shuffles_each_side_once(spark, terms_xml, objects_xml):
+    """Without broadcasts: the grouped terms, the elements by id, their regrouping and the documents.
+    The regrouped lists are joined on the columns they are partitioned by."""
+    lk = Lookup("nationality_id", terms_xml, "term_id", "label", "nationality")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = enrich_list(objects_xml, "constituents", [lk], ["name", "nationality"], key="id", strategy="join",
+                          broadcast_max_rows=0)
+        p = plan(out)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    import re
+
+    tree = p.split("\n\n")[0]
+    assert len(re.findall(r"\bExchange \(\d+\)", tree)) <= 5, tree      # elements, terms, terms by (id, salt), regroup, documents
+
+
 def test_summary_is_one_hash_aggregation(spark, enriched):
     p = plan(V.summary(enriched, [r for r in M.object_rules() if r.level != "frame"]))
     import re
@@ -68,9 +86,12 @@ def test_uniqueness_findings_do_not_shuffle_the_data(spark, enriched):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
-def test_conformance_signature_grouping_is_a_hash_aggregate(spark):
-    from nestgate.plans.conformance import signature_groups
+def test_conformance_reads_documents_once_and_shuffles_pair_sets(spark):
+    from nestgate.plans.conformance import observed_groups
+
+    docs = spark.createDataFrame([('{"a":1}',)], "doc string")
+    p = plan(observed_groups(docs, "doc", 3))
+    import re
 
-    docs = spark.createDataFrame([('{"a": 1, "b": [1.5]}',), ('{"a": "x"}',)], "doc string")
-    p = plan(signature_groups(docs, "doc"))
-    assert "HashAggregate" in p and "SortAggregate" not in p and "ObjectHashAggregate" not in p
+    assert len(re.findall(r"\bExchange \(\d+\)", p.split("\n\n")[0])) == 1
+    assert "SortAggregate" not in p and "Join" not in p
