@@ -983,7 +983,7 @@ f as (
   union all select 'more_than_2', 'lines', count(*) filter (where n <= 2) from n
   union all select 'more_than_2', 'o_custkey', count(*) filter (where o_custkey <= 2) from n)
 select form, rule, column_name, failed from f, (values ('nested'), ('children')) as v(form)
-union all select 'depth flat', 'all', 'all', sum(failed) from f where column_name in ('o_orderstatus', 'o_custkey')
+union all select 'depth flat', 'all', 'all', cast(sum(failed) as bigint) from f where column_name in ('o_orderstatus', 'o_custkey')
 """)
 def check_same_rule_names(spark: SparkSession, d: str) -> DataFrame:
     """A rule is its column and its name; one name on two columns gives two results."""
