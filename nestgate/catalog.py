@@ -255,8 +255,9 @@ where o.o_totalprice = (select max(o_totalprice) from orders)
 """)
 def drilldown_elements(spark: SparkSession, d: str) -> DataFrame:
     """The lines of the most expensive order(s), one row each."""
-    docs = S.nested_orders(spark, d)
     top = S.table(spark, d, "orders").agg(F.max("o_totalprice")).scalar()
+    keys = S.table(spark, d, "orders").where(F.col("o_totalprice") == top).select("o_orderkey")
+    docs = S.nested_orders(spark, d, keys=keys)
     flat = N.drilldown(docs, F.col("o_totalprice") == top, "o_orderkey", "lines")
     return flat.select("o_orderkey", F.col("pos").cast("bigint").alias("pos"), "l_linenumber", "l_partkey",
                        "l_quantity")
@@ -725,9 +726,9 @@ group by o.o_orderkey, o.o_orderstatus
 """)
 def document_by_id(spark: SparkSession, d: str) -> DataFrame:
     """K4: the document of one key (here: the key of the most expensive order)."""
-    docs = S.nested_orders(spark, d)
     top = S.table(spark, d, "orders").agg(F.max("o_totalprice")).scalar()
     keys = S.table(spark, d, "orders").where(F.col("o_totalprice") == top).select("o_orderkey")
+    docs = S.nested_orders(spark, d, keys=keys)
     out = K.documents_by_ids(docs, "o_orderkey", keys)
     return out.select("o_orderkey", F.get_json_object("document", "$.o_orderstatus").alias("o_orderstatus"),
                       F.json_array_length(F.get_json_object("document", "$.lines")).cast("bigint").alias("n_lines"))

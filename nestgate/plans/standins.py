@@ -27,9 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``(o_orderkey, lines)`` for every order that has lines."""
+def nested_lines(spark: SparkSession, sf_dir: str, keys: DataFrame | None = None) -> DataFrame:
+    """``(o_orderkey, lines)`` for every order (of ``keys``) that has lines."""
     li = table(spark, sf_dir, "lineitem")
+    if keys is not None:  # the lines of other orders are left out before they are nested
+        li = li.join(keys.select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi")
     return nest_children(li, "l_orderkey", LINE_FIELDS, "lines").withColumnRenamed("l_orderkey", "o_orderkey")
 
 
@@ -45,17 +47,20 @@ def constituents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cust.select("c_custkey", F.array(person).alias("constituents"))
 
 
-def nested_orders(spark: SparkSession, sf_dir: str, with_constituents: bool = False) -> DataFrame:
-    """Orders as documents; orders without lines carry ``[]``.
+def nested_orders(spark: SparkSession, sf_dir: str, with_constituents: bool = False,
+                  keys: DataFrame | None = None) -> DataFrame:
+    """Orders as documents (those of ``keys`` where given); orders without lines carry ``[]``.
 
     Customer is joined to the flat orders first (cheaper than moving the
     nested documents), then the nested lines are attached by order key."""
     orders = table(spark, sf_dir, "orders").select(*ORDER_FIELDS)
+    if keys is not None:
+        orders = orders.join(keys, "o_orderkey", "left_semi")
     if with_constituents:
         cons = constituents_of(spark, sf_dir)
         orders = fill_empty_list(
             orders.join(cons, orders.o_custkey == cons.c_custkey, "left").drop("c_custkey"), "constituents")
-    return reattach(orders, nested_lines(spark, sf_dir), "o_orderkey")
+    return reattach(orders, nested_lines(spark, sf_dir, keys), "o_orderkey")
 
 
 def terminology(spark: SparkSession, sf_dir: str) -> DataFrame:
