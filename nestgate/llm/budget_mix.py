@@ -30,6 +30,7 @@ from nestgate.llm.common import free_name, saved
 SEED = 20
 EPOCHS = 2
 BUDGET_PERCENT = 100           # of the corpus's tokens
+BROADCAST_LEAVES = 100_000     # leaf rows (a few hundred bytes each) that may be broadcast
 OTHER = 1
 # Parameters of the registered query: weights of the nodes at each level.
 WEIGHTS = {
@@ -96,6 +97,12 @@ def order_key(seed: int, epoch: Column, id_col: Column) -> Column:
                           F.coalesce(id_col.cast("string"), F.lit(""))))
 
 
+def _small(leaves: DataFrame) -> DataFrame:
+    """Saved leaf rows with a broadcast hint where their number allows it: a leaf's documents then stay
+    where they are.  Beyond, a shuffle join, whose hot keys Spark splits."""
+    return F.broadcast(leaves) if leaves.count() <= BROADCAST_LEAVES else leaves
+
+
 def leaf_plan(rows: DataFrame, weights: dict, epochs: int, percent: int, seed: int) -> DataFrame:
     """One row a leaf: budget, whole epochs, and the largest key of the last epoch that is taken ('' for none).
 
@@ -104,7 +111,7 @@ def leaf_plan(rows: DataFrame, weights: dict, epochs: int, percent: int, seed: i
     spark = rows.sparkSession
     leaf = saved(spark.sql("with " + budget_sql("{rows}", weights, epochs, percent, "div") + " select * from leaf",
                            rows=rows))
-    keyed = (rows.filter("n_tokens > 0").join(leaf, LEVELS)
+    keyed = (rows.filter("n_tokens > 0").join(_small(leaf), LEVELS)
              .withColumn("key", order_key(seed, F.col("full_epochs"), F.col("id")))
              .withColumn("bucket", F.substring("key", 1, 3)))
     from pyspark.sql import Window
@@ -117,7 +124,8 @@ def leaf_plan(rows: DataFrame, weights: dict, epochs: int, percent: int, seed: i
             .agg(F.min(F.struct("bucket", (F.col("upto") - F.col("n")).alias("before"))).alias("e"))
             .select(*LEVELS, F.col("e.bucket").alias("bucket"), F.col("e.before").alias("before")))
     inside = Window.partitionBy(*LEVELS).orderBy("key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    last = (keyed.join(ends, [*LEVELS, "bucket"])
+    ends = saved(ends)
+    last = (keyed.join(_small(ends), [*LEVELS, "bucket"])
             .withColumn("upto", F.col("before") + F.sum("n_tokens").over(inside))
             .filter("upto <= rest").groupBy(*LEVELS).agg(F.max("key").alias("cut")))
     return (leaf.join(ends, LEVELS, "left").join(last, LEVELS, "left")
@@ -151,7 +159,7 @@ def mix(df: DataFrame, domain: Column, id_col: str = "doc_id", tokens: Column |
                            node(F.col(source)).alias("source"), tokens.alias("n_tokens")))
     plan = leaf_plan(slim, WEIGHTS if weights is None else weights, epochs, percent, seed)
     p = free_name(df, "_p")
-    plan = saved(plan).select(*[F.col(c).alias(f"{p}_{c}") for c in plan.columns])
+    plan = _small(saved(plan).select(*[F.col(c).alias(f"{p}_{c}") for c in plan.columns]))
     kept = df.drop(*names)
     added = df.select("*", node(domain).alias(f"{p}d"), tokens.alias(f"{p}n"))
     on = ((F.col(f"{p}d") == F.col(f"{p}_domain")) & (node(F.col(lang)) == F.col(f"{p}_lang"))
