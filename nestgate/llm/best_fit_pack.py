@@ -37,7 +37,7 @@ from nestgate.llm.common import row_numbers, saved
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHED = 400_000                       # chunks whose ids a Python worker remembers, in each of two generations
+CACHED = 120_000                       # chunks whose ids a Python worker remembers, in each of two generations
 BLANK = re.compile(r"[ \t\n\r]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")     # split() takes them for white space, the tokenizer does not
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
