@@ -39,7 +39,8 @@ from nestgate.llm.induced_sort import permuted_prefixes, shard_string, suffix_ar
 
 WIDTH = 200
 GRAM = 64
-BLOCK_BYTES = 1 << 19          # text bytes hashed together
+BLOCK_BYTES = 1 << 19          # text bytes hashed together; longer texts are hashed in overlapping pieces
+PLACE_BITS = 24                # of a gram's place in its block, beside the high bits of its hash
 SHARD_BYTES = 1_500_000
 HOT_SEGMENTS = 20_000
 MOST_BITS = 27                 # the bit table has 2^27 bits (16 MB) at most
@@ -61,13 +62,15 @@ def _segments(texts: list[bytes]) -> tuple[np.ndarray, ...] | None:
     hash, text number, first window, windows), places inside the text."""
     buf = b"".join(texts)
     n = len(buf)
+    if n > 1 << PLACE_BITS:
+        raise ValueError(f"a block of {n} bytes has places beyond {PLACE_BITS} bits")
     eight = np.empty(n - 7, np.uint64)
     for o in range(8):
         eight[o::8] = np.frombuffer(buf, "<u8", (n - o) // 8, o)[:len(eight[o::8])]
     h = _fold(eight[:-8], eight[8:])
     h = _fold(h[:-16], h[16:])
     h = _fold(h[:-32], h[32:])                                   # hash of the gram at each place
-    low = np.uint64((1 << 24) - 1)
+    low = np.uint64((1 << PLACE_BITS) - 1)
     m = (h & ~low) | np.arange(len(h), dtype=np.uint64)          # the leftmost of equal hashes wins
     size, span = 1, WIDTH - GRAM + 1
     while 2 * size <= span:
@@ -92,18 +95,23 @@ def _segments(texts: list[bytes]) -> tuple[np.ndarray, ...] | None:
     return h[anchor[first]].view(np.int64), g.view(np.int64), text, first - starts[text], count
 
 
-def _blocks(texts: list[bytes]) -> Iterator[list[int]]:
-    """Numbers of the texts that are long enough, in blocks of about ``BLOCK_BYTES``."""
+def _blocks(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, list[bytes]]]:
+    """The texts that are long enough, in blocks of about ``BLOCK_BYTES``: (text numbers, offsets, pieces).
+
+    A longer text comes in pieces of at most ``BLOCK_BYTES`` windows; neighbours overlap by ``WIDTH - 1``
+    bytes, so each window lies in one piece.  A segment cut at a piece's end only means more work.
+    """
     block, size = [], 0
     for i, t in enumerate(texts):
-        if len(t) >= WIDTH:
-            block.append(i)
-            size += len(t)
+        for a in range(0, len(t) - WIDTH + 1, BLOCK_BYTES):
+            piece = t[a:a + BLOCK_BYTES + WIDTH - 1]
+            block.append((i, a, piece))
+            size += len(piece)
             if size >= BLOCK_BYTES:
-                yield block
+                yield np.array([x[0] for x in block]), np.array([x[1] for x in block]), [x[2] for x in block]
                 block, size = [], 0
     if block:
-        yield block
+        yield np.array([x[0] for x in block]), np.array([x[1] for x in block]), [x[2] for x in block]
 
 
 def _texts(column) -> list[bytes]:
@@ -113,44 +121,45 @@ def _texts(column) -> list[bytes]:
 def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         texts = _texts(b.column(0))
-        for block in _blocks(texts):
-            h, n = np.unique(_segments([texts[i] for i in block])[0], return_counts=True)
+        for _, _, pieces in _blocks(texts):
+            h, n = np.unique(_segments(pieces)[0], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h), pa.array(n)], ["h", "n"])
 
 
 def _with_bits(bits, step):
-    """``step(texts, block, (h, g, text, first, count))`` over the segments whose anchor is in the bit table."""
+    """``step(texts, (h, g, text, first, count))`` over the segments whose anchor is in the bit table."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         mask = np.int64(64 * len(table) - 1)
         for b in batches:
             texts = _texts(b.column(0))
-            for block in _blocks(texts):
-                s = _segments([texts[i] for i in block])
-                at = s[0] & mask
+            for number, offset, pieces in _blocks(texts):
+                h, g, piece, first, count = _segments(pieces)
+                at = h & mask
                 hit = (table[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1) == 1
                 if hit.any():
-                    yield step(texts, np.array(block), tuple(x[hit] for x in s))
+                    s = h, g, number[piece], first + offset[piece], count
+                    yield step(texts, tuple(x[hit] for x in s))
     return run
 
 
-def _segment_counts(texts, block, s) -> pa.RecordBatch:
+def _segment_counts(texts, s) -> pa.RecordBatch:
     both = np.stack((s[0], s[1]), axis=1)
     rows, n = np.unique(both, axis=0, return_counts=True)
     return pa.RecordBatch.from_arrays([pa.array(rows[:, 0]), pa.array(rows[:, 1]), pa.array(n)], ["h", "g", "n"])
 
 
-def _segment_texts(texts, block, s) -> pa.RecordBatch:
+def _segment_texts(texts, s) -> pa.RecordBatch:
     _, one = np.unique(s[0] ^ (s[1] * np.int64(3)), return_index=True)
     h, g, text, first, count = (x[one] for x in s)
-    parts = [texts[i][a:a + c + WIDTH - 1] for i, a, c in zip(block[text].tolist(), first.tolist(), count.tolist())]
+    parts = [texts[i][a:a + c + WIDTH - 1] for i, a, c in zip(text.tolist(), first.tolist(), count.tolist())]
     return pa.RecordBatch.from_arrays([pa.array(h), pa.array(g), pa.array(parts, pa.binary())], ["h", "g", "part"])
 
 
-def _segment_places(texts, block, s) -> pa.RecordBatch:
-    names = {i: hashlib.md5(texts[i], usedforsecurity=False).digest() for i in set(block[s[2]].tolist())}
+def _segment_places(texts, s) -> pa.RecordBatch:
+    names = {i: hashlib.md5(texts[i], usedforsecurity=False).digest() for i in set(s[2].tolist())}
     return pa.RecordBatch.from_arrays(
-        [pa.array(s[0]), pa.array(s[1]), pa.array([names[i] for i in block[s[2]].tolist()], pa.binary()),
+        [pa.array(s[0]), pa.array(s[1]), pa.array([names[i] for i in s[2].tolist()], pa.binary()),
          pa.array(s[3]), pa.array(s[4].astype(np.int32))], ["h", "g", "name", "first", "count"])
 
 

@@ -64,6 +64,38 @@ def test_hot_anchors_and_many_shards(spark, monkeypatch):
     assert run(spark, texts) == brute(texts, 200)
 
 
+def test_text_beyond_the_place_bits(spark):
+    """A string repeated beyond 16 MiB of one text is found like any other."""
+    def noise(seed, n):
+        return np.random.default_rng(seed).integers(97, 123, n, dtype=np.uint8).tobytes().decode()
+    shared, long = noise(1, 300), (1 << 24) + 400_000
+    head, tail = noise(2, long), noise(3, 5000)
+    got = run(spark, [head + shared + tail, "A" + shared + "B"])
+    kept = [head + tail, "AB"]
+    assert [(n, gone, spans) for n, gone, spans, _ in got] == [(long + 5300, 300, 1), (302, 300, 1)]
+    assert [x[3] for x in got] == [hashlib.sha256(k.encode()).hexdigest() for k in kept]
+
+
+def test_pieces_of_long_texts(monkeypatch):
+    """Windows have the same anchors however a text is cut, and each lies in one piece."""
+    texts = [t.encode() for t in corpus(4) if t]
+
+    def anchors(blocks):
+        out = {}
+        for number, offset, pieces in blocks:
+            h, _, piece, first, count = S._segments(pieces)
+            for x, i, a, n in zip(h.tolist(), number[piece].tolist(), (first + offset[piece]).tolist(), count.tolist()):
+                for w in range(a, a + n):
+                    assert (i, w) not in out
+                    out[i, w] = x
+        return out
+    whole = anchors(S._blocks(texts))
+    assert len(whole) == sum(max(0, len(t) - 199) for t in texts)
+    monkeypatch.setattr(S, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(S, "PLACE_BITS", 10)
+    assert anchors(S._blocks(texts)) == whole
+
+
 def test_empty_table_and_pipeline_form(spark):
     assert S.document_repeats(spark.createDataFrame([], DDL)).count() == 0
     p = "".join(chr(97 + (i * i) % 26) for i in range(230))
