@@ -20,7 +20,9 @@ so a task holds at most two blocks of one group, however large the group is.
 Defined results: documents without words have an empty set, stay alone and are
 kept; fewer than five words are one shingle; equal rows share a class; a class
 is labelled with its smallest ``doc_id`` (nulls are ignored, a component with
-null ids only has a null label and keeps none).
+null ids only has a null label and keeps none).  The pipeline form goes by rows,
+not by ids: exactly one row of each component stays, also of repeated rows and of
+null ids.
 """
 
 from __future__ import annotations
@@ -34,8 +36,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from nestgate.llm.common import each_group, saved
+from nestgate.llm.common import each_group, free_name, saved
 from nestgate.llm.components import components
+from nestgate.session import scratch_path
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -236,6 +239,13 @@ def document_components(docs: DataFrame) -> DataFrame:
 
 
 def first_of_each_class(docs: DataFrame) -> DataFrame:
-    """Pipeline form: one document of each component stays (the smallest ``doc_id``)."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
+    """Pipeline form: one row of each component stays (the smallest ``doc_id``, nulls last, then the
+    smallest row number), and every row with an empty set."""
+    row = free_name(docs, "_row")
+    folder = scratch_path(docs.sparkSession, "numbered")
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(folder)
+    numbered = docs.sparkSession.read.parquet(folder)                 # the numbers are the same in every scan
+    key = F.struct(F.col("doc_id").isNull().alias("missing"), F.col("doc_id").alias("id"), F.col(row).alias("row"))
+    found = near_duplicates(numbered.select(key.alias("key"), "text"), "key")
+    kept = found.filter("kept").select(F.col("id.row").alias(row))
+    return numbered.join(kept, row, "left_semi").select(*docs.columns)

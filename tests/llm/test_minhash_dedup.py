@@ -78,6 +78,30 @@ def test_empty_table_and_pipeline_form(spark):
     assert [tuple(r) for r in M.first_of_each_class(df).collect()] == [(1, "A b", "en", "s", 1, 9)]
 
 
+def test_pipeline_form_goes_by_rows(spark):
+    """Repeated rows, null ids and two texts under one id: one row of each component stays, through stages 2 and 3."""
+    from nestgate.llm.suffix_dedup import without_repeats
+
+    def text(seed):
+        r = random.Random(seed)
+        return " ".join("".join(r.choice("abcdefghij") for _ in range(6)) for _ in range(60))
+    near = text(3).rsplit(" ", 1)[0] + " other"
+    rows = [(1, text(1)), (1, text(1)), (1, text(1)),        # repeated rows
+            (None, text(2)),                                 # alone, without id
+            (5, text(3)), (3, near), (3, text(4)),           # a near copy; another text under a kept id
+            (9, text(4)),                                    # its copy
+            (None, text(5)), (None, text(5)),                # null ids only
+            (None, text(6)), (8, text(6)),                   # nulls come last
+            (None, None), (None, " "), (7, ""), (7, "")]     # empty sets all stay
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DDL).repartition(3)
+    want = [(1, text(1)), (None, text(2)), (3, near), (3, text(4)), (None, text(5)), (8, text(6)),
+            (None, None), (None, " "), (7, ""), (7, "")]
+    kept = M.first_of_each_class(df)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=str) == sorted(want, key=str)
+    assert sorted(((r.doc_id, r.text) for r in without_repeats(kept).collect()), key=str) == sorted(want, key=str)
+
+
 def test_threshold_is_exact():
     a = np.arange(100, dtype=np.uint64)
     assert M.linked(a, a[:85]) and not M.linked(a, a[:84])
