@@ -413,8 +413,8 @@ def nullability_rules(schema: T.StructType) -> list[Rule]:
 class ValidationReport:
     """Outcome of :func:`validate_frame`: the (coerced) frame, type problems, rule summary.
 
-    ``not_evaluated``: (column, rule) pairs that could not be evaluated because
-    of the type problems; they count as neither passed nor failed."""
+    ``not_evaluated``: (column, rule) pairs that could not be evaluated.  They have
+    no count of failures; the report does not pass while there are any."""
 
     def __init__(self, frame: DataFrame, dtype_problems: list[dict], summary_df: DataFrame,
                  not_evaluated: Sequence[tuple[str, str]] = ()):
@@ -432,14 +432,15 @@ class ValidationReport:
 
     @property
     def passed(self) -> bool:
-        return not self.dtype_problems and not self.failures()
+        return not self.dtype_problems and not self.not_evaluated and not self.failures()
 
     def raise_if_failed(self) -> DataFrame:
         if self.dtype_problems:
             raise ValidationError([{"column_name": p["column"], "rule": f"dtype:{p['problem']}", "failed": None}
                                    for p in self.dtype_problems])
-        if self.failures():
-            raise ValidationError(self.failures())
+        if self.not_evaluated or self.failures():
+            raise ValidationError([{"column_name": c, "rule": f"not_evaluated:{r}", "failed": None}
+                                   for c, r in self.not_evaluated] + self.failures())
         return self.frame
 
 

@@ -106,6 +106,21 @@ def test_validate_frame(spark):
     assert {r["rule"] for r in types_only.summary.collect()} == {"id_not_null", "title_not_null"}
 
 
+def test_validate_frame_fails_on_rules_that_did_not_run(spark):
+    from nestgate.functions import rules as R
+    from nestgate.plans.validate import ValidationError, validate_frame
+
+    df = spark.createDataFrame([(1, [1])], "id bigint, vals array<bigint>")
+    rep = validate_frame(df, DECL("id bigint"), [R.all_compare("vals_pos", "valz", None, ">", 0)])
+    assert rep.dtype_problems == [] and rep.failures() == []
+    assert rep.not_evaluated == [("valz", "vals_pos")] and not rep.passed
+    try:
+        rep.raise_if_failed()
+        raise AssertionError("expected a failure")
+    except ValidationError as e:
+        assert "vals_pos" in str(e)
+
+
 def test_coerce_column_names_with_dots(spark):
     df = spark.createDataFrame([("1", "x")], "`a.b` string, c string")
     out = coerce_to_schema(df, T.StructType([T.StructField("a.b", T.LongType())]))
