@@ -15,6 +15,7 @@ from nestgate.llm.line_quality import QUALITY_SQL, document_quality
 from nestgate.llm.minhash_dedup import document_components
 from nestgate.llm.suffix_dedup import document_repeats
 from nestgate.llm.syncmer_prints import document_prints
+from nestgate.llm.token_alignment import document_alignment
 from nestgate.llm.warc_write import WARC_SQL, page_records
 from nestgate.llm.zstd_quality import document_scores
 
@@ -94,3 +95,8 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_warc_write", WARC_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(table(spark, sf_dir, "pages"))
+
+
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_alignment(table(spark, sf_dir, "documents"))
