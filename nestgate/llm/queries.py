@@ -16,6 +16,7 @@ from nestgate.llm.minhash_dedup import document_components
 from nestgate.llm.suffix_dedup import document_repeats
 from nestgate.llm.syncmer_prints import document_prints
 from nestgate.llm.token_alignment import document_alignment
+from nestgate.llm.turn_repair import conversation_repairs
 from nestgate.llm.warc_write import WARC_SQL, page_records
 from nestgate.llm.zstd_quality import document_scores
 
@@ -100,3 +101,8 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_token_alignment")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return document_alignment(table(spark, sf_dir, "documents"))
+
+
+@query("op12_turn_repair")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repairs(table(spark, sf_dir, "conversations"))
