@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from nestgate.llm.best_fit_pack import pack
 from nestgate.llm.budget_mix import MIX_SQL, document_mix
 from nestgate.llm.common import table
+from nestgate.llm.embedding_graph import embedding_components
 from nestgate.llm.feistel_shards import document_shards
 from nestgate.llm.license_scan import document_licenses
 from nestgate.llm.line_quality import QUALITY_SQL, document_quality
@@ -106,3 +107,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_turn_repair")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repairs(table(spark, sf_dir, "conversations"))
+
+
+@query("op13_embedding_graph")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_components(table(spark, sf_dir, "embeddings"))
