@@ -671,6 +671,41 @@ def json_lookup_harvest(spark: SparkSession, d: str) -> DataFrame:
     return JS.read_json_documents(spark, path, TERMINOLOGY, corrupt_col=None)
 
 
+@query("json_array_harvest", EXPLODED_LINES_SQL)
+def json_array_harvest(spark: SparkSession, d: str) -> DataFrame:
+    """Documents as array files (one for each order priority), every file cut into its elements by splits."""
+    docs = S.nested_orders(spark, d).drop("o_orderdate")
+    path = scratch_path(spark, "json-arrays")
+    K.write_json_arrays(docs.withColumn("priority", F.col("o_orderpriority")), path, "priority", ["o_orderkey"])
+    typed = ddl(JSON_ORDER_SCHEMA)
+    raw = JS.read_json_documents(spark, path, string_leaves(typed), multiline=True)
+    return _explode_typed(coerce_to_schema(raw.where(F.col("_corrupt_record").isNull()), typed, strict=True))
+
+
+@query("json_malformed_report", """
+with f as (select c_nationkey as nation, c_nationkey % 6 as k, count(*) as n from customer group by c_nationkey)
+select nation, 'several values' as problem, n from f where k = 1 and n > 1
+union all select nation, 'unclosed', 1 from f where k = 2
+union all select nation, 'outside', 1 from f where k = 3
+union all select nation, 'empty element', 1 from f where k = 4
+union all select nation, 'not an object', n from f where k = 5
+""")
+def json_malformed_report(spark: SparkSession, d: str) -> DataFrame:
+    """Array files (the customers of each nation) with planted faults: every file and fault is found."""
+    cust = S.table(spark, d, "customer").select("c_nationkey", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    lines = K.array_lines(cust.withColumnRenamed("c_nationkey", "nation"), "nation", ["c_custkey"])
+    k, part = F.col("nation") % 6, F.col("part")
+    value = (F.when((k == 1) & (part == 1), F.regexp_replace("value", "^,", ""))       # objects one after another
+             .when((k == 3) & (part == 2), F.lit("] and more"))
+             .when((k == 4) & (part == 2), F.lit(",]"))
+             .when((k == 5) & (part == 1), F.regexp_replace("value", r"^(,?)(.*)$", "$1[$2]"))
+             .otherwise(F.col("value")))
+    faulty = lines.filter(~((k == 1) & (part != 1)) & ~((k == 2) & (part == 2))).withColumn("value", value)
+    path = K.write_lines_by(faulty, scratch_path(spark, "json-faulty"), "nation")
+    found = JS.json_problems(spark, path)
+    return found.select(F.regexp_extract("file_path", r"nation=(\d+)", 1).cast("int").alias("nation"), "problem", "n")
+
+
 @query("json_column_parse", "select event_id, cast(json_extract_string(props, '$.k') as bigint) as k from events")
 def json_column_parse(spark: SparkSession, d: str) -> DataFrame:
     """S6 on a string column: ``from_json`` with a declared schema."""

@@ -6,7 +6,7 @@ single document on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -32,6 +32,30 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def array_lines(df: DataFrame, by: str, order: list[str]) -> DataFrame:
+    """``(by, part, at, value)``: the lines of one JSON array for each value of ``by``, a document a line."""
+    docs = df.select(F.col(by), to_json_document(df.drop(by)).alias("doc"), F.row_number().over(
+        Window.partitionBy(by).orderBy(*order)).cast("long").alias("at"))
+    lines = docs.select(by, F.lit(1).alias("part"), "at",
+                        F.concat(F.when(F.col("at") > 1, ",").otherwise(""), F.col("doc")).alias("value"))
+    ends = docs.filter("at = 1").select(by, F.explode(F.array(
+        F.struct(F.lit(0).alias("part"), F.lit("[").alias("value")),
+        F.struct(F.lit(2).alias("part"), F.lit("]").alias("value")))).alias("e"))
+    return lines.unionByName(ends.select(by, "e.part", F.lit(0).cast("long").alias("at"), "e.value"))
+
+
+def write_lines_by(lines: DataFrame, path: str, by: str) -> str:
+    """One text file for each value of ``by``, its lines in the order of ``(part, at)``; each is written as a stream."""
+    (lines.repartition(by).sortWithinPartitions(by, "part", "at").select(by, "value")
+     .write.mode("overwrite").partitionBy(by).text(path))
+    return path
+
+
+def write_json_arrays(df: DataFrame, path: str, by: str, order: list[str]) -> str:
+    """K3: one JSON array file for each value of ``by``, the documents in ``order``."""
+    return write_lines_by(array_lines(df, by, order), path, by)
+
+
 def bulk_index_lines(df: DataFrame, id_col: str, index: str) -> DataFrame:
     """K3 option: search-engine bulk format, an action line followed by the document."""
     action = F.to_json(F.struct(F.struct(F.lit(index).alias("_index"), F.col(id_col).cast("string").alias("_id"))

@@ -1,10 +1,10 @@
 """JSON harvest (S6/S7): nested documents and flat lookups with declared schemas.
 
-JSON lines are the scalable form (splittable); a multi-line JSON array file
-is read whole by one task, so ``multiline=True`` is for small inputs such as
-a terminology file.  Leaves may be read as strings and typed afterwards (see
-:mod:`nestgate.functions.coerce`): in multi-line mode one mistyped value
-would otherwise put the whole file in the corrupt-record column.
+JSON lines are split at line ends.  Files that hold one value over many lines
+(``multiline=True``) are split too: :mod:`nestgate.sources.json_scan` cuts them into the
+elements of their array, so one large file is read by many tasks.  Leaves may be read as
+strings and typed afterwards (see :mod:`nestgate.functions.coerce`): one mistyped value
+then nulls only itself.
 """
 
 from __future__ import annotations
@@ -13,19 +13,26 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestgate.sources.json_scan import is_one_object, json_elements, json_problems
+
 CORRUPT = "_corrupt_record"
 
 
 def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
                         multiline: bool = False, corrupt_col: str | None = CORRUPT) -> DataFrame:
-    """Nested JSON documents (lines, or one array per file with ``multiline``)."""
+    """Nested JSON documents (lines, or one object or array a file with ``multiline``).
+
+    With ``corrupt_col``, text that is no record of the schema is kept there; with ``multiline`` also text
+    outside the file's value and an element whose end is missing.  Every element is read, also of files with
+    several values; :func:`malformed_json` reports such files.  Row order is not the order in the file."""
     st = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    reader = spark.read.option("multiLine", str(multiline).lower()).option("mode", "PERMISSIVE")
-    if corrupt_col:
-        if corrupt_col not in st.fieldNames():
-            st = T.StructType(st.fields + [T.StructField(corrupt_col, T.StringType())])
-        reader = reader.option("columnNameOfCorruptRecord", corrupt_col)
-    return reader.schema(st).json(path)
+    if corrupt_col and corrupt_col not in st.fieldNames():
+        st = T.StructType(st.fields + [T.StructField(corrupt_col, T.StringType())])
+    options = {"mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": corrupt_col} if corrupt_col else {})
+    if not multiline:
+        return spark.read.options(**options).schema(st).json(path)
+    texts = json_elements(spark, path, with_problems=bool(corrupt_col))
+    return texts.select(F.from_json("text", st, options).alias("r")).select("r.*")
 
 
 def parse_json_column(c: Column | str, schema: T.StructType | str) -> Column:
@@ -36,19 +43,12 @@ def parse_json_column(c: Column | str, schema: T.StructType | str) -> Column:
 def malformed_json(spark: SparkSession, path: str | list[str], multiline: bool = False) -> DataFrame:
     """``(file_path, n_bad)`` of files that are not what the reader expects.
 
-    JSON lines: lines that are not a JSON object.  ``multiline``: files that are
-    not one JSON object or one array of objects as a whole (cut off, or in fact
-    JSON lines, of which the multi-line reader would return the first only)."""
-    text = spark.read.text(path, wholetext=multiline).select(
-        F.col("_metadata.file_path").alias("file_path"), "value")
-    parsed = F.schema_of_variant(F.try_parse_json("value"))
-    kinds = "^(OBJECT|ARRAY<OBJECT|ARRAY<VOID>)" if multiline else "^OBJECT"
-    wrong = ~F.coalesce(parsed.rlike(kinds), F.lit(False))
-    if multiline:  # the parser stops after the first value: a whole value on the first line must be the last
-        rest = F.regexp_replace("value", r"^\s*[^\n]*\n?", "")
-        line = F.regexp_extract("value", r"^\s*([^\n]*)", 1)
-        wrong = wrong | (F.try_parse_json(line).isNotNull() & (F.trim(F.translate(rest, "\r\n\t", "   ")) != ""))
-    bad = F.when(F.trim("value") == "", F.lit(multiline)).otherwise(wrong)
+    JSON lines: lines that are not one JSON object alone.  ``multiline``: problems of files that are not one
+    JSON object or one array of objects (:func:`~nestgate.sources.json_scan.json_problems` names them)."""
+    if multiline:
+        return json_problems(spark, path).groupBy("file_path").agg(F.sum("n").alias("n_bad"))
+    text = spark.read.text(path).select(F.col("_metadata.file_path").alias("file_path"), "value")
+    bad = (F.trim(F.col("value"), F.lit(" \t\r")) != "") & ~is_one_object(F.col("value"))
     return text.where(bad).groupBy("file_path").agg(F.count(F.lit(1)).alias("n_bad"))
 
 
