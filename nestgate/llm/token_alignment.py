@@ -31,6 +31,7 @@ import json
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -49,6 +50,8 @@ HEAVY = 1 << 20               # pairs whose counts travel with the tasks
 BLANK_PIECE = "▁"
 CHUNK = re.compile(r"[ \n]*[^ \n]+(?:(?<=\s)[ \n]+[^ \n]*)*|[ \n]+")
 BORDER = re.compile(r"(?<=\S)(?=[ \n])")
+# letters, then marks: the byte-level splitting parts them there and nowhere else
+PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -85,6 +88,7 @@ class Encoders:
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         alphabet, size = _byte_alphabet(), self.a.get_vocab_size()
+        self.alphabet = {b: c for c, b in alphabet.items()}
         self.a_bytes = [bytes(alphabet[c] for c in w) if all(c in alphabet for c in w) else w.encode()
                         for w in (self.a.id_to_token(i) or "" for i in range(size))]
         self.b_bytes = []
@@ -103,9 +107,31 @@ class Encoders:
         self.ids = (_Buffer("i4"), _Buffer("i4"))
         self.ends = (_Buffer("i4"), _Buffer("i4"))
         self.good = _Buffer("?")
+        self.mark_ids: dict[str, list[int]] = {}
         for e in self.ends:
             e.extend([0])
 
+    def _a_ids(self, chunks: list[str]) -> list[list[int]]:
+        """Plain words go straight to the model, which saves the tracking of offsets."""
+        out, rest = [], []
+        for i, c in enumerate(chunks):
+            plain = PLAIN.fullmatch(c)
+            if plain is None:
+                rest.append(i)
+                out.append(None)
+                continue
+            word, marks = plain.groups()
+            ids = [t.id for t in self.a.model.tokenize(word.encode().decode("latin-1").translate(self.alphabet))]
+            if marks:
+                if marks not in self.mark_ids:
+                    self.mark_ids[marks] = [t.id for t in self.a.model.tokenize(marks)]
+                ids += self.mark_ids[marks]
+            out.append(ids)
+        found = self.a.encode_batch([chunks[i] for i in rest], add_special_tokens=False)
+        for i, e in zip(rest, found):
+            out[i] = e.ids
+        return out
+
     def _b_ids(self, chunks: list[str]) -> list[list[int]]:
         """The model sets a blank before what it is given: a chunk's own first blank, or one that is taken off."""
         out = self.b.encode([c[1:] if c[0] == " " else c for c in chunks], num_threads=1)
@@ -113,15 +139,19 @@ class Encoders:
 
     def learn(self, chunks: list[str]) -> None:
         for found in (chunks[i:i + 4096] for i in range(0, len(chunks), 4096)):
-            a = [e.ids for e in self.a.encode_batch(found, add_special_tokens=False)]
-            for chunk, x, y in zip(found, a, self._b_ids(found)):
-                self.index[chunk] = len(self.index)
-                raw = chunk.encode()
-                self.good.extend([b"".join(map(self.a_bytes.__getitem__, x)) == raw
-                                  and b"".join(map(self.b_bytes.__getitem__, y)) == raw])
-                for buffer, ends, ids in zip(self.ids, self.ends, (x, y)):
-                    buffer.extend(ids)
-                    ends.extend([buffer.n])
+            self.index.update(zip(found, range(len(self.index), len(self.index) + len(found))))
+            raw = [c.encode() for c in found]
+            sizes, good = np.array([len(r) for r in raw]), np.ones(len(found), bool)
+            sides = (self._a_ids(found), self._b_ids(found))
+            for side, (lists, words) in enumerate(zip(sides, (self.a_bytes, self.b_bytes))):
+                flat, n = list(chain.from_iterable(lists)), np.array([len(x) for x in lists])
+                self.ends[side].extend(self.ids[side].n + np.cumsum(n))
+                self.ids[side].extend(flat)
+                spelt = list(map(words.__getitem__, flat))
+                ends = np.cumsum([0, *map(len, spelt)])[np.cumsum(n)]
+                if not (np.array_equal(ends, np.cumsum(sizes)) and b"".join(spelt) == b"".join(raw)):
+                    good &= [b"".join(map(words.__getitem__, x)) == r for x, r in zip(lists, raw)]
+            self.good.extend(good)
 
     def places(self, chunks: list[str]) -> np.ndarray:
         """Row of each chunk in the remembered list arrays."""

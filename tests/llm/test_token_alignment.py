@@ -73,7 +73,7 @@ def brute(rows):
 
 ODD = [None, "", " ", "  ", "\n", " \n ", "a", " a", "a ", "a  \n", "x▁y", "<|endoftext|> a<s>b </s><unk>", "<0x41>",
        "tab\tand \t both\t x", "cr\r\nlf \r\n\r\n z;\r\n", "\xa0nb\xa0sp 　wide line", "fs\x1c gs\x1d\x1d x",
-       "é ﬁ ½ \U0001f600\U0001f601 日本語", "nul\0byte", "I'm they'll 'tis don't", "x" * 3000,
+       "é ﬁ ½ \U0001f600\U0001f601 日本語", "nul\0byte", "I'm they'll 'tis don't", "word, (word) wôrd!? l'eau. Ünïcödé; ×÷ a×b end...", "x" * 3000,
        "1234567 12 3.14", "́ lone", "   lead", "trail   ", "a\n\n\n b\n", "​zero​ width"]
 
 
