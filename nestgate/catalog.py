@@ -1104,6 +1104,35 @@ def conformance_strict(spark: SparkSession, d: str) -> DataFrame:
                          strict=True)
 
 
+# Declared: a key with a dot, one with a bracket, and a struct whose path reads like the first.
+KEY_SCHEMA = T.StructType([
+    T.StructField("a.b", T.LongType()), T.StructField("a", T.StructType([T.StructField("b", T.LongType())])),
+    T.StructField("x[]", T.ArrayType(T.LongType()))])
+
+
+@query("conformance_keys", """
+with d as (select o_orderkey as k, o_orderstatus as s, o_orderpriority = '1-URGENT' as urgent from orders)
+select '`a.b`' as path, 'ok' as status, count(*) as n_docs, false as failing from d where s = 'F' having count(*) > 0
+union all select '`a.b`', 'missing', count(*), true from d where s <> 'F' having count(*) > 0
+union all select 'a', 'ok', count(*), false from d where s <> 'F' having count(*) > 0
+union all select 'a', 'missing', count(*), true from d where s = 'F' having count(*) > 0
+union all select 'a.b', 'ok', count(*), false from d where s <> 'F' having count(*) > 0
+union all select 'a.`b.c`', 'undeclared', count(*), true from d where s <> 'F' and urgent having count(*) > 0
+union all select '`x[]`', 'ok', count(*), false from d
+union all select '`x[]`[]', 'ok', count(*), false from d
+union all select '`x[]`[]', 'wrong_type', count(*), true from d where urgent having count(*) > 0
+union all select 'id' || (k % 1000), 'undeclared', count(*), true from d group by k % 1000
+""")
+def conformance_keys(spark: SparkSession, d: str) -> DataFrame:
+    """V1/V3: keys that read like paths, and keys that differ from document to document."""
+    o = S.table(spark, d, "orders")
+    urgent = F.col("o_orderpriority") == "1-URGENT"
+    a = F.when(F.col("o_orderstatus") == "F", F.lit('"a.b":1')).when(urgent, F.lit('"a":{"b":1,"b.c":2}')).otherwise('"a":{"b":1}')
+    x = F.when(urgent, F.lit('[1,"y"]')).otherwise("[1]")
+    doc = F.concat(F.lit("{"), a, F.lit(',"x[]":'), x, F.lit(',"id'), (F.col("o_orderkey") % 1000).cast("string"), F.lit('":0}'))
+    return C.conformance(spark, o.select(doc.alias("doc")), "doc", KEY_SCHEMA, strict=True)
+
+
 ORDER_FULL = (
     "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp, "
     "o_orderpriority string, lines array<struct<l_linenumber: int, l_partkey: bigint, l_suppkey: bigint, "

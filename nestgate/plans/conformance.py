@@ -7,30 +7,35 @@ at every depth; strict mode is simply "undeclared counts as a failure".
 
 Plan, built for large inputs:
 
-1. each document is parsed once and its distinct ``(path, family)`` pairs are
-   listed inside the row, level by level -- no shuffle, no second read;
-2. documents with the same pairs are counted together in one hash aggregate
-   (partial on the map side, so the shuffle carries a row per pair set and task);
-3. the pair sets are compared with the declared paths and every finding is
-   weighted by its document count.
-
-Pairs come from the values themselves: field names that look like type names,
-and arrays that mix element types, are judged like any others, and what one
-document yields does not depend on the documents around it.
+1. the declared schema becomes a trie whose nodes are numbered; a node is known by its
+   segments (keys and list steps), never by text, so keys with dots or brackets are keys
+   like any others;
+2. each document is parsed once and the values of every declared node are taken from those
+   of its parent, level by level inside the row; their findings are small integers (node and
+   status), and only undeclared keys appear as text;
+3. findings are counted in one hash aggregate with map-side partials.  Findings are counted one by
+   one, not as sets, so documents with keys of their own cost a row for each such key and no more.
+
+What one document yields does not depend on the documents around it, and nothing is looked
+for below an undeclared key or a path of any type.
 
 Type families: integers; decimals/doubles/floats (integers fit a declared
 fractional type); strings (also for declared dates/timestamps, which JSON
 carries as text); booleans; objects; arrays; and null, which fits anything.
+
+Display: segments joined by dots, list steps as ``[]``; a key holding a dot, bracket or backquote, or
+empty, is set in backquotes (backquotes inside doubled).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from nestgate.session import checkpoint_root
-
 ANY = "any"
 
 
@@ -65,126 +70,168 @@ ACCEPTS = {
 }
 
 
-def declared_paths(schema: T.StructType, any_paths: tuple[str, ...] = ()) -> list[tuple[str, str, str]]:
-    """``(path, parent, family)`` of every declared path; ``any_paths`` accept any type (V2)."""
-    out: list[tuple[str, str, str]] = []
+LIST_STEP = None               # the segment from a list to its elements
 
-    def walk(dt: T.DataType, path: str, parent: str) -> None:
-        fam = ANY if path in any_paths else family_of(dt)
-        out.append((path, parent, fam))
-        if fam == ANY:
-            return
-        if isinstance(dt, T.StructType):
-            for f in dt.fields:
-                walk(f.dataType, f"{path}.{f.name}", path)
-        elif isinstance(dt, T.ArrayType):
-            walk(dt.elementType, f"{path}[]", path)
 
-    for f in schema.fields:
-        walk(f.dataType, f.name, "$")
+class Node:
+    """A declared node: its number, segments and family; the node above and the nodes below by segment."""
+
+    def __init__(self, number: int, segments: tuple, family: str, above: "Node | None", any_keys: bool):
+        self.number, self.segments, self.family, self.above, self.any_keys = number, segments, family, above, any_keys
+        self.below: dict[str | None, Node] = {}
+
+
+def declared_trie(schema: T.StructType, any_paths: Sequence[str | tuple] = ()) -> list[Node]:
+    """All nodes, the root first and parents before what lies below them (V2: ``any_paths`` accept any type)."""
+    free = {p if isinstance(p, tuple) else path_segments(p) for p in any_paths}
+    nodes: list[Node] = []
+
+    def grow(dt: T.DataType, segments: tuple, above: Node | None) -> Node:
+        node = Node(len(nodes), segments, ANY if segments in free else family_of(dt), above, isinstance(dt, T.MapType))
+        nodes.append(node)
+        if node.family != ANY:
+            steps = ([(f.name, f.dataType) for f in dt.fields] if isinstance(dt, T.StructType)
+                     else [(LIST_STEP, dt.elementType)] if isinstance(dt, T.ArrayType) else [])
+            for step, below in steps:
+                node.below[step] = grow(below, (*segments, step), node)
+        return node
+
+    grow(schema, (), None)
+    return nodes
+
+
+def path_segments(path: str) -> tuple:
+    """Segments of a displayed path (``a.b[].`c.d```)."""
+    out = []
+    for key, quoted, step in re.findall(r"([^.\[\]`]+)|`((?:[^`]|``)*)`|(\[\])", path):
+        out.append(LIST_STEP if step else key or quoted.replace("``", "`"))
+    return tuple(out)
+
+
+def display(segments: Sequence[str | None]) -> str:
+    out = "" if segments else "$"
+    for s in segments:
+        if s is LIST_STEP:
+            out += "[]"
+        else:
+            quoted = s if s and not re.search(r"[.\[\]`]", s) else "`" + s.replace("`", "``") + "`"
+            out += ("." if out else "") + quoted
     return out
 
 
-def _family_expr(sig):
-    s = F.upper(sig)
-    return (F.when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array")
-            .when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
+def _shown(prefix: str, key: Column) -> Column:
+    """:func:`display` of an undeclared key below a declared node (``prefix``: the node's own display)."""
+    prefix = "" if prefix == "$" else prefix
+    plain = key.rlike(r"^[^.\[\]`]+$")
+    quoted = F.when(plain, key).otherwise(F.concat(F.lit("`"), F.replace(key, F.lit("`"), F.lit("``")), F.lit("`")))
+    return F.concat(F.lit(prefix + "." if prefix else ""), quoted)
+
+
+OK, WRONG, MISSING, UNDECLARED, UNPARSABLE = range(5)
+STATUS = ["ok", "wrong_type", "missing", "undeclared", "unparsable"]
+
+
+def _scalar_family(v: Column) -> Column:
+    s = F.schema_of_variant(v)
+    return (F.when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
             .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "number")
             .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
-            .otherwise("string"))
+            .when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").otherwise("string"))
+
+
+CONTAINER = {"object": "map<string,variant>", "array": "array<variant>"}
 
 
-def _tag(path, v):
-    family = _family_expr(F.coalesce(F.schema_of_variant(v), F.lit("VOID")))
-    return F.struct(path.alias("path"), family.alias("family"), v.alias("v"))
+def _held(values: Column) -> Column:
+    return F.filter(values, lambda x: x.isNotNull())
 
 
-def _below(node):
-    """The children of an object or array node."""
-    of_object = F.transform(
-        F.map_entries(node["v"].cast("map<string, variant>")),
-        lambda e: _tag(F.when(node["path"] == "$", e["key"]).otherwise(F.concat_ws(".", node["path"], e["key"])),
-                       e["value"]))
-    of_array = F.transform(node["v"].cast("array<variant>"), lambda e: _tag(F.concat(node["path"], F.lit("[]")), e))
-    return F.when(node["family"] == "object", of_object).otherwise(of_array)
+def _caster(family: str):
+    return lambda v: v.try_cast(CONTAINER[family])
 
 
-def _bare(nodes):
-    return F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), n["family"].alias("family")))
+def _getter(key: str):
+    return lambda m: m[key]
 
 
-def observed_groups(docs: DataFrame, text_col: str, max_depth: int) -> DataFrame:
-    """``(pairs, n_docs)``: documents counted per sorted set of ``(path, family)`` pairs."""
-    rows = docs.select(F.try_parse_json(F.col(text_col)).alias("_v"))
-    rows = rows.select(F.when(F.col("_v").isNotNull(), F.array(_tag(F.lit("$"), F.col("_v")))).alias("_l"))
-    unparsable = F.array(F.struct(F.lit("$").alias("path"), F.lit("unparsable").alias("family")))
-    rows = rows.select("_l", F.coalesce(_bare(F.col("_l")), unparsable).alias("_p"))
-    for _ in range(max_depth):
-        containers = F.filter("_l", lambda n: n["family"].isin("object", "array"))
-        rows = rows.select(F.flatten(F.transform(containers, _below)).alias("_l"), "_p")
-        rows = rows.select("_l", F.coalesce(F.array_union("_p", _bare(F.col("_l"))), F.col("_p")).alias("_p"))
-    return (rows.groupBy(F.sort_array("_p").alias("pairs")).agg(F.count(F.lit(1)).alias("n_docs")))
+def _shower(node: Node):
+    return lambda key: _shown(display(node.segments), key)
 
 
-def _depth(schema: T.StructType) -> int:
-    def d(dt: T.DataType) -> int:
-        if isinstance(dt, T.StructType):
-            return 1 + max((d(f.dataType) for f in dt.fields), default=0)
-        if isinstance(dt, T.ArrayType):
-            return 1 + d(dt.elementType)
-        return 0
-    return d(schema)
+def _some(flags: list[Column]) -> Column:
+    """The codes whose flags are set."""
+    return _held(F.array(*flags)) if flags else F.array().cast("array<int>")
+
+
+def _own_findings(n: Node) -> list[Column]:
+    """Codes of one node from its values ``v`` and containers ``c``."""
+    v = F.col(f"v{n.number}")
+    if n.family == ANY:
+        wrong, ok = F.lit(False), F.size(v) > 0
+    elif n.family in CONTAINER:
+        fitting = F.size(f"c{n.number}") + F.size(F.filter(v, F.is_variant_null))
+        wrong, ok = fitting < F.size(v), fitting > 0
+    else:
+        families = F.array_distinct(F.transform(v, _scalar_family))
+        accepted = F.array(*[F.lit(x) for x in sorted(ACCEPTS[n.family])])
+        wrong, ok = F.size(F.array_except(families, accepted)) > 0, F.arrays_overlap(families, accepted)
+    out = [F.when(wrong, F.lit(n.number * 8 + WRONG))]
+    if n.above is not None:
+        out.append(F.when(ok, F.lit(n.number * 8 + OK)))
+        if n.above.family == "object":
+            # a parent counts as present only as an object (a null has no fields to miss)
+            out.append(F.when(F.col(f"o{n.above.number}") & (F.size(v) == 0), F.lit(n.number * 8 + MISSING)))
+    return out
+
+
+def findings(docs: DataFrame, text_col: str, nodes: list[Node]) -> DataFrame:
+    """``codes`` (node and status as one number) and ``extra`` (undeclared keys, displayed) of each document.
+
+    A level of the trie is two projections: the containers of its nodes are cast once, then the
+    findings and the values of the nodes below are taken from them.
+    """
+    v = F.try_parse_json(F.col(text_col))
+    rows = docs.select(v.alias("v")).select(
+        F.when(F.col("v").isNotNull(), F.array("v")).otherwise(F.array().cast("array<variant>")).alias("v0"),
+        _some([F.when(F.col("v").isNull(), F.lit(UNPARSABLE))]).alias("f"))
+    level, done = [nodes[0]], ["f"]
+    while level:
+        objects = [n for n in level if n.family == "object"]
+        rows = rows.select("*", *(
+            _held(F.transform(f"v{n.number}", _caster(n.family))).alias(f"c{n.number}")
+            for n in level if n.family in CONTAINER))
+        made = [_some([c for n in level for c in _own_findings(n)]).alias(f"f{level[0].number}")]
+        for n in objects:
+            maps = F.col(f"c{n.number}")
+            made.append((F.size(maps) > 0).alias(f"o{n.number}"))
+            made += [_held(F.transform(maps, _getter(key))).alias(f"v{b.number}") for key, b in n.below.items()]
+            if not n.any_keys:
+                known = F.array(*[F.lit(k) for k in n.below]).cast("array<string>")
+                keys = F.array_except(F.flatten(F.transform(maps, F.map_keys)), known)
+                made.append(F.transform(keys, _shower(n)).alias(f"x{n.number}"))
+        made += [F.flatten(f"c{n.number}").alias(f"v{n.below[LIST_STEP].number}") for n in level if n.family == "array"]
+        rows = rows.select(*done, *made)
+        done += [f"f{level[0].number}", *(f"x{n.number}" for n in objects if not n.any_keys)]
+        level = [b for n in level for b in n.below.values()]
+    extra = [F.col(c) for c in done if c[0] == "x"] or [F.array().cast("array<string>")]
+    return rows.select(F.concat(*(c for c in done if c[0] == "f")).alias("codes"), F.concat(*extra).alias("extra"))
 
 
 def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.StructType,
-                any_paths: tuple[str, ...] = (), strict: bool = False) -> DataFrame:
+                any_paths: Sequence[str | tuple] = (), strict: bool = False) -> DataFrame:
     """``(path, status, n_docs, failing)`` for JSON documents in ``text_col``.
 
-    ``docs`` is read once.
-
+    ``docs`` is read once.  ``any_paths``: displayed paths, or tuples of segments (``None``: a list step).
     ``failing`` marks findings that break the schema (undeclared only when strict)."""
-    decl = declared_paths(schema, any_paths)
-    declared = spark.createDataFrame(decl, "path string, parent string, declared string")
-    # One row per pair set, used several times: saved in the shared checkpoint
-    # folder, so the pass over the documents runs once and survives executor loss.
-    checkpoint_root(spark)
-    groups = observed_groups(docs, text_col, _depth(schema) + 1).withColumn(
-        "gid", F.monotonically_increasing_id()).checkpoint(eager=True)
-    obs = groups.select("gid", "n_docs", F.explode("pairs").alias("p")).select("gid", "n_docs", "p.path", "p.family")
-    obs = obs.join(F.broadcast(declared), "path", "left")  # the declared schema is small by nature
-
-    accepts = F.create_map(*[x for k, vs in ACCEPTS.items() for x in (F.lit(k), F.array(*[F.lit(v) for v in vs]))])
-    status = (F.when(F.col("path") == "$", F.when(F.col("family") == "unparsable", "unparsable").otherwise("document"))
-              .when(F.col("declared").isNull(), "undeclared")
-              .when(F.col("declared") == ANY, "ok")
-              .when(F.array_contains(accepts[F.col("declared")], F.col("family")), "ok")
-              .otherwise("wrong_type"))
-    found = obs.withColumn("status", status)
-    # Undeclared paths are reported at their top only (their parent is declared or the root);
-    # nothing is looked for below a path of any type.
-    decl_names = spark.createDataFrame([(p,) for p, _, f in decl if f != ANY] + [("$",)], "parent_path string")
-    found = found.withColumn("parent_path", F.regexp_replace(
-        F.regexp_replace("path", r"(\[\])$", ""), r"\.[^.\[\]]+$", ""))
-    found = found.withColumn("parent_path", F.when(F.col("parent_path") == F.col("path"), "$")
-                             .otherwise(F.col("parent_path")))
-    found = found.join(F.broadcast(decl_names.withColumn("_pd", F.lit(True))), "parent_path", "left")
-    found = found.where((F.col("status") != "undeclared") | F.col("_pd"))
-
-    # Missing: a declared path absent from a group whose parent container is present.
-    # A parent counts as present only as an object (a null struct has no fields to miss).
-    present = obs.select("gid", "n_docs", "path", "family")
-    containers = present.where(F.col("family") == "object").select("gid", "n_docs", F.col("path").alias("ppath")).distinct()
-    children = declared.where(~F.col("path").endswith("[]")).select(F.col("parent").alias("ppath"),
-                                                                     F.col("path").alias("child"))
-    parents = containers.join(F.broadcast(children), "ppath", "inner").select("gid", "n_docs", "child")
-    seen = present.select("gid", F.col("path").alias("child")).distinct()
-    missing = parents.join(seen, ["gid", "child"], "left_anti").select(
-        F.col("child").alias("path"), F.lit("missing").alias("status"), "n_docs")
-
-    per_status = found.where(F.col("status") != "document").select("path", "status", "n_docs", "gid") \
-        .dropDuplicates(["path", "status", "gid"]).select("path", "status", "n_docs")
-    out = per_status.unionByName(missing).groupBy("path", "status").agg(
-        F.sum("n_docs").cast("bigint").alias("n_docs"))
+    nodes = declared_trie(schema, any_paths)
+    one = F.concat(F.transform("codes", lambda c: F.struct(c.alias("code"), F.lit(None).cast("string").alias("key"))),
+                   F.transform("extra", lambda k: F.struct(F.lit(UNDECLARED).alias("code"), k.alias("key"))))
+    counted = (findings(docs, text_col, nodes).select(F.explode(one).alias("x")).groupBy("x.code", "x.key")
+               .agg(F.count(F.lit(1)).cast("bigint").alias("n_docs")))
+    shown = F.array(*[F.lit(display(n.segments)) for n in nodes])
+    status = F.get(F.array(*map(F.lit, STATUS)), F.col("code") % 8)
+    out = counted.select(F.coalesce("key", F.get(shown, F.floor(F.col("code") / 8).cast("int"))).alias("path"),
+                         status.alias("status"), "n_docs")
     bad = F.col("status").isin("wrong_type", "missing", "unparsable") | (F.lit(strict) & (F.col("status") == "undeclared"))
     return out.withColumn("failing", bad)
 

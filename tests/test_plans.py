@@ -86,12 +86,14 @@ def test_uniqueness_findings_do_not_shuffle_the_data(spark, enriched):
     assert "BroadcastHashJoin" in p and "SortMergeJoin" not in p
 
 
-def test_conformance_reads_documents_once_and_shuffles_pair_sets(spark):
-    from nestgate.plans.conformance import observed_groups
+def test_conformance_reads_documents_once_and_shuffles_counts(spark):
+    from pyspark.sql import types as T
+
+    from nestgate.plans.conformance import conformance
 
     docs = spark.createDataFrame([('{"a":1}',)], "doc string")
-    p = plan(observed_groups(docs, "doc", 3))
+    p = plan(conformance(spark, docs, "doc", T.StructType.fromDDL("a bigint, b array<struct<c: string>>")))
     import re
 
     assert len(re.findall(r"\bExchange \(\d+\)", p.split("\n\n")[0])) == 1
-    assert "SortAggregate" not in p and "Join" not in p
+    assert "SortAggregate" not in p and "Join" not in p and p.count("parse_json") < 4

@@ -168,3 +168,33 @@ def test_conformance_nulls_strict_and_any(spark):
     got = _found(spark, docs, "a bigint, b struct<c: bigint>", any_paths=("b.c",), strict=True)
     assert got == {("a", "ok"): (2, False), ("a", "wrong_type"): (1, True), ("b", "ok"): (3, False),
                    ("b.c", "ok"): (2, False), ("b.z", "undeclared"): (1, True), ("$", "unparsable"): (1, True)}
+
+
+def test_conformance_keys_with_dots_brackets_and_backquotes(spark):
+    """A key is a segment: it is never taken for a path."""
+    docs = ['{"a":{"b":1}}', '{"a.b":1}', '{"a":{"b":1},"a.b":"x","x[]":1,"":2,"q`r":3}', '{"a":{"b.c":1,"b":2}}']
+    got = _found(spark, docs, "a struct<b: bigint>", strict=True)
+    assert got == {("a", "ok"): (3, False), ("a", "missing"): (1, True), ("a.b", "ok"): (3, False),
+                   ("`a.b`", "undeclared"): (2, True), ("`x[]`", "undeclared"): (1, True), ("``", "undeclared"): (1, True),
+                   ("`q``r`", "undeclared"): (1, True), ("a.`b.c`", "undeclared"): (1, True)}
+    declared = T.StructType([T.StructField("a.b", T.LongType()), T.StructField("x[]", T.ArrayType(T.LongType()))])
+    df = spark.createDataFrame([('{"a.b":1,"x[]":[1,"y"]}',), ('{"a":{"b":1},"x":[1]}',)], "doc string")
+    got = {(r["path"], r["status"]): r["n_docs"] for r in conformance(spark, df, "doc", declared).collect()}
+    assert got == {("`a.b`", "ok"): 1, ("`a.b`", "missing"): 1, ("`x[]`", "ok"): 1, ("`x[]`", "missing"): 1,
+                   ("`x[]`[]", "ok"): 1, ("`x[]`[]", "wrong_type"): 1, ("a", "undeclared"): 1, ("x", "undeclared"): 1}
+
+
+def test_displayed_paths_are_read_back():
+    from nestgate.plans.conformance import LIST_STEP, display, path_segments
+
+    for segments in [("a",), ("a", "b"), ("a.b",), ("a", LIST_STEP, "c"), ("x[]", LIST_STEP), ("q`r", "``"), ("", "e")]:
+        assert path_segments(display(segments)) == segments
+
+
+def test_conformance_maps_roots_and_dynamic_keys(spark):
+    """Keys of a declared map are free; documents that are no object are the wrong type; a key for each document."""
+    docs = [f'{{"m":{{"k{i}":1}},"id{i}":2}}' for i in range(50)] + ["[1]", "3", "null", None]
+    got = _found(spark, docs, "m map<string, bigint>")
+    assert got.pop(("m", "ok")) == (50, False) and got.pop(("$", "wrong_type")) == (2, True)
+    assert got.pop(("$", "unparsable")) == (1, True)
+    assert got == {(f"id{i}", "undeclared"): (1, False) for i in range(50)}
