@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -79,24 +79,30 @@ def leaf_nulls(c: Column, dt: T.DataType) -> Column:
     return F.when(c.isNull(), F.lit(1)).otherwise(F.lit(0))
 
 
+def _new_nulls(before: T.StructType, schema: T.StructType) -> dict[str, Column]:
+    """Leaves of each declared column that coercion makes null, as one number a row."""
+    out = {}
+    for f in schema.fields:
+        if f.name in before.fieldNames():
+            c, dt = _top(f.name), before[f.name].dataType
+            out[f.name] = leaf_nulls(coerce_column(c, dt, f.dataType), f.dataType) - leaf_nulls(c, dt)
+    return out
+
+
 def coercion_failures(before: DataFrame, schema: T.StructType) -> DataFrame:
     """Per declared column: leaves that are not null before coercion but are after.
 
     Both sides are evaluated on the same rows in one pass: ``(column_name, new_nulls)``."""
-    paired = before.select(*[_top(f.name).alias(f"_b_{f.name}") for f in schema.fields if f.name in before.columns],
-                           *[coerce_column(_top(f.name), before.schema[f.name].dataType, f.dataType).alias(f"_a_{f.name}")
-                             for f in schema.fields if f.name in before.columns])
-    aggs = []
-    for f in schema.fields:
-        if f.name not in before.columns:
-            continue
-        b = leaf_nulls(_top(f"_b_{f.name}"), before.schema[f.name].dataType)
-        a = leaf_nulls(_top(f"_a_{f.name}"), f.dataType)
-        aggs.append(F.sum(a - b).cast("bigint").alias(f.name))
-    counts = paired.agg(*aggs)
-    names = [f.name for f in schema.fields if f.name in before.columns]
-    stack = ", ".join(f"'{n}', `{n}`" for n in names)
-    return counts.selectExpr(f"stack({len(names)}, {stack}) as (column_name, new_nulls)")
+    lost = _new_nulls(before.schema, schema)
+    counts = before.select(*[c.alias(n) for n, c in lost.items()]).agg(
+        *[F.sum(_top(n)).cast("bigint").alias(n) for n in lost])
+    stack = ", ".join(f"'{n}', `{n}`" for n in lost)
+    return counts.selectExpr(f"stack({len(lost)}, {stack}) as (column_name, new_nulls)")
+
+
+def with_coercion_counts(before: DataFrame, schema: T.StructType, seen: Observation) -> DataFrame:
+    """``before``; when its rows pass (for example, to be written), ``seen`` gets the new nulls by column."""
+    return before.observe(seen, *[F.sum(c).cast("bigint").alias(n) for n, c in _new_nulls(before.schema, schema).items()])
 
 
 def rename_fields(c: Column, dt: T.DataType, rename: Callable[[str], str]) -> tuple[Column, T.DataType]:

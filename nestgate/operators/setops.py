@@ -1,4 +1,10 @@
-"""Set operations (U1/U2): batch concatenation and content parity of two sources."""
+"""Set operations (U1/U2): batch concatenation and content parity of two sources.
+
+Parity reads both sources once and keeps two 64-bit hashes and the key of every canonical row.  Hashes
+fall into buckets, buckets into a root, and each bucket holds sums over its rows, counted up for one
+source and down for the other, so equal content cancels.  The sums are compared from the root down, and
+only rows of buckets that differ go on; documents are never shuffled.
+"""
 
 from __future__ import annotations
 
@@ -21,11 +27,13 @@ def canonical(c: Column, dt: T.DataType) -> Column:
     """Order-insensitive form of a nested value: every list sorted, recursively."""
     if isinstance(dt, T.ArrayType):
         inner = F.transform(c, lambda x: canonical(x, dt.elementType)) \
-            if isinstance(dt.elementType, (T.ArrayType, T.StructType)) else c
+            if isinstance(dt.elementType, (T.ArrayType, T.StructType, T.FloatType, T.DoubleType)) else c
         return F.array_sort(inner)
     if isinstance(dt, T.StructType):
         return F.when(c.isNull(), F.lit(None)).otherwise(
             F.struct(*[canonical(c[f.name], f.dataType).alias(f.name) for f in dt.fields]))
+    if isinstance(dt, (T.FloatType, T.DoubleType)):
+        return (c + F.lit(0.0)).cast(dt)                           # -0.0 equals 0.0
     return c
 
 
@@ -33,19 +41,70 @@ def canonicalize(df: DataFrame) -> DataFrame:
     return df.select(*[canonical(F.col(f"`{f.name}`"), f.dataType).alias(f.name) for f in df.schema.fields])
 
 
+BUCKET_BITS = 14                # buckets of a node of the tree
+
+
+def row_hashes(df: DataFrame, key: Sequence[str] = ()) -> DataFrame:
+    """``(*key, h1, h2)``: two 64-bit hashes of every canonical row.
+
+    The hashes are taken from the row's JSON text, in which nulls are written: hashes of the values
+    themselves would not tell a null from an absent neighbour."""
+    text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in sorted(df.columns)]), {"ignoreNullFields": "false"})
+    rows = canonicalize(df).select(*[F.col(f"`{k}`") for k in key], text.alias("_text"))
+    return rows.select(*[F.col(f"`{k}`") for k in key], F.xxhash64(F.lit(1), "_text").alias("h1"),
+                       F.xxhash64(F.lit(2), "_text").alias("h2"))
+
+
+def _sums() -> list[Column]:
+    """Exact sums of a bucket; halves of the hashes, so that they stay in range."""
+    def halves(h: str) -> list[Column]:
+        return [F.col(h).bitwiseAND(F.lit(0xFFFFFFFF)), F.shiftrightunsigned(h, 32)]
+
+    parts = halves("h1") + halves("h2")
+    return [F.sum("side").alias("s")] + [F.sum(F.col("side") * x).alias(f"s{i}") for i, x in enumerate(parts)]
+
+
+def _unequal() -> Column:
+    out = F.col("s") != 0
+    for i in range(4):
+        out = out | (F.col(f"s{i}") != 0)
+    return out
+
+
+def _compared(a: DataFrame, b: DataFrame, key: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows per source (one row) and the row contents whose counts differ: ``(*key, net)``."""
+    from nestgate.session import checkpoint_root
+
+    checkpoint_root(a.sparkSession)
+    hashes = (row_hashes(a, key).withColumn("side", F.lit(1)).unionByName(
+        row_hashes(b.select(*[F.col(f"`{c}`") for c in a.columns]), key).withColumn("side", F.lit(-1)))
+        .checkpoint(eager=True))                                   # both sources are read once
+    rows = hashes.agg(F.count_if(F.col("side") > 0).alias("rows_a"), F.count_if(F.col("side") < 0).alias("rows_b"))
+    # the root's children, at most 2^BUCKET_BITS rows, then theirs
+    first, second = (F.shiftrightunsigned("h1", n).bitwiseAND(F.lit((1 << BUCKET_BITS) - 1)) for n in (0, BUCKET_BITS))
+    left = hashes.withColumn("b1", first).withColumn("b2", second)
+    differing = left.groupBy("b1").agg(*_sums()).filter(_unequal()).select("b1")
+    left = left.join(F.broadcast(differing), "b1", "left_semi")
+    differing = left.groupBy("b1", "b2").agg(*_sums()).filter(_unequal()).select("b1", "b2")
+    left = left.join(differing, ["b1", "b2"], "left_semi")
+    net = left.groupBy("h1", "h2").agg(F.sum("side").alias("net"), F.min(F.struct(*[F.col(f"`{k}`") for k in key])
+                                                                         if key else F.lit(0)).alias("_key"))
+    return rows, net.filter("net <> 0")
+
+
 def parity(a: DataFrame, b: DataFrame) -> DataFrame:
-    """``(rows_a, rows_b, only_in_a, only_in_b)`` up to row and list order.
-
-    Both sides are canonicalised, tagged and counted per distinct row in one
-    aggregation (partial on the map side, so many identical copies of a row
-    collapse before the shuffle); a bag difference needs no join."""
-    ca = canonicalize(a).withColumn("_a", F.lit(1)).withColumn("_b", F.lit(0))
-    cb = canonicalize(b.select(*a.columns)).withColumn("_a", F.lit(0)).withColumn("_b", F.lit(1))
-    per_row = ca.unionByName(cb).groupBy(*[F.col(f"`{c}`") for c in a.columns]).agg(
-        F.sum("_a").alias("na"), F.sum("_b").alias("nb"))
-    return per_row.agg(
-        F.coalesce(F.sum("na"), F.lit(0)).cast("bigint").alias("rows_a"),
-        F.coalesce(F.sum("nb"), F.lit(0)).cast("bigint").alias("rows_b"),
-        F.coalesce(F.sum(F.greatest(F.col("na") - F.col("nb"), F.lit(0))), F.lit(0)).cast("bigint").alias("only_in_a"),
-        F.coalesce(F.sum(F.greatest(F.col("nb") - F.col("na"), F.lit(0))), F.lit(0)).cast("bigint").alias("only_in_b"),
-    )
+    """``(rows_a, rows_b, only_in_a, only_in_b)`` up to row and list order, as bags of rows."""
+    rows, net = _compared(a, b, ())
+    only = net.agg(F.coalesce(F.sum(F.greatest("net", F.lit(0))), F.lit(0)).cast("bigint").alias("only_in_a"),
+                   F.coalesce(F.sum(F.greatest(-F.col("net"), F.lit(0))), F.lit(0)).cast("bigint").alias("only_in_b"))
+    return rows.crossJoin(only)                                    # one row each
+
+
+def differences(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """``(side, *key, copies)`` of every row that one source has more often than the other.
+
+    A row that differs in content is listed once for each side."""
+    keys = [key] if isinstance(key, str) else list(key)
+    _, net = _compared(a, b, keys)
+    return net.select(F.when(F.col("net") > 0, "a").otherwise("b").alias("side"), *[F.col("_key")[k].alias(k) for k in keys],
+                      F.abs("net").cast("bigint").alias("copies"))

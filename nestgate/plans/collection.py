@@ -7,7 +7,7 @@ here, in natural order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -297,6 +297,7 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
     pass.  ``bulk_index`` writes search-engine bulk pairs (action line, then
     document) instead of plain JSON lines.  Returns the paths written, the
     per-column first failures and the count of values that could not be typed."""
+    from nestgate.functions.coerce import coerce_to_schema, string_leaves, with_coercion_counts
     from nestgate.plans import export as K
     from nestgate.plans import validate as V
 
@@ -306,26 +307,22 @@ def materialize_collection(spark, out_dir: str, xml_objects: str | None = None,
         # load gate: every malformed file is listed and nothing is loaded
         assert_well_formed(malformed_xml_files(spark, xml_objects, "object", OBJECT_XML_READ).unionByName(
             malformed_xml_files(spark, xml_terms, "term", TERM_XML_READ)), f"{out_dir}/findings/malformed_files")
-        text, typed = harvest_objects_xml_text(spark, xml_objects), object_xml_typed()
-        objects, terms = harvest_objects_xml(spark, xml_objects), harvest_terminology_xml(spark, xml_terms)
+        text, typed, strict = harvest_objects_xml_text(spark, xml_objects), object_xml_typed(), False
+        terms = harvest_terminology_xml(spark, xml_terms)
     else:
-        from nestgate.functions.coerce import string_leaves
         from nestgate.sources.json import assert_json_well_formed, malformed_json, read_json_documents
 
         assert_json_well_formed(malformed_json(spark, json_objects, multiline).unionByName(
             malformed_json(spark, json_terms, multiline)), f"{out_dir}/findings/malformed_files")
-        text, typed = read_json_documents(spark, json_objects, string_leaves(OBJECT), multiline=multiline,
-                                          corrupt_col=None), OBJECT
-        objects = harvest_objects_json(spark, json_objects, multiline)
+        text, typed, strict = read_json_documents(spark, json_objects, string_leaves(OBJECT), multiline=multiline,
+                                                  corrupt_col=None), OBJECT, True
         terms = harvest_terminology_json(spark, json_terms, multiline)
-    from nestgate.functions.coerce import coercion_failures
-
-    # values present in the source that could not be typed (one aggregation; one row per column)
-    out_typing = {r["column_name"]: r["new_nulls"] for r in coercion_failures(text, typed).collect()
-                  if r["new_nulls"]}
+    # values present in the source that could not be typed are counted while the typed rows are written
+    untyped = Observation()
     out = {"harvest_objects": f"{out_dir}/harvest/objects", "harvest_terminology": f"{out_dir}/harvest/terminology",
-           "transform": f"{out_dir}/transform/objects_enriched", "untyped_values": out_typing}
-    K.write_parquet(objects, out["harvest_objects"])
+           "transform": f"{out_dir}/transform/objects_enriched"}
+    K.write_parquet(coerce_to_schema(with_coercion_counts(text, typed, untyped), typed, strict=strict), out["harvest_objects"])
+    out["untyped_values"] = {c: n for c, n in untyped.get.items() if n}
     K.write_parquet(terms, out["harvest_terminology"])
     enriched = enrich_objects(spark.read.parquet(out["harvest_terminology"]),
                               spark.read.parquet(out["harvest_objects"]), strategy=strategy)

@@ -6,7 +6,7 @@ single document on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
@@ -86,36 +86,38 @@ def schema_string(df: DataFrame) -> str:
     return df.schema.simpleString()
 
 
+def _fingerprint_columns(df: DataFrame) -> list[Column]:
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    return [F.count(F.lit(1)).alias("rows"),
+            F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h1"),
+            F.coalesce(F.sum(F.hash(*cols).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h2")]
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-insensitive content fingerprint ``(rows, h1, h2)`` in one pass, no shuffle.
 
     Sums of two independent 64-bit row hashes (as decimals, no overflow)."""
-    cols = [F.col(f"`{c}`") for c in df.columns]
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.xxhash64(*cols).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h1"),
-        F.coalesce(F.sum(F.hash(*cols).cast("decimal(38,0)")), F.lit(0)).cast("decimal(38,0)").alias("h2"),
-    )
+    return df.agg(*_fingerprint_columns(df))
+
+
+def write_observed(df: DataFrame, path: str, *metrics: Column) -> dict:
+    """K1, and the given aggregates of the written rows: taken while they are written, in the same pass."""
+    seen = Observation()
+    write_parquet(df.observe(seen, *metrics), path)
+    return seen.get
 
 
 def roundtrip_report(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """K1+K2: write, re-read, compare schema text and content fingerprint.
 
-    ``(rows_written, rows_read, schema_equal, content_equal)``."""
-    write_parquet(df, path)
+    ``(rows_written, rows_read, schema_equal, content_equal)``.  ``df`` is evaluated once: its
+    fingerprint is taken from the rows on their way to the files."""
+    seen = write_observed(df, path, *_fingerprint_columns(df))
     back = spark.read.parquet(path)
-    schema_equal = schema_string(df) == schema_string(back)
-    both = fingerprint(df).withColumn("side", F.lit("a")).unionByName(
-        fingerprint(back).withColumn("side", F.lit("b")))
-
-    def pick(side: str, c: str) -> Column:
-        return F.max(F.when(F.col("side") == side, F.col(c)))
-
-    fp = both.agg(*[pick(s, c).alias(f"{s}_{c}") for s in ("a", "b") for c in ("rows", "h1", "h2")])
-    return fp.select(
-        F.col("a_rows").alias("rows_written"),
-        F.col("b_rows").alias("rows_read"),
-        F.lit(schema_equal).alias("schema_equal"),
-        ((F.col("a_rows") == F.col("b_rows")) & (F.col("a_h1") == F.col("b_h1")) & (F.col("a_h2") == F.col("b_h2")))
+    return fingerprint(back).select(
+        F.lit(seen["rows"]).cast("bigint").alias("rows_written"),
+        F.col("rows").alias("rows_read"),
+        F.lit(schema_string(df) == schema_string(back)).alias("schema_equal"),
+        ((F.col("rows") == seen["rows"]) & (F.col("h1") == F.lit(seen["h1"])) & (F.col("h2") == F.lit(seen["h2"])))
         .alias("content_equal"),
     )

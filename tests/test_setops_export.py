@@ -18,6 +18,38 @@ def test_parity_ignores_order_and_finds_differences(spark):
     assert (r["only_in_a"], r["only_in_b"]) == (2, 1)
 
 
+def test_differences_are_named(spark):
+    a = spark.createDataFrame([(1, [("x", 1)]), (2, []), (2, []), (3, None), (None, [("z", 1)])], SCHEMA)
+    b = spark.createDataFrame([(1, [("x", 2)]), (2, []), (3, []), (None, [("z", 1)])], SCHEMA)
+    got = sorted((r["side"], r["k"], r["copies"]) for r in U.differences(a, b, "k").collect())
+    assert got == [("a", 1, 1), ("a", 2, 1), ("a", 3, 1), ("b", 1, 1), ("b", 3, 1)]
+    assert U.differences(a, a, "k").count() == 0
+
+
+def test_parity_tells_nulls_from_neighbours_and_signs_of_zero(spark):
+    a = spark.createDataFrame([(None, "x"), ("y", None)], "p string, q string")
+    b = spark.createDataFrame([("x", None), (None, "y")], "p string, q string")
+    assert U.parity(a, b).first()["only_in_a"] == 2
+    z = spark.createDataFrame([(0.0, [-0.0])], "v double, w array<double>")
+    assert U.parity(z, spark.createDataFrame([(-0.0, [0.0])], z.schema)).first()["only_in_a"] == 0
+
+
+def test_parity_in_few_buckets(spark, monkeypatch):
+    """Differences are found whatever the number of buckets, many rows share one."""
+    a = spark.range(2000).withColumn("v", F.col("id") * 3)
+    b = a.withColumn("v", F.when(F.col("id") % 500 == 7, 0).otherwise(F.col("v")))
+    for bits in (0, 3, 14):
+        monkeypatch.setattr(U, "BUCKET_BITS", bits)
+        assert sorted(r["id"] for r in U.differences(a, b, "id").filter("side = 'b'").collect()) == [7, 507, 1007, 1507]
+
+
+def test_parity_shuffles_hashes_only(spark):
+    """The documents are hashed in the first pass; what follows reads hashes."""
+    wide = spark.range(10).select(F.col("id"), F.array_repeat(F.lit("text"), 50).alias("words"))
+    plan = U.differences(wide, wide, "id")._jdf.queryExecution().toString()
+    assert "words" not in plan and "Exchange" in plan
+
+
 def test_union_batches_by_name(spark):
     a = spark.createDataFrame([(1, "a")], "k bigint, v string")
     b = spark.createDataFrame([("b", 2)], "v string, k bigint")
