@@ -23,6 +23,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -37,11 +38,18 @@ from nestgate.llm.common import row_numbers, saved
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHED = 120_000                       # chunks whose ids a Python worker remembers, in each of two generations
+CACHED = 80_000                        # chunks whose ids a Python worker remembers, in each of two generations
+WORDS = 400_000                        # and plain words, which chunks are made of
 BLANK = re.compile(r"[ \t\n\r]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")     # split() takes them for white space, the tokenizer does not
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
+# fixed values: the steps of the tokenizer whose chunks can be encoded on their own
+NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = [{"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+          "behavior": "Removed", "invert": True},
+         {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
 
 def _byte_level() -> dict[int, int]:
     """Byte-level alphabet: printable bytes stand for themselves, the others for 256 and up in order."""
@@ -53,6 +61,11 @@ def _byte_level() -> dict[int, int]:
 BYTE_LEVEL = _byte_level()
 
 
+def pack_ids(ids: list[int]) -> bytes:
+    """Little-endian unsigned 32-bit ids."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class ChunkIds(dict):
     """Ids (little-endian bytes) of text between white space.
 
@@ -60,7 +73,8 @@ class ChunkIds(dict):
     chunks one after the other; a remembered chunk is not encoded again.  Chunks of Latin-1 letters
     and closing punctuation, nearly all of them, go to the tokenizer's model word by word: its
     normalisation only lowers them and its splitting parts the letters from the punctuation.
-    Two generations of ``CACHED`` chunks each bound the memory.
+    All this holds for tokenizers with the steps ``NORMAL`` and ``SPLIT`` only; others encode whole texts.
+    Two generations of ``CACHED`` chunks and one of ``WORDS`` words bound the memory.
     """
 
     def __init__(self, path: str):
@@ -70,27 +84,26 @@ class ChunkIds(dict):
         self.path = path
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.simple = {"NFC", "Replace", "Lowercase"} >= _kinds(self.tokenizer.normalizer) and {
-            "Split", "ByteLevel"} >= _kinds(self.tokenizer.pre_tokenizer)
+        self.simple = _steps(self.tokenizer.normalizer) == NORMAL and _steps(self.tokenizer.pre_tokenizer) == SPLIT
         self.words: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
     def _encode(self, chunk: str) -> bytes:
-        return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+        return pack_ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            if len(self.words) >= CACHED:
+            if len(self.words) >= WORDS:
                 self.words.clear()
             mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(BYTE_LEVEL)
-            found = self.words[word] = np.array([t.id for t in self.model.tokenize(mapped)], "<u4").tobytes()
+            found = self.words[word] = pack_ids([t.id for t in self.model.tokenize(mapped)])
         return found
 
     def __missing__(self, chunk: str) -> bytes:
         found = self.old.get(chunk)
         if found is None:
-            plain = PLAIN.fullmatch(chunk) if self.simple else None
+            plain = PLAIN.fullmatch(chunk)
             if plain is None:
                 found = self._encode(chunk)
             else:
@@ -106,13 +119,15 @@ class ChunkIds(dict):
 
     def of_text(self, text: str | None) -> bytes:
         text = text or ""
+        if not self.simple:
+            return self._encode(text)
         return b"".join(map(self.__getitem__, BLANK.split(text) if SEPARATORS.search(text) else text.split()))
 
 
-def _kinds(part) -> set[str]:
-    """Names of the steps of a normalizer or pre-tokenizer."""
+def _steps(part) -> list[dict]:
+    """The steps of a normalizer or pre-tokenizer."""
     state = json.loads(part.__getstate__()) if part is not None else {}
-    return {x["type"] for x in state.get("normalizers", state.get("pretokenizers", [state] if state else []))}
+    return state.get("normalizers", state.get("pretokenizers", [state]))
 
 
 _REMEMBERED: list[ChunkIds] = []

@@ -97,3 +97,39 @@ def test_ids_equal_the_tokenizer_on_whole_texts(monkeypatch):
     for _ in range(1500):
         text = "".join(r.choice(parts) + r.choice(spaces + ["", "", " "]) for _ in range(r.randrange(0, 7)))
         assert list(np.frombuffer(ids.of_text(text), "<u4")) == t.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    """Without lowering, with another replacement, or keeping white space: the ids of the tokenizer itself."""
+    import json
+
+    import public_tokenizers
+
+    own = json.loads(open(P.default_tokenizer()).read())
+    steps = own["normalizer"]["normalizers"]
+    files = {"cased": [x for x in steps if x["type"] != "Lowercase"],
+             "marked": [{"type": "Replace", "pattern": {"String": "w"}, "content": "v"}, *steps]}
+    paths = [public_tokenizers.path("byte_bpe_50k.json")]
+    for name, chosen in files.items():
+        own["normalizer"]["normalizers"] = chosen
+        (tmp_path / name).write_text(json.dumps(own))
+        paths.append(str(tmp_path / name))
+    for path in paths:
+        ids, t = P.ChunkIds(path), Tokenizer.from_file(path)
+        for text in ["Two Words, twice", "  Two\nWords ", "", "ÉCOLE"]:
+            assert list(np.frombuffer(ids.of_text(text), "<u4")) == t.encode(text, add_special_tokens=False).ids
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_as_few_sequences_as_a_best_fit_packer(seed):
+    """Against best fit decreasing, piece by piece: never more sequences than that plus one in a hundred."""
+    r = random.Random(seed)
+    lengths = sorted((min(2048, int(r.expovariate(1 / r.choice([60, 400, 1200]))) + 1) for _ in range(1500)), reverse=True)
+    gaps: list[int] = []
+    for x in lengths:
+        fits = [g for g in range(len(gaps)) if gaps[g] >= x]
+        if fits:
+            gaps[min(fits, key=gaps.__getitem__)] -= x
+        else:
+            gaps.append(2048 - x)
+    assert sum(times for _, times in P.plan(Counter(lengths))) <= len(gaps) * 1.01 + 1
