@@ -1,18 +1,20 @@
 r"""License scan by diagonal voting, in DataFrame expressions only.
 
 1. Every rolling window of ``K`` words of every text is hashed and joined to the
-   hashed windows of the license templates (a fixed table of a few thousand
-   rows, the only broadcast side); a hit is one (text place, template place)
-   whose windows are equal word for word.
+   hashed windows of the license templates (one row a window, a few hundred for the
+   fixed ones; broadcast up to ``BROADCAST_WINDOWS``); a hit is one (text place,
+   template place) whose windows are equal word for word.
 2. Hits are counted by offset diagonal (text place minus template place).
 3. Diagonals of one template that lie within ``SLACK`` of the one before are
    merged: inserted or dropped words shift the rest of a license by a few places.
-4. A merged band is a license where its hits cover ``MIN_COVER`` percent of the
-   template's windows inside a span not longer than twice the template.
+4. A merged band is a license where the hits in some span of it, not longer than twice the
+   template, cover ``MIN_COVER`` percent of the template's windows.  Every hit is tried as the
+   span's begin, so repeated openings before a license do not hide it; a band gives its best span.
 
 Base phrases are found as consecutive words and always give their label.
 
-Defined results: null texts are empty; equal rows get equal results; an empty
+Defined results: null texts are empty; long texts are scanned whole; of spans that cover as much the first
+is given; equal rows get equal results; an empty
 table gives no rows; in the general form other columns pass through unless a
 new column has their name (then the new one replaces them).
 """
@@ -21,7 +23,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # word characters of the contract; upper-case letters are split as word characters and lowered after
@@ -30,6 +32,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 K = 6
 SLACK = 8
 MIN_COVER = 60
+BROADCAST_WINDOWS = 200_000
 
 # Base phrases and their labels.
 PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -114,35 +117,49 @@ def license_hits(docs: DataFrame, templates: dict[str, list[str]] | None = None)
     ``docs``: rows ``(key, words)``.
     """
     spark = docs.sparkSession
-    rows = spark.createDataFrame(
-        template_rows(templates), "label string, template string, windows int, tpos int, window string")
-    known = rows.withColumn("h", F.xxhash64("window"))
+    listed = template_rows(templates)
+    known = spark.createDataFrame(
+        listed, "label string, template string, windows int, tpos int, window string").withColumn("h", F.xxhash64("window"))
     windows = docs.filter(F.size("words") >= K).select("key", F.posexplode(F.transform(
         F.sequence(F.lit(0), F.size("words") - K),
         lambda i: F.concat_ws(" ", *[F.get(F.col("words"), i + j) for j in range(K)]))).alias("pos", "window"))
-    hits = windows.withColumn("h", F.xxhash64("window")).join(F.broadcast(known), ["h", "window"])
+    hits = windows.withColumn("h", F.xxhash64("window")).join(
+        F.broadcast(known) if len(listed) <= BROADCAST_WINDOWS else known, ["h", "window"])
     votes = hits.groupBy("key", "label", "template", "windows", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(
-        F.min("pos").alias("first"), F.max("pos").alias("last"), F.collect_set("tpos").alias("places"))
-    from pyspark.sql import Window
-
+        F.collect_set("tpos").alias("places"))
     by = Window.partitionBy("key", "template").orderBy("diagonal")
     banded = (votes.withColumn("new", F.coalesce(F.col("diagonal") - F.lag("diagonal").over(by) > SLACK, F.lit(True)))
               .withColumn("band", F.sum(F.col("new").cast("int")).over(by)))
-    merged = banded.groupBy("key", "label", "template", "windows", "band").agg(
-        F.min("first").alias("first"), (F.max("last") + K - 1).alias("last"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
-    cover = F.col("places") / F.col("windows")
-    return (merged.withColumn("cover", cover)
-            .filter((F.col("places") * 100 >= F.col("windows") * MIN_COVER)
-                    & (F.col("last") - F.col("first") + 1 <= 2 * (F.col("windows") + K - 1))))
-
-
-def document_licenses(docs: DataFrame) -> DataFrame:
-    """Query form: base places and labels, the method's labels, best cover as score."""
+    band = Window.partitionBy("key", "template", "band")
+    enough = F.col("windows") * MIN_COVER
+    places = (banded.withColumn("all", F.size(F.array_distinct(F.flatten(F.collect_list("places").over(band)))))
+              .filter(F.col("all") * 100 >= enough)
+              .select("key", "label", "template", "windows", "band", "diagonal", F.explode("places").alias("tpos"))
+              .withColumn("pos", F.col("diagonal") + F.col("tpos")))
+    # begins of a span's hits lie at most 2 (windows + K - 1) - K places apart; the half keeps whole places
+    # off the frame's border
+    reach = 2 * (F.col("windows") + K - 1) - K + F.lit(0.5)
+    span = band.orderBy("scaled").rangeBetween(0, 1)
+    spans = (places.withColumn("scaled", F.col("pos") / reach)
+             .withColumn("covered", F.size(F.collect_set("tpos").over(span)))
+             .withColumn("last", F.max("pos").over(span) + K - 1)
+             .filter(F.col("covered") * 100 >= enough)
+             .withColumn("cover", F.col("covered") / F.col("windows")))
+    return (spans.groupBy("key", "label", "template", "band").agg(F.min(F.struct(
+        (-F.col("cover")).alias("cover"), F.col("pos").alias("first"), F.col("last").alias("last"))).alias("b"))
+            .select("key", "label", "template", "b.first", "b.last", (-F.col("b.cover")).alias("cover")))
+
+
+def document_licenses(docs: DataFrame, templates: dict[str, list[str]] | None = None) -> DataFrame:
+    """Query form: base places and labels, the method's labels, best cover as score.
+
+    ``templates``: label to texts, for example whole licenses, in place of the fixed ones.
+    """
     pad = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
-    base = (docs.select("doc_id", F.xxhash64("doc_id", F.coalesce("text", F.lit(""))).alias("key"),
+    base = (docs.select("doc_id", F.struct(*[F.xxhash64(F.lit(n), "doc_id", F.coalesce("text", F.lit(""))).alias(f"k{n}") for n in (1, 2)])
+                        .alias("key"),
                         words_of(F.col("text")).alias("words")))
-    spans = license_hits(base.select("key", "words"))
+    spans = license_hits(base.select("key", "words"), templates)
     found = spans.groupBy("key").agg(F.collect_set("label").alias("found"), F.max("cover").alias("cover"))
     at = {p: f"at{i}" for i, p in enumerate(PHRASES)}
     placed = base.withColumn("joined", pad)

@@ -28,17 +28,19 @@ def brute(t):
         rows.setdefault((label, name, n), []).append((tpos, window.split()))
     for (label, _, n), wins in rows.items():
         hits = sorted((i - tp, i, tp) for i in range(len(w) - L.K + 1) for tp, g in wins if w[i:i + L.K] == g)
-        bands = []
-        for h in hits:
-            if not bands or h[0] - bands[-1][-1][0] > L.SLACK:
+        shifts = sorted({h[0] for h in hits})
+        bands = [[shifts[0]]] if shifts else []
+        for a, b in zip(shifts, shifts[1:]):
+            if b - a > L.SLACK:
                 bands.append([])
-            bands[-1].append(h)
-        for b in bands:
-            cover = len({x[2] for x in b}) / n
-            span = max(x[1] for x in b) + L.K - min(x[1] for x in b)
-            if len({x[2] for x in b}) * 100 >= n * L.MIN_COVER and span <= 2 * (n + L.K - 1):
-                found.add(label)
-                best = max(best, cover)
+            bands[-1].append(b)
+        for band in bands:
+            mine = [(i, tp) for s, i, tp in hits if s in band]
+            for first in {i for i, _ in mine}:                    # every span of twice the template's length
+                covered = {tp for i, tp in mine if first <= i and i + L.K - first <= 2 * (n + L.K - 1)}
+                if len(covered) * 100 >= n * L.MIN_COVER:
+                    found.add(label)
+                    best = max(best, len(covered) / n)
     return (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
             ",".join(sorted(base | found)), 1.0 if places else best)
 
@@ -57,9 +59,32 @@ def texts():
                 v.insert(r.randrange(len(v)), "extra words here")
                 out.append(" ".join(v))
     out.append(" ".join(t for ts in L.TEMPLATES.values() for t in ts))
+    mit = L.TEMPLATES["mit"][0]
+    opening = " ".join(mit.split()[:7])
+    out += [" ".join([opening] * 30 + [mit]), " ".join([mit] + [opening] * 30), " ".join([opening] * 60),
+            " ".join([mit] * 3), " ".join(mit.split()[:40] + ["x"] * 90 + mit.split()[40:])]
     return out
 
 
+def test_repeated_openings_do_not_hide_a_license(spark):
+    mit = L.TEMPLATES["mit"][0]
+    text = " ".join([" ".join(mit.split()[:7])] * 30 + [mit])
+    (r,) = L.document_licenses(spark.createDataFrame([(1, text, "", "")], DDL)).collect()
+    assert (r.labels, r.score) == ("mit", 1.0)
+
+
+def test_own_templates_and_long_texts(spark, monkeypatch):
+    """A whole license of thousands of words given as data, in a text of 200,000 words; also without broadcast."""
+    r = random.Random(2)
+    license_words = [r.choice("abcdefghij") + str(r.randrange(500)) for _ in range(3000)]
+    text = " ".join(["filler"] * 100_000 + license_words[:1500] + ["new words"] + license_words[1500:] + ["more"] * 100_000)
+    rows = spark.createDataFrame([(1, text, "", ""), (2, " ".join(license_words[:900]), "", "")], DDL)
+    for limit in (200_000, 0):
+        monkeypatch.setattr(L, "BROADCAST_WINDOWS", limit)
+        got = {x.doc_id: (x.labels, x.score) for x in L.document_licenses(rows, {"own": [" ".join(license_words)]}).collect()}
+        assert got[1][0] == "own" and got[1][1] > 0.99 and got[2] == ("", 0.0)
+
+
 def test_against_brute_force(spark):
     rows = [(i, t, "clash", "clash") for i, t in enumerate(texts())] + [(3, "under the MIT License", "x", "y"), (None, "a", "", "")]
     got = L.document_licenses(spark.createDataFrame(rows, DDL).repartition(4)).collect()
