@@ -5,10 +5,10 @@ A text is cut into blocks and every block is compressed under both dictionaries
 difference of the two sizes over the text's bytes, and an isotonic fit on
 labelled rows outside the dictionaries turns it into a calibrated score.
 
-Only the fit works on a sample: ``SAMPLE_ROWS`` labelled rows a class at most,
-in hash order of the id, and their first ``SAMPLE_CHARS`` characters; that
-bounds what the driver holds.  Class shares come from all labelled rows, and
-every text is scored whole.
+Only the fit works on a sample: whole texts of ``SAMPLE_ROWS`` labelled rows a class at most, in
+hash order of the id, as long as ``SAMPLE_BYTES`` of text a class are not passed (a text that would
+pass them is left out, the next ones are still tried); that bounds what the driver holds.  Class
+shares come from all labelled rows, and texts are fitted, calibrated and scored whole.
 
 Defined results: a null or empty text has difference 0; where a class has too
 little text for a dictionary every score is the share of good labels (0.5
@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 2500
-SAMPLE_CHARS = 16_384
+SAMPLE_BYTES = 24 << 20
 BLOCK = 4096
 DICTIONARY = 65_536
 LEVEL = 3
@@ -136,15 +136,30 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text: str =
              .filter(~held_out(F.col("id"))))
     shares = dict(known.groupBy("y").count().collect())
     share = shares.get(1, 0) / max(1, sum(shares.values())) if shares else 0.5
+    chosen = chosen_rows(docs, known, id_col, text)
+    ids = docs.sparkSession.createDataFrame([(i, y) for i, y in chosen], known.schema)
+    rows = (docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).join(F.broadcast(ids), "id")
+            .groupBy("id", "y").agg(F.min("text").alias("text")).select("id", "text").toPandas())    # SAMPLE_BYTES a class
+    texts = dict(zip(rows["id"], rows["text"]))
+    return fit_rows([(texts[i], y) for i, y in chosen], share)
+
+
+def chosen_rows(docs: DataFrame, known: DataFrame, id_col: str, text: str) -> list[tuple]:
+    """The sampled (id, label) pairs in hash order; only ids, labels and sizes reach the driver."""
     order = [F.xxhash64("id"), F.col("id")]
     sample = None
     for y in (0, 1):                               # SAMPLE_ROWS rows of ids each: a bounded broadcast
         part = known.filter(F.col("y") == y).orderBy(*order).limit(SAMPLE_ROWS)
         sample = part if sample is None else sample.unionByName(part)
-    rows = (docs.select(F.col(id_col).alias("id"), F.substring(F.col(text), 1, SAMPLE_CHARS).alias("text"))
-            .join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.min("text").alias("text"))
-            .select("id", "y", "text", F.xxhash64("id").alias("h")).toPandas().sort_values(["h", "id"]))
-    return fit_rows(list(zip(rows["text"], rows["y"].astype(int))), share)
+    sizes = (docs.select(F.col(id_col).alias("id"), F.octet_length(F.coalesce(F.col(text), F.lit(""))).alias("n"))
+             .join(F.broadcast(sample), "id").groupBy("id", "y").agg(F.max("n").alias("n"))
+             .select("id", "y", "n", F.xxhash64("id").alias("h")).collect())
+    out, used = [], {0: 0, 1: 0}
+    for r in sorted(sizes, key=lambda r: (r["h"], r["id"])):
+        if used[r["y"]] + r["n"] <= SAMPLE_BYTES:
+            used[r["y"]] += r["n"]
+            out.append((r["id"], r["y"]))
+    return out
 
 
 def score_rows(df: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
