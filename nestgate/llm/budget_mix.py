@@ -15,23 +15,29 @@ with most of the corpus is never sorted in one task.
 
 Defined results: null domains, languages or sources are nodes named ``''``;
 documents without tokens and leaves without tokens are never chosen; equal ids
-in a leaf are chosen together; a node without weight has ``OTHER`` as weight;
-an empty table gives no rows; other columns pass through unless a new column
+in a leaf are chosen together; a node without weight has ``OTHER`` as weight, a
+weight of 0 takes nothing, fractions keep their exact proportions (as decimals, up to whole numbers of
+``MAX_WEIGHT``) and negative weights are refused; names may hold any character; an empty table gives no rows; other columns pass through unless a new column
 has their name (then the new one replaces them).
 """
 
 from __future__ import annotations
 
+import math
+import re
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestgate.llm.common import free_name, saved
+from nestgate.llm.common import behind_names, free_name, saved
 
 SEED = 20
 EPOCHS = 2
 BUDGET_PERCENT = 100           # of the corpus's tokens
 BROADCAST_LEAVES = 100_000     # leaf rows (a few hundred bytes each) that may be broadcast
 OTHER = 1
+MAX_WEIGHT = 1_000_000
 # Parameters of the registered query: weights of the nodes at each level.
 WEIGHTS = {
     "domain": {"domain0": 4, "domain1": 3, "domain2": 2, "domain3": 1},
@@ -41,9 +47,30 @@ WEIGHTS = {
 LEVELS = ["domain", "lang", "source"]
 
 
-def _weight(level: str, weights: dict) -> str:
-    cases = " ".join(f"when '{k}' then {int(w)}" for k, w in sorted(weights.get(level, {}).items()))
-    return f"case {level} {cases} else {OTHER} end" if cases else str(OTHER)
+def _literal(name: str) -> str:
+    """A string literal of both SQL dialects (they escape quotes and backslashes differently)."""
+    parts = re.split(r"(['\\])", name)
+    return "(" + " || ".join(f"chr({ord(x)})" if x in ("'", "\\") else f"'{x}'" for x in parts) + ")"
+
+
+def whole_weights(weights: dict) -> tuple[dict[str, dict[str, int]], dict[str, int]]:
+    """Weights of each level (and of nodes without one) as whole numbers in the same proportions."""
+    scaled, others = {}, {}
+    for level in LEVELS:
+        exact = {k: Fraction(str(w)) for k, w in weights.get(level, {}).items()}
+        if any(w < 0 for w in exact.values()):
+            raise ValueError(f"a weight of {level} is negative")
+        scale = math.lcm(*(w.denominator for w in exact.values()), 1)
+        scaled[level] = {k: int(w * scale) for k, w in exact.items()}
+        others[level] = OTHER * scale
+        if max([others[level], *scaled[level].values()]) > MAX_WEIGHT:
+            raise ValueError(f"the weights of {level} need whole numbers above {MAX_WEIGHT} to keep their proportions")
+    return scaled, others
+
+
+def _weight(level: str, weights: tuple[dict, dict]) -> str:
+    cases = " ".join(f"when {_literal(k)} then {w}" for k, w in sorted(weights[0][level].items()))
+    return f"case {level} {cases} else {weights[1][level]} end" if cases else str(weights[1][level])
 
 
 def _fill(i: int, div: str) -> str:
@@ -75,15 +102,21 @@ def _fill(i: int, div: str) -> str:
 
 def budget_sql(rows: str, weights: dict, epochs: int, percent: int, div: str) -> str:
     """CTEs from rows ``(domain, lang, source, n_tokens)`` to ``leaf``: the budget, whole epochs and rest of a leaf."""
-    nodes = []
+    nodes, whole = [], whole_weights(weights)
+    # a leaf below a weight of 0 can take nothing
+    shut = " or ".join(f"{_weight(name, whole)} = 0" for name in LEVELS)
     for i, name in enumerate(LEVELS):
         cols = ", ".join(LEVELS[:i + 1])
-        nodes.append(f"{name}_node as (select {cols}, cast(sum(tokens) * {epochs} as bigint) as cap, "
-                     f"cast({_weight(name, weights)} as bigint) as w from size group by {cols})")
+        nodes.append(f"{name}_node as (select {cols}, cast(sum(usable) * {epochs} as bigint) as cap, "
+                     f"cast(greatest({_weight(name, whole)}, 1) as bigint) as w from size group by {cols})")
     return f"""
-size as (select domain, lang, source, cast(sum(n_tokens) as bigint) as tokens from {rows} group by 1, 2, 3),
+size as (
+  select domain, lang, source, cast(sum(n_tokens) as bigint) as tokens,
+    cast(case when {shut} then 0 else sum(n_tokens) end as bigint) as usable
+  from {rows} group by domain, lang, source),
 {", ".join(nodes)},
-root as (select cast(least(sum(tokens) * {percent} {div} 100, sum(tokens) * {epochs}) as bigint) as budget from size),
+root as (
+  select cast(least(sum(tokens) * {percent} {div} 100, sum(usable) * {epochs}) as bigint) as budget from size),
 {",".join(_fill(i, div) for i in range(len(LEVELS)))},
 leaf as (
   select s.domain, s.lang, s.source, s.tokens, d.budget,
@@ -177,14 +210,14 @@ def document_mix(docs: DataFrame) -> DataFrame:
     return mix(docs.select("doc_id", "lang", "source", "text"), source_domain(F.col("source"))).drop("text")
 
 
-def mixed_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline form: each document as often as its epochs hold it, in the columns of ``docs``."""
-    clash = [c for c in ("leaf_domain", "n_tokens", "leaf_budget", "copies") if c in docs.columns]
-    if clash:
-        raise ValueError(f"columns {clash} have names of this operator's results")
-    mixed = mix(docs, source_domain(F.col("source")))
-    time = free_name(mixed, "_time")
-    return mixed.withColumn(time, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*docs.columns)
+def mixed_documents(docs: DataFrame, weights: dict | None = None) -> DataFrame:
+    """Pipeline form: each document as often as its epochs hold it, in the columns of ``docs``; columns that
+    share a name with one of this operator's keep their values."""
+    def step(df: DataFrame) -> DataFrame:
+        mixed = mix(df, source_domain(F.col("source")), weights=weights)
+        time = free_name(mixed, "_time")
+        return mixed.withColumn(time, F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int")))).select(*df.columns)
+    return behind_names(docs, ["doc_id", "lang", "source", "text"], step)
 
 
 MIX_SQL = f"""

@@ -32,6 +32,13 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
+def behind_names(docs: DataFrame, own: list[str], step: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``step(docs)`` with every column but ``own`` under a neutral name, so that no name of the operator's
+    can meet one of the input's; ``step`` returns the columns it was given, in their order."""
+    hidden = docs.toDF(*[c if c in own else f"_input{i}" for i, c in enumerate(docs.columns)])
+    return step(hidden).toDF(*docs.columns)
+
+
 def row_numbers(df: DataFrame, keys: list, name: str, partitions: int | None = None) -> tuple[DataFrame, int]:
     """``df`` with a gapless row number from 0 in the order of ``keys``, and the row count.
 

@@ -18,6 +18,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from nestgate.llm.common import behind_names
+
 # word separators, in Java and RE2 syntax alike
 GAP = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -154,12 +156,14 @@ def document_quality(docs: DataFrame) -> DataFrame:
 
 
 def clean_documents(docs: DataFrame) -> DataFrame:
-    """Pipeline form: kept documents with their failing lines removed, in the columns of ``docs``."""
-    judged = quality_rules(docs.withColumnRenamed("kept", "_kept_in") if "kept" in docs.columns else docs)
-    kept = judged.filter("kept").withColumn("text", F.col("clean_text"))
-    if "n_chars" in docs.columns:
-        kept = kept.withColumn("n_chars", F.char_length("text").cast("long"))
-    return kept.select(*docs.columns)
+    """Pipeline form: kept documents with their failing lines removed, in the columns of ``docs``; columns
+    that share a name with one of this operator's keep their values."""
+    def step(df: DataFrame) -> DataFrame:
+        kept = quality_rules(df).filter("kept").withColumn("text", F.col("clean_text"))
+        if "n_chars" in df.columns:
+            kept = kept.withColumn("n_chars", F.char_length("text").cast(df.schema["n_chars"].dataType))
+        return kept.select(*df.columns)
+    return behind_names(docs, ["text", "n_chars"], step)
 
 
 QUALITY_SQL = rf"""

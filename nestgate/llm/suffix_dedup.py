@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestgate.llm.common import each_group, free_name, saved
+from nestgate.llm.common import behind_names, each_group, free_name, saved
 from nestgate.llm.induced_sort import permuted_prefixes, shard_string, suffix_array
 
 WIDTH = 200
@@ -340,10 +340,12 @@ def document_repeats(docs: DataFrame) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
-    """Pipeline form: documents with their repeated bytes cut out, in the columns of ``docs``."""
-    extra = [c for c in ("n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_bytes") if c in docs.columns]
-    if extra:
-        raise ValueError(f"columns {extra} have names of this operator's results")
+    """Pipeline form: documents with their repeated bytes cut out, in the columns of ``docs``; columns
+    that share a name with one of this operator's keep their values."""
+    return behind_names(docs, ["text", "n_chars"], _without_repeats)
+
+
+def _without_repeats(docs: DataFrame) -> DataFrame:
     cut = cut_repeats(docs)
     names = [*docs.columns, "n_removed", "decoded"]
     text: Column = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("decoded"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 from collections import defaultdict
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -30,7 +31,8 @@ def fill(budget, children):
     return out
 
 
-def brute(rows, epochs, percent, seed=B.SEED):
+def brute(rows, epochs, percent, seed=B.SEED, weights=None):
+    weights = B.WEIGHTS if weights is None else weights
     size = defaultdict(int)
     leaf = {}
     for k, (i, lang, src, text, *_) in enumerate(rows):
@@ -40,15 +42,19 @@ def brute(rows, epochs, percent, seed=B.SEED):
         leaf[k] = (d, lang or "", src or "", len((text or "").split()))
         size[leaf[k][:3]] += leaf[k][3]
     total = sum(size.values())
-    budgets = {(): min(total * percent // 100, total * epochs)}
+
+    def weight(level, name):
+        return Fraction(str(weights.get(level, {}).get(name, B.OTHER)))
+    usable = {p: n * all(weight(level, x) > 0 for level, x in zip(B.LEVELS, p)) for p, n in size.items()}
+    budgets = {(): min(total * percent // 100, sum(usable.values()) * epochs)}
     for depth, level in enumerate(B.LEVELS):
         nxt = {}
         for up, b in budgets.items():
             caps = defaultdict(int)
-            for path, n in size.items():
+            for path, n in usable.items():
                 if path[:depth] == up:
                     caps[path[depth]] += n * epochs
-            got = fill(b, [(n, c, B.WEIGHTS[level].get(n, B.OTHER)) for n, c in caps.items()]) if b or caps else {}
+            got = fill(b, [(n, c, weight(level, n) or 1) for n, c in caps.items()]) if b or caps else {}
             nxt |= {(*up, n): v for n, v in got.items()}
         budgets = nxt
     out = []
@@ -98,3 +104,22 @@ def test_pipeline_form_and_empty_table(spark):
     df = spark.createDataFrame([(i, "one two", "en", f"src{i % 2}", 7) for i in range(8)], empty.schema)
     out = B.mixed_documents(df)
     assert out.columns == df.columns and out.count() == sum(r.copies for r in B.document_mix(df).collect())
+
+
+@pytest.mark.parametrize("weights", [
+    {"domain": {"domain0": 0.7, "domain1": 0.3}, "lang": {"en": 1.9, "de": "0.25"}, "source": {"src0": 0.5}},
+    {"domain": {"domain1": 0}, "lang": {"fr": 0, "en": 3}, "source": {"src7": 0, "other": 0.001}},
+    {"domain": {"domain0": 0, "domain1": 0, "domain2": 0, "domain3": 0, "": 0}},
+    {"source": {"o'brien": 3, "back\\slash": 2.5, 'quo"te': 0, "src0": 1}}])
+def test_zero_and_fractional_weights_and_odd_names(spark, weights):
+    rows = table(5) + [(1000 + i, "en", s, "w " * (5 + i), 7, "x") for i, s in enumerate(
+        ["o'brien", "back\\slash", 'quo"te', "o'brien"] * 4)]
+    got = B.mix(spark.createDataFrame(rows, DDL).repartition(3), B.source_domain(F.col("source")), weights=weights)
+    cols = ["doc_id", "lang", "source", "leaf_domain", "n_tokens", "leaf_budget", "copies"]
+    assert sorted(map(tuple, got.select(cols).collect()), key=str) == brute(rows, 2, 100, weights=weights)
+
+
+def test_unusable_weights_are_refused():
+    for w in ({"lang": {"en": -1}}, {"lang": {"en": 0.00000001}}):
+        with pytest.raises(ValueError):
+            B.whole_weights(w)
