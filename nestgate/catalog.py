@@ -26,6 +26,7 @@ from nestgate.functions.coerce import coerce_to_schema, rename_fields, string_le
 from nestgate.operators import nest as N
 from nestgate.operators import setops as U
 from nestgate.operators.lookup import Lookup, enrich_list, lookup_join
+from nestgate.operators.seen_twice import repeated_keys
 from nestgate.plans import conformance as C
 from nestgate.plans import export as K
 from nestgate.plans import standins as S
@@ -476,13 +477,14 @@ def check_summary_depth(spark: SparkSession, d: str) -> DataFrame:
     return V.summary_by_depth(_orders_docs(spark, d), S.order_rules())
 
 
+RULE_COLUMN_SQL = "case rule " + " ".join(f"when '{r}' then '{c}'" for _, r, c, _ in RULE_META) + " end"
 FAILING_ROWS_SQL = f"""
 with {PER_ORDER_SQL}
-select o_orderkey, rule from per_order
+select o_orderkey, {RULE_COLUMN_SQL} as column_name, rule from per_order
 unpivot (passed for rule in ({", ".join(r for _, r, _, lv in RULE_META if lv != "frame")}))
 where not passed
 union all
-select o_orderkey, 'orderkey_unique' from orders where o_orderkey in (
+select o_orderkey, 'o_orderkey', 'orderkey_unique' from orders where o_orderkey in (
   select o_orderkey from orders group by o_orderkey having count(*) > 1)
 """
 
@@ -1018,6 +1020,18 @@ def unique_null_keys(spark: SparkSession, d: str) -> DataFrame:
     return found.crossJoin(rows).crossJoin(quarantined)                 # one row each
 
 
+@query("unique_by_filter", f"""
+with l as {NULL_KEY_SQL},
+dup as (select k, l_linenumber, count(*) as n from l group by k, l_linenumber having count(*) > 1)
+select k, l_linenumber, n from dup
+""")
+def unique_by_filter(spark: SparkSession, d: str) -> DataFrame:
+    """Repeated keys and their counts; keys seen once leave their task as a few bits only."""
+    lines = S.table(spark, d, "lineitem").select(
+        F.when(F.col("l_returnflag") != "R", F.col("l_orderkey")).alias("k"), "l_linenumber")
+    return repeated_keys(lines, ["k", "l_linenumber"], "n")
+
+
 def _same_name_rules() -> list[R.Rule]:
     return [R.string_length("length_at_least_2", "o_orderstatus", min_len=2),
             R.element_string_length("length_at_least_2", "lines", "l_returnflag", min_len=1),
@@ -1079,9 +1093,9 @@ def check_null_values(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("failing_element_values", f"""
-select l_orderkey as o_orderkey, 'all_lines_open' as rule, pos, '["' || l_linestatus || '"]' as value
+select l_orderkey as o_orderkey, 'lines' as column_name, 'all_lines_open' as rule, pos, '["' || l_linestatus || '"]' as value
 from {LINES_POS_SQL} where l_linestatus <> 'O'
-union all select l_orderkey, 'returnflag_in_a_n', pos, '["' || l_returnflag || '"]'
+union all select l_orderkey, 'lines', 'returnflag_in_a_n', pos, '["' || l_returnflag || '"]'
 from {LINES_POS_SQL} where l_returnflag not in ('A', 'N')
 """)
 def failing_element_values(spark: SparkSession, d: str) -> DataFrame:
@@ -1090,6 +1104,28 @@ def failing_element_values(spark: SparkSession, d: str) -> DataFrame:
     return V.failing_elements(S.nested_orders(spark, d), rules, "o_orderkey")
 
 
+@query("findings_same_name", """
+with n as (select o.*, (select count(*) from lineitem l where l.l_orderkey = o.o_orderkey) as n from orders o),
+f as (
+  select o_orderkey, 'o_orderstatus' as column_name, 'length_at_least_2' as rule from n where length(o_orderstatus) < 2
+  union all select o_orderkey, 'lines', 'more_than_2' from n where n <= 2
+  union all select o_orderkey, 'o_custkey', 'more_than_2' from n where o_custkey <= 2)
+select form, f.* from f, (values ('rows'), ('quarantine')) as v(form)
+union all select 'elements', l_orderkey, 'lines', 'same' from lineitem where l_returnflag = 'R' group by l_orderkey
+union all select 'elements', o_orderkey, 'tags', 'same' from orders where o_orderpriority = '1-URGENT'
+""")
+def findings_same_name(spark: SparkSession, d: str) -> DataFrame:
+    """Rules of one name on two columns give findings that name their column."""
+    docs, rules = S.nested_orders(spark, d), _same_name_rules()
+    rows = V.failing_rows(docs, rules, "o_orderkey").withColumn("form", F.lit("rows"))
+    tagged = (V.quarantine(docs, rules)[1].select("o_orderkey", F.explode("_failed_rules").alias("f"))
+              .select("o_orderkey", "f.column_name", "f.rule").withColumn("form", F.lit("quarantine")))
+    same = [R.all_compare("same", "lines", "l_returnflag", "!=", "R"), R.all_elements("same", "tags", None, lambda v: v != "1-URGENT")]
+    elements = (V.failing_elements(docs.withColumn("tags", F.array("o_orderpriority")), same, "o_orderkey")
+                .select("o_orderkey", "column_name", "rule").distinct().withColumn("form", F.lit("elements")))
+    return rows.unionByName(tagged).unionByName(elements)
+
+
 # Field names that look like type names, and an array that mixes integers with decimals.
 TYPE_NAME_SCHEMA = "o_orderkey bigint, FLOAT bigint, prices array<bigint>, extra string"
 

@@ -2,8 +2,8 @@
 
 * :func:`summary`         -- one row per rule with its failure count (A9/R2/R6/R9)
 * :func:`first_failures`  -- first failing rule per column, declared order (R1)
-* :func:`failing_rows`    -- ``(key, rule)`` for every failing row (R4)
-* :func:`failing_elements`-- ``(key, rule, pos, value)`` per failing element (R5)
+* :func:`failing_rows`    -- ``(key, column_name, rule)`` for every failing row (R4)
+* :func:`failing_elements`-- ``(key, column_name, rule, pos, value)`` per failing element (R5)
 * :func:`gate` / :func:`quarantine` -- blocking gate and row split (R7)
 * :func:`summary_from_children` -- the same counts for parent + child tables,
   from one partial-aggregating ``groupBy`` (no lists built)
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from nestgate.functions.rules import FRAME, Rule, select_rules
+from nestgate.operators.seen_twice import repeated_keys
 
 
 class ValidationError(Exception):
@@ -53,14 +54,10 @@ def _distinct_rules(rules: Sequence[Rule]) -> list[Rule]:
 def unique_violations(df: DataFrame, rule: Rule) -> DataFrame:
     """Rows whose key occurs more than once: one row ``(failed)``.  Null keys are equal to each other.
 
-    ``groupBy(key).count()`` aggregates partially on the map side, so a hot
-    key contributes one row per task to the shuffle, not one row per record."""
-    keys = list(rule.keys)
+    Keys that are seen once, nearly all of them, leave their task as a few bits
+    (:mod:`nestgate.operators.seen_twice`); a hot key sends one row per task."""
     return (
-        df.select(*keys)
-        .groupBy(*keys)
-        .count()
-        .where(F.col("count") > 1)
+        repeated_keys(df, list(rule.keys), "count")
         .agg(F.coalesce(F.sum("count"), F.lit(0)).cast("bigint").alias("failed"))
     )
 
@@ -68,7 +65,7 @@ def unique_violations(df: DataFrame, rule: Rule) -> DataFrame:
 def duplicate_keys(df: DataFrame, rule: Rule, max_rows: int = 1_000_000) -> tuple[DataFrame, bool]:
     """The key values that occur more than once, and whether they may be broadcast.
 
-    One partial-aggregating pass over the key columns only; the result is cut
+    Found by :func:`~nestgate.operators.seen_twice.repeated_keys` from the key columns only; the result is cut
     from its lineage (checkpoint in the shared folder) and, when a bounded
     probe shows it small -- the usual case, few duplicates -- broadcast, so
     attaching uniqueness findings does not shuffle the data itself."""
@@ -77,7 +74,7 @@ def duplicate_keys(df: DataFrame, rule: Rule, max_rows: int = 1_000_000) -> tupl
 
     keys = list(rule.keys)
     checkpoint_root(df.sparkSession)
-    dup = df.select(*keys).groupBy(*keys).count().where("count > 1").drop("count").checkpoint(eager=True)
+    dup = repeated_keys(df, keys, "_count").drop("_count").checkpoint(eager=True)
     n, b = probe_size(dup, max_rows)
     return dup, (n <= max_rows and b <= 64 * 1024 * 1024)
 
@@ -167,32 +164,37 @@ def summary_by_depth(df: DataFrame, rules: Sequence[Rule], depths: Sequence[str]
     return out
 
 
-def failed_rule_names(rules: Sequence[Rule]) -> Column:
-    """``array<string>`` of the names of row rules the row fails."""
+FINDING = "struct<column_name:string,rule:string>"
+
+
+def _named(r: Rule) -> Column:
+    """A rule as findings name it: its column and its name."""
+    return F.struct(F.lit(r.column).alias("column_name"), F.lit(r.name).alias("rule"))
+
+
+def failed_rules(rules: Sequence[Rule]) -> Column:
+    """``array<struct<column_name, rule>>`` of the row rules that the row fails."""
     row = _row_rules(rules)
     if not row:
-        return F.array().cast("array<string>")
-    return F.filter(F.array(*[F.when(r.failed(), F.lit(r.name)) for r in row]), lambda x: x.isNotNull())
+        return F.array().cast(f"array<{FINDING}>")
+    return F.filter(F.array(*[F.when(r.failed(), _named(r)) for r in row]), lambda x: x.isNotNull())
 
 
 def failing_rows(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str]) -> DataFrame:
-    """One row ``(*key, rule)`` per failing (row, rule) pair.
+    """One row ``(*key, column_name, rule)`` per failing (row, rule) pair.
 
     Row-local: no shuffle. Frame rules add the rows of duplicated keys."""
     keys = [key] if isinstance(key, str) else list(key)
     rules = _distinct_rules(rules)
-    if _row_rules(rules):
-        out = df.select(*keys, F.explode(failed_rule_names(rules)).alias("rule"))
-    else:
-        out = df.select(*keys, F.lit(None).cast("string").alias("rule")).where(F.lit(False))
+    out = df.select(*keys, F.explode(failed_rules(rules)).alias("f"))
     for r in _frame_rules(rules):
         rows = _on_keys(df, *duplicate_keys(df, r), r.keys, "left_semi")
-        out = out.unionByName(rows.select(*keys, F.lit(r.name).alias("rule")))
-    return out
+        out = out.unionByName(rows.select(*keys, _named(r).alias("f")))
+    return out.select(*keys, "f.column_name", "f.rule")
 
 
 def failing_elements(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[str]) -> DataFrame:
-    """``(*key, rule, pos, value)`` for every element that breaks an element rule.
+    """``(*key, column_name, rule, pos, value)`` for every element that breaks an element rule.
 
     One row-local pass for all rules: per row, each element rule contributes
     the (position, value) of its failing elements -- the element test is
@@ -201,7 +203,7 @@ def failing_elements(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[s
     produce output; ``value`` is the offending field rendered as JSON text."""
     keys = [key] if isinstance(key, str) else list(key)
     per_rule = []
-    for r in _row_rules(rules):
+    for r in _distinct_rules(_row_rules(rules)):
         if r.element is None:
             continue
         e = r.element
@@ -210,14 +212,15 @@ def failing_elements(df: DataFrame, rules: Sequence[Rule], key: str | Sequence[s
             i.cast("bigint").alias("pos"), v.alias("v"), F.coalesce(e.passes(v), F.lit(True)).alias("ok")))
         # only failing elements are rendered
         bad = F.transform(F.filter(tested, lambda x: ~x["ok"]), lambda x: F.struct(
-            F.lit(r.name).alias("rule"), x["pos"].alias("pos"), F.to_json(F.array(x["v"])).alias("value")))
+            F.lit(r.column).alias("column_name"), F.lit(r.name).alias("rule"), x["pos"].alias("pos"),
+            F.to_json(F.array(x["v"])).alias("value")))
         # skip the element scan for rows that pass the rule
         per_rule.append(F.when(r.failed(), bad))
     if not per_rule:
         raise ValueError("no element rules given")
     found = F.flatten(F.filter(F.array(*per_rule), lambda a: a.isNotNull()))
     out = df.select(*keys, F.explode(found).alias("f"))
-    return out.select(*keys, "f.rule", "f.pos", "f.value")
+    return out.select(*keys, "f.column_name", "f.rule", "f.pos", "f.value")
 
 
 def failures(summary_df: DataFrame) -> list[dict]:
@@ -239,21 +242,21 @@ def gate(df: DataFrame, rules: Sequence[Rule], mode: str = "block") -> DataFrame
 
 
 def with_findings(df: DataFrame, rules: Sequence[Rule], col: str = "_failed_rules") -> DataFrame:
-    """Attach the failing rule names per row; frame rules via a semi-join on duplicates."""
+    """Attach the failing rules per row, each with its column; frame rules via a semi-join on duplicates."""
     rules = _distinct_rules(rules)
-    out = df.withColumn(col, failed_rule_names(rules))
+    out = df.withColumn(col, failed_rules(rules))
     for r in _frame_rules(rules):
         keys_df, small = duplicate_keys(df, r)
         out = (
             _on_keys(out, keys_df.withColumn("_dup", F.lit(True)), small, r.keys, "left")
-            .withColumn(col, F.when(F.col("_dup"), F.array_append(F.col(col), F.lit(r.name))).otherwise(F.col(col)))
+            .withColumn(col, F.when(F.col("_dup"), F.array_append(F.col(col), _named(r))).otherwise(F.col(col)))
             .drop("_dup")
         )
     return out
 
 
 def quarantine(df: DataFrame, rules: Sequence[Rule], col: str = "_failed_rules") -> tuple[DataFrame, DataFrame]:
-    """Split into (clean rows, quarantined rows with the rule names that failed).
+    """Split into (clean rows, quarantined rows with the columns and names of the rules that failed).
 
     To write both sides in one pass use :func:`nestgate.plans.export.write_split`."""
     tagged = with_findings(df, rules, col)
@@ -360,7 +363,7 @@ def summary_from_children(parents: DataFrame, children: DataFrame, key: str | Se
 def failing_elements_from_children(children: DataFrame, key: str | Sequence[str], list_col: str,
                                    rules: Sequence[Rule], parents: DataFrame | None = None,
                                    pos_col: str | None = None) -> DataFrame:
-    """R5 for parent + child tables: ``(*key, rule, value)`` per failing child row
+    """R5 for parent + child tables: ``(*key, column_name, rule, value)`` per failing child row
     (plus ``pos`` when the children carry their position in ``pos_col``).
 
     The same element tests as :func:`failing_elements`, evaluated in one pass
@@ -383,11 +386,12 @@ def failing_elements_from_children(children: DataFrame, key: str | Sequence[str]
         e = r.element
         v = F.col(e.field) if e.field else F.col(list_col)
         per_rule.append(F.when(~F.coalesce(e.passes(v), F.lit(True)),
-                               F.struct(F.lit(r.name).alias("rule"), F.to_json(F.array(v)).alias("value"))))
+                               F.struct(F.lit(r.column).alias("column_name"), F.lit(r.name).alias("rule"),
+                                        F.to_json(F.array(v)).alias("value"))))
     found = F.filter(F.array(*per_rule), lambda x: x.isNotNull())
     pos = [F.col(pos_col).cast("bigint").alias("pos")] if pos_col else []
     out = kids.select(*keys, *pos, F.explode(found).alias("f"))
-    return out.select(*keys, "f.rule", *(["pos"] if pos_col else []), "f.value")
+    return out.select(*keys, "f.column_name", "f.rule", *(["pos"] if pos_col else []), "f.value")
 
 
 def nullability_rules(schema: T.StructType) -> list[Rule]:

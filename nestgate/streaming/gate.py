@@ -42,7 +42,7 @@ def write_batch(batch: DataFrame, batch_id: int, rules: Sequence[Rule], out_path
     row_rules = [r for r in rules if r.level != FRAME]
     batch = batch.persist()
     try:
-        tagged = (batch.withColumn("_failed_rules", V.failed_rule_names(row_rules))
+        tagged = (batch.withColumn("_failed_rules", V.failed_rules(row_rules))
                   .withColumn("_status", F.when(F.size("_failed_rules") == 0, "clean").otherwise("quarantined"))
                   .withColumn("_batch", F.lit(batch_id)))
         (tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -81,15 +81,16 @@ def test_list_of_scalars_element_rules(spark):
 
 
 def test_cross_column_rules(spark):
+    """The department of the rule is fixed; a missing date compares with nothing."""
     df = spark.createDataFrame(
-        [(1, "Carving", [("height", 1.0)], 1900, [1850]), (2, "Carving", [("depth", 2.0)], 1900, [1950]),
-         (3, "Hangings", [("height", 3.0)], None, [1700])],
+        [(10, "Sculpture", [("width", 2.0)], 1500, [1500]), (20, "Sculpture", [("width", 2.0), ("depth", 0.5)], 1500, [1499, None]),
+         (30, "Toys", [], 1500, [1400, 1600]), (40, None, [("width", 2.0)], None, [9999]), (50, "Sculpture", None, 1, None)],
         "id bigint, department string, dimensions array<struct<type:string, value:double>>, date_made bigint, "
         "births array<bigint>")
     depth = next(r for r in M.cross_column_rules() if r.name == "sculpture_must_have_depth")
-    assert failing_ids(df, depth) == [1]
+    assert failing_ids(df, depth) == [10]        # a null list gives no outcome
     before = R.elements_vs_parent("births_before_made", "births", None, "<", "date_made")
-    assert failing_ids(df, before) == [2]        # null date_made passes
+    assert failing_ids(df, before) == [10, 30]
 
 
 def test_row_and_element_reports(spark):

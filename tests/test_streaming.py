@@ -26,11 +26,12 @@ def test_stream_gate(spark, tmp_path):
     q.awaitTermination(120)
     res = spark.read.parquet(out)
     got = {r["object_id"]: r["_status"] for r in res.select("object_id", "_status").collect()}
-    assert got == {"OBJ-001": "clean", "OBJ-002": "clean", "OBJ-003": "clean", "OBJ-004": "clean",
-                   "OBJ-005": "quarantined"}
+    assert got == {"jar": "clean", "rug": "clean", "mask": "clean", "bell": "clean", "oar": "quarantined",
+                   "kite": "quarantined", "lamp": "quarantined"}
     s = spark.read.parquet(summ)
     assert s.select("batch_id").distinct().count() == 2
-    assert {r["rule"] for r in s.where("failed > 0").collect()} == {"all_dimension_values_gt_1"}
+    assert {r["rule"] for r in s.where("failed > 0").collect()} == {
+        "all_dimension_values_gt_1", "all_urls_are_https", "has_primary_image", "has_height_dimension", "all_units_are_cm"}
 
 
 def test_stream_batch_rerun_is_idempotent(spark):
