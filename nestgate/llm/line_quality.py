@@ -10,7 +10,8 @@ row's own word and line arrays.
 Defined results: a null text has no words and fails the base rules; lines
 without a word are neither judged nor counted; an empty table gives no rows;
 equal rows get equal results; other columns pass through unless a new column
-has their name (then the new one replaces them).
+has their name (then the new one replaces them; the pipeline form keeps every
+input column); long texts are judged whole.
 """
 
 from __future__ import annotations

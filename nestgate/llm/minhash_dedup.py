@@ -22,7 +22,8 @@ kept; fewer than five words are one shingle; equal rows share a class; a class
 is labelled with its smallest ``doc_id`` (nulls are ignored, a component with
 null ids only has a null label and keeps none).  The pipeline form goes by rows,
 not by ids: exactly one row of each component stays, also of repeated rows and of
-null ids.
+null ids.  Long texts are taken whole; an empty table gives no rows; only id and
+text are read, and the pipeline form passes all columns through, so none can clash.
 """
 
 from __future__ import annotations

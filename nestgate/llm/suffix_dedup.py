@@ -21,7 +21,9 @@ its windows are compared as whole strings in a shuffle (by 128-bit digests).
 Defined results: null texts are empty; texts shorter than ``width`` stay whole;
 equal rows repeat each other like any other texts; an empty table gives no
 rows.  Cutting works on bytes; the pipeline form decodes what is left and drops
-the fragments of a character cut in two.
+the fragments of a character cut in two.  Long texts are hashed in overlapping
+pieces and cut whole.  The general form puts its result columns in place of input
+columns of their names; the pipeline form keeps every input column.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ Defined results: null texts are empty; texts shorter than ``K`` bytes have the
 hash of the whole text as their only anchor, empty texts none (two empty
 fingerprints are alike: 1, an empty and another: 0); documents without id come
 last in descending order; equal ids are ordered by text; an empty table gives
-no rows.
+no rows.  Ids are numbers (their range is cut into parts); long texts are taken
+whole; only id and text are read, so extra columns cannot clash.
 """
 
 from __future__ import annotations

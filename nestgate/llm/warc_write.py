@@ -1,7 +1,8 @@
 r"""Deterministic sharded WARC writer and its reader.
 
-Records are range-sorted by key into shards of ``RECORDS`` records (exact row
-numbers, so shards do not depend on the number of partitions).  A shard is
+Records are range-sorted by key into shards cut at every ``RECORDS``-th record (exact row
+numbers, so shards do not depend on the number of partitions); records of one key, or without
+key, stay in one shard, which they can make larger; it is still written as a stream.  A shard is
 written as a stream: one gzip member a record, rolled to a new file when the
 compressed size reaches ``roll_bytes``; headers, record ids and digests are
 made anew from the rows.  Files appear under temporary names and are renamed
@@ -13,14 +14,15 @@ the smallest key holds the payload and the others are revisits of it; which
 payloads repeat is found on slim rows by digest.
 
 Defined results: null payloads are empty; a null key sorts first, has no key
-header and is never referred to; records with equal keys are written one by
-one (a revisit refers to the key); an empty table gives an empty manifest;
+header and is never referred to; records with equal keys, or without, are written one by
+one under ids of their own (a revisit refers to the key's first); an empty table gives an empty manifest;
 extra columns are not written.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -46,27 +48,34 @@ KEY, TO_KEY = "X-Record-Key", "X-Refers-To-Key"
 MANIFEST = "file string, shard long, part int, records long, bytes long, sha256 string"
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme that Spark gives it, so that the executors write where Spark reads."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(path).toString()
+
+
 def store(uri: str):
-    """File system and path of a folder; any store that Arrow knows."""
+    """File system and path of a qualified folder; any store that Arrow knows (``s3a`` is its ``s3``)."""
     from pyarrow import fs
 
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    return fs.FileSystem.from_uri(uri)
+    if uri.startswith("file:"):
+        uri = "file:///" + uri[len("file:"):].lstrip("/")
+    return fs.FileSystem.from_uri(re.sub("^s3[an]:", "s3:", uri))
 
 
-def record_id(key: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'record:{key}')}>"
+def record_id(key: str | None, copy: int = 0) -> str:
+    """Id of the ``copy``-th record of a key (records without key are copies of none)."""
+    if key is None:
+        return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'record without key {copy}')}>"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'record:{key}' + f'#{copy}' * (copy > 0))}>"
 
 
-def record(key: str | None, url: str | None, payload: bytes, refers_to: str | None) -> bytes:
+def record(key: str | None, url: str | None, payload: bytes, refers_to: str | None, copy: int = 0) -> bytes:
     """One WARC record."""
     head = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n"
     block = head.encode() + (payload if refers_to is None else b"")
     lines = ["WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}",
-             f"WARC-Record-ID: {record_id(key)}", f"WARC-Date: {DATE}",
+             f"WARC-Record-ID: {record_id(key, copy)}", f"WARC-Date: {DATE}",
              "WARC-Target-URI: " + (quote(url, safe="!#$%&'()*+,/:;=?@[]~-._") if url else f"urn:record:{key}"),
              "Content-Type: application/http;msgtype=response",
              f"WARC-Payload-Digest: sha256:{hashlib.sha256(payload).hexdigest()}",
@@ -114,6 +123,7 @@ def write_archives(df: DataFrame, out: str, key: str = "page_id", url: str = "ur
                    records: int = RECORDS, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Writes the archives of ``df`` under ``out``; returns the manifest (also at ``out/manifest``)."""
     spark = df.sparkSession
+    out = qualified(spark, out)
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
     slim = df.select(F.col(key).alias("key"), F.sha2(body, 256).alias("digest"), F.length(body).alias("n"))
     numbered, total = row_numbers(slim, [F.col("key"), F.col("digest")], "row_no")
@@ -151,6 +161,7 @@ def write_archives(df: DataFrame, out: str, key: str = "page_id", url: str = "ur
         files, folder = store(out)
         files.create_dir(folder, recursive=True)
         done, now, note = [], None, None
+        last, copy = "", 0                                   # records of one key follow each other in one shard
         for b in batches:
             for shard, k, digest, kind, first, u, raw in zip(*(b.column(i).to_pylist() for i in range(7))):
                 if kind == 0:
@@ -162,7 +173,8 @@ def write_archives(df: DataFrame, out: str, key: str = "page_id", url: str = "ur
                     now = _File(files, folder, shard, part)
                 elif now is None:
                     now = _File(files, folder, shard, 0)
-                now.add(record(k, u, raw, note[2] if note and note[:2] == (k, digest) else None))
+                last, copy = (shard, k), copy + 1 if last == (shard, k) else 0
+                now.add(record(k, u, raw, note[2] if note and note[:2] == (k, digest) else None, copy))
         if now is not None:
             done.append(now.close())
         if done:
@@ -215,6 +227,7 @@ def parse(raw: bytes) -> dict:
 
 def read_archives(spark: SparkSession, out: str, with_payload: bool = False) -> DataFrame:
     """Records of the archives that the manifest under ``out`` names; damaged files raise."""
+    out = qualified(spark, out)
     manifest = spark.read.schema(MANIFEST).json(f"{out}/manifest")
     names = ["key", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"]
     kinds = "key string, payload_bytes long, payload_digest string, record_type string, refers_to string, url string"

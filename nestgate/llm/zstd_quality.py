@@ -13,7 +13,8 @@ shares come from all labelled rows, and texts are fitted, calibrated and scored
 Defined results: a null or empty text has difference 0; where a class has too
 little text for a dictionary every score is the share of good labels (0.5
 without labels); rows without id are not held out; equal rows get equal scores;
-an empty table gives no rows.
+an empty table gives no rows; only id, text and label are read, so extra columns
+cannot clash.
 """
 
 from __future__ import annotations

@@ -71,3 +71,19 @@ def test_equal_rows_and_empty_table(spark, tmp_path):
     got = sorted((r.page_id, r.record_type) for r in W.page_records(df, str(tmp_path / "e")).collect())
     assert got == [(1, "response")] * 3 + [(2, "revisit")]
     assert W.page_records(spark.createDataFrame([], DDL), str(tmp_path / "f")).count() == 0
+
+
+def test_every_record_has_an_id_of_its_own(spark, tmp_path):
+    """Also records without key and repeated rows; the folder may come with or without a scheme."""
+    rows = [(None, f"u{i}", "x" * i) for i in range(40)] + [(7, "u", "same")] * 5 + [(i, "u", "y") for i in range(10, 20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    for out in (str(tmp_path / "plain"), f"file://{tmp_path}/scheme", f"file:{tmp_path}/slash"):
+        W.write_archives(df, out, records=8)
+        ids = []
+        folder = tmp_path / out.rsplit("/", 1)[1]
+        for f in sorted(folder.glob("*.warc.gz")):
+            with open(f, "rb") as stream:
+                ids += [line for raw in W.members(stream) for line in raw.split(b"\r\n\r\n")[0].split(b"\r\n")
+                        if line.startswith(b"WARC-Record-ID")]
+        assert len(ids) == len(set(ids)) == len(rows)
+        assert W.read_archives(spark, out).count() == len(rows)
