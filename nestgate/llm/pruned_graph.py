@@ -10,6 +10,8 @@ STEP = 4             # of them looked around at once
 ALPHA = 1.2          # a neighbour hides what is ALPHA times closer to it than to the node
 SLACK = 0.05         # the range search passes through vectors this much below the wanted cosine
 BATCH = 256          # nodes searched or pruned at once
+PASSES = 2
+WALKED = 1 << 21     # links looked along at once
 
 
 def medoid(x: np.ndarray) -> int:
@@ -93,8 +95,44 @@ def padded(owner: np.ndarray, value: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
+def reachable(near: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Which nodes a walk from ``start`` can come to."""
+    seen = np.zeros(len(near), bool)
+    seen[start] = True
+    while len(start):
+        start = np.unique(near[start])
+        start = start[start >= 0]
+        start = start[~seen[start]]
+        seen[start] = True
+    return seen
+
+
+def entrances(near: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """``near`` with links to the nodes that no walk from ``start`` comes to: each from the nearest of its own
+    neighbours that a walk comes to.  Pruning keeps tight groups together but may cut all ways into them."""
+    while not (seen := reachable(near, start)).all():
+        lost = np.flatnonzero(~seen)
+        known = (near[lost] >= 0) & seen[near[lost]]
+        first = np.where(known.any(axis=1), near[lost, known.argmax(axis=1)], start[0])
+        order = np.argsort(first, kind="stable")
+        near = np.concatenate([near, padded(first[order], lost[order], len(near))], axis=1)
+    return near
+
+
+def batch_mates(x: np.ndarray, nodes: np.ndarray) -> np.ndarray:
+    """The nearest nodes of each within one batch."""
+    cos = x[nodes] @ x[nodes].T
+    np.fill_diagonal(cos, -2)
+    k = min(WIDTH // 2, len(nodes) - 1)
+    return nodes[np.argpartition(-cos, k - 1, axis=1)[:, :k]] if k > 0 else np.full((len(nodes), 1), -1)
+
+
 def build(x: np.ndarray, seed: int = 0) -> np.ndarray:
-    """Neighbours of every vector: random links first, then two passes of search, pruning and links back."""
+    """Neighbours of every vector: random links first, then passes of search, pruning and links back.
+
+    Candidates are what the search finds, the node's neighbours and the nearest in its batch, so that tight
+    groups far from all else hold together; their entrances are kept after every pass.
+    """
     n = len(x)
     if n == 1:
         return np.full((1, DEGREE), -1)
@@ -104,12 +142,13 @@ def build(x: np.ndarray, seed: int = 0) -> np.ndarray:
     near[:, :k] = rng.integers(0, n - 1, (n, k))
     near[:, :k] += near[:, :k] >= np.arange(n)[:, None]
     start = np.array([medoid(x)])
-    for _ in range(2):
+    walk = near
+    for _ in range(PASSES):
         order = rng.permutation(n)
         for at in range(0, n, BATCH):
             nodes = order[at:at + BATCH]
-            ids, _ = greedy(x, near, x[nodes], start, skip=nodes)
-            near[nodes] = robust_prune(x, nodes, np.concatenate([ids, near[nodes]], axis=1))
+            ids, _ = greedy(x, walk, x[nodes], start, skip=nodes)
+            near[nodes] = robust_prune(x, nodes, np.concatenate([ids, near[nodes], batch_mates(x, nodes)], axis=1))
             back, node = near[nodes].ravel(), np.repeat(nodes, DEGREE)
             back, node = back[back >= 0], node[back >= 0]
             by = np.argsort(back, kind="stable")
@@ -119,32 +158,55 @@ def build(x: np.ndarray, seed: int = 0) -> np.ndarray:
                 those = touched[part:part + BATCH]
                 more = padded(place[mine] - part, node[by][mine], len(those))
                 near[those] = robust_prune(x, those, np.concatenate([near[those], more], axis=1))
-    return near
+            walk = np.concatenate([near, walk[:, DEGREE:]], axis=1)
+        walk = entrances(near, start)
+    return walk
+
+
+def both_ways(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All links, each walked from both its ends: where a node's list begins, and the lists."""
+    n = len(near)
+    u, v = np.repeat(np.arange(n), near.shape[1]), near.ravel()
+    u, v = u[v >= 0], v[v >= 0]
+    link = np.unique(np.concatenate([u * n + v, v * n + u]))
+    return np.searchsorted(link, np.arange(n + 1) * n), link % n
+
+
+def _around(begins: np.ndarray, lists: np.ndarray, r: np.ndarray, y: np.ndarray, new: np.ndarray) -> None:
+    """Marks in ``new`` the neighbours of each ``y`` in its row ``r``, a bounded number at a time."""
+    degree = begins[y + 1] - begins[y]
+    cuts = np.searchsorted(np.cumsum(degree), np.arange(1, degree.sum() // WALKED + 2) * WALKED, side="right")
+    for lo, hi in zip(np.concatenate([[0], cuts]), np.concatenate([cuts, [len(y)]])):
+        d = degree[lo:hi]
+        at = np.arange(d.sum()) - np.repeat(np.cumsum(d) - d, d) + np.repeat(begins[y[lo:hi]], d)
+        new[np.repeat(r[lo:hi], d), lists[at]] = True
 
 
 def in_range(x: np.ndarray, near: np.ndarray, least: float, starts: np.ndarray) -> np.ndarray:
     """Which pairs have a cosine of about ``least`` or more, as found by range-expanding searches.
 
     Every vector is searched greedily from ``starts``; then the vectors found in range (with some
-    slack) are looked around until none is new.  A pair found from either side counts.
+    slack) are looked around, along links of either direction, until none is new.  A pair found from
+    either side counts.
     """
     n = len(x)
     found = np.zeros((n, n), bool)
+    begins, lists = both_ways(near)
     for at in range(0, n, BATCH):
         nodes = np.arange(at, min(n, at + BATCH))
         ids, cos = greedy(x, near, x[nodes], starts)
         seen = np.zeros((len(nodes), n), bool)
-        seen[np.arange(len(nodes)), nodes] = True
         r, c = np.nonzero((cos >= least - SLACK) & (ids >= 0))
         y = ids[r, c]
         hit = cos[r, c] >= least
         found[nodes[r[hit]], y[hit]] = True
-        r, y = np.concatenate([r, np.arange(len(nodes))]), np.concatenate([y, nodes])
+        seen[r, y] = True
+        alone = np.flatnonzero(~seen[np.arange(len(nodes)), nodes])
+        r, y = np.concatenate([r, alone]), np.concatenate([y, nodes[alone]])
         seen[r, y] = True
         while len(r):
             new = np.zeros((len(nodes), n), bool)
-            around = near[y]
-            new[np.repeat(r, near.shape[1])[around.ravel() >= 0], around[around >= 0]] = True
+            _around(begins, lists, r, y, new)
             r, y = np.nonzero(new & ~seen)
             seen[r, y] = True
             cos = np.concatenate([np.einsum("pd,pd->p", x[nodes[r[i:i + 65536]]], x[y[i:i + 65536]])
