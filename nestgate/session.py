@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,6 +60,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the executors, once a session, where ``PYTHONPATH`` does not already lead to it.
+
+    Python workers then import it whatever folder the driver was started in.  The archive is made on
+    the driver and distributed by Spark; executors read their own copy."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (a Spark Connect session)
+        return
+    root = Path(__file__).resolve().parent.parent
+    on_path = [os.path.abspath(p) for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if str(root) in on_path or getattr(sc, "_nestgate_shipped", False):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="nestgate-ship-")) / "nestgate.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as z:
+        for f in sorted((root / "nestgate").rglob("*.py")):
+            z.write(f, f.relative_to(root))
+    sc.addPyFile(str(archive))
+    sc._nestgate_shipped = True
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique path under the shared checkpoint folder; removed when the application ends."""
     root = checkpoint_root(spark)
