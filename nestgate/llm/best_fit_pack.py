@@ -20,6 +20,9 @@ and are not read.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import json
 import os
 import re
@@ -140,6 +143,16 @@ def chunk_ids(path: str) -> ChunkIds:
     return _REMEMBERED[0]
 
 
+def forget_chunks() -> None:
+    """Gives the memory of the remembered chunks back to the system; idle workers outlive their stage."""
+    if _REMEMBERED:
+        _REMEMBERED.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):          # another C library
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def default_tokenizer() -> str:
     import public_tokenizers
 
@@ -281,6 +294,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text: str = "text", capacity: in
     numbered, _ = row_numbers(pieces, [F.col(c) for c in ("length", "id", "piece", "ids_crc32")], "n")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget_chunks()                                    # the pieces are saved
         for b in batches:
             length = b.column("length").to_numpy()
             rank = b.column("n").to_numpy() - first[length]
