@@ -24,11 +24,13 @@ def explode_elements(df: DataFrame, key: str | Sequence[str], list_col: str, pos
                      outer: bool = False) -> DataFrame:
     """One row per element with the key kept and struct fields unnested.
 
-    Empty and null lists yield no row (``outer=False``); Catalyst adds
-    ``size(list) > 0`` below the generator itself."""
+    Empty and null lists yield no row (``outer=False``).  They are dropped behind the generator:
+    the filter that Catalyst would put below it repeats the whole expression that makes the list
+    (a parse, say) for every row, up to twice."""
     keys = _keys(key)
-    gen = F.posexplode_outer if outer else F.posexplode
-    flat = df.select(*keys, gen(list_col).alias("_pos", "_elem"))
+    flat = df.select(*keys, F.posexplode_outer(list_col).alias("_pos", "_elem"))
+    if not outer:
+        flat = flat.where(F.col("_pos").isNotNull())
     elem_type = df.schema[list_col].dataType.elementType
     cols = [F.col(f"_elem.{f.name}").alias(f.name) for f in elem_type.fields] \
         if isinstance(elem_type, T.StructType) else [F.col("_elem").alias(list_col)]

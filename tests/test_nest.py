@@ -41,3 +41,12 @@ def test_rename_filter_fill_drilldown(spark):
     drill = N.drilldown(df, F.col("k") == 1, "k", "xs").collect()
     assert [(r["pos"], r["t"]) for r in drill] == [(0, "b"), (1, "a"), (2, "b")]
     assert [r["n"] for r in df.select(N.list_length("xs").alias("n")).orderBy("n").collect()] == [None, 0, 1, 3]
+
+
+def test_a_list_that_is_made_is_made_once(spark):
+    docs = spark.createDataFrame([(1, "[3,4]"), (2, "[]"), (3, None)], "k long, text string")
+    made = docs.select("k", F.from_json("text", "array<int>").alias("v"))
+    flat = N.explode_elements(made, "k", "v")
+    assert sorted(map(tuple, flat.collect())) == [(1, 0, 3), (1, 1, 4)]
+    plan = flat._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
