@@ -6,8 +6,14 @@ single document on the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
+import zlib
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
@@ -33,21 +39,87 @@ def write_json_lines(df: DataFrame, path: str, mode: str = "overwrite") -> str:
 
 
 def array_lines(df: DataFrame, by: str, order: list[str]) -> DataFrame:
-    """``(by, part, at, value)``: the lines of one JSON array for each value of ``by``, a document a line."""
-    docs = df.select(F.col(by), to_json_document(df.drop(by)).alias("doc"), F.row_number().over(
-        Window.partitionBy(by).orderBy(*order)).cast("long").alias("at"))
-    lines = docs.select(by, F.lit(1).alias("part"), "at",
-                        F.concat(F.when(F.col("at") > 1, ",").otherwise(""), F.col("doc")).alias("value"))
-    ends = docs.filter("at = 1").select(by, F.explode(F.array(
+    """``(by, part, at, value)``: the lines of one JSON array for each value of ``by``, a document a line.
+
+    ``at`` (the order columns) orders the documents.  Every document follows a comma;
+    :func:`write_lines_by` leaves out the one before a file's first."""
+    at = F.struct(*[F.col(c) for c in order])
+    lines = df.select(F.col(by), F.lit(1).alias("part"), at.alias("at"),
+                      F.concat(F.lit(","), to_json_document(df.drop(by))).alias("value"))
+    ends = df.select(by).distinct().select(by, F.explode(F.array(
         F.struct(F.lit(0).alias("part"), F.lit("[").alias("value")),
         F.struct(F.lit(2).alias("part"), F.lit("]").alias("value")))).alias("e"))
-    return lines.unionByName(ends.select(by, "e.part", F.lit(0).cast("long").alias("at"), "e.value"))
+    return lines.unionByName(ends.select(by, "e.part", F.lit(None).cast(lines.schema["at"].dataType).alias("at"), "e.value"))
+
+
+CHUNK = 1 << 20                 # characters of neighbouring lines that move as one value
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Neighbouring lines of one file and part as one value, numbered in the order of the ranges."""
+    task, seq = TaskContext.get().partitionId(), 0
+    now, held, size = None, [], 0
+
+    def chunk(schema: pa.DataType) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array([now[0]], schema), pa.array([now[1]], pa.int32()), pa.array([task], pa.int64()),
+             pa.array([seq], pa.int64()), pa.array([zlib.compress("\n".join(held).encode(), 1)], pa.binary())],
+            ["by", "part", "task", "seq", "value"])
+
+    kind = None
+    for b in batches:
+        kind = b.schema.field("by").type
+        for *which, value in zip(b.column("by").to_pylist(), b.column("part").to_pylist(), b.column("value").to_pylist()):
+            if held and (which != now or size > CHUNK):
+                yield chunk(kind)
+                held, size, seq = [], 0, seq + 1
+            now = which
+            held.append(value)
+            size += len(value)
+    if held:
+        yield chunk(kind)
+
+
+def line_chunks(lines: DataFrame, by: str) -> DataFrame:
+    """``(by, part, task, seq, value)``: the lines in chunks of packed text, numbered in their order."""
+    schema = (T.StructType([T.StructField("by", lines.schema[by].dataType)]).add("part", T.IntegerType())
+              .add("task", T.LongType()).add("seq", T.LongType()).add("value", T.BinaryType()))
+    return (lines.select(F.col(by).alias("by"), "part", "at", "value").repartitionByRange("by", "part", "at")
+            .sortWithinPartitions("by", "part", "at").select("by", "part", "value").mapInArrow(_chunks, schema))
+
+
+def _in_order(rows: Iterator[tuple]) -> Iterator[tuple]:
+    """The chunks of whole files; the comma before a file's first document is left out."""
+    opened = None
+    for (_, _, by), (part, packed) in rows:
+        value = zlib.decompress(packed).decode()
+        if part == 1 and repr(by) != opened:                # the chunks of one file are neighbours
+            opened = repr(by)
+            value = value.removeprefix(",")
+        yield by, value
 
 
 def write_lines_by(lines: DataFrame, path: str, by: str) -> str:
-    """One text file for each value of ``by``, its lines in the order of ``(part, at)``; each is written as a stream."""
-    (lines.repartition(by).sortWithinPartitions(by, "part", "at").select(by, "value")
-     .write.mode("overwrite").partitionBy(by).text(path))
+    """One text file for each value of ``by``, its lines in the order of ``(part, at)``.
+
+    Lines are sorted by ranges, in tasks of bounded size, and joined to chunks.  A file has one writer, which
+    merges its chunks by number: sorted in runs on disk (``spark.python.worker.memory`` bounds a run), so its
+    memory does not grow with the file."""
+    spark, kind = lines.sparkSession, lines.schema[by].dataType
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    whole = (line_chunks(lines, by).rdd.map(lambda r: ((r["task"], r["seq"], r["by"]), (r["part"], bytes(r["value"]))))
+             .repartitionAndSortWithinPartitions(files, lambda k: zlib.crc32(repr(k[2]).encode()))
+             .mapPartitions(_in_order))
+    out = spark.createDataFrame(whole, T.StructType([T.StructField(by, kind), T.StructField("value", T.StringType())]),
+                                verifySchema=False)
+    # chunks arrive in file order; with a limit set, the writer keeps files open instead of sorting all rows again
+    limit = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(limit, None)
+    spark.conf.set(limit, "4096")
+    try:
+        out.write.mode("overwrite").partitionBy(by).text(path)
+    finally:
+        spark.conf.set(limit, before) if before is not None else spark.conf.unset(limit)
     return path
 
 

@@ -62,3 +62,27 @@ def test_fingerprint_is_order_insensitive_and_content_sensitive(spark):
     c = spark.createDataFrame([(1, [("x", 1)]), (2, [("y", 5)])], SCHEMA)
     fa, fb, fc = (tuple(K.fingerprint(d).first()) for d in (a, b, c))
     assert fa == fb and fa != fc
+
+
+def test_one_array_file_is_sorted_by_many_tasks(spark, tmp_path, monkeypatch):
+    import json
+
+    from nestgate.plans import export as K
+
+    monkeypatch.setattr(K, "CHUNK", 300)
+    docs = spark.range(2000).selectExpr("id % 700 as k", "cast(nullif(id % 2, 1) as string) as g", "repeat('é', 20) as t")
+    coalesce = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(coalesce, "false")
+    try:
+        lines = K.array_lines(docs.withColumn("h", docs["g"]), "h", ["k"])
+        tasks = K.line_chunks(lines, "h").filter("part = 1").groupBy("by").agg({"task": "min", "*": "count"}).count()
+        spread = K.line_chunks(lines, "h").select("by", "task").distinct().groupBy("by").count().collect()
+        K.write_json_arrays(docs.withColumn("h", docs["g"]), str(tmp_path / "out"), "h", ["k"])
+    finally:
+        spark.conf.set(coalesce, "true")
+    assert tasks == 2 and all(r["count"] > 1 for r in spread)
+    files = list((tmp_path / "out").glob("h=*/*.txt"))
+    assert len(files) == 2
+    for f in files:
+        rows = json.loads(f.read_text())
+        assert len(rows) == 1000 and [r["k"] for r in rows] == sorted(r["k"] for r in rows)
