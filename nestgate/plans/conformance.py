@@ -10,11 +10,11 @@ Plan, built for large inputs:
 1. the declared schema becomes a trie whose nodes are numbered; a node is known by its
    segments (keys and list steps), never by text, so keys with dots or brackets are keys
    like any others;
-2. each document is parsed once and the values of every declared node are taken from those
-   of its parent, level by level inside the row; their findings are small integers (node and
-   status), and only undeclared keys appear as text;
-3. findings are counted in one hash aggregate with map-side partials.  Findings are counted one by
-   one, not as sets, so documents with keys of their own cost a row for each such key and no more.
+2. Spark's ``try_parse_json`` says which texts are documents; the values of each are walked once, in
+   Arrow batches inside the tasks, every declared node taking its values from its parent.  Findings are
+   small integers (node and status), and only undeclared keys appear as text;
+3. findings are counted by batch, then in one hash aggregate.  They are counted one by one, not as
+   sets, so documents with keys of their own cost a row for each such key and no more.
 
 What one document yields does not depend on the documents around it, and nothing is looked
 for below an undeclared key or a path of any type.
@@ -29,10 +29,14 @@ empty, is set in backquotes (backquotes inside doubled).
 
 from __future__ import annotations
 
+import json
 import re
-from collections.abc import Sequence
+from collections import Counter
+from collections.abc import Iterable, Iterator, Sequence
+from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,17 +63,7 @@ def family_of(dt: T.DataType | str) -> str:
     return ANY
 
 
-# Families a declared family accepts (null fits all).
-ACCEPTS = {
-    "integer": {"integer", "null"},
-    "number": {"integer", "number", "null"},
-    "string": {"string", "null"},
-    "boolean": {"boolean", "null"},
-    "object": {"object", "null"},
-    "array": {"array", "null"},
-}
-
-
+CONTAINER = {"object": dict, "array": list}
 LIST_STEP = None               # the segment from a list to its elements
 
 
@@ -79,6 +73,7 @@ class Node:
     def __init__(self, number: int, segments: tuple, family: str, above: "Node | None", any_keys: bool):
         self.number, self.segments, self.family, self.above, self.any_keys = number, segments, family, above, any_keys
         self.below: dict[str | None, Node] = {}
+        self.containers: list[tuple[str | None, Node]] = []        # those below that hold others
 
 
 def declared_trie(schema: T.StructType, any_paths: Sequence[str | tuple] = ()) -> list[Node]:
@@ -94,6 +89,7 @@ def declared_trie(schema: T.StructType, any_paths: Sequence[str | tuple] = ()) -
                      else [(LIST_STEP, dt.elementType)] if isinstance(dt, T.ArrayType) else [])
             for step, below in steps:
                 node.below[step] = grow(below, (*segments, step), node)
+        node.containers = [(step, b) for step, b in node.below.items() if b.family in CONTAINER]
         return node
 
     grow(schema, (), None)
@@ -119,102 +115,115 @@ def display(segments: Sequence[str | None]) -> str:
     return out
 
 
-def _shown(prefix: str, key: Column) -> Column:
-    """:func:`display` of an undeclared key below a declared node (``prefix``: the node's own display)."""
-    prefix = "" if prefix == "$" else prefix
-    plain = key.rlike(r"^[^.\[\]`]+$")
-    quoted = F.when(plain, key).otherwise(F.concat(F.lit("`"), F.replace(key, F.lit("`"), F.lit("``")), F.lit("`")))
-    return F.concat(F.lit(prefix + "." if prefix else ""), quoted)
-
-
 OK, WRONG, MISSING, UNDECLARED, UNPARSABLE = range(5)
 STATUS = ["ok", "wrong_type", "missing", "undeclared", "unparsable"]
 
 
-def _scalar_family(v: Column) -> Column:
-    s = F.schema_of_variant(v)
-    return (F.when(s.isin("TINYINT", "SMALLINT", "INT", "BIGINT"), "integer")
-            .when(s.startswith("DECIMAL") | s.isin("DOUBLE", "FLOAT"), "number")
-            .when(s == "STRING", "string").when(s == "BOOLEAN", "boolean").when(s == "VOID", "null")
-            .when(s.startswith("OBJECT"), "object").when(s.startswith("ARRAY"), "array").otherwise("string"))
-
-
-CONTAINER = {"object": "map<string,variant>", "array": "array<variant>"}
-
-
-def _held(values: Column) -> Column:
-    return F.filter(values, lambda x: x.isNotNull())
-
-
-def _caster(family: str):
-    return lambda v: v.try_cast(CONTAINER[family])
-
-
-def _getter(key: str):
-    return lambda m: m[key]
-
-
-def _shower(node: Node):
-    return lambda key: _shown(display(node.segments), key)
-
-
-def _some(flags: list[Column]) -> Column:
-    """The codes whose flags are set."""
-    return _held(F.array(*flags)) if flags else F.array().cast("array<int>")
+# Python types of parsed JSON that a declared scalar family accepts.
+SCALARS = {
+    "integer": {int, type(None)},
+    "number": {int, float, type(None)},
+    "string": {str, type(None)},
+    "boolean": {bool, type(None)},
+}
 
 
-def _own_findings(n: Node) -> list[Column]:
-    """Codes of one node from its values ``v`` and containers ``c``."""
-    v = F.col(f"v{n.number}")
-    if n.family == ANY:
-        wrong, ok = F.lit(False), F.size(v) > 0
-    elif n.family in CONTAINER:
-        fitting = F.size(f"c{n.number}") + F.size(F.filter(v, F.is_variant_null))
-        wrong, ok = fitting < F.size(v), fitting > 0
-    else:
-        families = F.array_distinct(F.transform(v, _scalar_family))
-        accepted = F.array(*[F.lit(x) for x in sorted(ACCEPTS[n.family])])
-        wrong, ok = F.size(F.array_except(families, accepted)) > 0, F.arrays_overlap(families, accepted)
-    out = [F.when(wrong, F.lit(n.number * 8 + WRONG))]
-    if n.above is not None:
-        out.append(F.when(ok, F.lit(n.number * 8 + OK)))
-        if n.above.family == "object":
-            # a parent counts as present only as an object (a null has no fields to miss)
-            out.append(F.when(F.col(f"o{n.above.number}") & (F.size(v) == 0), F.lit(n.number * 8 + MISSING)))
-    return out
+def _integer(digits: str) -> int | float:
+    """An integer of 64 bits; others count as numbers."""
+    n = int(digits)
+    return n if -(1 << 63) <= n < 1 << 63 else float(digits)
+
+
+def _leaf_codes(n: Node, types: Iterable[type]) -> set[int]:
+    """Findings of a node that is no container, from its values' types."""
+    accepted = SCALARS.get(n.family)                # none: any type
+    return {n.number * 8 + (OK if accepted is None or t in accepted else WRONG) for t in types}
+
+
+def object_shape(n: Node, keys: tuple[str, ...], types: tuple[type, ...]) -> tuple[set[int], set[int], set[str]]:
+    """What an object's keys and types of values tell: codes of the leaves below ``n``, the numbers of the
+    nodes below that it has, its undeclared keys (displayed)."""
+    codes, seen, extra = set(), set(), set()
+    for key, kind in zip(keys, types):
+        below = n.below.get(key)
+        if below is None:
+            extra.add(display((*n.segments, key)))
+            continue
+        seen.add(below.number)
+        if below.family not in CONTAINER:
+            codes |= _leaf_codes(below, (kind,))
+    return codes, seen, extra
+
+
+def document_findings(containers: list[Node], document, shape=object_shape) -> tuple[set[int], set[str]]:
+    """Codes (node and status as one number) and undeclared keys, displayed, of one parsed document.
+
+    The containers are walked from the root; objects of equal shape in a list are looked at once."""
+    held = {0: [document]}
+    codes, extra = set(), set()
+    for n in containers:                            # parents come before what lies below them
+        values = held.get(n.number, ())
+        whole = [v for v in values if type(v) is CONTAINER[n.family]]
+        fitting = len(whole)
+        if fitting < len(values):
+            fitting += sum(v is None for v in values)
+        if fitting < len(values):
+            codes.add(n.number * 8 + WRONG)
+        if fitting and n.above is not None:
+            codes.add(n.number * 8 + OK)
+        if n.family == "array":
+            element = n.below[LIST_STEP]
+            below = [x for v in whole for x in v]
+            if element.family in CONTAINER:
+                held[element.number] = below
+            else:
+                codes |= _leaf_codes(element, set(map(type, below)))
+        elif whole and not n.any_keys:              # a parent counts as present only as an object
+            present = set()
+            for keys, types in {(tuple(v), tuple(map(type, v.values()))) for v in whole}:
+                found, seen, undeclared = shape(n, keys, types)
+                codes |= found
+                present |= seen
+                extra |= undeclared
+            if len(present) < len(n.below):
+                codes.update(b.number * 8 + MISSING for b in n.below.values() if b.number not in present)
+            for key, b in n.containers:
+                held[b.number] = [v[key] for v in whole if key in v]
+    return codes, extra
 
 
 def findings(docs: DataFrame, text_col: str, nodes: list[Node]) -> DataFrame:
-    """``codes`` (node and status as one number) and ``extra`` (undeclared keys, displayed) of each document.
-
-    A level of the trie is two projections: the containers of its nodes are cast once, then the
-    findings and the values of the nodes below are taken from them.
-    """
-    v = F.try_parse_json(F.col(text_col))
-    rows = docs.select(v.alias("v")).select(
-        F.when(F.col("v").isNotNull(), F.array("v")).otherwise(F.array().cast("array<variant>")).alias("v0"),
-        _some([F.when(F.col("v").isNull(), F.lit(UNPARSABLE))]).alias("f"))
-    level, done = [nodes[0]], ["f"]
-    while level:
-        objects = [n for n in level if n.family == "object"]
-        rows = rows.select("*", *(
-            _held(F.transform(f"v{n.number}", _caster(n.family))).alias(f"c{n.number}")
-            for n in level if n.family in CONTAINER))
-        made = [_some([c for n in level for c in _own_findings(n)]).alias(f"f{level[0].number}")]
-        for n in objects:
-            maps = F.col(f"c{n.number}")
-            made.append((F.size(maps) > 0).alias(f"o{n.number}"))
-            made += [_held(F.transform(maps, _getter(key))).alias(f"v{b.number}") for key, b in n.below.items()]
-            if not n.any_keys:
-                known = F.array(*[F.lit(k) for k in n.below]).cast("array<string>")
-                keys = F.array_except(F.flatten(F.transform(maps, F.map_keys)), known)
-                made.append(F.transform(keys, _shower(n)).alias(f"x{n.number}"))
-        made += [F.flatten(f"c{n.number}").alias(f"v{n.below[LIST_STEP].number}") for n in level if n.family == "array"]
-        rows = rows.select(*done, *made)
-        done += [f"f{level[0].number}", *(f"x{n.number}" for n in objects if not n.any_keys)]
-        level = [b for n in level for b in n.below.values()]
-    extra = [F.col(c) for c in done if c[0] == "x"] or [F.array().cast("array<string>")]
-    return rows.select(F.concat(*(c for c in done if c[0] == "f")).alias("codes"), F.concat(*extra).alias("extra"))
+    """``(code, key, n)``: findings of the documents, counted by batch; ``key``: an undeclared key, displayed.
+
+    ``try_parse_json`` says what is a document; the walk takes the values of one document at a time."""
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        decode, blank = json.JSONDecoder(parse_int=_integer).raw_decode, re.compile(r"[ \t\n\r]*")
+        shape = lru_cache(maxsize=None)(object_shape)
+        containers = [n for n in nodes if n.family in CONTAINER]
+        for batch in batches:
+            sets, keys = Counter(), Counter()
+            shape.cache_clear()                     # what is remembered stays within a batch
+            for text, parsed in zip(batch.column("text").to_pylist(), batch.column("parsed").to_pylist()):
+                if not parsed:
+                    sets[frozenset([UNPARSABLE])] += 1
+                    continue
+                text = text.decode("utf-8", "replace")
+                codes, extra = document_findings(containers, decode(text, blank.match(text).end())[0], shape)
+                sets[frozenset(codes)] += 1
+                if extra:
+                    keys.update({k.encode("utf-8", "replace").decode() for k in extra})
+            codes = Counter()
+            for found, n in sets.items():
+                for code in found:
+                    codes[code] += n
+            rows = [(c, None, n) for c, n in codes.items()] + [(UNDECLARED, k, n) for k, n in keys.items()]
+            yield pa.RecordBatch.from_pydict(
+                {"code": pa.array([r[0] for r in rows], pa.int32()), "key": pa.array([r[1] for r in rows], pa.string()),
+                 "n": pa.array([r[2] for r in rows], pa.int64())})
+
+    text = F.col(text_col)
+    return docs.select(text.cast("binary").alias("text"), F.try_parse_json(text).isNotNull().alias("parsed")).mapInArrow(
+        count, "code int, key string, n bigint")
 
 
 def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.StructType,
@@ -224,10 +233,7 @@ def conformance(spark: SparkSession, docs: DataFrame, text_col: str, schema: T.S
     ``docs`` is read once.  ``any_paths``: displayed paths, or tuples of segments (``None``: a list step).
     ``failing`` marks findings that break the schema (undeclared only when strict)."""
     nodes = declared_trie(schema, any_paths)
-    one = F.concat(F.transform("codes", lambda c: F.struct(c.alias("code"), F.lit(None).cast("string").alias("key"))),
-                   F.transform("extra", lambda k: F.struct(F.lit(UNDECLARED).alias("code"), k.alias("key"))))
-    counted = (findings(docs, text_col, nodes).select(F.explode(one).alias("x")).groupBy("x.code", "x.key")
-               .agg(F.count(F.lit(1)).cast("bigint").alias("n_docs")))
+    counted = findings(docs, text_col, nodes).groupBy("code", "key").agg(F.sum("n").alias("n_docs"))
     shown = F.array(*[F.lit(display(n.segments)) for n in nodes])
     status = F.get(F.array(*map(F.lit, STATUS)), F.col("code") % 8)
     out = counted.select(F.coalesce("key", F.get(shown, F.floor(F.col("code") / 8).cast("int"))).alias("path"),

@@ -198,3 +198,23 @@ def test_conformance_maps_roots_and_dynamic_keys(spark):
     assert got.pop(("m", "ok")) == (50, False) and got.pop(("$", "wrong_type")) == (2, True)
     assert got.pop(("$", "unparsable")) == (1, True)
     assert got == {(f"id{i}", "undeclared"): (1, False) for i in range(50)}
+
+
+def test_conformance_walks_each_document_once_outside_variants(spark):
+    """The values are not taken from variants node by node; odd numbers, keys and texts count as before."""
+    docs = ['{"a":9223372036854775807,"l":[{"b":1.0},{"b":1,"c\\ud800":2}]}', '{"a":9223372036854775808,"l":[null,3]}',
+            '{"a":1,"a":2}', ' {"a":null} trailing', "NaN", "[" * 900 + "]" * 900]
+    df = spark.createDataFrame([(d,) for d in docs], "doc string")
+    out = conformance(spark, df, "doc", DECL("a bigint, l array<struct<b: bigint>>"))
+    shown = out._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in shown and "schemaOfVariant" not in shown
+    got = {(r["path"], r["status"]): r["n_docs"] for r in out.collect()}
+    assert got == {("a", "ok"): 2, ("a", "wrong_type"): 1, ("l", "ok"): 2, ("l", "missing"): 1, ("l[]", "ok"): 2,
+                   ("l[]", "wrong_type"): 1, ("l[].b", "ok"): 1, ("l[].b", "wrong_type"): 1,
+                   ("l[].c?", "undeclared"): 1, ("$", "wrong_type"): 1, ("$", "unparsable"): 2}
+
+
+def test_conformance_of_texts_that_are_not_utf8(spark):
+    df = spark.createDataFrame([(b'{"a":"\xff\xfe","k\xff":1}',)], "b binary").selectExpr("cast(b as string) as doc")
+    got = {(r["path"], r["status"]): r["n_docs"] for r in conformance(spark, df, "doc", DECL("a string")).collect()}
+    assert got == {("a", "ok"): 1, ("k�", "undeclared"): 1}
