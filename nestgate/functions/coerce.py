@@ -23,8 +23,30 @@ def _field(st: T.StructType, name: str) -> T.StructField | None:
     return None
 
 
+def _same_shape(src: T.DataType, dst: T.DataType) -> bool:
+    """Whether two types differ in their leaves only: the same names in the same order at every level."""
+    if isinstance(src, T.StructType) and isinstance(dst, T.StructType):
+        return src.names == dst.names and all(_same_shape(a.dataType, b.dataType) for a, b in zip(src, dst))
+    if isinstance(src, T.ArrayType) and isinstance(dst, T.ArrayType):
+        return _same_shape(src.elementType, dst.elementType)
+    return not any(isinstance(t, (T.StructType, T.ArrayType, T.MapType)) for t in (src, dst))
+
+
+def _nullable(dt: T.DataType) -> T.DataType:
+    if isinstance(dt, T.StructType):
+        return T.StructType([T.StructField(f.name, _nullable(f.dataType), True) for f in dt.fields])
+    if isinstance(dt, T.ArrayType):
+        return T.ArrayType(_nullable(dt.elementType), True)
+    return dt
+
+
 def coerce_column(c: Column, src: T.DataType, dst: T.DataType) -> Column:
-    """Expression turning ``c`` of type ``src`` into ``dst`` (by name, leaves try_cast)."""
+    """Expression turning ``c`` of type ``src`` into ``dst`` (by name, leaves try_cast).
+
+    Where names and positions agree one ``try_cast`` does a whole list or struct, also leaf by leaf, and is
+    compiled; the rebuilding of every struct of a list is not."""
+    if isinstance(dst, (T.StructType, T.ArrayType)) and _same_shape(src, dst):
+        return c.try_cast(_nullable(dst))
     if isinstance(dst, T.StructType):
         if not isinstance(src, T.StructType):
             return F.lit(None).cast(dst)

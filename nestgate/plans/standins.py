@@ -48,9 +48,11 @@ def constituents_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_orders(spark: SparkSession, sf_dir: str, with_constituents: bool = False,
-                  keys: DataFrame | None = None) -> DataFrame:
+                  keys: DataFrame | None = None, spread: bool = False) -> DataFrame:
     """Orders as documents (those of ``keys`` where given); orders without lines carry ``[]``.
 
+    ``spread``: for steps that take long for their bytes, in as many tasks as there are shuffle partitions;
+    adaptive execution would merge them by size, and a few tasks more than cores take twice the time.
     Customer is joined to the flat orders first (cheaper than moving the
     nested documents), then the nested lines are attached by order key."""
     orders = table(spark, sf_dir, "orders").select(*ORDER_FIELDS)
@@ -60,6 +62,8 @@ def nested_orders(spark: SparkSession, sf_dir: str, with_constituents: bool = Fa
         cons = constituents_of(spark, sf_dir)
         orders = fill_empty_list(
             orders.join(cons, orders.o_custkey == cons.c_custkey, "left").drop("c_custkey"), "constituents")
+    if spread:
+        orders = orders.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
     return reattach(orders, nested_lines(spark, sf_dir, keys), "o_orderkey")
 
 

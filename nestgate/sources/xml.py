@@ -181,6 +181,12 @@ def assert_well_formed(report: DataFrame, out: str) -> None:
         raise ValueError(f"Malformed XML: {n} file(s), listed in {out}")
 
 
+def to_xml_document(df: DataFrame, row_tag: str, indent: str | None = None) -> Column:
+    """The whole row as one XML document (``_x`` fields become attributes), indented as Spark does or by ``indent``."""
+    options = {"rowTag": row_tag} | ({} if indent is None else {"indent": indent})
+    return F.to_xml(F.struct(*[F.col(f"`{c}`") for c in df.columns]), options)
+
+
 def to_xml_documents(df: DataFrame, row_tag: str, out_col: str = "xml") -> DataFrame:
-    """One XML document string per row (``_x`` fields become attributes)."""
-    return df.select(F.to_xml(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"rowTag": row_tag}).alias(out_col))
+    """One XML document string per row."""
+    return df.select(to_xml_document(df, row_tag).alias(out_col))

@@ -121,6 +121,16 @@ def test_validate_frame_fails_on_rules_that_did_not_run(spark):
         assert "vals_pos" in str(e)
 
 
+def test_coerce_lists_of_the_same_shape_at_once(spark):
+    """One try_cast types a whole list, leaf by leaf; other names or orders are still matched by name."""
+    df = spark.createDataFrame([([("1", "x"), ("bad", "2.5"), None, (None, "1")],), (None,), ([],)], "a array<struct<i:string,v:string>>")
+    same = coerce_to_schema(df, T.StructType.fromDDL("a array<struct<i:int,v:double>>"))
+    assert "transform(" not in same._jdf.queryExecution().optimizedPlan().toString()
+    assert [r["a"] for r in same.collect()] == [[(1, None), (None, 2.5), None, (None, 1.0)], None, []]
+    turned = coerce_to_schema(df, T.StructType.fromDDL("a array<struct<v:double,i:int>>"))
+    assert turned.first()["a"] == [(None, 1), (2.5, None), None, (1.0, None)]
+
+
 def test_coerce_column_names_with_dots(spark):
     df = spark.createDataFrame([("1", "x")], "`a.b` string, c string")
     out = coerce_to_schema(df, T.StructType([T.StructField("a.b", T.LongType())]))

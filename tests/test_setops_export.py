@@ -50,6 +50,67 @@ def test_parity_shuffles_hashes_only(spark):
     assert "words" not in plan and "Exchange" in plan
 
 
+def test_row_hashes_are_compiled(spark):
+    """Lists of plain structs are hashed by value: none is rebuilt or written as text."""
+    df = spark.createDataFrame([(1, [("x", 1), ("y", 2)])], SCHEMA)
+    found = U.row_hashes(df, ["k"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "to_json" not in found and "structstojson" not in found.lower()
+    assert found.count("sort_array(") >= 1 and "named_struct(t" not in found
+
+
+def test_hashes_by_value_tell_what_json_texts_tell(spark):
+    """The hashes by value and by JSON text agree on which of these rows are equal."""
+    lists = [None, [], [None], [None, None], [(None, None)], [("x", None)], [(None, 1)], [("x", 1)], [("x", 1), (None, None)],
+             [("x", 1), None], [None, ("x", 1)], [("x", None), (None, 1)], [("x", 1), ("y", 2)], [("y", 2), ("x", 1)],
+             [("x", 1), ("x", 1)], [("n", None)], [("", None)], [("(", None)], [("x", 2), ("y", 1)]]
+    deep = [None, [], [[]], [[], []], [["a"], ["b"]], [["b"], ["a"]], [["a", "b"]], [["b", "a"]], [["a", None]], [[None, "a"]],
+            [["a"], None], [[None], ["a"]], [["v"]]]
+    rows = [(x, y, z, w) for x in (None, "", "n") for y in lists for z in (None, 0.0, -0.0) for w in deep]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)],
+                               "i int, s string, xs array<struct<t:string, n:bigint>>, d double, ll array<array<string>>")
+    groups = []
+    for by_value in (True, False):
+        at = {}
+        for r in U.row_hashes(df.withColumnRenamed("i", "side"), (), "side", by_value).collect():
+            at.setdefault((r["h1"], r["h2"]), []).append(r["side"])
+        groups.append(sorted(sorted(g) for g in at.values()))
+    assert groups[0] == groups[1] and 1 < len(groups[0]) < len(rows)
+
+
+def test_parity_of_other_types_by_text(spark):
+    """Maps have no hash, and columns of other types than the other source's have other hashes by value."""
+    a = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 2})], "k int, m map<string,int>")
+    b = spark.createDataFrame([(1, {"a": 1}), (2, {"b": 3})], "k bigint, m map<string,int>")
+    assert [(r["side"], r["k"]) for r in U.differences(a, b, "k").orderBy("side").collect()] == [("a", 2), ("b", 2)]
+
+
+def test_parity_of_rows_with_a_side(spark):
+    """Both sources in one table: the same as two tables; a column named like the helper columns changes nothing."""
+    rows = spark.createDataFrame([(1, 1, "x"), (-1, 1, "x"), (1, 2, "y"), (1, 2, "y"), (-1, 2, "y"), (-1, 3, None)],
+                                 "side int, k bigint, _0 string")
+    r = U.parity_of_sides(rows).first()
+    assert (r["rows_a"], r["rows_b"], r["only_in_a"], r["only_in_b"]) == (3, 3, 1, 1)
+    got = sorted((r["side"], r["k"], r["copies"]) for r in U.differences_of_sides(rows, "k").collect())
+    assert got == [("a", 2, 1), ("b", 3, 1)]
+
+
+def test_parity_queries_nest_documents_once(spark, monkeypatch, tmp_path):
+    """Both routes take their texts from one pass over the nested documents."""
+    from nestgate import catalog as C
+
+    calls = []
+    docs = spark.createDataFrame([(k, 1, "F", 2.5, None, None, [(1, 7, 8, 1.0, 2.0, 0.1, None, "R", "O", None)] if k % 2 else [])
+                                  for k in (97, 101, 102, 103)], C.ORDER_FULL)
+    monkeypatch.setattr(C.S, "nested_orders", lambda s, d, **kw: calls.append(kw) or docs)
+    got = sorted((r["side"], r["o_orderkey"]) for r in C.QUERIES["parity_differences"](spark, "t").collect())
+    assert got == [("a", 97), ("a", 101), ("b", 97)]
+    both = C._two_routes(spark, "t")
+    assert both.columns[0] == "side" and both.where("side = -1").count() == 3
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert len(C.QUERIES["source_content"](spark, "t").collect()) == 6
+    assert calls == [{"spread": True}] * 3                         # once a query
+
+
 def test_union_batches_by_name(spark):
     a = spark.createDataFrame([(1, "a")], "k bigint, v string")
     b = spark.createDataFrame([("b", 2)], "v string, k bigint")
