@@ -1,10 +1,12 @@
 """Suffix arrays of one shard by induced sorting, and permuted common prefixes.
 
 Suffixes are classified as smaller (S) or larger (L) than their right neighbour;
-leftmost-smaller (LMS) substrings are sorted by induction and named, the string
-of names is sorted recursively, and its order induces the order of all suffixes
-in linear time.  Buckets are scanned in waves: all entries of a bucket that are
-known at once induce their left neighbours together, in scan order.
+leftmost-smaller (LMS) substrings are sorted by induction and named, the suffixes
+of the string of names are sorted, and their order induces the order of all
+suffixes.  Buckets are scanned in waves: all entries of a bucket that are known at
+once induce their left neighbours together, in scan order.  Names, whose buckets
+are too small for waves, are sorted by doubling: what is still equal is ordered by
+the ranks one, two, four ... names on, at most log2(names) times.
 """
 
 from __future__ import annotations
@@ -104,6 +106,30 @@ def _induce_scan(t, small, counts, lms):
     return np.array(sa, np.int32)
 
 
+def _by_doubling(names: np.ndarray) -> np.ndarray:
+    """Suffix array of ``names``, whose last symbol is the smallest and occurs nowhere else."""
+    n = len(names)
+    sa = np.argsort(names, kind="stable")
+    new = np.ones(n, bool)                                   # an equal group starts here
+    new[1:] = names[sa[1:]] != names[sa[:-1]]
+    rank = np.empty(n, np.int64)
+    rank[sa] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    slots = np.flatnonzero(~(new & np.append(new[1:], True)))     # places of groups of two or more
+    length = 1
+    while len(slots):
+        at = sa[slots]
+        key = rank[at] * n + rank[at + length]               # equal so far, so neither reaches the end
+        order = np.argsort(key)
+        at, key = at[order], key[order]
+        sa[slots] = at
+        new = np.ones(len(at), bool)
+        new[1:] = key[1:] != key[:-1]
+        rank[at] = np.maximum.accumulate(np.where(new, slots, 0))
+        slots = slots[~(new & np.append(new[1:], True))]
+        length *= 2
+    return sa.astype(np.int32)
+
+
 def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     """Suffix array of ``t`` (symbols below ``k``) whose last symbol is 0 and occurs nowhere else."""
     n = len(t)
@@ -139,7 +165,8 @@ def suffix_array(t: np.ndarray, k: int) -> np.ndarray:
     if name[-1] + 1 < m:
         of = np.empty(n, np.int32)
         of[ranked] = name
-        lms = lms[suffix_array(of[lms], int(name[-1]) + 1)]
+        below, names = of[lms], int(name[-1]) + 1
+        lms = lms[suffix_array(below, names) if m >= DENSE * names else _by_doubling(below)]
     else:
         lms = ranked
     return induce(t, small, counts, lms)

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from nestgate.llm.common import behind_names, each_group, free_name, saved
+from nestgate.llm.common import behind_names, each_group, free_name, saved, sliced
 from nestgate.llm.induced_sort import permuted_prefixes, shard_string, suffix_array
 
 WIDTH = 200
@@ -121,7 +121,7 @@ def _texts(column) -> list[bytes]:
 
 
 def _anchor_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         texts = _texts(b.column(0))
         for _, _, pieces in _blocks(texts):
             h, n = np.unique(_segments(pieces)[0], return_counts=True)
@@ -133,7 +133,7 @@ def _with_bits(bits, step):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = bits.value
         mask = np.int64(64 * len(table) - 1)
-        for b in batches:
+        for b in sliced(batches):
             texts = _texts(b.column(0))
             for number, offset, pieces in _blocks(texts):
                 h, g, piece, first, count = _segments(pieces)
@@ -322,7 +322,7 @@ def cut_repeats(df: DataFrame, text: str = "text", with_bytes: bool = True) -> D
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = _texts(b.column(at))
             removed, spans, digest, kept = _cut(texts, b.column(b.num_columns - 1))
             yield pa.RecordBatch.from_arrays(
@@ -353,7 +353,7 @@ def _without_repeats(docs: DataFrame) -> DataFrame:
     text: Column = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("decoded"))
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             done = [bytes(x).decode("utf-8", "ignore") for x in b.column(b.num_columns - 1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(done, pa.string())],
                                              names)

@@ -124,3 +124,28 @@ def test_dense_buckets_and_scan_agree():
     t = np.concatenate((r.integers(1, 5, 3000), [0])).astype(np.uint16)
     text = t.tolist()
     assert suffix_array(t, 5).tolist() == suffix_array(t, 3000).tolist() == sorted(range(3001), key=lambda i: text[i:])
+
+
+def test_names_are_not_sorted_by_a_plain_scan(monkeypatch):
+    """The string of names has small buckets; an interpreted scan of it took most of a shard's time."""
+    from nestgate.llm import induced_sort as I
+
+    r = random.Random(4)
+    words = ["".join(r.choice("abcdefgh") for _ in range(r.randrange(2, 40))) for _ in range(40)]
+    text = " ".join(r.choice(words) for _ in range(1500)).encode() + b"ab" * 300
+    t, _ = shard_string([text, text[5000:9000]])
+    want = suffix_array(t, len(t)).tolist()                   # by a plain scan: the alphabet is taken as large
+    monkeypatch.setattr(I, "_induce_scan", None)
+    assert suffix_array(t, 258).tolist() == want
+    suffixes = [t[i:].tolist() for i in want]
+    assert all(a < b for a, b in zip(suffixes, suffixes[1:]))
+
+
+@pytest.mark.parametrize("symbols", [1, 2, 5, 300])
+def test_names_by_doubling(symbols):
+    from nestgate.llm.induced_sort import _by_doubling
+
+    r = random.Random(symbols)
+    for n in (0, 1, 2, 3, 17, 200):
+        names = [r.randrange(1, symbols + 1) for _ in range(n)] * r.randrange(1, 4) + [0]
+        assert _by_doubling(np.array(names, np.int32)).tolist() == sorted(range(len(names)), key=lambda i: names[i:])
