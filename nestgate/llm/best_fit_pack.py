@@ -33,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +42,17 @@ from nestgate.llm.common import row_numbers, saved
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
-CACHED = 80_000                        # chunks whose ids a Python worker remembers, in each of two generations
-WORDS = 400_000                        # and plain words, which chunks are made of
+CACHED = 20_000                        # chunks whose ids a Python worker remembers, in each of two generations
+WORDS = 150_000                        # and words and runs of signs, which chunks are made of
+BLOCK_BYTES = 1 << 22                  # text bytes split together, and one text more
 BLANK = re.compile(r"[ \t\n\r]+")
 SEPARATORS = re.compile("[\x1c-\x1f]")     # split() takes them for white space, the tokenizer does not
 PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+# characters that no other one changes: normalised they are themselves or their lower case, one by one
+LETTERS, NUMBERS, BLANKS = "A-Za-zªµºÀ-ÖØ-öø-įĲ-ſ", "0-9²³¹¼½¾", "\t-\r \x85\xa0"
+UNUSUAL = "[^\\x00-\\x1b\\x20-\u012f\u0132-\u017f\u2010-\u2027\u2030-\u205e]"
+WORD_END = f"([{LETTERS}])([^{LETTERS}{BLANKS}])"       # the tokenizer splits here, whatever follows
+TOKENS = re.compile(f"[{LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{NUMBERS}]|[^{LETTERS}{NUMBERS}{BLANKS}]+")
 
 # fixed values: the steps of the tokenizer whose chunks can be encoded on their own
 NORMAL = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]
@@ -69,15 +76,34 @@ def pack_ids(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class TokenIds(dict):
+    """Ids (little-endian bytes) of the model's input strings: lower words, numbers and runs of signs."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, token: str) -> bytes:
+        if len(self) >= WORDS:
+            self.clear()
+        plain = token.isascii() and token.isalpha()
+        mapped = token if plain else token.encode("utf-8").decode("latin-1").translate(BYTE_LEVEL)
+        found = pack_ids([t.id for t in self.model.tokenize(mapped)])
+        if len(token) <= 64:
+            self[token] = found
+        return found
+
+
 class ChunkIds(dict):
     """Ids (little-endian bytes) of text between white space.
 
     The tokenizer turns white space into separators and drops it, so a text's ids are those of its
-    chunks one after the other; a remembered chunk is not encoded again.  Chunks of Latin-1 letters
-    and closing punctuation, nearly all of them, go to the tokenizer's model word by word: its
+    chunks one after the other.  Texts of usual characters (Latin letters and signs, no special token)
+    are lowered and split by Arrow, many at a time; each different chunk of them is split further as
+    the tokenizer does it, and its words and signs go to the tokenizer's model.  Chunks of other texts
+    go to the tokenizer; those of Latin-1 letters and closing punctuation to the model word by word: its
     normalisation only lowers them and its splitting parts the letters from the punctuation.
     All this holds for tokenizers with the steps ``NORMAL`` and ``SPLIT`` only; others encode whole texts.
-    Two generations of ``CACHED`` chunks and one of ``WORDS`` words bound the memory.
+    Two generations of ``CACHED`` chunks and one of ``WORDS`` strings bound the memory.
     """
 
     def __init__(self, path: str):
@@ -86,23 +112,15 @@ class ChunkIds(dict):
 
         self.path = path
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.simple = _steps(self.tokenizer.normalizer) == NORMAL and _steps(self.tokenizer.pre_tokenizer) == SPLIT
-        self.words: dict[str, bytes] = {}
+        self.words = TokenIds(self.tokenizer.model)
+        added = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.other = "|".join([UNUSUAL, *added])
         self.old: dict[str, bytes] = {}
 
     def _encode(self, chunk: str) -> bytes:
         return pack_ids(self.tokenizer.encode(chunk, add_special_tokens=False).ids)
 
-    def _word(self, word: str) -> bytes:
-        found = self.words.get(word)
-        if found is None:
-            if len(self.words) >= WORDS:
-                self.words.clear()
-            mapped = word if word.isascii() else word.encode("utf-8").decode("latin-1").translate(BYTE_LEVEL)
-            found = self.words[word] = pack_ids([t.id for t in self.model.tokenize(mapped)])
-        return found
-
     def __missing__(self, chunk: str) -> bytes:
         found = self.old.get(chunk)
         if found is None:
@@ -110,7 +128,7 @@ class ChunkIds(dict):
             if plain is None:
                 found = self._encode(chunk)
             else:
-                found = self._word(plain[1].lower())
+                found = self.words[plain[1].lower()]
                 if plain[2]:
                     found += self[plain[2]] if plain[2] != chunk else self._encode(chunk)
         if len(chunk) <= 64:
@@ -126,6 +144,45 @@ class ChunkIds(dict):
             return self._encode(text)
         return b"".join(map(self.__getitem__, BLANK.split(text) if SEPARATORS.search(text) else text.split()))
 
+    def _usual(self, chunk: str) -> bytes:
+        return self.words[chunk] if chunk.isalpha() else b"".join(map(self.words.__getitem__, TOKENS.findall(chunk)))
+
+    def of_texts(self, texts: pa.Array) -> list[bytes]:
+        """:meth:`of_text` of every text."""
+        texts = pc.fill_null(texts, "")
+        if not self.simple:
+            return list(map(self.of_text, texts.to_pylist()))
+        chunks = pc.utf8_split_whitespace(pc.replace_substring_regex(pc.utf8_lower(texts), WORD_END, r"\1 \2"))
+        other = pc.match_substring_regex(texts, self.other, ignore_case=True).to_numpy(False)
+        if other.any():
+            chunks = pc.if_else(pa.array(other), pa.scalar([], chunks.type), chunks)
+        coded = chunks.flatten().dictionary_encode()
+        code = coded.indices.to_numpy()
+        found = list(map(self._usual, coded.dictionary.to_numpy(False).tolist()))
+        size = np.fromiter(map(len, found), np.int32, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        count = size[code]                                          # ids of every chunk
+        end = np.concatenate(([0], np.cumsum(count, dtype=np.int64)))
+        kind = np.int32 if max(end[-1], len(ids)) < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(size, dtype=np.int64) - size)[code] - end[:-1]).astype(kind), count)
+        place += np.arange(len(place), dtype=kind)
+        raw = memoryview(ids.take(place)).cast("B")
+        cut = 4 * end[np.concatenate(([0], np.cumsum(pc.list_value_length(chunks).to_numpy(False), dtype=np.int64)))]
+        out = [bytes(raw[a:b]) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+        for i in np.flatnonzero(other).tolist():
+            out[i] = self.of_text(texts[i].as_py())
+        return out
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of about ``BLOCK_BYTES`` of text."""
+    for b in batches:
+        size = pc.fill_null(pc.binary_length(b.column(1)), 0).to_numpy().astype(np.int64)
+        block = (np.cumsum(size) - size) // BLOCK_BYTES
+        cut = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), b.num_rows]
+        for start, end in zip(cut[:-1], cut[1:]):
+            yield b.slice(start, end - start)
+
 
 def _steps(part) -> list[dict]:
     """The steps of a normalizer or pre-tokenizer."""
@@ -166,10 +223,10 @@ def token_pieces(df: DataFrame, id_col: str, text: str, path: str, capacity: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids_of = chunk_ids(path)
-        for b in batches:
+        for b in _blocks(batches):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
-            for i, t in enumerate(b.column(1).to_pylist()):
-                raw = ids_of.of_text(t) + end
+            for i, raw in enumerate(ids_of.of_texts(b.column(1))):
+                raw += end
                 for p, at in enumerate(range(0, len(raw), width)):
                     part = raw[at:at + width]
                     row.append(i)

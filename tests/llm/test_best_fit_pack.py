@@ -99,6 +99,29 @@ def test_ids_equal_the_tokenizer_on_whole_texts(monkeypatch):
         assert list(np.frombuffer(ids.of_text(text), "<u4")) == t.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_split_together(monkeypatch):
+    """Many texts at a time, every usual character beside letters, numbers and signs, in blocks of any size."""
+    import re
+
+    import pyarrow as pa
+
+    t = Tokenizer.from_file(P.default_tokenizer())
+    r = random.Random(6)
+    chars = [c for c in map(chr, [*range(0x180), *range(0x2000, 0x2070)]) if not re.search(P.UNUSUAL, c)]
+    rows = [a + c + b for c in chars for a, b in (("", ""), ("a", "B"), ("A1", "'s"), ("'", "s"), ("!", "'"), ("é", c))]
+    rows += ["".join(r.choice(chars + list("'stremvld ab") * 9) for _ in range(r.randrange(30))) for _ in range(3000)]
+    rows += [None, "", " ", "x" * 700, "a<|endoftext|>b", "<|STARTOFTEXT|>", "e\u0301 İ \x1c ΑΣ", "\u3000 \u2028x"]
+    want = [P.pack_ids(t.encode(x or "", add_special_tokens=False).ids) for x in rows]
+    ids = P.ChunkIds(P.default_tokenizer())
+    assert ids.of_texts(pa.array(rows, pa.string())) == want
+    monkeypatch.setattr(P, "WORDS", 50)
+    monkeypatch.setattr(P, "BLOCK_BYTES", 500)
+    batch = pa.record_batch([pa.array(range(len(rows))), pa.array(rows, pa.string())], names=["id", "text"])
+    blocks = list(P._blocks([batch, batch.slice(0, 0), batch.slice(5, 1)]))
+    assert max(b.num_rows for b in blocks) < 500
+    assert [x for b in blocks for x in ids.of_texts(b.column(1))] == want + want[5:6]
+
+
 def test_other_tokenizers_encode_whole_texts(tmp_path):
     """Without lowering, with another replacement, or keeping white space: the ids of the tokenizer itself."""
     import json
