@@ -6,8 +6,11 @@ single document on the driver.
 
 from __future__ import annotations
 
-import zlib
+import heapq
+import pickle
 from collections.abc import Iterator
+from contextlib import contextmanager
+from itertools import chain, groupby
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -15,6 +18,8 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from nestgate.sources.packed_text import FRAME, OPTIONS, pack, unpack
+
 JSON_OPTIONS = {"ignoreNullFields": "false"}
 
 
@@ -52,80 +57,157 @@ def array_lines(df: DataFrame, by: str, order: list[str]) -> DataFrame:
     return lines.unionByName(ends.select(by, "e.part", F.lit(None).cast(lines.schema["at"].dataType).alias("at"), "e.value"))
 
 
-CHUNK = 1 << 20                 # characters of neighbouring lines that move as one value
+CHUNK = 1 << 16                 # characters of neighbouring lines that move as one value
+RUN = 1 << 25                   # characters of lines that a task sorts at once
 
 
-def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Neighbouring lines of one file and part as one value, numbered in the order of the ranges."""
-    task, seq = TaskContext.get().partitionId(), 0
-    now, held, size = None, [], 0
+def _sortable(v: object) -> tuple:
+    """What Python orders as Spark orders ``v``: null first, NaN last, structs and lists by their elements."""
+    if isinstance(v, dict | list):
+        return (True, *map(_sortable, v.values() if isinstance(v, dict) else v))
+    return (True, v != v, 0.0 if v != v else v) if isinstance(v, float) else (v is not None, v)
 
-    def chunk(schema: pa.DataType) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([now[0]], schema), pa.array([now[1]], pa.int32()), pa.array([task], pa.int64()),
-             pa.array([seq], pa.int64()), pa.array([zlib.compress("\n".join(held).encode(), 1)], pa.binary())],
-            ["by", "part", "task", "seq", "value"])
 
-    kind = None
+def _keys(at: pa.StructArray) -> list[tuple]:
+    """The order columns of each row as one key."""
+    columns = []
+    for c in at.flatten():
+        if pa.types.is_temporal(c.type):                     # also years that Python has no dates for
+            c = c.view(pa.int32() if c.type.bit_width == 32 else pa.int64())
+        plain = not (pa.types.is_floating(c.type) or pa.types.is_nested(c.type))
+        columns.append([(v is not None, v) for v in c.to_pylist()] if plain else [*map(_sortable, c.to_pylist())])
+    return list(zip(*columns))
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted runs of lines, by file and part in chunks of packed keys and texts, each with its first ``at``."""
+    task, held, size = TaskContext.get().partitionId(), {}, 0
+
+    def run() -> Iterator[pa.RecordBatch]:
+        for by, part, lines in held.values():
+            lines.sort(key=lambda x: x[0])
+            start = n = 0
+            for i, (_, text, *_) in enumerate(lines):
+                n += len(text)
+                if n > CHUNK or i + 1 == len(lines):
+                    keys, texts, (at, *_), (row, *_) = zip(*lines[start:i + 1])
+                    start, n = i + 1, 0
+                    yield pa.RecordBatch.from_arrays(
+                        [by, pa.array([part], pa.int32()), at.slice(row, 1), pa.array([task], pa.int64()),
+                         pa.array([pack(pickle.dumps((keys, texts)))], pa.binary())], ["by", "part", "at", "task", "value"])
+        held.clear()
+
     for b in batches:
-        kind = b.schema.field("by").type
-        for *which, value in zip(b.column("by").to_pylist(), b.column("part").to_pylist(), b.column("value").to_pylist()):
-            if held and (which != now or size > CHUNK):
-                yield chunk(kind)
-                held, size, seq = [], 0, seq + 1
-            now = which
-            held.append(value)
-            size += len(value)
-    if held:
-        yield chunk(kind)
+        bys, at = b.column("by"), b.column("at")
+        for i, (by, part, key, text) in enumerate(zip(bys.to_pylist(), b.column("part").to_pylist(), _keys(at),
+                                                      b.column("value").to_pylist())):
+            which = repr(by), part
+            if which not in held:
+                held[which] = (bys.slice(i, 1), part, [])
+            held[which][2].append((key, text, at, i))
+            size += len(text)
+        if size > RUN:
+            yield from run()
+            size = 0
+    yield from run()
 
 
 def line_chunks(lines: DataFrame, by: str) -> DataFrame:
-    """``(by, part, task, seq, value)``: the lines in chunks of packed text, numbered in their order."""
+    """``(by, part, at, task, value)``: the lines of every task in sorted runs, cut into chunks of packed text.
+
+    ``at`` is that of a chunk's first line; the runs of a file overlap."""
     schema = (T.StructType([T.StructField("by", lines.schema[by].dataType)]).add("part", T.IntegerType())
-              .add("task", T.LongType()).add("seq", T.LongType()).add("value", T.BinaryType()))
-    return (lines.select(F.col(by).alias("by"), "part", "at", "value").repartitionByRange("by", "part", "at")
-            .sortWithinPartitions("by", "part", "at").select("by", "part", "value").mapInArrow(_chunks, schema))
+              .add("at", lines.schema["at"].dataType).add("task", T.LongType()).add("value", T.BinaryType()))
+    return lines.select(F.col(by).alias("by"), "part", "at", "value").mapInArrow(_chunks, schema)
+
+
+def _merged(chunks: Iterator[pa.Buffer]) -> Iterator[str]:
+    """The lines of chunks that come by their first line, in order; one chunk of a run is open at a time."""
+    heap: list[tuple] = []
+    for n, chunk in enumerate(chunks):
+        keys, texts = pickle.loads(unpack(chunk))
+        while heap and heap[0][0] <= keys[0]:
+            yield _next(heap)
+        heapq.heappush(heap, (keys[0], n, 0, keys, texts))
+    while heap:
+        yield _next(heap)
+
+
+def _next(heap: list[tuple]) -> str:
+    _, n, i, keys, texts = heap[0]
+    if i + 1 < len(keys):
+        heapq.heapreplace(heap, (keys[i + 1], n, i + 1, keys, texts))
+    else:
+        heapq.heappop(heap)
+    return texts[i]
+
+
+def _in_order(batches: Iterator[pa.RecordBatch], packed: bool) -> Iterator[pa.RecordBatch]:
+    """The text of whole files, many lines a row; the comma before a file's first document is left out."""
+    def chunks() -> Iterator[tuple]:
+        for b in batches:
+            bys, values = b.column("by"), b.column("value")
+            for i, (by, part) in enumerate(zip(bys.to_pylist(), b.column("part").to_pylist())):
+                yield (repr(by), part), bys.slice(i, 1), values[i].as_buffer()
+
+    def row() -> pa.RecordBatch:
+        text = "\n".join(held)
+        held.clear()
+        return pa.RecordBatch.from_arrays(
+            [by, pa.array([pack(f"{text}\n".encode())], pa.binary()) if packed else pa.array([text])], ["by", "value"])
+
+    file, by, held, size = None, None, [], 0
+    for (name, part), rows in groupby(chunks(), lambda r: r[0]):
+        first = next(rows)
+        if held and name != file:
+            yield row()
+            size = 0
+        file, by = name, first[1]
+        for n, text in enumerate(_merged(r[2] for r in chain([first], rows))):
+            held.append(text.removeprefix(",") if part == 1 and n == 0 else text)
+            size += len(text)
+            if size > FRAME:
+                yield row()
+                size = 0
+    if held:
+        yield row()
 
 
-def _in_order(rows: Iterator[tuple]) -> Iterator[tuple]:
-    """The chunks of whole files; the comma before a file's first document is left out."""
-    opened = None
-    for (_, _, by), (part, packed) in rows:
-        value = zlib.decompress(packed).decode()
-        if part == 1 and repr(by) != opened:                # the chunks of one file are neighbours
-            opened = repr(by)
-            value = value.removeprefix(",")
-        yield by, value
+@contextmanager
+def _settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
-def write_lines_by(lines: DataFrame, path: str, by: str) -> str:
+def write_lines_by(lines: DataFrame, path: str, by: str, packed: bool = False) -> str:
     """One text file for each value of ``by``, its lines in the order of ``(part, at)``.
 
-    Lines are sorted by ranges, in tasks of bounded size, and joined to chunks.  A file has one writer, which
-    merges its chunks by number: sorted in runs on disk (``spark.python.worker.memory`` bounds a run), so its
-    memory does not grow with the file."""
+    Every task sorts its lines in runs of bounded size and packs them in chunks.  A file has one writer, which
+    merges the runs: its memory grows with their number (a chunk each), not with the file.  The lines move once, packed;
+    what was shuffled for them is deleted when they are written.  ``packed``: files as in
+    :mod:`nestgate.sources.packed_text`."""
     spark, kind = lines.sparkSession, lines.schema[by].dataType
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    whole = (line_chunks(lines, by).rdd.map(lambda r: ((r["task"], r["seq"], r["by"]), (r["part"], bytes(r["value"]))))
-             .repartitionAndSortWithinPartitions(files, lambda k: zlib.crc32(repr(k[2]).encode()))
-             .mapPartitions(_in_order))
-    out = spark.createDataFrame(whole, T.StructType([T.StructField(by, kind), T.StructField("value", T.StringType())]),
-                                verifySchema=False)
-    # chunks arrive in file order; with a limit set, the writer keeps files open instead of sorting all rows again
-    limit = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(limit, None)
-    spark.conf.set(limit, "4096")
-    try:
-        out.write.mode("overwrite").partitionBy(by).text(path)
-    finally:
-        spark.conf.set(limit, before) if before is not None else spark.conf.unset(limit)
+    schema = T.StructType([T.StructField("by", kind), T.StructField("value", T.BinaryType() if packed else T.StringType())])
+    out = (line_chunks(lines, by).repartition(files, "by").sortWithinPartitions("by", "part", "at", "task")
+           .mapInArrow(lambda batches: _in_order(batches, packed), schema)
+           .select(F.col("by").alias(by), F.col("value").cast("string").alias("value")))
+    # lines arrive in file order; with a limit set, the writer keeps files open instead of sorting all rows again
+    with _settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "4096",
+                           "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}):
+        out.write.mode("overwrite").options(**(OPTIONS if packed else {})).partitionBy(by).format("text").save(path)
     return path
 
 
-def write_json_arrays(df: DataFrame, path: str, by: str, order: list[str]) -> str:
+def write_json_arrays(df: DataFrame, path: str, by: str, order: list[str], packed: bool = False) -> str:
     """K3: one JSON array file for each value of ``by``, the documents in ``order``."""
-    return write_lines_by(array_lines(df, by, order), path, by)
+    return write_lines_by(array_lines(df, by, order), path, by, packed)
 
 
 def bulk_index_lines(df: DataFrame, id_col: str, index: str) -> DataFrame:

@@ -19,8 +19,8 @@ CORRUPT = "_corrupt_record"
 
 
 def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.StructType | str,
-                        multiline: bool = False, corrupt_col: str | None = CORRUPT) -> DataFrame:
-    """Nested JSON documents (lines, or one object or array a file with ``multiline``).
+                        multiline: bool = False, corrupt_col: str | None = CORRUPT, packed: bool = False) -> DataFrame:
+    """Nested JSON documents (lines, or one object or array a file with ``multiline``, also ``packed``).
 
     With ``corrupt_col``, text that is no record of the schema is kept there; with ``multiline`` also text
     outside the file's value and an element whose end is missing.  Every element is read, also of files with
@@ -31,7 +31,7 @@ def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.St
     options = {"mode": "PERMISSIVE"} | ({"columnNameOfCorruptRecord": corrupt_col} if corrupt_col else {})
     if not multiline:
         return spark.read.options(**options).schema(st).json(path)
-    texts = json_elements(spark, path, with_problems=bool(corrupt_col))
+    texts = json_elements(spark, path, with_problems=bool(corrupt_col), packed=packed)
     return texts.select(F.from_json("text", st, options).alias("r")).select("r.*")
 
 

@@ -16,6 +16,9 @@ are reported; no element is lost, also when a file holds several values.
 
 The rows of step 1 (at most one for each ``spark.sql.files.maxPartitionBytes`` of input) pass through the driver,
 which holds the same splits to plan the scan.  A task holds one batch and one unfinished element.
+
+Packed files (:mod:`nestgate.sources.packed_text`) come in frames of whole lines instead of pieces; they are split
+and scanned the same way.
 """
 
 from __future__ import annotations
@@ -28,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from nestgate.sources.packed_text import OPTIONS, unpack
+
 PIECE_END = b"}"
 ESCAPED = re.compile(rb"\\.", re.DOTALL)
 QUOTE, COMMA, OPEN_LIST, CLOSE_LIST, OPEN_OBJECT, CLOSE_OBJECT = b'",[]{}'
@@ -83,19 +88,23 @@ def compose(first: Transition, second: Transition) -> Transition:
     return tuple(out)
 
 
-def _pieces(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    return (spark.read.option("lineSep", PIECE_END.decode()).text(path)
+def _pieces(spark: SparkSession, path: str | list[str], packed: bool) -> DataFrame:
+    return (spark.read.options(**(OPTIONS if packed else {"lineSep": PIECE_END.decode()})).text(path)
             .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
                     F.col("_metadata.file_block_length").alias("length"), F.col("_metadata.file_size").alias("size"),
                     F.col("value").cast("binary").alias("piece")))
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, int, bytes]]:
-    """``(file, block, length, size, bytes)`` of neighbouring pieces of one split in a batch."""
+def _runs(batches: Iterator[pa.RecordBatch], packed: bool) -> Iterator[tuple[str, int, int, int, bytes]]:
+    """``(file, block, length, size, bytes)`` of neighbouring pieces of one split in a batch, or of a packed one."""
     for b in batches:
         files, blocks = b.column("file").to_pylist(), b.column("block").to_numpy()
-        lengths, sizes, pieces = b.column("length").to_numpy(), b.column("size").to_numpy(), b.column("piece").to_pylist()
-        start = 0
+        lengths, sizes = b.column("length").to_numpy(), b.column("size").to_numpy()
+        if packed:
+            for i, piece in enumerate(b.column("piece")):
+                yield files[i], int(blocks[i]), int(lengths[i]), int(sizes[i]), unpack(piece.as_buffer())
+            continue
+        pieces, start = b.column("piece").to_pylist(), 0
         for i in range(1, b.num_rows + 1):
             if i == b.num_rows or blocks[i] != blocks[start] or files[i] != files[start]:
                 yield (files[start], int(blocks[start]), int(lengths[start]), int(sizes[start]),
@@ -106,23 +115,23 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, int, int, in
 SUMMARY = "file string, block long, size long, n_bytes long, states array<long>"
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _summaries(batches: Iterator[pa.RecordBatch], packed: bool = False) -> Iterator[pa.RecordBatch]:
     """Step 1: a row for each split, its transition without and with the end of its last piece."""
-    now, rows = None, []
+    now, rows, end = None, [], b"" if packed else PIECE_END
 
     def close():
         (file, block, size), (n, done) = now
-        both = (done, compose(done, transition(PIECE_END)))
+        both = (done, compose(done, transition(end)))
         rows.append((file, block, size, n, [x for t in both for state in t for x in state]))
 
-    for file, block, _, size, data in _runs(batches):
+    for file, block, _, size, data in _runs(batches, packed):
         if now is None or now[0] != (file, block, size):
             if now is not None:
                 close()
             now = ((file, block, size), (0, NOTHING))
             lead = b""
         else:
-            lead = PIECE_END                      # the end of the piece before
+            lead = end                            # of the piece before
         n, done = now[1]
         now = (now[0], (n + len(data) + 1, compose(done, transition(lead + data))))
     if now is not None:
@@ -233,11 +242,12 @@ NAMES = ["file", "block", "ord", "kind", "left", "right", "text"]
 TYPES = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int32(), pa.string()]
 
 
-def _cut(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _cut(spark: SparkSession, path: str | list[str], packed: bool = False) -> DataFrame:
     """Step 2: rows of kind ``element``, ``tail``, ``middle`` and ``head`` (fragments), ``value`` and ``problem``."""
-    pieces = _pieces(spark, path)
+    pieces, end = _pieces(spark, path, packed), b"" if packed else PIECE_END      # packed pieces hold their ends
     several = pieces.filter("length < size")
-    begins, ends, lacking = _beginnings(several.mapInArrow(_summaries, SUMMARY).collect())     # a row for each split
+    summaries = several.mapInArrow(lambda batches: _summaries(batches, packed), SUMMARY).collect()     # a row for each split
+    begins, ends, lacking = _beginnings(summaries)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, cutter, n_bytes, rows = None, None, 0, []
@@ -250,7 +260,7 @@ def _cut(spark: SparkSession, path: str | list[str]) -> DataFrame:
             file, block, length, size = now
             whole = length >= size
             if not (n_bytes > size if whole else (file, block) in lacking):
-                cutter.feed(PIECE_END)
+                cutter.feed(end)
             cutter.finish(whole or (file, block) in ends)
             take()
 
@@ -259,14 +269,14 @@ def _cut(spark: SparkSession, path: str | list[str]) -> DataFrame:
             rows.clear()
             return out
 
-        for file, block, length, size, data in _runs(batches):
+        for file, block, length, size, data in _runs(batches, packed):
             if now is None or now[:2] != (file, block):
                 if now is not None:
                     close()
                 now, n_bytes = (file, block, length, size), 0
                 cutter = Cutter(*begins.get((file, block), (0, 0, 0)))
             else:
-                cutter.feed(PIECE_END)                # the end of the piece before
+                cutter.feed(end)                      # of the piece before
             cutter.feed(data)
             n_bytes += len(data) + 1
             take()
@@ -300,13 +310,15 @@ def is_one_object(text: Column) -> Column:
                       & F.get(items, F.lit(0)).try_cast("map<string,variant>").isNotNull(), F.lit(False))
 
 
-def json_elements(spark: SparkSession, path: str | list[str], with_problems: bool = False) -> DataFrame:
+def json_elements(spark: SparkSession, path: str | list[str], with_problems: bool = False,
+                  packed: bool = False) -> DataFrame:
     """``(file, block, ord, text)``: the top object, or the elements of the top array, of every file.
 
     ``block`` and ``ord`` give the order in the file.  ``with_problems``: also text that is in no element
-    (outside the value, or an element whose end is missing), as rows like the others.
+    (outside the value, or an element whose end is missing), as rows like the others.  ``packed``: files as in
+    :mod:`nestgate.sources.packed_text`.
     """
-    cut = _cut(spark, path)
+    cut = _cut(spark, path, packed)
     found = cut.filter("kind = 'element'").unionByName(_joined(cut))
     blank = F.trim(F.col("text"), F.lit(BLANK.decode())) == ""
     texts = found.filter(~blank & (F.lit(with_problems) | (F.col("right") != -1)))

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from nestgate.sources import json_scan as J
+from nestgate.sources import packed_text as P
 from nestgate.sources.json import malformed_json, read_json_documents
 
 BAD = {  # files that are not one object or one array of objects
@@ -67,6 +68,22 @@ def test_elements_are_those_of_the_json_module(spark, tmp_path, split):
     assert found == {n: records(t) for n, t in GOOD.items()}
 
 
+def test_packed_files_are_split_and_read_alike(spark, tmp_path, split):
+    """Frames of whole lines with a marker after each: also a split that begins within a marker or a frame."""
+    files = GOOD | {"long": json.dumps([{"id": i, "t": "}]\\\"" * i} for i in range(40)], indent=1)}
+    folder = tmp_path / "files"
+    folder.mkdir()
+    for name, text in files.items():
+        lines = text.splitlines(keepends=True)
+        frames = ["".join(lines[i:i + 3]) for i in range(0, len(lines), 3)]
+        (folder / f"{name}.txt").write_bytes(b"".join(P.pack(f.encode()) + P.SEPARATOR for f in frames))
+    rows = J.json_elements(spark, str(folder), packed=True).orderBy("file", "block", "ord").collect()
+    found = {n: [] for n in files}
+    for r in rows:
+        found[r["file"].rsplit("/", 1)[1][:-4]].append(json.loads(r["text"]))
+    assert found == {n: records(t) for n, t in files.items()}
+
+
 def test_no_record_is_lost_past_the_gate(spark, tmp_path, split):
     several = ("two_objects", "two_on_a_line", "pretty_objects", "two_arrays", "array_and_object")
     path = write(tmp_path / "files", {n: BAD[n] for n in several})

@@ -161,3 +161,74 @@ def test_harvested_xml_is_written_packed(spark, tmp_path):
               ).write.parquet(str(tmp_path / "t" / "lineitem.parquet"))
     out = catalog.QUERIES["xml_record_harvest"](spark, str(tmp_path / "t"))
     assert out.count() == 1 and all(f.endswith(".xml.gz") for f in out.inputFiles())
+
+
+def test_keys_order_as_spark_orders(spark):
+    """Chunks are merged by keys that Python compares as Spark does: nulls, NaN, text, dates, nested values."""
+    import pyarrow as pa
+
+    df = spark.createDataFrame(
+        [(x, s, None if s is None else [x], None if x is None else (s, x)) for x in (None, -1.5, float("nan"), float("-inf"), 2.0)
+         for s in (None, "", "a", "Z", "é", "😀", "￮")],
+        "x double, s string, l array<double>, t struct<s: string, x: double>")
+    df = df.withColumn("d", F.expr("date'2020-01-01' + try_cast(x as int)"))
+    df = df.withColumn("z", F.expr("case when s > 'a' then timestamp_ntz'1960-01-01' + make_dt_interval(0, 0, 0, length(s)) end"))
+    for names in (["x", "s"], ["l", "s", "x"], ["t", "s", "x"], ["d", "x", "s"], ["z", "s", "x"]):
+        rows = df.select(F.struct(*names).alias("at"), F.to_json(F.struct(*names)).alias("v")).toArrow()
+        keys = K._keys(pa.concat_arrays(rows["at"].chunks))
+        mine = [v for _, v in sorted(zip(keys, rows["v"].to_pylist()), key=lambda r: r[0])]
+        assert mine == [r["v"] for r in df.orderBy(*names).select(F.to_json(F.struct(*names)).alias("v")).collect()]
+
+
+ORDERS = [(None if k % 50 == 0 else k % 900, k, "F", 1.5 * k, None if k % 7 == 0 else f"{k % 4}-P") for k in range(2000)]
+
+
+def test_harvested_arrays_are_packed_and_move_once(spark, tmp_path, monkeypatch):
+    """One sorted array file a priority, in less than a fifth of its text, and still read by several tasks."""
+    import json
+
+    import pyarrow as pa
+
+    from nestgate import catalog as C
+
+    path, data = str(tmp_path / "arrays"), tmp_path / "t"
+    data.mkdir()
+    monkeypatch.setattr(C, "scratch_path", lambda s, name: path)
+    shape = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    orders = spark.createDataFrame(ORDERS, shape).withColumn("o_orderdate", F.expr("timestamp_ntz'2020-01-01'"))
+    orders.write.parquet(str(data / "orders.parquet"))
+    spark.range(5000).selectExpr(
+        "id % 1100 as l_orderkey", "id as l_partkey", "id % 7 as l_suppkey", "int(id % 3) as l_linenumber",
+        "double(id) as l_quantity", "double(nullif(id % 5, 0)) as l_extendedprice", "0.1D as l_discount", "0D as l_tax",
+        "'\\\\\"}]{[é' || repeat(sha2(string(id), 256), 12) as l_returnflag", "string(null) as l_linestatus",
+        "timestamp_ntz'2020-01-02' as l_shipdate").write.parquet(str(data / "lineitem.parquet"))
+    want = sorted(map(repr, C.QUERIES["explode_unnest"](spark, str(data)).collect()))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "7k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        out = C.QUERIES["json_array_harvest"](spark, str(data))
+        assert sorted(map(repr, out.collect())) == want
+        assert out.select(F.spark_partition_id()).distinct().count() > 5
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files, found, text = list((tmp_path / "arrays").glob("priority=*/*.txt")), [], b""
+    assert len(files) == 5
+    for f in files:
+        one = pa.CompressedInputStream(pa.OSFile(str(f)), "zstd").read()            # as any decoder reads it
+        text, docs = text + one, json.loads(one)
+        keys = [d["o_orderkey"] for d in docs]
+        assert keys == sorted(keys, key=lambda k: (k is not None, k)) and len({d["o_orderpriority"] for d in docs}) == 1
+        found += [(d["o_orderkey"], d["o_custkey"], d["o_orderstatus"], d["o_totalprice"], d["o_orderpriority"]) for d in docs]
+    assert sorted(found, key=repr) == sorted(ORDERS, key=repr)
+    assert sum(f.stat().st_size for f in files) < len(text) / 5
+
+
+def test_lines_to_write_are_shuffled_packed(spark):
+    docs = spark.range(20000).selectExpr("id as k", "'a' as g", "repeat('some words ', 20) as t")
+    lines = K.array_lines(docs.withColumn("h", docs["g"]), "h", ["k"])
+    chunks = K.line_chunks(lines, "h").agg(F.sum(F.length("value")).alias("n")).first()["n"]
+    text = lines.agg(F.sum(F.length("value")).alias("n")).first()["n"]
+    assert chunks < text / 10
+    assert "rangepartitioning" not in K.line_chunks(lines, "h")._jdf.queryExecution().toString()
