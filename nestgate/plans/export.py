@@ -76,7 +76,7 @@ def _keys(at: pa.StructArray) -> list[tuple]:
             c = c.view(pa.int32() if c.type.bit_width == 32 else pa.int64())
         plain = not (pa.types.is_floating(c.type) or pa.types.is_nested(c.type))
         columns.append([(v is not None, v) for v in c.to_pylist()] if plain else [*map(_sortable, c.to_pylist())])
-    return list(zip(*columns))
+    return list(zip(*columns)) if columns else [()] * len(at)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -32,7 +32,8 @@ def read_json_documents(spark: SparkSession, path: str | list[str], schema: T.St
     if not multiline:
         return spark.read.options(**options).schema(st).json(path)
     texts = json_elements(spark, path, with_problems=bool(corrupt_col), packed=packed)
-    return texts.select(F.from_json("text", st, options).alias("r")).select("r.*")
+    # out of a generator: Catalyst puts no filter below it that would parse every text again
+    return texts.select(F.inline_outer(F.array(F.from_json("text", st, options))))
 
 
 def parse_json_column(c: Column | str, schema: T.StructType | str) -> Column:

@@ -319,12 +319,10 @@ def json_elements(spark: SparkSession, path: str | list[str], with_problems: boo
     :mod:`nestgate.sources.packed_text`.
     """
     cut = _cut(spark, path, packed)
-    found = cut.filter("kind = 'element'").unionByName(_joined(cut))
     blank = F.trim(F.col("text"), F.lit(BLANK.decode())) == ""
-    texts = found.filter(~blank & (F.lit(with_problems) | (F.col("right") != -1)))
-    if with_problems:
-        texts = texts.unionByName(cut.filter("kind = 'problem'"))
-    return texts.select("file", "block", "ord", "text")
+    taken = ~blank & (F.lit(with_problems) | (F.col("right") != -1))
+    whole = (F.col("kind") == "element") & taken | F.lit(with_problems) & (F.col("kind") == "problem")     # in one scan
+    return cut.filter(whole).unionByName(_joined(cut).filter(taken)).select("file", "block", "ord", "text")
 
 
 def json_problems(spark: SparkSession, path: str | list[str]) -> DataFrame:

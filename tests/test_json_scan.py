@@ -179,3 +179,10 @@ def test_transitions_compose():
         cut = r.randrange(41)
         assert J.compose(J.transition(data[:cut]), J.transition(data[cut:])) == J.transition(data)
     assert J.compose(J.NOTHING, J.transition(b'[{"')) == J.transition(b'[{"')
+
+
+def test_a_filter_on_records_parses_no_text_again(spark, tmp_path):
+    path = write(tmp_path / "files", GOOD)
+    docs = read_json_documents(spark, path, "a string, b string", multiline=True)
+    plan = docs.where(F.col("_corrupt_record").isNull())._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1 and plan.count("MapInArrow") == 2       # elements with problems, and fragments
